@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perfkit import fixtures as fx
+from perfkit.operators import advice as adv
+from perfkit.operators import cost as co
 from perfkit.operators import findings as fd
-from perfkit.operators.stage_metrics import stage_metrics, top_stages
+from perfkit.operators import report as rp
+from perfkit.operators.stage_metrics import profile_stages, top_stages
 from perfkit.sources import conf as cf
 from perfkit.sources import eventlog as ev
 
@@ -41,8 +44,7 @@ def profile_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = profile_inputs(spark, sf_dir)
-    return stage_metrics(p["stages"], p["tasks"], p["apps"])
+    return profile_stages(profile_inputs(spark, sf_dir)["events"])[0]
 
 
 def _settings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +123,42 @@ def q_findings_all(spark, sf_dir):
             .withColumn("evidence_value", F.round("evidence_value", R))
 
 
+def _recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = profile_inputs(spark, sf_dir)
+    m, _ = profile_stages(p["events"])
+    f = fd.findings_all(m, cf.app_settings(p["confs"], p["clusters"]))
+    return adv.recommend(f, p["confs"])
+
+
+def q_recommendations(spark, sf_dir):
+    r = _recs(spark, sf_dir)
+    return r.select("app_id", F.col("rec_seq").cast("bigint").alias("rec_seq"), "code", "severity",
+                    "stage_id", F.size("actions").alias("n_actions"), "n_adjusted")
+
+
+def q_recommendations_json(spark, sf_dir):
+    return adv.recommendations_json(_recs(spark, sf_dir))
+
+
+def q_report_lines(spark, sf_dir):
+    p = profile_inputs(spark, sf_dir)
+    m, apps = profile_stages(p["events"])
+    f = fd.findings_all(m, cf.app_settings(p["confs"], p["clusters"]))
+    return rp.report_lines(apps, m, f, adv.recommend(f, p["confs"]))
+
+
+def q_cost_estimate(spark, sf_dir):
+    c = co.estimate_cost(fx.cost_inputs(spark, sf_dir))
+    dbl = ["node_hours", "rate_per_node_hour", "estimated_cost", "dbus", "rate_per_dbu_hour",
+           "estimated_cost_dbu"]
+    return c.select(*[_r(x) if x in dbl else F.col(x) for x in c.columns])
+
+
+def q_cost_compare(spark, sf_dir):
+    c = co.compare_cost(co.estimate_cost(fx.cost_inputs(spark, sf_dir)))
+    return c.select("app_id", *[_r(x) for x in c.columns if x != "app_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_tasks": q_parse_tasks,
     "parse_stages": q_parse_stages,
@@ -134,4 +172,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detect_spill_gc": q_detect_spill_gc,
     "detect_partitioning": q_detect_partitioning,
     "findings_all": q_findings_all,
+    "recommendations": q_recommendations,
+    "recommendations_json": q_recommendations_json,
+    "report_lines": q_report_lines,
+    "cost_estimate": q_cost_estimate,
+    "cost_compare": q_cost_compare,
 }

@@ -1,7 +1,11 @@
 """Bottleneck detectors: stage metrics (and app settings) -> findings.
 
-Each detector is a narrow filter plus a severity expression over the metrics frame;
-no detector shuffles. Thresholds are parameters with the reference defaults.
+Each detector is a condition, a severity expression and the finding's text and
+evidence over one metrics row; no detector shuffles. Used alone a detector is a
+filter; ``findings_all`` evaluates the four stage detectors in one pass over the
+metrics (an array of candidate findings per stage, exploded), so the metrics are
+read once, not once per detector. Thresholds are parameters with the reference
+defaults.
 
 Finding columns: app_id, detector_seq, code_seq, code, severity, stage_id, attempt,
 message, evidence (map<string,double>). ``(detector_seq, stage_id, attempt,
@@ -10,6 +14,8 @@ code_seq)`` reproduces the order in which the findings are produced.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +33,16 @@ LOW_PAR = "LOW_DEFAULT_PARALLELISM"
 ERROR, WARN, INFO = "ERROR", "WARN", "INFO"
 
 
+class Detector(NamedTuple):
+    detector_seq: int
+    code_seq: int
+    code: str
+    when: Column
+    severity: Column
+    message: Column
+    evidence: Column
+
+
 def _evidence(**cols: Column) -> Column:
     parts = []
     for k, c in cols.items():
@@ -34,80 +50,125 @@ def _evidence(**cols: Column) -> Column:
     return F.create_map(*parts)
 
 
-def _finding(df: DataFrame, detector_seq: int, code_seq: int, code: str, severity: Column,
-             message: Column, evidence: Column, stage: bool = True) -> DataFrame:
-    return df.select(
-        "app_id", F.lit(detector_seq).alias("detector_seq"), F.lit(code_seq).alias("code_seq"),
-        F.lit(code).alias("code"), severity.alias("severity"),
+def _struct(d: Detector) -> Column:
+    return F.struct(F.lit(d.detector_seq).alias("detector_seq"), F.lit(d.code_seq).alias("code_seq"),
+                    F.lit(d.code).alias("code"), d.severity.alias("severity"),
+                    d.message.alias("message"), d.evidence.alias("evidence"))
+
+
+def _emit(df: DataFrame, d: Detector, stage: bool = True) -> DataFrame:
+    return df.where(d.when).select(
+        "app_id", F.lit(d.detector_seq).alias("detector_seq"), F.lit(d.code_seq).alias("code_seq"),
+        F.lit(d.code).alias("code"), d.severity.alias("severity"),
         (F.col("stage_id") if stage else F.lit(None).cast("bigint")).alias("stage_id"),
         (F.col("attempt") if stage else F.lit(None).cast("bigint")).alias("attempt"),
-        message.alias("message"), evidence.alias("evidence"))
+        d.message.alias("message"), d.evidence.alias("evidence"))
 
 
-def detect_skew(metrics: DataFrame, p95_p50_warn: float = 3.0, max_p50_warn: float = 8.0,
-                min_tasks: int = 10) -> DataFrame:
+# ------------------------------------------------------------ stage detectors
+
+def skew_detector(p95_p50_warn: float = 3.0, max_p50_warn: float = 8.0, min_tasks: int = 10) -> Detector:
     """Skewed task durations, for stages declaring at least ``min_tasks`` tasks."""
     r95, rmax = F.col("skew_ratio_p95_p50"), F.col("skew_ratio_max_p50")
-    hit = metrics.where((F.col("num_tasks") >= min_tasks)
-                        & ((r95 >= p95_p50_warn) | (rmax >= max_p50_warn)))
-    sev = F.when(rmax >= max_p50_warn * 2, F.lit(ERROR)).otherwise(F.lit(WARN))
-    msg = F.format_string("Stage %d has straggler tasks: p95 is %.2fx and max is %.2fx the median.",
-                          "stage_id", r95, rmax)
-    ev = _evidence(p95_p50=r95, max_p50=rmax, p50_ms=F.col("task_p50_ms"),
-                   p95_ms=F.col("task_p95_ms"), max_ms=F.col("task_max_ms"))
-    return _finding(hit, 1, 1, SKEW, sev, msg, ev)
+    return Detector(
+        1, 1, SKEW,
+        (F.col("num_tasks") >= min_tasks) & ((r95 >= p95_p50_warn) | (rmax >= max_p50_warn)),
+        F.when(rmax >= max_p50_warn * 2, F.lit(ERROR)).otherwise(F.lit(WARN)),
+        F.format_string("Stage %d has straggler tasks: p95 is %.2fx and max is %.2fx the median.",
+                        F.col("stage_id"), r95, rmax),
+        _evidence(p95_p50=r95, max_p50=rmax, p50_ms=F.col("task_p50_ms"),
+                  p95_ms=F.col("task_p95_ms"), max_ms=F.col("task_max_ms")))
 
 
-def detect_shuffle_heavy(metrics: DataFrame, shuffle_mb_warn: float = 1024.0) -> DataFrame:
+def shuffle_detector(shuffle_mb_warn: float = 1024.0) -> Detector:
     """Shuffle read + write at or above ``shuffle_mb_warn`` MB; ERROR at 5x."""
     total = F.col("shuffle_read_mb") + F.col("shuffle_write_mb")
-    hit = metrics.where(total >= shuffle_mb_warn)
-    sev = F.when(total >= shuffle_mb_warn * 5, F.lit(ERROR)).otherwise(F.lit(WARN))
-    msg = F.format_string("Stage %d moves about %.0f MB through shuffle.", "stage_id", total)
-    ev = _evidence(shuffle_read_mb=F.col("shuffle_read_mb"), shuffle_write_mb=F.col("shuffle_write_mb"),
-                   spill_mb=F.col("spill_mb"))
-    return _finding(hit, 2, 1, SHUFFLE, sev, msg, ev)
-
-
-def detect_spill_gc(metrics: DataFrame, spill_mb_warn: float = 512.0,
-                    gc_pct_warn: float = 0.10) -> DataFrame:
-    """Spill and GC share, independent of each other (a stage may yield both)."""
-    spill, gc = F.col("spill_mb"), F.col("gc_pct")
-    spill_f = _finding(
-        metrics.where(spill >= spill_mb_warn), 3, 1, SPILL,
+    return Detector(
+        2, 1, SHUFFLE, total >= shuffle_mb_warn,
+        F.when(total >= shuffle_mb_warn * 5, F.lit(ERROR)).otherwise(F.lit(WARN)),
+        F.format_string("Stage %d moves about %.0f MB through shuffle.", F.col("stage_id"), total),
+        _evidence(shuffle_read_mb=F.col("shuffle_read_mb"), shuffle_write_mb=F.col("shuffle_write_mb"),
+                  spill_mb=F.col("spill_mb")))
+
+
+def spill_detector(spill_mb_warn: float = 512.0) -> Detector:
+    """D3: memory + disk spill at or above ``spill_mb_warn`` MB; ERROR at 5x."""
+    spill = F.col("spill_mb")
+    return Detector(
+        3, 1, SPILL, spill >= spill_mb_warn,
         F.when(spill < spill_mb_warn * 5, F.lit(WARN)).otherwise(F.lit(ERROR)),
-        F.format_string("Stage %d spilled about %.0f MB to memory and disk.", "stage_id", spill),
+        F.format_string("Stage %d spilled about %.0f MB to memory and disk.", F.col("stage_id"), spill),
         _evidence(spill_mb=spill))
-    gc_f = _finding(
-        metrics.where(gc >= gc_pct_warn), 3, 2, GC,
+
+
+def gc_detector(gc_pct_warn: float = 0.10) -> Detector:
+    """GC share of task time at or above ``gc_pct_warn``; ERROR at 2x."""
+    gc = F.col("gc_pct")
+    return Detector(
+        3, 2, GC, gc >= gc_pct_warn,
         F.when(gc < gc_pct_warn * 2, F.lit(WARN)).otherwise(F.lit(ERROR)),
-        F.format_string("Stage %d spent %.1f%% of task time in garbage collection.", "stage_id", gc * 100),
+        F.format_string("Stage %d spent %.1f%% of task time in garbage collection.",
+                        F.col("stage_id"), gc * 100),
         _evidence(gc_pct=gc))
-    return spill_f.unionByName(gc_f)
 
 
+def detect_skew(metrics: DataFrame, p95_p50_warn: float = 3.0, max_p50_warn: float = 8.0,
+                min_tasks: int = 10) -> DataFrame:
+    return _emit(metrics, skew_detector(p95_p50_warn, max_p50_warn, min_tasks))
+
+
+def detect_shuffle_heavy(metrics: DataFrame, shuffle_mb_warn: float = 1024.0) -> DataFrame:
+    return _emit(metrics, shuffle_detector(shuffle_mb_warn))
+
+
+def detect_spill_gc(metrics: DataFrame, spill_mb_warn: float = 512.0,
+                    gc_pct_warn: float = 0.10) -> DataFrame:
+    """D3, D4 are independent: one stage can yield both."""
+    return stage_findings(metrics, [spill_detector(spill_mb_warn), gc_detector(gc_pct_warn)])
+
+
+def default_stage_detectors() -> list[Detector]:
+    return [skew_detector(), shuffle_detector(), spill_detector(), gc_detector()]
+
+
+def stage_findings(metrics: DataFrame, detectors: list[Detector] | None = None) -> DataFrame:
+    """All stage detectors in one pass: each metrics row yields 0..n findings."""
+    ds = detectors if detectors is not None else default_stage_detectors()
+    cand = F.array(*[F.when(d.when, _struct(d)) for d in ds])
+    f = metrics.select("app_id", "stage_id", "attempt",
+                       F.explode(F.filter(cand, lambda x: x.isNotNull())).alias("f"))
+    return f.select("app_id", "f.detector_seq", "f.code_seq", "f.code", "f.severity", "stage_id",
+                    "attempt", "f.message", "f.evidence")
+
+
+# ------------------------------------------------------------ app detectors
+
 def detect_partitioning(settings: DataFrame) -> DataFrame:
     """D5-D7 from ``app_settings`` rows (apps with a valid cluster; null stage)."""
     parts, cores, par = F.col("shuffle_partitions"), F.col("cores_total"), F.col("default_parallelism")
     known = settings.where(cores.isNotNull() & (cores > 0))
     low = F.greatest(F.lit(8).cast("bigint"), F.expr("cores_total div 4"))
     ev = _evidence(shuffle_partitions=parts, cores_total=cores)
-    over = _finding(known.where(parts >= cores * 20), 4, 1, OVER, F.lit(WARN),
-                    F.format_string("spark.sql.shuffle.partitions=%d is far above the %d cores available.",
-                                    parts, cores), ev, stage=False)
-    under = _finding(known.where(parts <= low), 4, 2, UNDER, F.lit(WARN),
-                     F.format_string("spark.sql.shuffle.partitions=%d is low for %d cores.", parts, cores),
-                     ev, stage=False)
-    lowp = _finding(known.where((par != 0) & (par <= low)), 4, 3, LOW_PAR, F.lit(INFO),
-                    F.format_string("spark.default.parallelism=%d is low for %d cores.", par, cores),
-                    _evidence(default_parallelism=par, cores_total=cores), stage=False)
-    return over.unionByName(under).unionByName(lowp)
+    ds = [
+        Detector(4, 1, OVER, parts >= cores * 20, F.lit(WARN),
+                 F.format_string("spark.sql.shuffle.partitions=%d is far above the %d cores available.",
+                                 parts, cores), ev),
+        Detector(4, 2, UNDER, parts <= low, F.lit(WARN),
+                 F.format_string("spark.sql.shuffle.partitions=%d is low for %d cores.", parts, cores), ev),
+        Detector(4, 3, LOW_PAR, (par != 0) & (par <= low), F.lit(INFO),
+                 F.format_string("spark.default.parallelism=%d is low for %d cores.", par, cores),
+                 _evidence(default_parallelism=par, cores_total=cores)),
+    ]
+    cand = F.array(*[F.when(d.when, _struct(d)) for d in ds])
+    f = known.select("app_id", F.explode(F.filter(cand, lambda x: x.isNotNull())).alias("f"))
+    return f.select("app_id", "f.detector_seq", "f.code_seq", "f.code", "f.severity",
+                    F.lit(None).cast("bigint").alias("stage_id"), F.lit(None).cast("bigint").alias("attempt"),
+                    "f.message", "f.evidence")
 
 
 def findings_all(metrics: DataFrame, settings: DataFrame | None = None) -> DataFrame:
-    """The four detector outputs as one bag, in detector order (see ``detector_seq``)."""
-    out = detect_skew(metrics).unionByName(detect_shuffle_heavy(metrics)) \
-                              .unionByName(detect_spill_gc(metrics))
+    """Stage findings and (given settings) partitioning findings as one bag."""
+    out = stage_findings(metrics)
     if settings is not None:
         out = out.unionByName(detect_partitioning(settings))
     return out

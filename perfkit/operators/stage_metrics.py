@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perfkit.sources.eventlog import with_app_id
+from perfkit.session import checkpoint_dir
+from perfkit.sources.eventlog import STAGE_FIELDS, stage_rows, with_app_id
 
 STAGE_KEY = ["log_id", "stage_id", "attempt"]
 MB = 1024.0 * 1024.0
@@ -20,6 +21,16 @@ METRIC_COLUMNS = ["app_id", "stage_id", "attempt", "name", "num_tasks", "stage_d
                   "skew_ratio_max_p50", "gc_pct", "shuffle_read_mb", "shuffle_write_mb", "spill_mb"]
 
 
+def _task_aggs(exact: bool = True, accuracy: int = 10000) -> list:
+    d = F.col("duration_ms")
+    pct = (F.percentile(d, [0.5, 0.95]) if exact
+           else F.percentile_approx(d.cast("double"), [0.5, 0.95], accuracy).cast("array<double>"))
+    return [pct.alias("_pct"), F.max(d).alias("_max"), F.sum("gc_time_ms").alias("_gc"),
+            F.sum(d).alias("_dur"), F.sum("shuffle_read_bytes").alias("_read"),
+            F.sum("shuffle_write_bytes").alias("_write"),
+            (F.sum("spill_mem_bytes") + F.sum("spill_disk_bytes")).alias("_spill")]
+
+
 def task_aggregates(tasks: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """A1-A6 over tasks grouped by stage attempt.
 
@@ -28,17 +39,7 @@ def task_aggregates(tasks: DataFrame, exact: bool = True, accuracy: int = 10000)
     gathered row by row into one task. ``exact=False`` switches to
     ``percentile_approx`` for stages with very many distinct durations.
     """
-    d = F.col("duration_ms")
-    pct = (F.percentile(d, [0.5, 0.95]) if exact
-           else F.percentile_approx(d.cast("double"), [0.5, 0.95], accuracy).cast("array<double>"))
-    return tasks.groupBy(*STAGE_KEY).agg(
-        pct.alias("_pct"),
-        F.max(d).alias("_max"),
-        F.sum("gc_time_ms").alias("_gc"),
-        F.sum(d).alias("_dur"),
-        F.sum("shuffle_read_bytes").alias("_read"),
-        F.sum("shuffle_write_bytes").alias("_write"),
-        (F.sum("spill_mem_bytes") + F.sum("spill_disk_bytes")).alias("_spill"))
+    return tasks.groupBy(*STAGE_KEY).agg(*_task_aggs(exact, accuracy))
 
 
 def stage_metrics(stages: DataFrame, tasks: DataFrame, apps: DataFrame | None = None,
@@ -49,13 +50,19 @@ def stage_metrics(stages: DataFrame, tasks: DataFrame, apps: DataFrame | None =
     repeated stage record yields a repeated row (N6).
     """
     agg = task_aggregates(tasks, exact=exact)
-    m = stages.join(agg, STAGE_KEY, "left")
+    out = _metric_columns(stages.join(agg, STAGE_KEY, "left"))
+    if apps is None:
+        return out.withColumn("app_id", F.col("log_id")).select("log_id", *METRIC_COLUMNS)
+    return with_app_id(out, apps).select("log_id", *METRIC_COLUMNS)
+
+
+def _metric_columns(m: DataFrame) -> DataFrame:
     p50 = F.coalesce(F.col("_pct")[0], F.lit(0.0))
     p95 = F.coalesce(F.col("_pct")[1], F.lit(0.0))
     mx = F.coalesce(F.col("_max"), F.lit(0).cast("bigint"))
     dur = F.coalesce(F.col("_dur"), F.lit(0).cast("bigint"))
     sub, comp = F.col("submission_time_ms"), F.col("completion_time_ms")
-    out = m.select(
+    return m.select(
         "log_id", "stage_id", "attempt", "name", "num_tasks",
         F.when(sub.isNotNull() & comp.isNotNull(), F.greatest(F.lit(0).cast("bigint"), comp - sub))
          .otherwise(mx).alias("stage_duration_ms"),
@@ -67,9 +74,41 @@ def stage_metrics(stages: DataFrame, tasks: DataFrame, apps: DataFrame | None =
         (F.coalesce(F.col("_read"), F.lit(0)) / MB).alias("shuffle_read_mb"),
         (F.coalesce(F.col("_write"), F.lit(0)) / MB).alias("shuffle_write_mb"),
         (F.coalesce(F.col("_spill"), F.lit(0)) / MB).alias("spill_mb"))
-    if apps is None:
-        return out.withColumn("app_id", F.col("log_id")).select("log_id", *METRIC_COLUMNS)
-    return with_app_id(out, apps).select("log_id", *METRIC_COLUMNS)
+
+
+def profile_stages(events: DataFrame, exact: bool = True,
+                   materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Stage metrics and apps from parsed events with one scan and one shuffle.
+
+    Tasks, stage records and start records are grouped together by
+    ``(log_id, stage_id, attempt)``; partial aggregation runs before the shuffle,
+    so a stage with millions of tasks sends one partial row per map task. Stage
+    records travel as a short list (normally one entry; repeats are kept, N6) and
+    start records land in the null-stage group of their log.
+
+    The aggregate feeds two outputs. With ``materialize`` (default) it is written
+    once with ``checkpoint()`` to the shared ``spark.checkpoint.dir``: a stage-grain
+    table, tiny next to the logs, that survives executor loss and keeps the logs
+    from being scanned twice.
+
+    Returns ``(metrics, apps)``.
+    """
+    agg = stage_rows(events).groupBy(*STAGE_KEY).agg(
+        *_task_aggs(exact),
+        F.collect_list("stage_rec").alias("_stages"),
+        F.max_by("app_rec", "app_ts").alias("_app"))
+    if materialize:
+        checkpoint_dir(events.sparkSession)
+        agg = agg.checkpoint(eager=True)
+    apps = agg.where(F.col("_app").isNotNull()).select(
+        "log_id", F.coalesce("_app.app_id", "log_id").alias("app_id"),
+        F.col("_app.app_name").alias("app_name"))
+    st = agg.select(
+        *STAGE_KEY, "_pct", "_max", "_gc", "_dur", "_read", "_write", "_spill",
+        F.explode("_stages").alias("_s"))
+    st = st.select("*", *[F.col(f"_s.{k}").alias(k) for k in STAGE_FIELDS])
+    out = _metric_columns(st)
+    return with_app_id(out, apps).select("log_id", *METRIC_COLUMNS), apps
 
 
 def top_stages(metrics: DataFrame, n: int = 10) -> DataFrame:

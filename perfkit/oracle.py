@@ -180,5 +180,71 @@ def _profile() -> dict[str, str]:
     }
 
 
+COST_INPUTS = """
+cost_in AS (
+  SELECT 'app-' || CAST(n_nationkey AS VARCHAR) AS app_id, 'current' AS scenario,
+         CAST(n_nationkey * 600 - 300 AS BIGINT) AS runtime_seconds,
+         CAST(CASE WHEN n_nationkey = 24 THEN 0 ELSE 1 + n_nationkey % 10 END AS BIGINT) AS nodes,
+         CAST(0.45 AS DOUBLE) AS rate,
+         CAST(CASE WHEN n_nationkey % 3 <> 0 THEN 2 ELSE 0 END AS DOUBLE) AS dpn,
+         CAST(0.15 AS DOUBLE) AS rdbu
+  FROM nation
+),
+cost_all AS (
+  SELECT * FROM cost_in
+  UNION ALL
+  SELECT app_id, 'optimized', CAST(trunc(runtime_seconds * 7 / 10) AS BIGINT),
+         CAST(CASE WHEN nodes // 2 = 0 THEN 1 ELSE nodes // 2 END AS BIGINT), rate, dpn, rdbu
+  FROM cost_in
+),
+cost AS (
+  SELECT app_id, scenario, greatest(0, runtime_seconds) AS runtime_seconds,
+         greatest(1, nodes) AS nodes,
+         CAST(greatest(0, runtime_seconds) AS DOUBLE) / 3600.0 * greatest(1, nodes) AS node_hours,
+         rate AS rate_per_node_hour,
+         CAST(greatest(0, runtime_seconds) AS DOUBLE) / 3600.0 * greatest(1, nodes) * rate AS estimated_cost,
+         CASE WHEN dpn <> 0 AND rdbu <> 0
+              THEN CAST(greatest(0, runtime_seconds) AS DOUBLE) / 3600.0 * greatest(1, nodes) * dpn END AS dbus,
+         CASE WHEN rdbu <> 0 THEN rdbu END AS rate_per_dbu_hour,
+         CASE WHEN dpn <> 0 AND rdbu <> 0
+              THEN CAST(greatest(0, runtime_seconds) AS DOUBLE) / 3600.0 * greatest(1, nodes) * dpn * rdbu
+         END AS estimated_cost_dbu
+  FROM cost_all
+)"""
+
+_RULE_ACTIONS = ("CASE code WHEN 'SKEW_DETECTED' THEN 4 WHEN 'SHUFFLE_HEAVY' THEN 4 WHEN 'SPILL_DETECTED' THEN 3 "
+                 "WHEN 'GC_PRESSURE' THEN 3 WHEN 'OVER_PARTITIONED' THEN 3 WHEN 'UNDER_PARTITIONED' THEN 2 "
+                 "WHEN 'LOW_DEFAULT_PARALLELISM' THEN 2 END")
+
+
+def _extra() -> dict[str, str]:
+    findings = _detector(SKEW + SHUFFLE + SPILL_GC + PARTITIONING, "count")
+    recs = _with(F_TASKS, SETTINGS, f"findings AS ({findings})") + f"""
+SELECT f.app_id,
+       CAST(row_number() OVER (PARTITION BY f.app_id ORDER BY
+            CASE severity WHEN 'ERROR' THEN 0 WHEN 'WARN' THEN 1 WHEN 'INFO' THEN 2 ELSE 9 END,
+            f.stage_id NULLS LAST, detector_seq, f.attempt, code_seq) AS BIGINT) AS rec_seq,
+       code, severity, f.stage_id, {_RULE_ACTIONS} AS n_actions,
+       CASE WHEN code = 'SKEW_DETECTED'
+            THEN CAST(coalesce(s.aqe_enabled, false) AS INTEGER) + CAST(coalesce(s.skew_join_enabled, false) AS INTEGER)
+            ELSE 0 END AS n_adjusted
+FROM findings f LEFT JOIN settings s ON s.app_id = f.app_id"""
+    cost_cols = ["node_hours", "rate_per_node_hour", "estimated_cost", "dbus", "rate_per_dbu_hour",
+                 "estimated_cost_dbu"]
+    cost_sel = ", ".join(["app_id", "scenario", "runtime_seconds", "nodes"]
+                         + [f"round({c}, 6) AS {c}" for c in cost_cols])
+    return {
+        "recommendations": recs,
+        "cost_estimate": _with(COST_INPUTS) + f"SELECT {cost_sel} FROM cost",
+        "cost_compare": _with(COST_INPUTS) + """
+SELECT c.app_id, round(c.estimated_cost, 6) AS current_cost, round(o.estimated_cost, 6) AS optimized_cost,
+       round(c.estimated_cost - o.estimated_cost, 6) AS savings,
+       round(c.node_hours, 6) AS current_node_hours, round(o.node_hours, 6) AS optimized_node_hours,
+       round(c.node_hours - o.node_hours, 6) AS node_hours_saved
+FROM cost c JOIN cost o ON c.app_id = o.app_id AND c.scenario = 'current' AND o.scenario = 'optimized'""",
+    }
+
+
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(_profile())
+ORACLE_SQL.update(_extra())

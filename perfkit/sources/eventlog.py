@@ -1,8 +1,8 @@
 """Spark event-log source: raw JSON lines -> apps, stages, tasks.
 
-A log is one application. Every output keeps ``log_id`` (the file the line came
-from) so thousands of logs are parsed in one job; ``app_id`` is attached later, at
-stage grain, where the frames are small (see ``with_app_id``).
+A log is one application. Every output keeps ``log_id`` (the file, or folder of
+files, the line came from) so thousands of logs are parsed in one job; ``app_id``
+is attached at stage grain, where the frames are small.
 
 Lines are parsed once into VARIANT and fields are read by path. Key spellings that
 differ only in case (``Stage ID`` / ``Stage Id``) cannot share one struct schema,
@@ -22,6 +22,10 @@ STAGE_COMPLETED = "SparkListenerStageCompleted"
 TASK_END = "SparkListenerTaskEnd"
 EVENT_KINDS = (APP_START, STAGE_COMPLETED, TASK_END)
 
+TASK_METRICS = ["task_id", "duration_ms", "gc_time_ms", "shuffle_read_bytes", "shuffle_write_bytes",
+                "spill_mem_bytes", "spill_disk_bytes"]
+STAGE_FIELDS = ["name", "num_tasks", "submission_time_ms", "completion_time_ms"]
+
 
 def read_eventlog(spark: SparkSession, paths: str | list[str], rolled: bool = False) -> DataFrame:
     """One row per line, ``(log_id, value)``.
@@ -74,54 +78,103 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     return _parsed(lines).where(F.col("v").isNull()).select("log_id", "value")
 
 
+# ------------------------------------------------------------ column builders
+
+def _app_cols() -> dict[str, Column]:
+    """P2 fields of an application-start record."""
+    return {
+        "app_id": F.coalesce(F.nullif(_get(("App ID",), "string"), F.lit("")),
+                             _get(("App Id",), "string")),
+        "app_name": _get(("App Name",), "string"),
+        "ts": F.coalesce(_get(("Timestamp",)), F.lit(-1).cast("bigint")),
+    }
+
+
+def _stage_cols() -> dict[str, Column]:
+    """P3, P5 fields of a stage-completed record."""
+    info = ("Stage Info",)
+    return {
+        "stage_id": _either(info, "Stage ID", "Stage Id", -1),
+        "attempt": _either(info, "Stage Attempt ID", "Stage Attempt Id", 0),
+        "name": F.coalesce(_get(info + ("Stage Name",), "string"), F.lit("")),
+        "num_tasks": F.coalesce(_get(info + ("Number of Tasks",)), F.lit(0).cast("bigint")),
+        "submission_time_ms": _get(info + ("Submission Time",)),
+        "completion_time_ms": _get(info + ("Completion Time",)),
+    }
+
+
+def _task_cols() -> dict[str, Column]:
+    """P4-P8 fields of a task-end record."""
+    ti, tm = ("Task Info",), ("Task Metrics",)
+
+    def metric(*keys: str) -> Column:  # P6: missing or null metric -> 0
+        return F.coalesce(_get(tm + keys), F.lit(0).cast("bigint"))
+
+    launch, finish = _get(ti + ("Launch Time",)), _get(ti + ("Finish Time",))
+    return {
+        "stage_id": _either((), "Stage ID", "Stage Id", -1),
+        "attempt": _either((), "Stage Attempt ID", "Stage Attempt Id", 0),
+        "task_id": _either(ti, "Task ID", "Task Id", 0),
+        # Finish - launch when both are known, else executor run time; never < 0.
+        "duration_ms": F.greatest(F.lit(0).cast("bigint"),
+                                  F.coalesce(finish - launch, metric("Executor Run Time"))),
+        "gc_time_ms": metric("JVM GC Time"),
+        "shuffle_read_bytes": metric("Shuffle Read Metrics", "Remote Bytes Read")
+                              + metric("Shuffle Read Metrics", "Local Bytes Read"),  # P7
+        "shuffle_write_bytes": metric("Shuffle Write Metrics", "Shuffle Bytes Written"),
+        "spill_mem_bytes": metric("Memory Bytes Spilled"),
+        "spill_disk_bytes": metric("Disk Bytes Spilled"),
+    }
+
+
+# ------------------------------------------------------------ per-kind frames
+
 def parse_apps(events: DataFrame) -> DataFrame:
     """One row per log: ``(log_id, app_id, app_name)``; the last start record wins."""
+    a = _app_cols()
     starts = events.where(F.col("event") == APP_START).select(
-        "log_id",
-        F.coalesce(F.nullif(_get(("App ID",), "string"), F.lit("")),
-                   _get(("App Id",), "string")).alias("app_id"),
-        _get(("App Name",), "string").alias("app_name"),
-        F.coalesce(_get(("Timestamp",)), F.lit(-1)).alias("ts"))
-    last = F.max_by(F.struct("app_id", "app_name"), F.col("ts"))
-    return (starts.groupBy("log_id").agg(last.alias("s"))
+        "log_id", F.struct(a["app_id"].alias("app_id"), a["app_name"].alias("app_name")).alias("rec"),
+        a["ts"].alias("ts"))
+    return (starts.groupBy("log_id").agg(F.max_by("rec", "ts").alias("s"))
             .select("log_id", F.coalesce("s.app_id", "log_id").alias("app_id"), "s.app_name"))
 
 
 def parse_stages(events: DataFrame) -> DataFrame:
     """One row per stage-completed record (repeats are kept)."""
-    info = ("Stage Info",)
+    c = _stage_cols()
     return events.where(F.col("event") == STAGE_COMPLETED).select(
-        "log_id",
-        _either(info, "Stage ID", "Stage Id", -1).alias("stage_id"),
-        _either(info, "Stage Attempt ID", "Stage Attempt Id", 0).alias("attempt"),
-        F.coalesce(_get(info + ("Stage Name",), "string"), F.lit("")).alias("name"),
-        F.coalesce(_get(info + ("Number of Tasks",)), F.lit(0).cast("bigint")).alias("num_tasks"),
-        _get(info + ("Submission Time",)).alias("submission_time_ms"),
-        _get(info + ("Completion Time",)).alias("completion_time_ms"))
+        "log_id", *[e.alias(k) for k, e in c.items()])
 
 
 def parse_tasks(events: DataFrame) -> DataFrame:
     """One row per task-end record."""
-    ti, tm = ("Task Info",), ("Task Metrics",)
+    c = _task_cols()
+    return events.where(F.col("event") == TASK_END).select(
+        "log_id", *[e.alias(k) for k, e in c.items()])
 
-    def metric(*keys: str) -> Column:  # P6: missing or null metric -> 0
-        return F.coalesce(_get(tm + keys), F.lit(0).cast("bigint"))
 
-    launch, finish = _get(ti + ("Launch Time",)), _get(ti + ("Finish Time",))
-    run = metric("Executor Run Time")
-    return events.where(F.col("event") == TASK_END).select(
+def stage_rows(events: DataFrame) -> DataFrame:
+    """All three kinds on one stage-keyed row shape, for a single-scan profile.
+
+    ``(log_id, stage_id, attempt, <task metrics>, stage_rec, app_rec, app_ts)``:
+    task rows carry the task metrics, stage rows carry ``stage_rec``, and start
+    rows carry ``app_rec`` under a null stage key. One aggregation over this frame
+    yields every stage, its task metrics and each log's application.
+    """
+    ev = F.col("event")
+    is_task, is_stage, is_app = ev == TASK_END, ev == STAGE_COMPLETED, ev == APP_START
+    t, s, a = _task_cols(), _stage_cols(), _app_cols()
+    cols = [
         "log_id",
-        _either((), "Stage ID", "Stage Id", -1).alias("stage_id"),
-        _either((), "Stage Attempt ID", "Stage Attempt Id", 0).alias("attempt"),
-        _either(ti, "Task ID", "Task Id", 0).alias("task_id"),
-        # Finish - launch when both are known, else executor run time; never < 0.
-        F.greatest(F.lit(0).cast("bigint"), F.coalesce(finish - launch, run)).alias("duration_ms"),
-        metric("JVM GC Time").alias("gc_time_ms"),
-        (metric("Shuffle Read Metrics", "Remote Bytes Read")
-         + metric("Shuffle Read Metrics", "Local Bytes Read")).alias("shuffle_read_bytes"),
-        metric("Shuffle Write Metrics", "Shuffle Bytes Written").alias("shuffle_write_bytes"),
-        metric("Memory Bytes Spilled").alias("spill_mem_bytes"),
-        metric("Disk Bytes Spilled").alias("spill_disk_bytes"))
+        F.when(is_task, t["stage_id"]).when(is_stage, s["stage_id"]).alias("stage_id"),
+        F.when(is_task, t["attempt"]).when(is_stage, s["attempt"]).alias("attempt"),
+    ]
+    cols += [F.when(is_task, t[k]).alias(k) for k in TASK_METRICS if k != "task_id"]
+    cols.append(F.when(is_stage, F.struct(*[s[k].alias(k) for k in STAGE_FIELDS])).alias("stage_rec"))
+    cols.append(F.when(is_app, F.struct(a["app_id"].alias("app_id"), a["app_name"].alias("app_name")))
+                .alias("app_rec"))
+    cols.append(F.when(is_app, a["ts"]).alias("app_ts"))
+    return events.select(*cols)
 
 
 def with_app_id(df: DataFrame, apps: DataFrame) -> DataFrame:
