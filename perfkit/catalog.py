@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from perfkit import fixtures as fx
 from perfkit.operators import advice as adv
 from perfkit.operators import cost as co
+from perfkit.operators import embed as em
+from perfkit.operators import evaluate as evl
 from perfkit.operators import findings as fd
+from perfkit.operators import search as se
 from perfkit.operators import report as rp
 from perfkit.operators.stage_metrics import profile_stages, top_stages
 from perfkit.sources import conf as cf
@@ -159,6 +162,90 @@ def q_cost_compare(spark, sf_dir):
     return c.select("app_id", *[_r(x) for x in c.columns if x != "app_id"])
 
 
+# ---------------------------------------------------------------- retrieval
+
+def golden_versions(golden: DataFrame, versions: dict[str, int]) -> DataFrame:
+    """``(version, qid, expected_doc_id)``: the golden set under each version."""
+    v = F.explode(F.array(*[F.lit(x) for x in versions])).alias("version")
+    return golden.select(v, "qid", "expected_doc_id")
+
+
+def dense_queries(golden: DataFrame, versions: dict[str, int]) -> DataFrame:
+    q = em.embed_dense(golden, versions, id_col="qid", vec_col="query_vec")
+    return q.select("version", F.col("doc_id").alias("qid"), F.col("embedding").alias("query_vec"))
+
+
+def text_queries(golden: DataFrame, versions: dict[str, int]) -> DataFrame:
+    q = em.embed_text(golden, versions, id_col="qid", text_col="query")
+    return q.withColumnRenamed("doc_id", "qid")
+
+
+def _dense_hits(spark, sf_dir, k=5):
+    vs = fx.DENSE_VERSIONS
+    docs = em.embed_dense(fx.dense_docs(spark, sf_dir), vs)
+    golden = fx.dense_golden(spark, sf_dir)
+    return se.topk(docs, dense_queries(golden, vs), k, dims=vs), golden_versions(golden, vs)
+
+
+def _text_hits(spark, sf_dir, k=5):
+    vs = fx.TEXT_VERSIONS
+    docs = em.embed_text(fx.text_docs(spark, sf_dir), vs)
+    golden = fx.text_golden(spark, sf_dir)
+    return se.topk(docs, text_queries(golden, vs), k, dims=vs), golden_versions(golden, vs)
+
+
+def _hit_rows(h: DataFrame) -> DataFrame:
+    return h.select("version", "qid", F.col("rank").cast("bigint").alias("rank"), "doc_id", _r("score"))
+
+
+def _eval_rows(e: DataFrame) -> DataFrame:
+    return e.select("version", "n_queries", _r("top1_accuracy"), _r("mrr"))
+
+
+def q_build_dense(spark, sf_dir):
+    v = em.embed_dense(fx.dense_docs(spark, sf_dir), fx.DENSE_VERSIONS)
+    x = em.exploded(em.normalized_dense(v))
+    return x.select("version", "doc_id", F.col("pos").cast("int").alias("pos"), _r("weight"))
+
+
+def q_topk_dense(spark, sf_dir):
+    return _hit_rows(_dense_hits(spark, sf_dir)[0])
+
+
+def q_evaluate_version(spark, sf_dir):
+    h, g = _dense_hits(spark, sf_dir)
+    return _eval_rows(evl.evaluate(h, g))
+
+
+def q_build_text(spark, sf_dir):
+    v = em.embed_text(fx.text_docs(spark, sf_dir), fx.TEXT_VERSIONS)
+    x = em.exploded(v)
+    return x.select("version", "doc_id", F.col("pos").cast("int").alias("pos"), "weight")
+
+
+def q_topk_text(spark, sf_dir):
+    return _hit_rows(_text_hits(spark, sf_dir)[0])
+
+
+def q_evaluate_text(spark, sf_dir):
+    h, g = _text_hits(spark, sf_dir)
+    return _eval_rows(evl.evaluate(h, g))
+
+
+def version_pairs(spark: SparkSession, versions) -> DataFrame:
+    """Every ordered (baseline, candidate) pair of the given versions."""
+    rows = [(b, c) for b in versions for c in versions]
+    return spark.createDataFrame(rows, "baseline_version string, candidate_version string")
+
+
+def q_shadow_compare(spark, sf_dir):
+    h, g = _dense_hits(spark, sf_dir)
+    ev_ = evl.evaluate(h, g)
+    sc = evl.shadow_compare(ev_, version_pairs(spark, list(fx.DENSE_VERSIONS)))
+    return sc.select("baseline_version", "candidate_version", _r("baseline_top1"), _r("candidate_top1"),
+                     _r("baseline_mrr"), _r("candidate_mrr"), "pass")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_tasks": q_parse_tasks,
     "parse_stages": q_parse_stages,
@@ -177,4 +264,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_lines": q_report_lines,
     "cost_estimate": q_cost_estimate,
     "cost_compare": q_cost_compare,
+    "build_dense": q_build_dense,
+    "topk_dense": q_topk_dense,
+    "evaluate_version": q_evaluate_version,
+    "build_text": q_build_text,
+    "topk_text": q_topk_text,
+    "evaluate_text": q_evaluate_text,
+    "shadow_compare": q_shadow_compare,
 }

@@ -227,3 +227,44 @@ def profile_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         (conf_json(spark, sf_dir).select(F.col("app_id").alias("app"), F.col("json"))
          .write.mode("overwrite").partitionBy("app").text(confs))
     return {"eventlogs": logs, "confs": confs}
+
+
+# ------------------------------------------------------------------ retrieval
+
+# Fixture versions. Dense: number of leading dimensions kept.
+# Text: number of hash buckets.
+DENSE_VERSIONS = {"v1": 64, "v2": 8, "v3": 32}
+TEXT_VERSIONS = {"v1": 384, "v2": 64, "v3": 1024}
+
+
+def dense_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, embedding)`` from ``embeddings``."""
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+
+
+def dense_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Golden queries ``(qid, query_vec, expected_doc_id)``: every tenth vector plus
+    0.9 times its successor (the successor may be absent: then the vector alone)."""
+    e = table(spark, sf_dir, "embeddings")
+    g = e.where(F.col("vec_id") % 10 == 0).select("vec_id", F.col("embedding").alias("own"))
+    nxt = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("nxt"))
+    j = g.join(nxt, "vec_id", "left")
+    q = F.when(F.col("nxt").isNull(), F.transform("own", lambda x: x.cast("double"))).otherwise(
+        F.zip_with("own", "nxt", lambda x, y: x.cast("double") + F.lit(0.9) * y.cast("double")))
+    return j.select(F.col("vec_id").alias("qid"), q.alias("query_vec"),
+                    F.col("vec_id").alias("expected_doc_id"))
+
+
+def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, text)`` from ``documents``."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def text_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Golden queries ``(qid, query, expected_doc_id)``: for every 25th document with at
+    least 17 tokens, its tokens 6 to 17 as the query."""
+    from perfkit.functions.text_hash import tokens
+    d = table(spark, sf_dir, "documents").select("doc_id", tokens(F.col("text")).alias("t"))
+    g = d.where((F.col("doc_id") % 25 == 0) & (F.size("t") >= 17))
+    return g.select(F.col("doc_id").alias("qid"), F.array_join(F.slice("t", 6, 12), " ").alias("query"),
+                    F.col("doc_id").alias("expected_doc_id"))

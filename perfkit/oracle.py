@@ -245,6 +245,114 @@ FROM cost c JOIN cost o ON c.app_id = o.app_id AND c.scenario = 'current' AND o.
     }
 
 
+DENSE = """
+dvers AS (SELECT * FROM (VALUES ('v1', 64), ('v2', 8), ('v3', 32)) t(version, d)),
+dgold AS (
+  SELECT a.vec_id AS qid, a.vec_id AS expected_doc_id,
+         CASE WHEN b.embedding IS NULL THEN list_transform(a.embedding, lambda x: CAST(x AS DOUBLE))
+              ELSE list_transform(list_zip(a.embedding, b.embedding),
+                                  lambda p: CAST(p[1] AS DOUBLE) + CAST(0.9 AS DOUBLE) * CAST(p[2] AS DOUBLE))
+         END AS qv
+  FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1
+  WHERE a.vec_id % 10 = 0
+),
+dvec AS (
+  SELECT version, vec_id AS doc_id, CAST(i AS INTEGER) AS pos, CAST(embedding[i] AS DOUBLE) AS w
+  FROM embeddings, dvers, range(1, d + 1) r(i)
+),
+qvec AS (
+  SELECT version, qid, CAST(i AS INTEGER) AS pos, qv[i] AS w FROM dgold, dvers, range(1, d + 1) r(i)
+),
+dnorm AS (SELECT version, doc_id, sum(w * w) AS n FROM dvec GROUP BY ALL),
+qnorm AS (SELECT version, qid, sum(w * w) AS n FROM qvec GROUP BY ALL),
+ddot AS (
+  SELECT q.version, q.qid, d.doc_id, sum(q.w * d.w) AS s
+  FROM qvec q JOIN dvec d ON q.version = d.version AND q.pos = d.pos GROUP BY ALL
+),
+dscore AS (
+  SELECT t.version, t.qid, t.doc_id,
+         round(CASE WHEN qn.n * dn.n > 0 THEN t.s / sqrt(qn.n * dn.n) ELSE 0.0 END, 9) AS score
+  FROM ddot t JOIN qnorm qn USING (version, qid) JOIN dnorm dn USING (version, doc_id)
+),
+dhits AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY version, qid ORDER BY score DESC, doc_id) AS rank
+                 FROM dscore) WHERE rank <= 5
+),
+deval AS (
+  SELECT g.version, count(*) AS n_queries,
+         avg(CASE WHEN h.rank = 1 THEN 1.0 ELSE 0.0 END) AS top1_accuracy,
+         avg(coalesce(1.0 / h.rank, 0.0)) AS mrr
+  FROM (SELECT version, qid, expected_doc_id FROM dgold, dvers) g
+  LEFT JOIN dhits h ON h.version = g.version AND h.qid = g.qid AND h.doc_id = g.expected_doc_id
+  GROUP BY g.version
+)"""
+
+TEXT = """
+tvers AS (SELECT * FROM (VALUES ('v1', 384), ('v2', 64), ('v3', 1024)) t(version, d)),
+ttok AS (SELECT doc_id, string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') AS toks FROM documents),
+tgold AS (SELECT doc_id AS qid, doc_id AS expected_doc_id, toks[6:17] AS qt FROM ttok
+          WHERE doc_id % 25 = 0 AND len(toks) >= 17),
+tdv AS (
+  SELECT version, doc_id, CAST(CAST('0x' || substr(md5(version || '::' || t), 1, 8) AS BIGINT) % d AS INTEGER) AS b,
+         count(*) AS c
+  FROM (SELECT doc_id, unnest(toks) AS t FROM ttok), tvers GROUP BY ALL
+),
+tqv AS (
+  SELECT version, qid, CAST(CAST('0x' || substr(md5(version || '::' || t), 1, 8) AS BIGINT) % d AS INTEGER) AS b,
+         count(*) AS c
+  FROM (SELECT qid, unnest(qt) AS t FROM tgold), tvers GROUP BY ALL
+),
+tdn AS (SELECT version, doc_id, sum(c * c) AS n FROM tdv GROUP BY ALL),
+tqn AS (SELECT version, qid, sum(c * c) AS n FROM tqv GROUP BY ALL),
+tdot AS (
+  SELECT q.version, q.qid, d.doc_id, sum(q.c * d.c) AS s
+  FROM tqv q JOIN tdv d ON q.version = d.version AND q.b = d.b GROUP BY ALL
+),
+tscore AS (
+  SELECT t.version, t.qid, t.doc_id, round(t.s / sqrt(CAST(qn.n * dn.n AS DOUBLE)), 9) AS score
+  FROM tdot t JOIN tqn qn USING (version, qid) JOIN tdn dn USING (version, doc_id)
+),
+thits AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY version, qid ORDER BY score DESC, doc_id) AS rank
+                 FROM tscore) WHERE rank <= 5
+),
+teval AS (
+  SELECT g.version, count(*) AS n_queries,
+         avg(CASE WHEN h.rank = 1 THEN 1.0 ELSE 0.0 END) AS top1_accuracy,
+         avg(coalesce(1.0 / h.rank, 0.0)) AS mrr
+  FROM (SELECT version, qid, expected_doc_id FROM tgold, tvers) g
+  LEFT JOIN thits h ON h.version = g.version AND h.qid = g.qid AND h.doc_id = g.expected_doc_id
+  GROUP BY g.version
+)"""
+
+
+def _retrieval() -> dict[str, str]:
+    hit = "SELECT version, qid, CAST(rank AS BIGINT) AS rank, doc_id, round(score, 6) AS score FROM {}"
+    ev = ("SELECT version, n_queries, round(CAST(top1_accuracy AS DOUBLE), 6) AS top1_accuracy, "
+          "round(CAST(mrr AS DOUBLE), 6) AS mrr FROM {}")
+    gate = """
+SELECT b.version AS baseline_version, c.version AS candidate_version,
+       round(b.top1_accuracy, 6) AS baseline_top1, round(c.top1_accuracy, 6) AS candidate_top1,
+       round(b.mrr, 6) AS baseline_mrr, round(c.mrr, 6) AS candidate_mrr,
+       (c.top1_accuracy >= greatest(0.6, b.top1_accuracy - 0.02)
+        AND c.mrr >= greatest(0.6, b.mrr - 0.02)) AS pass
+FROM evd b, evd c"""
+    return {
+        "build_dense": _with(DENSE) + (
+            "SELECT v.version, v.doc_id, CAST(v.pos - 1 AS INTEGER) AS pos, "
+            "round(CASE WHEN n.n > 0 THEN v.w / sqrt(n.n) ELSE 0.0 END, 6) AS weight "
+            "FROM dvec v JOIN dnorm n USING (version, doc_id)"),
+        "topk_dense": _with(DENSE) + hit.format("dhits"),
+        "evaluate_version": _with(DENSE) + ev.format("deval"),
+        "build_text": _with(TEXT) + "SELECT version, doc_id, b AS pos, CAST(c AS DOUBLE) AS weight FROM tdv",
+        "topk_text": _with(TEXT) + hit.format("thits"),
+        "evaluate_text": _with(TEXT) + ev.format("teval"),
+        "shadow_compare": _with(DENSE, "evd AS (SELECT version, CAST(top1_accuracy AS DOUBLE) AS top1_accuracy, "
+                                       "CAST(mrr AS DOUBLE) AS mrr FROM deval)") + gate,
+    }
+
+
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(_profile())
 ORACLE_SQL.update(_extra())
+ORACLE_SQL.update(_retrieval())
