@@ -19,6 +19,8 @@ from perfkit.operators import embed as em
 from perfkit.operators import evaluate as evl
 from perfkit.operators import findings as fd
 from perfkit.operators import search as se
+from perfkit.operators import versions as vs
+from perfkit.plans import lifecycle as lc
 from perfkit.operators import report as rp
 from perfkit.operators.stage_metrics import profile_stages, top_stages
 from perfkit.sources import conf as cf
@@ -246,6 +248,80 @@ def q_shadow_compare(spark, sf_dir):
                      _r("baseline_mrr"), _r("candidate_mrr"), "pass")
 
 
+# ---------------------------------------------------------------- lifecycle
+
+def _docs(spark, sf_dir) -> DataFrame:
+    d = fx.table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.col("source").alias("title"), F.col("text").alias("body"),
+                    F.lit(0).cast("bigint").alias("updated_at"))
+
+
+def _upsert_batch(spark, sf_dir) -> DataFrame:
+    d = fx.table(spark, sf_dir, "documents")
+    rev = d.where(F.col("doc_id") % 7 == 0).select(
+        "doc_id", F.col("source").alias("title"), F.concat(F.lit("rev2 "), "text").alias("body"))
+    new = d.where(F.col("doc_id") % 50 == 0).select(
+        (F.col("doc_id") + 1000000).alias("doc_id"), F.col("source").alias("title"), F.col("text").alias("body"))
+    return rev.unionByName(new)
+
+
+def q_docs_scan(spark, sf_dir):
+    return vs.scan_docs(_docs(spark, sf_dir))
+
+
+def q_docs_upsert(spark, sf_dir):
+    return vs.upsert_docs(_docs(spark, sf_dir), _upsert_batch(spark, sf_dir), now=1)
+
+
+def q_builds_latest(spark, sf_dir):
+    """Build all text versions at t=100, then rebuild v1 on the upserted documents at t=200."""
+    vs_ = fx.TEXT_VERSIONS
+    first = em.build_rows(em.embed_text(fx.text_docs(spark, sf_dir), vs_), 100)
+    docs2 = vs.upsert_docs(_docs(spark, sf_dir), _upsert_batch(spark, sf_dir), now=1)
+    second = em.build_rows(em.embed_text(docs2.select("doc_id", F.col("body").alias("text")),
+                                         {"v1": vs_["v1"]}), 200)
+    return vs.builds_latest(first.unionByName(second))
+
+
+def q_eval_latest(spark, sf_dir):
+    """Evaluate the dense versions at t=100 (k=5), then v2 again at t=200 with k=10."""
+    h5, g = _dense_hits(spark, sf_dir, 5)
+    vs_ = {"v2": fx.DENSE_VERSIONS["v2"]}
+    docs = em.embed_dense(fx.dense_docs(spark, sf_dir), vs_)
+    golden = fx.dense_golden(spark, sf_dir)
+    h10 = se.topk(docs, dense_queries(golden, vs_), 10, dims=vs_)
+    log = evl.evaluate(h5, g, 100).unionByName(evl.evaluate(h10, golden_versions(golden, vs_), 200))
+    e = vs.evals_latest(log)
+    return e.select("version", "evaluated_at", "n_queries", _r("top1_accuracy"), _r("mrr"))
+
+
+def _lifecycle(spark, sf_dir) -> dict:
+    h, g = _dense_hits(spark, sf_dir)
+    evals = evl.evaluate(h, g)
+    builds = em.build_rows(em.embed_dense(fx.dense_docs(spark, sf_dir), fx.DENSE_VERSIONS), 100)
+    return lc.run_steps(evals, builds)
+
+
+def q_promote_gate(spark, sf_dir):
+    d = _lifecycle(spark, sf_dir)["decisions"]
+    return d.select("step", "version", "previous", "gated", "shadow_pass", "promoted", "reason",
+                    "is_built", "active")
+
+
+def q_rollback(spark, sf_dir):
+    return _lifecycle(spark, sf_dir)["rollbacks"].select("step", "rolled_back", "from_version", "to_version")
+
+
+def q_shadow_log(spark, sf_dir):
+    s = _lifecycle(spark, sf_dir)["shadow_log"]
+    return s.select("step", "baseline_version", "candidate_version", "evaluated_at", _r("baseline_top1"),
+                    _r("candidate_top1"), _r("baseline_mrr"), _r("candidate_mrr"), "pass")
+
+
+def q_active_version(spark, sf_dir):
+    return _lifecycle(spark, sf_dir)["active"]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_tasks": q_parse_tasks,
     "parse_stages": q_parse_stages,
@@ -271,4 +347,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_text": q_topk_text,
     "evaluate_text": q_evaluate_text,
     "shadow_compare": q_shadow_compare,
+    "docs_scan": q_docs_scan,
+    "docs_upsert": q_docs_upsert,
+    "builds_latest": q_builds_latest,
+    "eval_latest": q_eval_latest,
+    "promote_gate": q_promote_gate,
+    "rollback": q_rollback,
+    "shadow_log": q_shadow_log,
+    "active_version": q_active_version,
 }

@@ -352,7 +352,93 @@ FROM evd b, evd c"""
     }
 
 
+UPSERT = """
+ubase AS (SELECT doc_id, source AS title, text AS body, CAST(0 AS BIGINT) AS updated_at, 0 AS src FROM documents),
+ubatch AS (
+  SELECT doc_id, source AS title, 'rev2 ' || text AS body, CAST(1 AS BIGINT) AS updated_at, 1 AS src
+  FROM documents WHERE doc_id % 7 = 0
+  UNION ALL
+  SELECT doc_id + 1000000, source, text, CAST(1 AS BIGINT), 1 FROM documents WHERE doc_id % 50 = 0
+),
+udocs AS (
+  SELECT doc_id, title, body, updated_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updated_at DESC, src DESC) AS rn
+    FROM (SELECT * FROM ubase UNION ALL SELECT * FROM ubatch)) WHERE rn = 1
+)"""
+
+SCENARIO = """
+gev AS (SELECT version, CAST(top1_accuracy AS DOUBLE) AS t, CAST(mrr AS DOUBLE) AS m FROM deval),
+gate AS (
+  SELECT b.version AS bv, c.version AS cv, b.t AS bt, c.t AS ct, b.m AS bm, c.m AS cm,
+         (c.t >= greatest(0.6, b.t - 0.02) AND c.m >= greatest(0.6, b.m - 0.02)) AS pass
+  FROM gev b, gev c
+),
+st1 AS (SELECT 'v1' AS a0, 'v1' AS a1),
+st2 AS (SELECT st1.*, g.pass AS p2, CASE WHEN g.pass THEN 'v2' ELSE a1 END AS a2
+        FROM st1 JOIN gate g ON g.bv = st1.a1 AND g.cv = 'v2'),
+st3 AS (SELECT st2.*, g.pass AS p3, CASE WHEN g.pass THEN 'v3' ELSE a2 END AS a3
+        FROM st2 JOIN gate g ON g.bv = st2.a2 AND g.cv = 'v3'),
+st4 AS (SELECT st3.*, 'v2' AS a4 FROM st3),
+st AS (SELECT st4.*, g.pass AS p5, CASE WHEN g.pass THEN 'v3' ELSE a4 END AS a5
+       FROM st4 JOIN gate g ON g.bv = st4.a4 AND g.cv = 'v3')"""
+
+
+def _lifecycle() -> dict[str, str]:
+    rs = "round({0}, 6) AS {1}"
+
+    def shadow_row(step, base, cand):
+        return (f"SELECT {step} AS step, g.bv AS baseline_version, g.cv AS candidate_version, "
+                f"CAST({1000 + step} AS BIGINT) AS evaluated_at, "
+                + ", ".join(rs.format(a, b) for a, b in [("g.bt", "baseline_top1"), ("g.ct", "candidate_top1"),
+                                                       ("g.bm", "baseline_mrr"), ("g.cm", "candidate_mrr")])
+                + f", g.pass AS pass FROM st JOIN gate g ON g.bv = st.{base} AND g.cv = '{cand}'")
+
+    def gate_row(step, version, prev, passed, active):
+        return (f"SELECT {step} AS step, '{version}' AS version, {prev} AS previous, true AS gated, "
+                f"{passed} AS shadow_pass, {passed} AS promoted, "
+                f"CASE WHEN NOT {passed} THEN 'shadow_eval_failed' END AS reason, true AS is_built, "
+                f"{active} AS active FROM st")
+
+    return {
+        "docs_scan": "SELECT doc_id, source AS title, text AS body FROM documents",
+        "docs_upsert": _with(UPSERT) + "SELECT * FROM udocs",
+        "builds_latest": _with(UPSERT) + """
+SELECT 'v1' AS version, CAST(200 AS BIGINT) AS built_at, count(*) AS doc_count FROM udocs WHERE body IS NOT NULL
+UNION ALL
+SELECT v.version, CAST(100 AS BIGINT), (SELECT count(*) FROM documents WHERE text IS NOT NULL)
+FROM (VALUES ('v2'), ('v3')) v(version)""",
+        "eval_latest": _with(DENSE, """
+dhits10 AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY version, qid ORDER BY score DESC, doc_id) AS rank
+                 FROM dscore WHERE version = 'v2') WHERE rank <= 10
+),
+deval10 AS (
+  SELECT g.version, count(*) AS n_queries,
+         avg(CASE WHEN h.rank = 1 THEN 1.0 ELSE 0.0 END) AS top1_accuracy,
+         avg(coalesce(1.0 / h.rank, 0.0)) AS mrr
+  FROM (SELECT 'v2' AS version, qid, expected_doc_id FROM dgold) g
+  LEFT JOIN dhits10 h ON h.version = g.version AND h.qid = g.qid AND h.doc_id = g.expected_doc_id
+  GROUP BY g.version
+)""") + """
+SELECT version, CAST(CASE WHEN version = 'v2' THEN 200 ELSE 100 END AS BIGINT) AS evaluated_at, n_queries,
+       round(CAST(top1_accuracy AS DOUBLE), 6) AS top1_accuracy, round(CAST(mrr AS DOUBLE), 6) AS mrr
+FROM (SELECT * FROM deval WHERE version <> 'v2' UNION ALL SELECT * FROM deval10)""",
+        "promote_gate": _with(DENSE, SCENARIO) + "\nUNION ALL\n".join([
+            "SELECT 1 AS step, 'v1' AS version, a0 AS previous, false AS gated, CAST(NULL AS BOOLEAN) AS shadow_pass, "
+            "true AS promoted, CAST(NULL AS VARCHAR) AS reason, true AS is_built, a1 AS active FROM st",
+            gate_row(2, "v2", "a1", "p2", "a2"), gate_row(3, "v3", "a2", "p3", "a3"),
+            gate_row(5, "v3", "a4", "p5", "a5")]),
+        "rollback": _with(DENSE, SCENARIO) + (
+            "SELECT 4 AS step, true AS rolled_back, a3 AS from_version, 'v2' AS to_version FROM st"),
+        "shadow_log": _with(DENSE, SCENARIO) + "\nUNION ALL\n".join([
+            shadow_row(2, "a1", "v2"), shadow_row(3, "a2", "v3"), shadow_row(5, "a4", "v3")]),
+        "active_version": _with(DENSE, SCENARIO) + "\nUNION ALL\n".join(
+            [f"SELECT {i} AS step, a{i} AS active_version FROM st" for i in range(6)]),
+    }
+
+
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(_profile())
 ORACLE_SQL.update(_extra())
 ORACLE_SQL.update(_retrieval())
+ORACLE_SQL.update(_lifecycle())

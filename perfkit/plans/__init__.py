@@ -1 +1 @@
-"""plans"""
+"""End-to-end plans composed from the operators."""
