@@ -6,7 +6,8 @@ Two built-in embedders, both pure SQL expressions:
 * hashed text: a version hashes tokens into ``dim`` buckets and counts them.
 
 Every version is built in one pass over the input (the version list is exploded
-next to each row), so the text is tokenised once however many versions there are.
+next to each row), so the text is read once however many versions there are; no
+embedder shuffles.
 Dense vectors are stored as given (float32) and sparse ones as integer counts;
 cosine normalisation (F9) happens in double when scoring, which keeps scores
 exact for integer counts.
@@ -39,23 +40,40 @@ def embed_dense(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
                     F.slice("_e", 1, F.col("_v.dim")).alias("embedding"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    Large inputs already split into many partitions and pass through untouched; a
+    small file with few row groups would otherwise leave most cores idle during the
+    CPU-heavy embedding.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def embed_text(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """Hashed-text embedder: ``(version, doc_id, indices, counts)``, sorted by index.
+    """Hashed-text embedder: ``(version, doc_id, indices, counts)``, indices ascending.
 
-    Tokens are exploded once, bucketed per version, and counted with map-side
-    partial aggregation; the second grouping gathers one document's non-zero
-    buckets (at most ``dim`` entries) into its sparse vector.
+    A document's tokens are all in its row, so its sparse vector is built inside the
+    row, with no shuffle: hash every token to its bucket, sort the buckets, and
+    run-length count them (run starts are where a bucket differs from the one
+    before). Work is linear in the text and independent of how documents are
+    distributed.
     """
-    tok = df.select(F.col(id_col).alias("doc_id"), F.explode(th.tokens(F.col(text_col))).alias("token"))
-    tv = tok.select("doc_id", _versions(versions), "token")
-    b = tv.select(F.col("_v.version").alias("version"), "doc_id",
-                  th.bucket(F.col("_v.version"), F.col("token"), F.col("_v.dim")).alias("bucket"))
-    counts = b.groupBy("version", "doc_id", "bucket").agg(F.count("*").alias("n"))
-    vec = counts.groupBy("version", "doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("_s"))
-    return vec.select("version", "doc_id", F.col("_s.bucket").alias("indices"),
-                      F.col("_s.n").alias("counts"))
+    x = spread(df).select(F.col(id_col).alias("doc_id"), th.tokens(F.col(text_col)).alias("_t"),
+                          _versions(versions))
+    v, dim = F.col("_v.version"), F.col("_v.dim")
+    b = F.array_sort(F.transform("_t", lambda tk: th.bucket(v, tk, dim)))
+    x = x.select(v.alias("version"), "doc_id", b.alias("_b")).where(F.col("_b").isNotNull())
+    n = F.size("_b")
+    starts = F.filter(F.sequence(F.lit(1), n),
+                      lambda i: (i == 1) | (F.element_at("_b", i) != F.try_element_at("_b", i - 1)))
+    x = x.select("version", "doc_id", "_b", starts.alias("_s"))
+    idx = F.transform("_s", lambda i: F.element_at("_b", i))
+    cnt = F.transform(F.sequence(F.lit(1), F.size("_s")), lambda j: (
+        F.coalesce(F.try_element_at("_s", j + 1), F.size("_b") + 1) - F.element_at("_s", j)).cast("bigint"))
+    return x.select("version", "doc_id", idx.alias("indices"), cnt.alias("counts"))
 
 
 def normalized_dense(vectors: DataFrame) -> DataFrame:

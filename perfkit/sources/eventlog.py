@@ -4,9 +4,13 @@ A log is one application. Every output keeps ``log_id`` (the file, or folder of
 files, the line came from) so thousands of logs are parsed in one job; ``app_id``
 is attached at stage grain, where the frames are small.
 
-Lines are parsed once into VARIANT and fields are read by path. Key spellings that
-differ only in case (``Stage ID`` / ``Stage Id``) cannot share one struct schema,
-but VARIANT paths are case-sensitive, so both are read and coalesced.
+Lines are parsed once with ``from_json`` and one explicit schema covering the three
+event kinds, so Jackson streams each line and skips every field not named (task
+accumulables, plan descriptions, ...). Key spellings that differ only in case
+(``Stage ID`` / ``Stage Id``) are both in the schema: the parser matches names
+exactly, and the parsed struct is immediately cast, by position, to a struct with
+distinct field names so neither spelling is ambiguous to the analyzer. On the
+fixture this parses about four times faster than ``parse_json`` + VARIANT paths.
 """
 
 from __future__ import annotations
@@ -22,6 +26,29 @@ STAGE_COMPLETED = "SparkListenerStageCompleted"
 TASK_END = "SparkListenerTaskEnd"
 EVENT_KINDS = (APP_START, STAGE_COMPLETED, TASK_END)
 
+# The event-log fields read, with both key spellings, and the same
+# struct with distinct names (cast by position).
+EVENT_SCHEMA = (
+    "`Event` string, `Stage ID` bigint, `Stage Id` bigint, `Stage Attempt ID` bigint, "
+    "`Stage Attempt Id` bigint, "
+    "`Task Info` struct<`Task ID`: bigint, `Task Id`: bigint, `Launch Time`: bigint, `Finish Time`: bigint>, "
+    "`Task Metrics` struct<`Executor Run Time`: bigint, `JVM GC Time`: bigint, "
+    "`Memory Bytes Spilled`: bigint, `Disk Bytes Spilled`: bigint, "
+    "`Shuffle Read Metrics`: struct<`Remote Bytes Read`: bigint, `Local Bytes Read`: bigint>, "
+    "`Shuffle Write Metrics`: struct<`Shuffle Bytes Written`: bigint>>, "
+    "`Stage Info` struct<`Stage ID`: bigint, `Stage Id`: bigint, `Stage Attempt ID`: bigint, "
+    "`Stage Attempt Id`: bigint, `Stage Name`: string, `Number of Tasks`: bigint, "
+    "`Submission Time`: bigint, `Completion Time`: bigint>, "
+    "`App Name` string, `App ID` string, `App Id` string, `Timestamp` bigint")
+EVENT_STRUCT = (
+    "struct<event: string, sid_a: bigint, sid_b: bigint, att_a: bigint, att_b: bigint, "
+    "ti: struct<tid_a: bigint, tid_b: bigint, launch: bigint, finish: bigint>, "
+    "tm: struct<run: bigint, gc: bigint, spill_mem: bigint, spill_disk: bigint, "
+    "sr: struct<remote: bigint, local: bigint>, sw: struct<written: bigint>>, "
+    "si: struct<sid_a: bigint, sid_b: bigint, att_a: bigint, att_b: bigint, name: string, "
+    "num_tasks: bigint, submitted: bigint, completed: bigint>, "
+    "app_name: string, app_a: string, app_b: string, ts: bigint>")
+
 TASK_METRICS = ["task_id", "duration_ms", "gc_time_ms", "shuffle_read_bytes", "shuffle_write_bytes",
                 "spill_mem_bytes", "spill_disk_bytes"]
 STAGE_FIELDS = ["name", "num_tasks", "submission_time_ms", "completion_time_ms"]
@@ -41,20 +68,8 @@ def read_eventlog(spark: SparkSession, paths: str | list[str], rolled: bool = Fa
     return df.select(log_id.alias("log_id"), "value")
 
 
-def _path(*keys: str) -> str:
-    return "$" + "".join(f'["{k}"]' for k in keys)
-
-
-def _get(keys: tuple[str, ...], typ: str = "bigint") -> Column:
-    return F.try_variant_get(F.col("v"), _path(*keys), typ)
-
-
-def _either(prefix: tuple[str, ...], a: str, b: str, default=None, typ: str = "bigint") -> Column:
-    """Read ``a`` and fall back to its second spelling ``b``, then to ``default`` (P5)."""
-    cols = [_get(prefix + (a,), typ), _get(prefix + (b,), typ)]
-    if default is not None:
-        cols.append(F.lit(default).cast(typ))
-    return F.coalesce(*cols)
+def _j(path: str) -> Column:
+    return F.col("j." + path)
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
@@ -62,68 +77,68 @@ def _parsed(lines: DataFrame) -> DataFrame:
     # through (they are removed by the exact event test below), never drop a wanted
     # one. Blank lines never contain an event name, so they are skipped here too.
     wanted = reduce(lambda a, b: a | b, [F.col("value").contains(k) for k in EVENT_KINDS])
-    return lines.where(wanted).select("log_id", "value",
-                                      F.expr("try_parse_json(value)").alias("v"))
+    return lines.where(wanted).select(
+        "log_id", "value", F.from_json("value", EVENT_SCHEMA).cast(EVENT_STRUCT).alias("j"))
 
 
 def parse_events(lines: DataFrame) -> DataFrame:
-    """``(log_id, event, v)`` for the three event kinds the profiler reads."""
-    ev = _parsed(lines).where(F.col("v").isNotNull()).select(
-        "log_id", F.try_variant_get("v", "$.Event", "string").alias("event"), "v")
+    """``(log_id, event, j)`` for the three event kinds the profiler reads."""
+    ev = _parsed(lines).select("log_id", _j("event").alias("event"), "j")
     return ev.where(F.col("event").isin(*EVENT_KINDS))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
-    """Lines that look like wanted events but are not valid JSON (kept, not dropped)."""
-    return _parsed(lines).where(F.col("v").isNull()).select("log_id", "value")
+    """Lines that look like wanted events but yield no event name: malformed JSON
+    (the reference stops on these; here they are kept aside, never silently dropped)."""
+    return _parsed(lines).where(_j("event").isNull()).select("log_id", "value")
 
 
 # ------------------------------------------------------------ column builders
 
+def _either(a: str, b: str, default: int) -> Column:
+    """Read a key, fall back to its second spelling, then to ``default``."""
+    return F.coalesce(_j(a), _j(b), F.lit(default).cast("bigint"))
+
+
+def _zero(path: str) -> Column:  # P6: missing or null metric -> 0
+    return F.coalesce(_j(path), F.lit(0).cast("bigint"))
+
+
 def _app_cols() -> dict[str, Column]:
     """P2 fields of an application-start record."""
     return {
-        "app_id": F.coalesce(F.nullif(_get(("App ID",), "string"), F.lit("")),
-                             _get(("App Id",), "string")),
-        "app_name": _get(("App Name",), "string"),
-        "ts": F.coalesce(_get(("Timestamp",)), F.lit(-1).cast("bigint")),
+        "app_id": F.coalesce(F.nullif(_j("app_a"), F.lit("")), _j("app_b")),
+        "app_name": _j("app_name"),
+        "ts": F.coalesce(_j("ts"), F.lit(-1).cast("bigint")),
     }
 
 
 def _stage_cols() -> dict[str, Column]:
     """P3, P5 fields of a stage-completed record."""
-    info = ("Stage Info",)
     return {
-        "stage_id": _either(info, "Stage ID", "Stage Id", -1),
-        "attempt": _either(info, "Stage Attempt ID", "Stage Attempt Id", 0),
-        "name": F.coalesce(_get(info + ("Stage Name",), "string"), F.lit("")),
-        "num_tasks": F.coalesce(_get(info + ("Number of Tasks",)), F.lit(0).cast("bigint")),
-        "submission_time_ms": _get(info + ("Submission Time",)),
-        "completion_time_ms": _get(info + ("Completion Time",)),
+        "stage_id": _either("si.sid_a", "si.sid_b", -1),
+        "attempt": _either("si.att_a", "si.att_b", 0),
+        "name": F.coalesce(_j("si.name"), F.lit("")),
+        "num_tasks": _zero("si.num_tasks"),
+        "submission_time_ms": _j("si.submitted"),
+        "completion_time_ms": _j("si.completed"),
     }
 
 
 def _task_cols() -> dict[str, Column]:
     """P4-P8 fields of a task-end record."""
-    ti, tm = ("Task Info",), ("Task Metrics",)
-
-    def metric(*keys: str) -> Column:  # P6: missing or null metric -> 0
-        return F.coalesce(_get(tm + keys), F.lit(0).cast("bigint"))
-
-    launch, finish = _get(ti + ("Launch Time",)), _get(ti + ("Finish Time",))
+    launch, finish = _j("ti.launch"), _j("ti.finish")
     return {
-        "stage_id": _either((), "Stage ID", "Stage Id", -1),
-        "attempt": _either((), "Stage Attempt ID", "Stage Attempt Id", 0),
-        "task_id": _either(ti, "Task ID", "Task Id", 0),
+        "stage_id": _either("sid_a", "sid_b", -1),
+        "attempt": _either("att_a", "att_b", 0),
+        "task_id": _either("ti.tid_a", "ti.tid_b", 0),
         # Finish - launch when both are known, else executor run time; never < 0.
-        "duration_ms": F.greatest(F.lit(0).cast("bigint"),
-                                  F.coalesce(finish - launch, metric("Executor Run Time"))),
-        "gc_time_ms": metric("JVM GC Time"),
-        "shuffle_read_bytes": metric("Shuffle Read Metrics", "Remote Bytes Read")
-                              + metric("Shuffle Read Metrics", "Local Bytes Read"),  # P7
-        "shuffle_write_bytes": metric("Shuffle Write Metrics", "Shuffle Bytes Written"),
-        "spill_mem_bytes": metric("Memory Bytes Spilled"),
-        "spill_disk_bytes": metric("Disk Bytes Spilled"),
+        "duration_ms": F.greatest(F.lit(0).cast("bigint"), F.coalesce(finish - launch, _zero("tm.run"))),
+        "gc_time_ms": _zero("tm.gc"),
+        "shuffle_read_bytes": _zero("tm.sr.remote") + _zero("tm.sr.local"),  # P7
+        "shuffle_write_bytes": _zero("tm.sw.written"),
+        "spill_mem_bytes": _zero("tm.spill_mem"),
+        "spill_disk_bytes": _zero("tm.spill_disk"),
     }
 
 
