@@ -93,19 +93,25 @@ def profile_stages(events: DataFrame, exact: bool = True,
 
     Returns ``(metrics, apps)``.
     """
-    agg = stage_rows(events).groupBy(*STAGE_KEY).agg(
+    return profile_from_rows(stage_rows(events), exact=exact, materialize=materialize)
+
+
+def profile_from_rows(rows: DataFrame, exact: bool = True,
+                      materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The aggregation behind ``profile_stages``, over ``eventlog.stage_rows`` output
+    (live, or as ingested into a table by ``perfkit.streaming``)."""
+    agg = rows.groupBy(*STAGE_KEY).agg(
         *_task_aggs(exact),
         F.collect_list("stage_rec").alias("_stages"),
         F.max_by("app_rec", "app_ts").alias("_app"))
     if materialize:
-        checkpoint_dir(events.sparkSession)
+        checkpoint_dir(rows.sparkSession)
         agg = agg.checkpoint(eager=True)
     apps = agg.where(F.col("_app").isNotNull()).select(
         "log_id", F.coalesce("_app.app_id", "log_id").alias("app_id"),
         F.col("_app.app_name").alias("app_name"))
-    st = agg.select(
-        *STAGE_KEY, "_pct", "_max", "_gc", "_dur", "_read", "_write", "_spill",
-        F.explode("_stages").alias("_s"))
+    st = agg.select(*STAGE_KEY, "_pct", "_max", "_gc", "_dur", "_read", "_write", "_spill",
+                    F.explode("_stages").alias("_s"))
     st = st.select("*", *[F.col(f"_s.{k}").alias(k) for k in STAGE_FIELDS])
     out = _metric_columns(st)
     return with_app_id(out, apps).select("log_id", *METRIC_COLUMNS), apps

@@ -1 +1 @@
-"""streaming"""
+"""Structured Streaming ingestion of event logs."""
