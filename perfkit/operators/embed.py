@@ -76,6 +76,39 @@ def embed_text(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
     return x.select("version", "doc_id", idx.alias("indices"), cnt.alias("counts"))
 
 
+def _model_udf(factory):
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    cache: dict = {}
+
+    @pandas_udf("array<float>")
+    def run(texts: pd.Series) -> pd.Series:
+        if "m" not in cache:          # once per Python worker
+            cache["m"] = factory()
+        vecs = cache["m"](texts.fillna("").tolist())
+        return pd.Series([list(map(float, v)) for v in vecs])
+
+    return run
+
+
+def embed_with(df: DataFrame, versions: dict[str, object], id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """X1 plug-in: embed with user models, ``(version, doc_id, embedding array<float>)``.
+
+    ``versions`` maps a version name to a factory ``() -> model`` where
+    ``model(list[str]) -> array-like (n, dim)``. The factory runs once per Python
+    worker (cached), batches arrive through Arrow, and the output is stored like
+    any dense version, so search, evaluation and the gate apply unchanged.
+    """
+    out = None
+    for name, factory in versions.items():
+        part = df.select(F.lit(name).alias("version"), F.col(id_col).alias("doc_id"),
+                         _model_udf(factory)(F.col(text_col)).alias("embedding"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def normalized_dense(vectors: DataFrame) -> DataFrame:
     """F9 applied to stored dense vectors: ``(version, doc_id, embedding array<double>)``."""
     return vectors.select("version", "doc_id", l2_normalize(F.col("embedding")).alias("embedding"))
