@@ -15,8 +15,10 @@ exact for integer counts.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from perfkit.functions import text_hash as th
 from perfkit.functions.vectors import l2_normalize
@@ -77,9 +79,6 @@ def embed_text(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
 
 
 def _model_udf(factory):
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
     cache: dict = {}
 
     @pandas_udf("array<float>")
