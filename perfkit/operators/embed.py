@@ -15,8 +15,11 @@ exact for integer counts.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -24,6 +27,10 @@ from perfkit.functions import text_hash as th
 from perfkit.functions.vectors import l2_normalize
 
 
+# Functions of this module run in Python workers; pickle them by value so workers
+# need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 def doc_text(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)`` with text = title, newline, body."""
     return docs.select("doc_id", F.concat_ws("\n", "title", "body").alias("text"))

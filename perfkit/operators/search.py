@@ -22,13 +22,19 @@ integer counts every term is exact, so scores match other engines bit for bit.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+# Functions of this module run in Python workers; pickle them by value so workers
+# need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HIT_SCHEMA = "version string, qid bigint, doc_id bigint, score double"
 ROUND = 9
 
