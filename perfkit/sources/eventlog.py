@@ -64,8 +64,12 @@ def read_eventlog(spark: SparkSession, paths: str | list[str], rolled: bool = Fa
     """
     df = spark.read.option("recursiveFileLookup", "true").text(paths)
     path = F.col("_metadata.file_path")
-    log_id = F.regexp_extract(path, r"^(.*)/[^/]*$", 1) if rolled else path
-    return df.select(log_id.alias("log_id"), "value")
+    return df.select((parent_dir(path) if rolled else path).alias("log_id"), "value")
+
+
+def parent_dir(path: Column) -> Column:
+    """The folder part of a file path (cheaper per row than a regular expression)."""
+    return F.substring(path, F.lit(1), F.length(path) - F.length(F.substring_index(path, "/", -1)) - 1)
 
 
 def _j(path: str) -> Column:
@@ -76,9 +80,12 @@ def _parsed(lines: DataFrame) -> DataFrame:
     # The substring test is far cheaper than a JSON parse and can only let extra lines
     # through (they are removed by the exact event test below), never drop a wanted
     # one. Blank lines never contain an event name, so they are skipped here too.
+    # The parse is produced through a one-element explode: filters on its fields
+    # cannot be pushed below a generator, so the optimizer cannot copy the parse into
+    # the filter and run it twice per line.
     wanted = reduce(lambda a, b: a | b, [F.col("value").contains(k) for k in EVENT_KINDS])
-    return lines.where(wanted).select(
-        "log_id", "value", F.from_json("value", EVENT_SCHEMA).cast(EVENT_STRUCT).alias("j"))
+    parsed = F.from_json("value", EVENT_SCHEMA).cast(EVENT_STRUCT)
+    return lines.where(wanted).select("log_id", "value", F.explode(F.array(parsed)).alias("j"))
 
 
 def parse_events(lines: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def event_rows_stream(spark: SparkSession, source: str, rolled: bool = False,
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     path = F.col("_metadata.file_path")
     lines = r.text(source).select(
-        (F.regexp_extract(path, r"^(.*)/[^/]*$", 1) if rolled else path).alias("log_id"), "value")
+        (ev.parent_dir(path) if rolled else path).alias("log_id"), "value")
     return ev.stage_rows(ev.parse_events(lines))
 
 
