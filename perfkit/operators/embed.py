@@ -70,11 +70,14 @@ def embed_text(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
     before). Work is linear in the text and independent of how documents are
     distributed.
     """
-    x = spread(df).select(F.col(id_col).alias("doc_id"), th.tokens(F.col(text_col)).alias("_t"),
-                          _versions(versions))
+    # Null texts are dropped up front, on the raw column: a filter on the hashed
+    # array would be pushed into the projection and hash every token twice.
+    src = spread(df.where(F.col(text_col).isNotNull()))
+    x = src.select(F.col(id_col).alias("doc_id"), th.tokens(F.col(text_col)).alias("_t"),
+                   _versions(versions))
     v, dim = F.col("_v.version"), F.col("_v.dim")
     b = F.array_sort(F.transform("_t", lambda tk: th.bucket(v, tk, dim)))
-    x = x.select(v.alias("version"), "doc_id", b.alias("_b")).where(F.col("_b").isNotNull())
+    x = x.select(v.alias("version"), "doc_id", b.alias("_b"))
     n = F.size("_b")
     starts = F.filter(F.sequence(F.lit(1), n),
                       lambda i: (i == 1) | (F.element_at("_b", i) != F.try_element_at("_b", i - 1)))
