@@ -39,11 +39,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session. Only when it is unset (local runs and tests) is a
-    private scratch folder created and registered; a cluster must name a shared one.
+    Read from the session. Only when it is unset in local mode (tests, laptops) is a
+    private scratch folder created and registered; on a cluster an unset value is an
+    error, since a machine-local folder would not survive the loss of an executor.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(HDFS, object store); a machine-local folder would not survive "
+                               "executor loss")
         d = tempfile.mkdtemp(prefix="perfkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
