@@ -155,6 +155,32 @@ def _payload(qpdf: pd.DataFrame, dims: dict[str, int]):
     return out
 
 
+def _block_bytes(q: DataFrame, dims: dict[str, int]) -> int:
+    per_version = q.groupBy("version").count().collect()
+    return sum(int(r["count"]) * 8 * dims.get(r["version"], 0) for r in per_version)
+
+
+def _blocks(q: DataFrame, dims: dict[str, int], budget: int, salt: int = 0):
+    """Split the queries into blocks whose query matrix is at most ``budget`` bytes.
+
+    Sizes are counted before anything is collected; a hash split is only balanced on
+    average, so a block still over budget is split again with a new salt. A single
+    query larger than the budget is an error rather than a silent cap.
+    """
+    size = _block_bytes(q, dims)
+    if size <= budget:
+        if size > 0:
+            yield q
+        return
+    n = q.count()
+    if n <= 1:
+        raise ValueError(f"one query needs {size} bytes, over the {budget}-byte broadcast budget")
+    parts = max(2, math.ceil(size / budget))
+    for c in range(parts):
+        sub = q.where(F.pmod(F.xxhash64("qid", F.lit(salt)), F.lit(parts)) == c)
+        yield from _blocks(sub, dims, budget, salt + 1)
+
+
 def topk(docs: DataFrame, queries: DataFrame, k: int = 5, dims: dict[str, int] | None = None,
          max_block_bytes: int = 64 << 20) -> DataFrame:
     """Exact top-k documents per query and version: ``(version, qid, rank, doc_id, score)``.
@@ -172,12 +198,8 @@ def topk(docs: DataFrame, queries: DataFrame, k: int = 5, dims: dict[str, int] |
     qcols = ["version", "qid"] + (["indices", "counts"] if "indices" in queries.columns else ["query_vec"])
     dcols = ["version", "doc_id"] + (["indices", "counts"] if "indices" in docs.columns else ["embedding"])
     q = queries.select(*qcols)
-    per_version = q.groupBy("version").count().collect()
-    total = sum(int(r["count"]) * 8 * dims.get(r["version"], 0) for r in per_version)
-    n_chunks = max(1, math.ceil(total / max_block_bytes))
     parts = []
-    for c in range(n_chunks):
-        chunk = q if n_chunks == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(n_chunks)) == c)
+    for chunk in _blocks(q, dims, max_block_bytes):
         block = spark.sparkContext.broadcast(_payload(chunk.toPandas(), dims))
         parts.append(docs.select(*dcols).mapInPandas(_kernel(block, k, dims), HIT_SCHEMA))
     hits = parts[0]
