@@ -7,11 +7,12 @@ application's conf already enables AQE or skew-join handling.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfkit.operators import findings as fd
+from perfkit.operators.ranking import rank_within
 from perfkit.sources.conf import conf_typed
 
 RULE_SCHEMA = T.StructType([
@@ -90,9 +91,9 @@ def recommend(findings: DataFrame, confs: DataFrame | None = None) -> DataFrame:
     """One recommendation per finding whose code has a rule.
 
     ``rec_seq`` numbers an application's recommendations by severity, then stage
-    (null last), then the order the findings were produced in. Findings are one
-    row per stage or per app, far fewer than tasks; the window sorts each
-    application's findings in one task and spills if it must.
+    (null last), then the order the findings were produced in. The numbering is a
+    global sort plus per-task offsets (``ranking.rank_within``), so an application
+    with very many findings is not ranked inside a single task.
     """
     spark = findings.sparkSession
     rules = F.broadcast(rules_table(spark))
@@ -111,13 +112,14 @@ def recommend(findings: DataFrame, confs: DataFrame | None = None) -> DataFrame:
          .otherwise(a)))
     n_adj = (F.when(aqe & F.col("aqe_idx").isNotNull(), 1).otherwise(0)
              + F.when(skew & F.col("skew_idx").isNotNull(), 1).otherwise(0))
-    w = Window.partitionBy("app_id").orderBy(
-        severity_rank(), F.asc_nulls_last("stage_id"), "detector_seq", "attempt", "code_seq")
-    return f.select(
+    order = [severity_rank(), F.asc_nulls_last("stage_id"), F.col("detector_seq"), F.col("attempt"),
+             F.col("code_seq")]
+    out = f.select(
         "app_id", "code", "severity", "title", "rationale", actions.alias("actions"),
         "stage_id", "attempt", "evidence", n_adj.alias("n_adjusted"),
         "detector_seq", "code_seq",
-    ).withColumn("rec_seq", F.row_number().over(w))
+    )
+    return rank_within(out, "app_id", order, "rec_seq")
 
 
 def recommendations_json(recs: DataFrame) -> DataFrame:
