@@ -38,8 +38,10 @@ def _setup(spark, tmp_path, versions):
 
 def _run(reg, evals, builds, steps, **gate):
     out = lc.run_steps(evals, builds, steps, events=reg.read("version_events"), **gate)
-    for name, rows in (("version_events", out["events"]),):
-        reg.append(name, rows.exceptAll(reg.read(name)))
+    reg.append("version_events", out["events"].exceptAll(reg.read("version_events")))
+    if out["shadow_log"] is not None:
+        reg.append("shadow_results", out["shadow_log"])             # V8: append only
+    reg.append("eval_results", evals)                                 # V4
     return out
 
 
@@ -50,6 +52,11 @@ def test_shadow_eval_then_promote(spark, tmp_path):
     passed = out["shadow_log"].first()["pass"]
     assert d[2]["promoted"] is passed
     assert reg.active_version() == ("v2" if passed else "v1")
+    log = reg.read("shadow_results").collect()
+    assert [(r["baseline_version"], r["candidate_version"], r["pass"]) for r in log] == [("v1", "v2", passed)]
+    latest = {r["version"]: r for r in vs.evals_latest(reg.read("eval_results")).collect()}
+    assert set(latest) == {"v1", "v2"} and latest["v1"]["n_queries"] == 5
+    assert vs.builds_latest(builds).count() == 2
 
 
 def test_candidate_blocked_on_regression(spark, tmp_path):
