@@ -39,7 +39,7 @@ def profile_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     files = fx.profile_files(spark, sf_dir)
     lines = ev.read_eventlog(spark, files["eventlogs"], rolled=True)
     events = ev.parse_events(lines)
-    apps = ev.parse_apps(events)
+    apps = ev.parse_apps(ev.parse_events(lines, (ev.APP_START,)))
     stages = ev.parse_stages(events)
     tasks = ev.parse_tasks(events)
     confs = cf.read_confs(spark, files["confs"], by="dir")

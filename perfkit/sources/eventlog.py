@@ -76,22 +76,25 @@ def _j(path: str) -> Column:
     return F.col("j." + path)
 
 
-def _parsed(lines: DataFrame) -> DataFrame:
+def _parsed(lines: DataFrame, kinds: tuple[str, ...] = EVENT_KINDS) -> DataFrame:
     # The substring test is far cheaper than a JSON parse and can only let extra lines
     # through (they are removed by the exact event test below), never drop a wanted
     # one. Blank lines never contain an event name, so they are skipped here too.
     # The parse is produced through a one-element explode: filters on its fields
     # cannot be pushed below a generator, so the optimizer cannot copy the parse into
     # the filter and run it twice per line.
-    wanted = reduce(lambda a, b: a | b, [F.col("value").contains(k) for k in EVENT_KINDS])
+    wanted = reduce(lambda a, b: a | b, [F.col("value").contains(k) for k in kinds])
     parsed = F.from_json("value", EVENT_SCHEMA).cast(EVENT_STRUCT)
     return lines.where(wanted).select("log_id", "value", F.explode(F.array(parsed)).alias("j"))
 
 
-def parse_events(lines: DataFrame) -> DataFrame:
-    """``(log_id, event, j)`` for the three event kinds the profiler reads."""
-    ev = _parsed(lines).select("log_id", _j("event").alias("event"), "j")
-    return ev.where(F.col("event").isin(*EVENT_KINDS))
+def parse_events(lines: DataFrame, kinds: tuple[str, ...] = EVENT_KINDS) -> DataFrame:
+    """``(log_id, event, j)`` for the event kinds the profiler reads.
+
+    ``kinds`` narrows the prefilter, e.g. ``(APP_START,)`` parses only start records.
+    """
+    ev = _parsed(lines, kinds).select("log_id", _j("event").alias("event"), "j")
+    return ev.where(F.col("event").isin(*kinds))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
