@@ -40,8 +40,11 @@ ROUND = 9
 
 
 def _dense_rows(col: pd.Series, dim: int) -> np.ndarray:
+    vals = col.to_numpy()
+    if len(vals) and all(v is not None and len(v) == dim for v in vals):
+        return np.stack(vals).astype(np.float64, copy=False)   # the usual case: one copy
     out = np.zeros((len(col), dim), dtype=np.float64)
-    for i, v in enumerate(col.to_numpy()):
+    for i, v in enumerate(vals):
         if v is not None:
             a = np.asarray(v, dtype=np.float64)
             out[i, : min(dim, len(a))] = a[:dim]
