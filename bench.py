@@ -37,14 +37,22 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus)
     spark.sparkContext.setLogLevel("ERROR")
-    out = {}
+    out, errors = {}, {}
     for n in names:
-        run_once(spark, n, sf_dir)
-        out[n] = round(statistics.median(run_once(spark, n, sf_dir) for _ in range(runs)), 3)
+        try:
+            run_once(spark, n, sf_dir)
+            out[n] = round(statistics.median(run_once(spark, n, sf_dir) for _ in range(runs)), 3)
+        except Exception as e:  # report the failure in the JSON line instead of losing the line
+            out[n] = None
+            errors[n] = f"{type(e).__name__}: {str(e)[:300]}"
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
-    print(json.dumps({"metric": "headline_total", "value": round(sum(out.values()), 3), "unit": "sec",
-                      "queries": out, "sf": sf, "cpus": cpus, "runs": runs,
-                      "spark": spark.version}))
+    rec = {"metric": "headline_total", "value": round(sum(v for v in out.values() if v is not None), 3),
+           "unit": "sec", "queries": out, "sf": sf, "cpus": cpus, "runs": runs, "spark": spark.version}
+    if errors:
+        rec["errors"] = errors
+    print(json.dumps(rec))
+    if errors:
+        sys.exit(1)
 
 
 if __name__ == "__main__":
