@@ -6,8 +6,9 @@ Two built-in embedders, both pure SQL expressions:
 * hashed text: a version hashes tokens into ``dim`` buckets and counts them.
 
 Every version is built in one pass over the input (the version list is exploded
-next to each row), so the text is read once however many versions there are; no
-embedder shuffles.
+next to each row), so the text is read once however many versions there are. No
+embedder groups or joins by key; the only exchange is a round-robin spread of a scan
+that has fewer partitions than cores (``spread``).
 Dense vectors are stored as given (float32) and sparse ones as integer counts;
 cosine normalisation (F9) happens in double when scoring, which keeps scores
 exact for integer counts.
