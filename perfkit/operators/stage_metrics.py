@@ -107,9 +107,15 @@ def profile_from_rows(rows: DataFrame, exact: bool = True,
     if materialize:
         checkpoint_dir(rows.sparkSession)
         agg = agg.checkpoint(eager=True)
-    apps = agg.where(F.col("_app").isNotNull()).select(
-        "log_id", F.coalesce("_app.app_id", "log_id").alias("app_id"),
-        F.col("_app.app_name").alias("app_name"))
+    # One row per log (also logs without a start record, N13), with the runtime the
+    # logs imply: last stage completion minus first submission, in seconds. The
+    # aggregate is partial per task, so a log with very many stages is not gathered.
+    apps = agg.groupBy("log_id").agg(
+        F.first("_app", ignorenulls=True).alias("_a"),
+        F.min(F.array_min("_stages.submission_time_ms")).alias("_first"),
+        F.max(F.array_max("_stages.completion_time_ms")).alias("_last"),
+    ).select("log_id", F.coalesce("_a.app_id", "log_id").alias("app_id"), F.col("_a.app_name").alias("app_name"),
+             F.expr("(_last - _first) div 1000").alias("runtime_seconds"))
     st = agg.select(*STAGE_KEY, "_pct", "_max", "_gc", "_dur", "_read", "_write", "_spill",
                     F.explode("_stages").alias("_s"))
     st = st.select("*", *[F.col(f"_s.{k}").alias(k) for k in STAGE_FIELDS])

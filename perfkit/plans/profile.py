@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perfkit.operators import advice, findings, report
+from pyspark.sql import functions as F
+
+from perfkit.operators import advice, cost, findings, report
 from perfkit.operators.stage_metrics import profile_stages
 from perfkit.sources import conf, eventlog
 
@@ -22,9 +24,25 @@ def profile(spark: SparkSession, eventlog_paths, conf_paths=None, clusters: Data
     settings = conf.app_settings(confs, clusters) if (confs is not None and clusters is not None) else None
     f = findings.findings_all(metrics, settings)
     recs = advice.recommend(f, confs)
-    return {"lines": lines, "apps": apps, "metrics": metrics, "findings": f, "recommendations": recs,
-            "report": report.report_lines(apps, metrics, f, recs),
-            "rejects": eventlog.rejected_lines(lines)}
+    out = {"lines": lines, "apps": apps, "metrics": metrics, "findings": f, "recommendations": recs,
+           "report": report.report_lines(apps, metrics, f, recs),
+           "rejects": eventlog.rejected_lines(lines)}
+    if clusters is not None:
+        out["cost"] = observed_cost(apps, clusters)
+    return out
+
+
+def observed_cost(apps: DataFrame, clusters: DataFrame) -> DataFrame:
+    """C1, C2 with the runtime each application's log implies (scenario ``observed``).
+
+    The reference takes runtime as an argument; deriving it from the logs lets every
+    profiled application be priced in the same job.
+    """
+    inputs = apps.join(clusters, "app_id").select(
+        "app_id", F.lit("observed").alias("scenario"), "runtime_seconds",
+        F.col("nodes").cast("bigint").alias("nodes"), "rate_per_node_hour", "dbus_per_node",
+        "rate_per_dbu_hour")
+    return cost.estimate_cost(inputs)
 
 
 def write_outputs(out: dict[str, DataFrame], path: str) -> None:

@@ -25,6 +25,9 @@ def test_profile_plan_writes_report_and_json(spark, tmp_path):
     out = pf.profile(spark, str(logs), str(confs), clusters)
     codes = sorted(r["code"] for r in out["findings"].collect())
     assert codes == ["SKEW_DETECTED", "UNDER_PARTITIONED"]
+    c = out["cost"].first()                     # runtime from the log: 1000 ms -> 1 s
+    assert (c["scenario"], c["runtime_seconds"], c["nodes"]) == ("observed", 1, 10)
+    assert abs(c["estimated_cost"] - 10 / 3600 * 0.45) < 1e-12
     dest = str(tmp_path / "out")
     pf.write_outputs(out, dest)
     rep = open([os.path.join(dp, f) for dp, _, fs in os.walk(f"{dest}/report") for f in fs
