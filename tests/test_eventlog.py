@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from perfkit.operators.stage_metrics import profile_stages, stage_metrics
 from perfkit.sources import eventlog as ev
 
@@ -122,4 +120,3 @@ def test_stage_metrics_semantics(spark):
     lines2 = _lines(spark, [("L", stage(5, sub=None)), ("L", task(stage=5, launch=0, finish=70))])
     r = profile_stages(ev.parse_events(lines2), materialize=False)[0].first()
     assert r["stage_duration_ms"] == 70
-    _ = F  # keep import used
