@@ -65,6 +65,11 @@ def match_rows(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
                      how).drop("_rid", "_rkey")
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Marked for broadcast only when it is counted to have at most ``rows`` rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def text_slices(batch: pa.RecordBatch, column: str,
                 limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Row ranges of about ``limit`` text bytes: (rows, UTF-8 bytes, offsets). Null text is empty."""

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfkit.llm.common import match_rows, stored, text_key
+from perfkit.llm.common import match_rows, small, stored, text_key
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPAN = 13
@@ -79,11 +79,6 @@ def _with_fingerprints(df: DataFrame, shorts: list[int], span: int, gram: int) -
     return df.withColumn("fps", F.array_distinct(F.concat("_low", *[F.col(f"_g{k}") for k in shorts])))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast only when it is counted to be small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM,
                   share: int = HIT_SHARE) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, text_key, n_words, n_hit, n_items, items (sorted
@@ -104,9 +99,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
             F.transform(F.sequence(F.lit(1), F.greatest(n - span + 1, F.lit(1))),
                         lambda s: F.slice("words", s, F.lit(span))))).alias("win")).distinct(), "windows")
     # A whole short item is one gram of its length; longer grams of other items only add candidates.
-    wanted = _small(stored(_with_fingerprints(items, shorts, span, gram)
+    wanted = small(stored(_with_fingerprints(items, shorts, span, gram)
                            .select(F.explode_outer("fps").alias("fp")).where("fp IS NOT NULL").distinct(),
-                           "fingerprints"))
+                           "fingerprints"), BROADCAST_ROWS)
 
     src = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     full = src.select("doc_id", "text_key", words_of(F.col("text")).alias("words")).withColumn("n_words", n)
@@ -119,7 +114,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
                  F.max("wanted").alias("wanted")))
     seen = stored(seen, "seen")
 
-    suspects = _small(seen.where("wanted = 1").select("doc_id", "text_key"))
+    suspects = small(seen.where("wanted = 1").select("doc_id", "text_key"), BROADCAST_ROWS)
     again = stored(match_rows(src, suspects, "inner").dropDuplicates(["doc_id", "text_key"])
                    .select("doc_id", "text_key", words_of(F.col("text")).alias("words")), "suspects")
     marks = []
@@ -137,7 +132,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
     spans = match_rows(again, starts, "inner").select("doc_id", "text_key", F.explode(F.transform(
         "starts", lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"),
                                      F.slice("words", s["start"] + 1, s["length"]).alias("win")))).alias("w"))
-    known = _small(windows.select("win").distinct())
+    known = small(windows.select("win").distinct(), BROADCAST_ROWS)
     matched = stored(spans.select("doc_id", "text_key", "w.*").join(known, "win"), "matched")
 
     covered = (matched.select("doc_id", "text_key", F.explode(
@@ -145,7 +140,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
         .distinct().groupBy("doc_id", "text_key").agg(F.count("*").alias("n_hit")))
     places = matched.groupBy("doc_id", "text_key").agg(
         F.array_sort(F.collect_set(F.struct("start", "length"))).alias("hits"))
-    owners = (matched.select("doc_id", "text_key", "win").distinct().join(_small(windows), "win")
+    owners = (matched.select("doc_id", "text_key", "win").distinct().join(small(windows, BROADCAST_ROWS), "win")
               .groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("item_id")).alias("items")))
     out = match_rows(match_rows(match_rows(seen, covered, "left"), places, "left"), owners, "left")
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))

@@ -8,11 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfkit.llm import (byte_bpe, decontaminate, quality_rules, simhash_dups, substring_dedup, suffix_dedup,
-                         token_files)
+from perfkit.llm import (byte_bpe, decontaminate, html_extract, quality_rules, simhash_dups, substring_dedup,
+                         suffix_dedup, token_files, toxicity, warc)
 from perfkit.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = warc.warc_roundtrip(table(spark, sf_dir, "pages"))
+    return chunks.where("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages")).drop("path")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -51,7 +64,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_substring_dedup, op5_suffix_dedup, op6_quality_rules, op7_simhash_dups, op8_decontaminate, op9_byte_bpe,
-                                op10_token_files)
+    f.__name__: f for f in (
+        op1_toxicity, op2_warc, op3_html_extract, op4_substring_dedup, op5_suffix_dedup, op6_quality_rules,
+        op7_simhash_dups, op8_decontaminate, op9_byte_bpe, op10_token_files)
 }
 ORACLE_SQL: dict[str, str] = {}
