@@ -3,7 +3,8 @@
 Each round links every vertex to the least vertex of its neighbourhood (large star: larger
 neighbours only; small star: smaller ones), which halves path lengths; rounds are written to the
 shared folder. Neighbourhoods are never collected: a vertex's least neighbour is a partially
-aggregated minimum, joined back to the edges, where the engine can split a vertex with very many.
+aggregated minimum, written and joined back to the edges, where the engine can split a vertex
+with very many.
 """
 
 from __future__ import annotations
@@ -31,9 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         near = both.groupBy("u").agg(F.min("v").alias("x")).select("u", F.least("u", "x").alias("m"))
+        near = stored(near, "nearest")
         large = (both.join(near, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         large = stored(large, "large-star")
-        down = _least(large)
+        down = stored(_least(large), "least")
         small = (large.join(down, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(down.withColumnRenamed("m", "v"))).distinct()
         small = stored(small, "small-star")

@@ -207,7 +207,8 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance:
     named = (vertex.join(roots.withColumnRenamed("u", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
     # The least id of each component: components are summed by partial aggregation.
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = stored(named, "vertices")
+    ids = stored(named.groupBy("root").agg(F.min("least").alias("component_id")), "components")
     by_print = named.join(ids, "root").select("fp", "component_id")
     return (prints.join(by_print, "fp")
             .select("doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))

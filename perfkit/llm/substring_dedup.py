@@ -164,25 +164,26 @@ def shared_spans(docs: DataFrame, span: int = SPAN, split: int = SPLIT) -> DataF
     all_passages = passages(docs, span)
     shared = (all_passages.groupBy("anchor").agg(F.min(rank).alias("anchor_least"), F.max(rank).alias("anchor_most"))
               .where("anchor_least < anchor_most"))
-    held = stored(all_passages.join(shared, "anchor"), "passages")
+    # Written before it is joined: the join can then split an anchor with very many rows.
+    held = stored(all_passages.join(stored(shared, "shared"), "anchor"), "passages")
     distinct = held.groupBy("anchor", "content").agg(
         F.min(F.struct(rank.alias("least"), "doc_id", "text_key", "first", "last")).alias("at"),
         F.min("anchor_least").alias("anchor_least"), F.min("anchor_most").alias("anchor_most"))
     distinct = stored(distinct.select("anchor", "content", "anchor_least", "anchor_most", "at.*"), "distinct")
     many = (distinct.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
             .select("anchor", (F.col("n") > split).alias("split")))
-    found = stored(_fetch(docs, distinct.join(many, "anchor"), span), "contents")
+    found = stored(_fetch(docs, distinct.join(stored(many, "many"), "anchor"), span), "contents")
 
     searched = _search(found, span)
     each = found.where(F.col("windows").isNotNull()).select(
         "anchor", "content", "least", F.posexplode("windows").alias("start", "window"))
-    first_of = each.groupBy("window").agg(F.min("least").alias("earliest"))
+    first_of = stored(each.groupBy("window").agg(F.min("least").alias("earliest")), "first-windows")
     hot = (each.join(first_of, "window").where("earliest < least")
            .groupBy("anchor", "content").agg(F.collect_list("start").alias("starts")))
-    starts = stored(searched.unionByName(hot), "starts")
+    starts = searched.unionByName(hot)
 
-    owner = distinct.select("anchor", "content", "least")
-    mine = (held.join(owner, ["anchor", "content"]).join(starts, ["anchor", "content"], "left"))
+    owner = distinct.select("anchor", "content", "least").join(starts, ["anchor", "content"], "left")
+    mine = held.join(stored(owner, "starts"), ["anchor", "content"])
     whole = F.array(F.struct(F.col("first").alias("from"), (F.col("last") + span).alias("to")))
     some = F.transform(F.coalesce("starts", F.array().cast("array<int>")),
                        lambda s: F.struct((F.col("first") + s).alias("from"), (F.col("first") + s + span).alias("to")))

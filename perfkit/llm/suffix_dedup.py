@@ -88,13 +88,15 @@ def _settle(blocks: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
               .where("n > 1").select(F.col("x").alias("ux"), F.col("u").alias("uu"), "one"))
     cores = (blocks.groupBy("x", "c").agg(F.count("*").alias("n")).where("n > 1")
              .select(F.col("x").alias("cx"), F.col("c").alias("cc")))
+    # Written before they are joined: the joins can then split a string with very many copies.
+    unions, cores = stored(unions, "unions"), stored(cores, "cores")
     marked = (blocks.join(cores, (F.col("x") == F.col("cx")) & (F.col("c") == F.col("cc")), "left_semi")
               .join(unions, (F.col("x") == F.col("ux")) & (F.col("u") == F.col("uu")), "left"))
     me = F.struct("doc_id", "text_key", "at")
     marked = stored(marked.withColumn("repeated", F.col("one").isNotNull())
                     .withColumn("stands", F.col("one").eqNullSafe(me)).drop("one", "ux", "uu"), f"blocks-{size}")
     open_own = marked.where("own AND NOT repeated")
-    open_cores = open_own.select(F.col("x").alias("cx"), F.col("c").alias("cc")).distinct()
+    open_cores = stored(open_own.select(F.col("x").alias("cx"), F.col("c").alias("cc")).distinct(), "open")
     rest = (marked.where("(NOT own AND NOT repeated) OR stands")
             .join(open_cores, (F.col("x") == F.col("cx")) & (F.col("c") == F.col("cc")), "left_semi")
             .withColumn("own", F.lit(False))
@@ -165,7 +167,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
     docs = docs.select("doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     ranked = positions(docs, span)
     pairs = ranked.groupBy("head", "next").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    held = stored(ranked.join(pairs, ["head", "next"], "left_semi").drop("head", "next"), "ranked")
+    held = stored(ranked.join(stored(pairs, "pairs"), ["head", "next"], "left_semi").drop("head", "next"), "ranked")
 
     size = BLOCKS[0]
     both = F.array(*[F.struct(F.lit(x).cast("smallint").alias("x"), F.col(f"u{i}").alias("u"),
@@ -191,7 +193,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
     single = stored(_smaller(parts.select("doc_id", "text_key", "at", "p.own", "p.from", "p.to", "body", "mid"),
                              1, span).drop("u"), "windows")
     twice = single.groupBy("x", "c").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    done.append(single.where("own").join(twice, ["x", "c"], "left_semi"))
+    done.append(single.where("own").join(stored(twice, "twice"), ["x", "c"], "left_semi"))
 
     spans = [d.select("doc_id", "text_key", (F.col("at") - F.col("to")).alias("from"),
                       (F.col("at") - F.col("from") + span).alias("to")) for d in done]
