@@ -22,51 +22,52 @@ RULE_SCHEMA = T.StructType([
     T.StructField("skew_idx", T.IntegerType()), T.StructField("skew_alt", T.StringType()),
 ])
 
-# Rule texts are our own wording; codes, action counts and the two conditional
-# skew actions (positions 2 and 3, 1-based) are what must match.
+# Fixed by the interface: the codes, how many actions each has, and that the second and third
+# action of the skew rule have another text where adaptive execution or its skew join is on.
 RULES = [
-    (fd.SKEW, "Reduce task skew",
-     "A few tasks run far longer than the median, so the stage waits on stragglers.",
-     ["Find the hot keys of the join or aggregation; salt them, pre-aggregate, or split them.",
-      "Turn on adaptive query execution: spark.sql.adaptive.enabled=true.",
-      "Turn on skew-join splitting: spark.sql.adaptive.skewJoin.enabled=true.",
-      "Broadcast the small side of the join when it is small enough (hint or threshold)."],
-     1, "Adaptive query execution is on; check in the plan that partition coalescing and skew handling apply.",
-     2, "Skew-join splitting is on; review its size factor and threshold against partition sizes."),
-    (fd.SHUFFLE, "Cut shuffle volume",
-     "Heavy shuffle reads and writes tend to dominate run time and bring spill and GC with them.",
-     ["Broadcast small join sides instead of shuffling both.",
-      "Repartition on the join keys ahead of a large join when upstream data is badly spread.",
-      "Combine on the map side (reduceByKey, partial aggregation) instead of grouping raw rows.",
-      "Let adaptive execution coalesce shuffle partitions (spark.sql.adaptive.enabled=true)."],
+    (fd.SKEW, "Even out the largest tasks",
+     "The stage ends when its largest partition does; the other cores have nothing left to run by then.",
+     ["Count rows per key on this stage's input; treat null or placeholder keys separately if they lead the list.",
+      "Let the runtime re-plan after each shuffle: spark.sql.adaptive.enabled=true.",
+      "Let oversized join partitions be cut into pieces: spark.sql.adaptive.skewJoin.enabled=true.",
+      "Add a salt column to the grouping, aggregate by key and salt, then aggregate once more by key alone."],
+     1, "The runtime already re-plans: compare the final plan with the initial one to see which step stays uneven.",
+     2, "Oversized join partitions are already cut: lower skewedPartitionFactor or its byte threshold so that "
+        "this one qualifies, or check whether the uneven step is an aggregation, which is not cut."),
+    (fd.SHUFFLE, "Send fewer bytes between stages",
+     "Every shuffled byte is serialised, written to local disk and fetched over the network by another task.",
+     ["Select the needed columns and filter rows before the wide step, not after it.",
+      "Store tables that are often joined on one key bucketed by it, so that the join reads them in place.",
+      "Check for an exchange that appears twice in the plan on the same keys; one repartition can serve both.",
+      "Replace a join that only tests for existence by a semi join on the distinct keys."],
      None, None, None, None),
-    (fd.SPILL, "Stop spilling",
-     "Spill means tasks ran out of execution memory, often because shuffle partitions are too big.",
-     ["Give executors more memory or make shuffle partitions smaller.",
-      "Fix skew: one oversized partition is a common cause of spill.",
-      "Cache only intermediates that are reused, and unpersist them when done."],
+    (fd.SPILL, "Fit each task's sort and hash tables in memory",
+     "Rows that do not fit are written to disk and merged again, several times over for large partitions.",
+     ["Divide the stage's shuffle bytes by 128 MB and use at least that many shuffle partitions.",
+      "Run fewer tasks at once per executor (spark.executor.cores) so that each has a larger share.",
+      "Look for collect_list, wide windows or exploded arrays that hold a whole group in one buffer."],
      None, None, None, None),
-    (fd.GC, "Lower garbage-collection time",
-     "A high GC share points at heavy allocation or very wide rows during shuffle or aggregation.",
-     ["Give executors more memory or tune the memory settings of the platform.",
-      "Keep rows narrow; avoid exploding nested data that is not needed.",
-      "Use built-in Spark SQL expressions instead of Python UDFs."],
+    (fd.GC, "Create fewer objects on the heap",
+     "The collector runs while tasks wait; its share grows with live objects rather than with bytes read.",
+     ["Release cached tables that no later stage reads, or cache them serialised.",
+      "Replace typed lambdas over case classes or rows by column expressions, which work on binary rows.",
+      "Compare a smaller heap per executor with more executors; very large heaps pause longer."],
      None, None, None, None),
-    (fd.OVER, "Use fewer shuffle partitions",
-     "Too many partitions make tiny tasks whose scheduling overhead outweighs their work.",
-     ["Set spark.sql.shuffle.partitions to about 2-4x the total cores for typical ETL.",
-      "With adaptive execution on, keep the setting moderate and let coalescing shrink it.",
-      "Coalesce before writing to avoid many small output files."],
+    (fd.OVER, "Plan larger shuffle partitions",
+     "With far more partitions than cores the driver spends its time on launching tasks and tracking map output.",
+     ["Start from the shuffled volume: partitions of 100 to 200 MB suit most stages.",
+      "Set spark.sql.adaptive.advisoryPartitionSizeInBytes and let small partitions be merged at run time.",
+      "Watch the number of files that the last stage writes; it equals its number of tasks."],
      None, None, None, None),
-    (fd.UNDER, "Use more shuffle partitions",
-     "Too few partitions leave executors idle and make each task long.",
-     ["Raise spark.sql.shuffle.partitions to about 2-4x the total cores for shuffle-heavy jobs.",
-      "Repartition by a well-spread key before wide operations if parallelism stays low."],
+    (fd.UNDER, "Plan smaller shuffle partitions",
+     "With fewer partitions than cores some cores stay empty in every wide stage, however long it runs.",
+     ["Choose a multiple of the total cores, so that the last wave of tasks is a full one.",
+      "Set spark.sql.adaptive.coalescePartitions.initialPartitionNum high and leave the merging to the runtime."],
      None, None, None, None),
-    (fd.LOW_PAR, "Raise default parallelism",
-     "A low spark.default.parallelism limits throughput of RDD-based work.",
-     ["Set spark.default.parallelism to 2-3x the total cores for RDD-heavy jobs.",
-      "For DataFrame and SQL work, tune shuffle partitions and adaptive execution instead."],
+    (fd.LOW_PAR, "Widen RDD stages",
+     "RDD operations without an explicit partition count inherit this value, whatever the size of the cluster.",
+     ["Pass numPartitions to the RDD operations that matter, or raise the setting to a few tasks per core.",
+      "Move the step to DataFrames, which ignore this setting."],
      None, None, None, None),
 ]
 

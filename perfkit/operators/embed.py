@@ -7,8 +7,7 @@ Two built-in embedders, both pure SQL expressions:
 
 Every version is built in one pass over the input (the version list is exploded
 next to each row), so the text is read once however many versions there are. No
-embedder groups or joins by key; the only exchange is a round-robin spread of a scan
-that has fewer partitions than cores (``spread``).
+embedder groups, joins or repartitions.
 Dense vectors are stored as given (float32) and sparse ones as integer counts;
 cosine normalisation (F9) happens in double when scoring, which keeps scores
 exact for integer counts.
@@ -34,7 +33,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def doc_text(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)`` with text = title, newline, body."""
-    return docs.select("doc_id", F.concat_ws("\n", "title", "body").alias("text"))
+    return docs.select("doc_id", F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.coalesce("body", F.lit(""))).alias("text"))
 
 
 def _versions(versions: dict[str, int]) -> Column:
@@ -50,17 +49,6 @@ def embed_dense(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
                     F.slice("_e", 1, F.col("_v.dim")).alias("embedding"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
-
-    Large inputs already split into many partitions and pass through untouched; a
-    small file with few row groups would otherwise leave most cores idle during the
-    CPU-heavy embedding.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def embed_text(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """Hashed-text embedder: ``(version, doc_id, indices, counts)``, indices ascending.
@@ -73,7 +61,7 @@ def embed_text(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
     """
     # Null texts are dropped up front, on the raw column: a filter on the hashed
     # array would be pushed into the projection and hash every token twice.
-    src = spread(df.where(F.col(text_col).isNotNull()))
+    src = df.where(F.col(text_col).isNotNull())
     x = src.select(F.col(id_col).alias("doc_id"), th.tokens(F.col(text_col)).alias("_t"),
                    _versions(versions))
     v, dim = F.col("_v.version"), F.col("_v.dim")

@@ -74,7 +74,7 @@ def skew_detector(p95_p50_warn: float = 3.0, max_p50_warn: float = 8.0, min_task
         1, 1, SKEW,
         (F.col("num_tasks") >= min_tasks) & ((r95 >= p95_p50_warn) | (rmax >= max_p50_warn)),
         F.when(rmax >= max_p50_warn * 2, F.lit(ERROR)).otherwise(F.lit(WARN)),
-        F.format_string("Stage %d has straggler tasks: p95 is %.2fx and max is %.2fx the median.",
+        F.format_string("stage %d: slow tail, 95th percentile at %.2f and slowest task at %.2f times the median",
                         F.col("stage_id"), r95, rmax),
         _evidence(p95_p50=r95, max_p50=rmax, p50_ms=F.col("task_p50_ms"),
                   p95_ms=F.col("task_p95_ms"), max_ms=F.col("task_max_ms")))
@@ -86,7 +86,7 @@ def shuffle_detector(shuffle_mb_warn: float = 1024.0) -> Detector:
     return Detector(
         2, 1, SHUFFLE, total >= shuffle_mb_warn,
         F.when(total >= shuffle_mb_warn * 5, F.lit(ERROR)).otherwise(F.lit(WARN)),
-        F.format_string("Stage %d moves about %.0f MB through shuffle.", F.col("stage_id"), total),
+        F.format_string("stage %d: %.0f MB read and written by shuffles", F.col("stage_id"), total),
         _evidence(shuffle_read_mb=F.col("shuffle_read_mb"), shuffle_write_mb=F.col("shuffle_write_mb"),
                   spill_mb=F.col("spill_mb")))
 
@@ -97,7 +97,7 @@ def spill_detector(spill_mb_warn: float = 512.0) -> Detector:
     return Detector(
         3, 1, SPILL, spill >= spill_mb_warn,
         F.when(spill < spill_mb_warn * 5, F.lit(WARN)).otherwise(F.lit(ERROR)),
-        F.format_string("Stage %d spilled about %.0f MB to memory and disk.", F.col("stage_id"), spill),
+        F.format_string("stage %d: %.0f MB did not fit in memory", F.col("stage_id"), spill),
         _evidence(spill_mb=spill))
 
 
@@ -107,7 +107,7 @@ def gc_detector(gc_pct_warn: float = 0.10) -> Detector:
     return Detector(
         3, 2, GC, gc >= gc_pct_warn,
         F.when(gc < gc_pct_warn * 2, F.lit(WARN)).otherwise(F.lit(ERROR)),
-        F.format_string("Stage %d spent %.1f%% of task time in garbage collection.",
+        F.format_string("stage %d: collector active for %.1f%% of task time",
                         F.col("stage_id"), gc * 100),
         _evidence(gc_pct=gc))
 
@@ -151,12 +151,12 @@ def detect_partitioning(settings: DataFrame) -> DataFrame:
     ev = _evidence(shuffle_partitions=parts, cores_total=cores)
     ds = [
         Detector(4, 1, OVER, parts >= cores * 20, F.lit(WARN),
-                 F.format_string("spark.sql.shuffle.partitions=%d is far above the %d cores available.",
+                 F.format_string("%d shuffle partitions planned, cluster runs %d tasks at once",
                                  parts, cores), ev),
         Detector(4, 2, UNDER, parts <= low, F.lit(WARN),
-                 F.format_string("spark.sql.shuffle.partitions=%d is low for %d cores.", parts, cores), ev),
+                 F.format_string("%d shuffle partitions planned, too few to fill %d cores", parts, cores), ev),
         Detector(4, 3, LOW_PAR, (par != 0) & (par <= low), F.lit(INFO),
-                 F.format_string("spark.default.parallelism=%d is low for %d cores.", par, cores),
+                 F.format_string("RDD stages get %d tasks by default, cluster has %d cores", par, cores),
                  _evidence(default_parallelism=par, cores_total=cores)),
     ]
     cand = F.array(*[F.when(d.when, _struct(d)) for d in ds])

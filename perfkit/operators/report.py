@@ -1,7 +1,7 @@
-"""Markdown report as rows (O1-O4) and its text sink (S3).
+"""Plain-text report as rows (O1-O4) and its text sink (S3).
 
-Output rows: ``(app_id, section, item, line_no, line)``. Ordering by those keys
-gives the report; every application is reported in the same job. No application's
+Output rows: ``(app_id, section, item, line_no, line)``; ``item`` is an array of sort keys.
+Ordering by those keys gives the report; every application is reported in the same job. No application's
 lines are gathered into one row: the sink sorts globally (range partitioning
 splits large applications) and writes one folder per application.
 """
@@ -19,69 +19,51 @@ REPORT_COLUMNS = ["app_id", "section", "item", "line_no", "line"]
 HEADER, TOP, FINDINGS, RECS = 1, 2, 3, 4
 
 
-def _lines(df: DataFrame, section: int, item: Column, lines: Column) -> DataFrame:
-    return df.select("app_id", F.lit(section).alias("section"), item.cast("bigint").alias("item"),
+def _lines(df: DataFrame, section: int, item: list, lines: Column) -> DataFrame:
+    keys = F.array(*[F.coalesce(k if isinstance(k, Column) else F.lit(k), F.lit(-1)).cast("bigint") for k in item])
+    return df.select("app_id", F.lit(section).alias("section"), keys.alias("item"),
                      F.posexplode(lines).alias("line_no", "line"))
 
 
-def _stage_or_na(c: str = "stage_id") -> Column:
-    return F.coalesce(F.col(c).cast("string"), F.lit("N/A"))
+def _where() -> Column:
+    return F.when(F.col("stage_id").isNull(), F.lit("whole application")).otherwise(
+        F.format_string("stage %d", "stage_id"))
+
+
+def _without(apps: DataFrame, rows: DataFrame, section: int, text: str) -> DataFrame:
+    """A line for the applications that have no rows."""
+    return _lines(apps.join(rows.select("app_id").distinct(), "app_id", "left_anti"), section, [0], F.array(F.lit(text)))
 
 
 def report_lines(apps: DataFrame, metrics: DataFrame, findings: DataFrame, recs: DataFrame,
                  top_n: int = 10) -> DataFrame:
     """O1-O4 for every application in ``apps`` (``log_id, app_id, app_name``)."""
-    head = _lines(apps, HEADER, F.lit(0), F.array(
-        F.lit("# Spark performance and cost report"), F.lit(""),
-        F.format_string("**Event log:** `%s`", F.col("log_id")),
-        F.format_string("**Application:** `%s`  \\", F.coalesce("app_name", F.lit("None"))),
-        F.format_string("**Application ID:** `%s`", F.col("app_id")), F.lit(""),
-        F.lit("## Longest stages"), F.lit("")))
-
-    top = top_stages(metrics, top_n)
-    table_head = _lines(apps, TOP, F.lit(0), F.array(
-        F.lit("| Stage | Duration (ms) | Tasks | p50 (ms) | p95 (ms) | max (ms) | Shuffle (MB) | Spill (MB) | GC % |"),
-        F.lit("|---:|---:|---:|---:|---:|---:|---:|---:|---:|")))
-    rows = _lines(top, TOP, F.col("stage_rank"), F.array(F.format_string(
-        "| %d | %d | %d | %.0f | %.0f | %d | %.0f | %.0f | %.1f%% |",
+    head = _lines(apps, HEADER, [0], F.array(
+        F.format_string("Profile of %s (%s)", F.coalesce("app_name", F.lit("unnamed")), F.col("app_id")),
+        F.format_string("from %s", F.col("log_id"))))
+
+    top = _lines(top_stages(metrics, top_n), TOP, [F.col("stage_rank")], F.array(F.format_string(
+        "stage %d ran %d ms: %d tasks, typical %.0f ms, p95 %.0f ms, slowest %d ms; shuffled %.0f MB, "
+        "spilled %.0f MB, collector %.1f%%",
         "stage_id", "stage_duration_ms", "num_tasks", "task_p50_ms", "task_p95_ms", "task_max_ms",
         F.col("shuffle_read_mb") + F.col("shuffle_write_mb"), "spill_mb", F.col("gc_pct") * 100)))
-    has_stages = metrics.select("app_id").distinct()
-    no_stages = _lines(apps.join(has_stages, "app_id", "left_anti"), TOP, F.lit(0),
-                       F.array(F.lit("_No stage metrics in this event log._")))
-    table_head = table_head.join(has_stages, "app_id", "left_semi")
-
-    fnd_head = _lines(apps, FINDINGS, F.lit(-1), F.array(F.lit(""), F.lit("## Findings"), F.lit("")))
-    # Production order: detector, stage, attempt, code (stage ids are Spark ints).
-    f_order = (F.col("detector_seq").cast("bigint") * 100_000_000_000_000
-               + F.coalesce("stage_id", F.lit(0)) * 10_000
-               + F.coalesce("attempt", F.lit(0)) * 10 + F.col("code_seq"))
-    fnd = _lines(findings, FINDINGS, f_order, F.array(F.format_string(
-        "- **[%s] %s** (stage: %s) - %s", F.col("severity"), F.col("code"), _stage_or_na(),
-        F.col("message"))))
-    no_fnd = _lines(apps.join(findings.select("app_id").distinct(), "app_id", "left_anti"),
-                    FINDINGS, F.lit(0), F.array(F.lit("No significant findings.")))
-
-    rec_head = _lines(apps, RECS, F.lit(-1), F.array(F.lit(""), F.lit("## Recommendations"), F.lit("")))
-    evidence = F.when(
-        F.size("evidence") > 0,
-        F.array(F.lit(""), F.lit("<details><summary>Evidence</summary>"), F.lit(""), F.lit("```json"),
-                F.to_json("evidence"), F.lit("```"), F.lit("</details>"))
-    ).otherwise(F.array().cast("array<string>"))
-    block = F.concat(
-        F.array(F.format_string("### %s  \\", F.col("title")),
-                F.format_string("**Severity:** %s  \\", F.col("severity")),
-                F.format_string("**Stage:** %s", _stage_or_na()), F.lit(""),
-                F.format_string("**Rationale:** %s", F.col("rationale")), F.lit(""),
-                F.lit("**Actions:**")),
-        F.transform("actions", lambda a: F.concat(F.lit("- "), a)),
-        evidence, F.array(F.lit("")))
-    rec = _lines(recs, RECS, F.col("rec_seq"), block)
-    no_rec = _lines(apps.join(recs.select("app_id").distinct(), "app_id", "left_anti"),
-                    RECS, F.lit(0), F.array(F.lit("No recommendations.")))
+
+    # Production order: detector, stage, attempt, code.
+    found = _lines(findings, FINDINGS, [F.col(c) for c in ("detector_seq", "stage_id", "attempt", "code_seq")],
+                   F.array(F.format_string("%s %s, %s: %s", F.col("severity"), F.col("code"), _where(),
+                                           F.col("message"))))
+
+    seen = F.when(F.size("evidence") > 0, F.array(F.concat(F.lit("   measured "), F.to_json("evidence")))
+                  ).otherwise(F.array().cast("array<string>"))
+    steps = F.transform("actions", lambda a, i: F.concat(F.lit("   step "), (i + 1).cast("string"), F.lit(" "), a))
+    block = F.concat(F.array(F.format_string("%s (%s, %s)", F.col("title"), F.col("severity"), _where()),
+                             F.concat(F.lit("   "), F.col("rationale"))), steps, seen)
+    advised = _lines(recs, RECS, [F.col("rec_seq")], block)
 
     out = head
-    for part in (table_head, rows, no_stages, fnd_head, fnd, no_fnd, rec_head, rec, no_rec):
+    for part in (top, _without(apps, metrics, TOP, "the log has no completed stage"), found,
+                 _without(apps, findings, FINDINGS, "nothing stands out"), advised,
+                 _without(apps, recs, RECS, "nothing to change")):
         out = out.unionByName(part)
     return out.select(*REPORT_COLUMNS)
 

@@ -3,16 +3,17 @@
 Every query is scored against every document of its version, exactly; pairs are
 never materialised as rows. The plan:
 
-1. The embedded queries (a golden set: small, bounded) are collected in chunks of
-   at most ``max_block_bytes`` of float64 matrix and broadcast. Past that size the
-   queries are split into several chunks, each one pass over the documents, so
-   the broadcast stays bounded while every query is still scored exactly.
-2. ``mapInPandas`` runs over the document scan in place (no shuffle of
-   documents): each Arrow batch becomes a matrix, one matrix product scores it
-   against the query block, and a running top-k per query is kept, so a task
-   emits at most k rows per query.
-3. ``row_number() <= k`` over ``(version, qid)`` by ``(score desc, doc_id)``
-   merges the per-task candidates.
+1. The embedded queries (a golden set) are collected in chunks of at most
+   ``max_block_bytes`` of float64 matrix, each a broadcast of its own.
+2. ``mapInPandas`` runs once over the document scan in place (no shuffle of
+   documents): each Arrow batch becomes a matrix that is scored against every
+   chunk in tiles of at most ``TILE_CELLS`` scores, and a running top-k per query
+   is kept, so a task emits at most k rows per query.
+3. ``row_number() <= k`` by ``(score desc, doc_id)``, first over groups of a
+   query's candidates and then over ``(version, qid)``, merges the tasks' rows.
+
+A vector that is null or not of its version's width, a queried version without
+documents, and an empty query set are errors.
 
 Scores are ``dot / sqrt(|q|^2 |d|^2)`` in float64, rounded to 9 decimals so equal
 scores tie and break by ``doc_id`` (N10); a zero vector scores 0 (N14). For
@@ -39,16 +40,21 @@ HIT_SCHEMA = "version string, qid bigint, doc_id bigint, score double"
 ROUND = 9
 
 
-def _dense_rows(col: pd.Series, dim: int) -> np.ndarray:
-    vals = col.to_numpy()
-    if len(vals) and all(v is not None and len(v) == dim for v in vals):
-        return np.stack(vals).astype(np.float64, copy=False)   # the usual case: one copy
-    out = np.zeros((len(col), dim), dtype=np.float64)
+#: Scores held at once by the kernel: queries x documents of one tile.
+TILE_CELLS = 1 << 21
+#: Groups in the first merge of the tasks' candidates.
+MERGE_PARTS = 64
+
+
+def _dense_rows(pdf: pd.DataFrame, col: str, dim: int) -> np.ndarray:
+    """A vector that is missing or of another width than its version's is an error, never cut or padded."""
+    vals = pdf[col].to_numpy()
     for i, v in enumerate(vals):
-        if v is not None:
-            a = np.asarray(v, dtype=np.float64)
-            out[i, : min(dim, len(a))] = a[:dim]
-    return out
+        if v is None or len(v) != dim:
+            who = pdf["doc_id" if "doc_id" in pdf.columns else "qid"].iloc[i]
+            width = "no vector" if v is None else f"{len(v)} dimensions"
+            raise ValueError(f"version {pdf['version'].iloc[i]}, id {who}: {width}, expected {dim}")
+    return np.stack(vals).astype(np.float64, copy=False) if len(vals) else np.zeros((0, dim))
 
 
 def _sparse_rows(idx: pd.Series, cnt: pd.Series, dim: int) -> np.ndarray:
@@ -65,9 +71,9 @@ def _sparse_rows(idx: pd.Series, cnt: pd.Series, dim: int) -> np.ndarray:
 
 def _matrix(pdf: pd.DataFrame, dim: int) -> np.ndarray:
     if "embedding" in pdf.columns:
-        return _dense_rows(pdf["embedding"], dim)
+        return _dense_rows(pdf, "embedding", dim)
     if "query_vec" in pdf.columns:
-        return _dense_rows(pdf["query_vec"], dim)
+        return _dense_rows(pdf, "query_vec", dim)
     return _sparse_rows(pdf["indices"], pdf["counts"], dim)
 
 
@@ -106,43 +112,45 @@ def _merge_topk(best_s, best_i, s, ids, k):
     return np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
 
 
-def _kernel(block, k: int, dims: dict[str, int]):
-    """mapInPandas function: running top-k per (version, query) over a partition."""
+def _kernel(blocks: list, k: int, dims: dict[str, int]):
+    """mapInPandas function: running top-k per (version, query) over a partition, in one pass over
+    the documents for all query blocks; no more than TILE_CELLS scores exist at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        payload = block.value
-        state: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        state: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
         for pdf in batches:
             for version, part in pdf.groupby("version", sort=False):
-                if version not in payload:
-                    continue
-                qids, q, qn = payload[version]
                 dim = dims[version]
                 ids_all = part["doc_id"].to_numpy(dtype=np.int64)
-                step = max(256, (1 << 22) // max(1, dim))
+                step = max(1, TILE_CELLS // max(256, dim))
                 for lo in range(0, len(part), step):
-                    sub = part.iloc[lo: lo + step]
-                    d = _matrix(sub, dim)
+                    d = _matrix(part.iloc[lo: lo + step], dim)
                     dn = np.einsum("ij,ij->i", d, d)
-                    dots = q @ d.T                                  # (nq, b)
-                    den = np.sqrt(np.outer(qn, dn))
-                    with np.errstate(invalid="ignore", divide="ignore"):
-                        sc = np.where(den > 0, dots / den, 0.0)
-                    sc = np.round(sc, ROUND)
                     ids = ids_all[lo: lo + step][None, :]
-                    if version not in state:
-                        state[version] = (np.full((len(qids), 0), -np.inf),
-                                          np.zeros((len(qids), 0), dtype=np.int64))
-                    bs, bi = state[version]
-                    state[version] = _merge_topk(bs, bi, sc, ids, k)
-        for version, (bs, bi) in state.items():
-            qids = payload[version][0]
-            n = bs.shape[1]
+                    for b, block in enumerate(blocks):
+                        if version not in block.value:
+                            continue
+                        qids, q, qn = block.value[version]
+                        if (version, b) not in state:
+                            state[version, b] = (np.full((len(qids), k), -np.inf),
+                                                 np.full((len(qids), k), np.iinfo(np.int64).max, dtype=np.int64))
+                        best_s, best_i = state[version, b]
+                        rows = max(1, TILE_CELLS // len(d))
+                        for at in range(0, len(qids), rows):
+                            tile = slice(at, at + rows)
+                            den = np.sqrt(np.outer(qn[tile], dn))
+                            sc = q[tile] @ d.T
+                            np.divide(sc, den, out=sc, where=den > 0)
+                            sc[den <= 0] = 0.0
+                            np.round(sc, ROUND, out=sc)
+                            best_s[tile], best_i[tile] = _merge_topk(best_s[tile], best_i[tile], sc, ids, k)
+        for (version, b), (best_s, best_i) in state.items():
+            real = np.isfinite(best_s)
             yield pd.DataFrame({
                 "version": version,
-                "qid": np.repeat(qids, n),
-                "doc_id": bi.reshape(-1),
-                "score": bs.reshape(-1),
+                "qid": np.repeat(blocks[b].value[version][0], real.sum(axis=1)),
+                "doc_id": best_i[real],
+                "score": best_s[real],
             })
 
     return run
@@ -201,13 +209,20 @@ def topk(docs: DataFrame, queries: DataFrame, k: int = 5, dims: dict[str, int] |
     qcols = ["version", "qid"] + (["indices", "counts"] if "indices" in queries.columns else ["query_vec"])
     dcols = ["version", "doc_id"] + (["indices", "counts"] if "indices" in docs.columns else ["embedding"])
     q = queries.select(*qcols)
-    parts = []
-    for chunk in _blocks(q, dims, max_block_bytes):
-        block = spark.sparkContext.broadcast(_payload(chunk.toPandas(), dims))
-        parts.append(docs.select(*dcols).mapInPandas(_kernel(block, k, dims), HIT_SCHEMA))
-    hits = parts[0]
-    for p in parts[1:]:
-        hits = hits.unionByName(p)
-    w = Window.partitionBy("version", "qid").orderBy(F.desc("score"), "doc_id")
+    wanted = {r["version"] for r in q.select("version").distinct().collect()}  # versions are few names
+    if not wanted:
+        raise RuntimeError("no golden queries; load them first")
+    missing = wanted - set(dims)
+    if missing:
+        raise ValueError(f"no documents or no width for version(s) {sorted(map(str, missing))}")
+    blocks = [spark.sparkContext.broadcast(_payload(chunk.toPandas(), dims))
+              for chunk in _blocks(q, dims, max_block_bytes)]
+    hits = docs.select(*dcols).where(F.col("version").isin(*wanted)).mapInPandas(_kernel(blocks, k, dims), HIT_SCHEMA)
+    best = [F.desc("score"), "doc_id"]
+    # Every task sends up to k candidates per query: merge them in groups first.
+    some = Window.partitionBy("version", "qid", "part").orderBy(*best)
+    hits = (hits.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(MERGE_PARTS)))
+            .withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= k).drop("rank", "part"))
+    w = Window.partitionBy("version", "qid").orderBy(*best)
     return (hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("version", "qid", "rank", "doc_id", "score"))

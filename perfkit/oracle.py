@@ -254,7 +254,7 @@ dgold AS (
                                   lambda p: CAST(p[1] AS DOUBLE) + CAST(0.9 AS DOUBLE) * CAST(p[2] AS DOUBLE))
          END AS qv
   FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1
-  WHERE a.vec_id % 10 = 0
+  WHERE a.vec_id % 100 = 0
 ),
 dvec AS (
   SELECT version, vec_id AS doc_id, CAST(i AS INTEGER) AS pos, CAST(embedding[i] AS DOUBLE) AS w
@@ -290,8 +290,7 @@ deval AS (
 TEXT = """
 tvers AS (SELECT * FROM (VALUES ('v1', 384), ('v2', 64), ('v3', 1024)) t(version, d)),
 ttok AS (SELECT doc_id, string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') AS toks FROM documents),
-tgold AS (SELECT doc_id AS qid, doc_id AS expected_doc_id, toks[6:17] AS qt FROM ttok
-          WHERE doc_id % 25 = 0 AND len(toks) >= 17),
+tgold AS (SELECT doc_id AS qid, doc_id AS expected_doc_id, toks AS qt FROM ttok WHERE doc_id % 100 = 0),
 tdv AS (
   SELECT version, doc_id, CAST(CAST('0x' || substr(md5(version || '::' || t), 1, 8) AS BIGINT) % d AS INTEGER) AS b,
          count(*) AS c

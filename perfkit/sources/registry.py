@@ -84,8 +84,9 @@ class Registry:
         built = self.read("builds").where(F.col("version") == version)
         if built.isEmpty() or not self._exists("vectors"):
             raise FileNotFoundError(f"no artifacts for version={version}")
-        v = self.spark.read.parquet(self.path("vectors")).where(F.col("version") == version)
-        return v
+        # The partition folder's name is read back as a number if it is all digits.
+        v = self.spark.read.parquet(self.path("vectors")).withColumn("version", F.col("version").cast("string"))
+        return v.where(F.col("version") == version)
 
     # S13, V6
     def active_version(self) -> str:

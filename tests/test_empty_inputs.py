@@ -16,7 +16,7 @@ def test_log_with_only_a_start_record(spark):
     recs = adv.recommend(f)
     assert f.count() == 0 and recs.count() == 0
     lines_out = [r["line"] for r in rp.report_lines(apps, m, f, recs).collect()]
-    assert "_No stage metrics in this event log._" in lines_out and "No recommendations." in lines_out
+    assert "the log has no completed stage" in lines_out and "nothing to change" in lines_out
 
 
 def test_version_without_documents_counts_misses(spark):

@@ -27,4 +27,4 @@ def test_entry_runs_from_another_directory():
         env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
         r = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, env=env, capture_output=True,
                            text=True, timeout=600)
-    assert "ROWS 750" in r.stdout, r.stderr[-2000:]
+    assert "ROWS 75\n" in r.stdout, r.stderr[-2000:]

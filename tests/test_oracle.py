@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from perfkit.catalog import QUERIES
 from tools.oracle_check import TABLES, canon, kind
 
 SF = "/root/testdata/sf0.001"
@@ -25,8 +26,8 @@ def con():
 
 def test_every_query_has_an_entry():
     qs, sqls = entry.queries(), entry.oracle_sql()
-    missing = set(qs) - set(sqls)
-    assert missing <= {"recommendations_json", "report_lines"}
+    missing = set(QUERIES) - set(sqls)
+    assert set(QUERIES) <= set(qs) and missing <= {"recommendations_json", "report_lines"}
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))

@@ -32,7 +32,7 @@ def test_profile_plan_writes_report_and_json(spark, tmp_path):
     pf.write_outputs(out, dest)
     rep = open([os.path.join(dp, f) for dp, _, fs in os.walk(f"{dest}/report") for f in fs
                 if f.startswith("part-")][0]).read()
-    assert rep.startswith("# Spark performance and cost report") and "UNDER_PARTITIONED" in rep
+    assert rep.startswith("Profile of job (app-1)") and "UNDER_PARTITIONED" in rep
     recs = [json.loads(line) for dp, _, fs in os.walk(f"{dest}/recommendations") for f in fs
             if f.startswith("part-") for line in open(os.path.join(dp, f))]
     assert [r["severity"] for r in recs] == ["ERROR", "WARN"]
