@@ -58,6 +58,18 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, text_key, and the other columns in one struct, where their names clash with none."""
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"),
+                       (F.struct(*others) if others else F.lit(0)).alias("others"))
+
+
+def unpacked(columns: list[str]) -> list[Column]:
+    """The columns of a packed table by name."""
+    return [F.col(c) if c in ("doc_id", "text") else F.col("others").getField(c).alias(c) for c in columns]
+
+
 def match_rows(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     """Join on (doc_id, text_key), null ids included; the right side's keys are dropped."""
     r = right.withColumnRenamed("doc_id", "_rid").withColumnRenamed("text_key", "_rkey")

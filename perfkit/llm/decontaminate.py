@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfkit.llm.common import match_rows, small, stored, text_key
+from perfkit.llm.common import match_rows, packed, small, stored, text_key, unpacked
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPAN = 13
@@ -155,5 +155,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gra
     """The rows of ``docs`` that are not contaminated."""
     bad = (decontaminate(docs, benchmark, span, gram).where("contaminated")
            .select("doc_id", "text_key").distinct())
-    marked = docs.withColumn("text_key", text_key(F.col("text")))
-    return match_rows(marked, bad, "left_anti").select(docs.columns)
+    return match_rows(packed(docs), bad, "left_anti").select(unpacked(docs.columns))

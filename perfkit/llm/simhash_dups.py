@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perfkit.llm.common import extend, match_rows, ship, stored, text_key
+from perfkit.llm.common import extend, match_rows, packed, ship, stored, text_key, unpacked
 from perfkit.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -220,14 +220,14 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: i
     Rows that repeat that id (equal or not) are reduced to the least text key, equal rows to one.
     Rows of a component without any id all stay, as none can be told to be first.
     """
-    marked = docs.withColumn("text_key", text_key(F.col("text")))
+    marked = packed(docs)
     parts = simhash_components(docs, shingle, distance)
     first = (parts.where(F.col("doc_id") == F.col("component_id"))
              .groupBy("doc_id").agg(F.min("text_key").alias("text_key")))
     nameless = parts.where(F.col("component_id").isNull()).select("doc_id", "text_key").distinct()
-    named = marked.join(first.withColumnRenamed("text_key", "_key"), "doc_id").where("text_key = _key")
-    return (named.dropDuplicates(["doc_id"]).select(docs.columns)
-            .unionByName(match_rows(marked, nameless, "inner").select(docs.columns)))
+    named = marked.join(first.withColumnRenamed("text_key", "_key"), "doc_id").where("text_key = _key").drop("_key")
+    out = named.dropDuplicates(["doc_id"]).unionByName(match_rows(marked, nameless, "inner"))
+    return out.select(unpacked(docs.columns))
 
 
 ship(__name__)

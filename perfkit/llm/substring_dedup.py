@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perfkit.llm.common import (RollingHash, anchor_runs, extend, match_rows, ship, stored, text_key,
-                                text_slices, word_spans)
+from perfkit.llm.common import (RollingHash, anchor_runs, extend, match_rows, packed, ship, stored, text_key,
+                                text_slices, unpacked, word_spans)
 from perfkit.llm.fm_index import FMIndex
 
 SPAN = 50
@@ -203,8 +203,8 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, split: int = SPLIT) -> Da
     """
     made = ["n_words", "n_removed", "kept"]
     carried = [c for c in docs.columns if c not in made]
-    schema = extend(docs.select(carried).schema, "n_words long, n_removed long, kept string")
-    left = docs.select(*carried, text_key(F.col("text")).alias("text_key"))
+    left = packed(docs)
+    schema = extend(left.drop("text_key").schema, "n_words long, n_removed long, kept string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,23 +233,28 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, split: int = SPLIT) -> Da
                 texts = [raw[a:max(a, b - 1)].decode() for a, b in zip(text_at[:-1], text_at[1:])]
                 n = np.diff(first)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(c) for c in carried]
+                    [rows.column(c) for c in ("doc_id", "text", "others")]
                     + [pa.array(n.astype(np.int64)), pa.array((n - np.diff(kept_first)).astype(np.int64)),
                        pa.array(texts, pa.string())], names=schema.fieldNames())
 
-    return match_rows(left, shared_spans(docs, span, split), "left").drop("text_key").mapInArrow(run, schema)
+    out = match_rows(left, shared_spans(docs, span, split), "left").drop("text_key").mapInArrow(run, schema)
+    return out.select(*unpacked(carried), *made)
 
 
 def without_shared(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """``docs`` with shared passages cut out: a text that loses words becomes its remaining words,
     others stay as they are; n_chars, if there, is the new length."""
-    out = substring_dedup(docs, span)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    out = out.withColumn("text", text)
+    here = packed(docs).drop("text_key")
+    out = substring_dedup(here, span)
+    cut = F.col("n_removed") > 0
+    out = out.select("doc_id", F.when(cut, F.col("kept")).otherwise(F.col("text")).alias("text"), "others",
+                     cut.alias("cut"))
+    cols = unpacked(docs.columns)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+        i = docs.columns.index("n_chars")
+        kind = docs.schema["n_chars"].dataType
+        cols[i] = F.when(F.col("cut"), F.char_length("text").cast(kind)).otherwise(cols[i]).alias("n_chars")
+    return out.select(cols)
 
 
 ship(__name__)
