@@ -106,11 +106,21 @@ class Vocabulary:
         """Token ids of one piece."""
         if piece in self._left_edge:
             return [self.ranks[piece]]
-        n = len(piece)
+        n, text = len(piece), piece.decode("latin-1")
+        known, shorter = self._fits.get, self.shorter
+        # The longest token at each place in turn is the answer if no neighbours clash.
+        out = [token[0] for _, token in self.finder.iter_long(text)]
+        before = out[0]
+        for token in out[1:]:
+            fit = known(before << 32 | token)
+            if not (fit or fit is None and self.fits(before, token)):
+                break
+            before = token
+        else:
+            return out
         longest: list = [None] * n
-        for last, token in self.finder.iter(piece.decode("latin-1")):
+        for last, token in self.finder.iter(text):
             longest[last - token[1] + 1] = token  # ends ascend: the longest comes last
-        known, shorter = self._fits.get, self.shorter
         dead = set()  # places from which no token leads on
         out: list[tuple[int, int]] = []
         at, token = 0, longest[0]

@@ -18,8 +18,8 @@ import regex
 
 from perfkit.llm.common import ship
 
-#: Entries of each memo table; a full table is emptied.
-MEMO = 400_000
+#: Entries of one generation of a memo table.
+MEMO = 300_000
 #: Longer pieces are not kept in the memo.
 MEMO_CHARS = 64
 #: Characters, or pieces, handled at a time.
@@ -27,19 +27,27 @@ STREAM = 1 << 18
 
 #: What makes a text irregular: other characters than these, or white space next to white space.
 _ODD = re.compile("[^\\x20-\\x7E\\n\\u00A1-\\u024F]|  |\\n[ \\n]| \\n|^ | \\Z")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Memo(dict):
+    """A bounded table in two generations: what is still in use outlives a full table."""
+
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
         self.make = make
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
-        if len(key) <= MEMO_CHARS:
-            if len(self) >= MEMO:
-                self.clear()
-            self[key] = value
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > MEMO_CHARS:
+                return value
+        if len(self) >= MEMO:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -50,7 +58,8 @@ class TextEncoder:
                  encode_odd: Callable[[str], list[int]] | None = None):
         """``encode_odd`` encodes a whole irregular text; by default its pieces are looked up."""
         self.split = regex.compile(pattern)
-        self.pieces = Memo(lambda piece: self._packed(encode_piece(piece)))
+        self.encode_piece = encode_piece
+        self.pieces = Memo(self._piece)
         self.chunks = Memo(self._chunk)
         self.encode_odd = encode_odd
 
@@ -58,10 +67,20 @@ class TextEncoder:
     def _packed(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _piece(self, piece: str) -> bytes:
+        return self._packed(self.encode_piece(piece))
+
     def _chunk(self, chunk: str) -> bytes:
-        """A chunk that begins with a line break stands as it is, any other follows a space."""
-        text = chunk if chunk[0] == "\n" else " " + chunk
-        return b"".join(map(self.pieces.__getitem__, self.split.findall(text)))
+        """A chunk that begins with a line break stands as it is, any other follows a space. A word is
+        one piece, and so are the marks that follow it."""
+        if chunk.isalpha():
+            return self._piece(" " + chunk)
+        if chunk[0] != "\n":
+            word = chunk.rstrip(_MARKS)
+            if word.isalpha():
+                return self.chunks[word] + self.pieces[chunk[len(word):]]
+            chunk = " " + chunk
+        return b"".join(map(self.pieces.__getitem__, self.split.findall(chunk)))
 
     def encode(self, text: str) -> Iterator[bytes]:
         """The ids of a text, in runs."""

@@ -35,6 +35,10 @@ from perfkit.llm.pieces import TextEncoder
 #: Selector 1 .. 14: ids in a word; each has 60 // count bits.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BLOCK_IDS = 1 << 16
+# The characters that byte-level vocabularies write for bytes. Printing ones stand for
+# themselves, the others follow from 256 on.
+_PRINTING = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTING)))}
 MAGIC = int.from_bytes(b"S8BIDS01", "little")
 END_ID = 0
 
@@ -172,12 +176,15 @@ _ENCODERS: dict[str, TextEncoder] = {}
 
 
 def library_encoder(path: str, pattern: str) -> TextEncoder:
-    """The worker's encoder: pieces, and irregular texts as a whole, go to the tokenizer library."""
+    """The worker's encoder: pieces go to the merges of the tokenizer library, irregular texts to the
+    library as a whole."""
     if path not in _ENCODERS:
         library = Tokenizer.from_file(path)
+        merges = library.model.tokenize
         encode = lambda text: library.encode(text, add_special_tokens=False).ids
+        piece = lambda text: [t.id for t in merges(text.encode().decode("latin-1").translate(BYTE_CHARS))]
         specials = [t.content for t in library.get_added_tokens_decoder().values()]
-        enc = TextEncoder(pattern, encode, encode)
+        enc = TextEncoder(pattern, piece, encode)
         plain = enc.encode
         # A special token's string in a text is what the library makes of it in context.
         enc.encode = lambda text: (iter([enc._packed(encode(text))]) if any(s in text for s in specials)
