@@ -25,8 +25,9 @@ MEMO_CHARS = 64
 #: Characters, or pieces, handled at a time.
 STREAM = 1 << 18
 
-#: What makes a text irregular: other characters than these, or white space next to white space.
-_ODD = re.compile("[^\\x20-\\x7E\\n\\u00A1-\\u024F]|  |\\n[ \\n]| \\n|^ | \\Z")
+#: Characters other than these make a text irregular, and so does white space next to white space.
+_ODD = re.compile("[^\\x20-\\x7E\\n\\u00A1-\\u024F]")
+_PAIRS = ("  ", "\n\n", " \n", "\n ")
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -82,9 +83,13 @@ class TextEncoder:
             chunk = " " + chunk
         return b"".join(map(self.pieces.__getitem__, self.split.findall(chunk)))
 
+    @staticmethod
+    def regular(text: str) -> bool:
+        return not (text[:1] == " " or text[-1:] == " " or any(p in text for p in _PAIRS) or _ODD.search(text))
+
     def encode(self, text: str) -> Iterator[bytes]:
         """The ids of a text, in runs."""
-        if _ODD.search(text):
+        if not self.regular(text):
             if self.encode_odd is not None:
                 yield self._packed(self.encode_odd(text))
                 return

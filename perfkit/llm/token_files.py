@@ -49,19 +49,25 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if n == 0:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
-    place = np.arange(n)
-    choice = np.zeros(n, dtype=np.int64)
     top = int(ids.max())
-    for selector in range(len(COUNTS), 0, -1):  # the largest count that fits is set last
+    if top < 1 << 20:
+        bits = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
+    else:
+        bits = sum((ids >> np.uint64(w) != 0).astype(np.uint8) for w in range(64))
+    # A place where no count of ids fits can't take a larger one: places drop out as counts grow.
+    choice = np.zeros(n, dtype=np.uint8)
+    padded_bits = np.concatenate([bits, np.zeros(60, dtype=np.uint8)])
+    at, most, have = np.arange(n), np.zeros(n, dtype=np.uint8), 0
+    for selector in range(len(COUNTS), 0, -1):
         count = COUNTS[selector - 1]
-        width = 60 // count
-        if top >> width:
-            wide = np.where(ids >> np.uint64(width) != 0, place, n)
-            until = np.minimum.accumulate(wide[::-1])[::-1]
-            choice[until >= np.minimum(place + count, n)] = selector
-        else:
-            choice[:] = selector
-    step = np.array((1, *COUNTS))[choice].tolist()
+        for i in range(have, count):
+            most = np.maximum(most, padded_bits[at + i])
+        have = count
+        fits = most <= 60 // count
+        if not fits.all():
+            at, most = at[fits], most[fits]
+        choice[at] = selector
+    step = np.array((1, *COUNTS), dtype=np.uint8)[choice].tobytes()
     chain, at = [], 0
     while at < n:
         chain.append(at)
