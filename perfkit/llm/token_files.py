@@ -73,7 +73,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         chain.append(at)
         at += step[at]
     start = np.array(chain)
-    selector = choice[start]
+    selector = choice[start].astype(np.int64)
     words = np.zeros(len(start), dtype=np.uint64)
     padded = np.concatenate([ids, np.zeros(60, dtype=np.uint64)])
     for s in np.unique(selector):
