@@ -22,7 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from perfkit.llm.common import extend, ship
-from perfkit.llm.pieces import MEMO, TextEncoder
+from perfkit.llm.pieces import TextEncoder
+
+#: Entries of the table of token pairs; a full table is emptied.
+PAIRS = 1_000_000
 
 def load_ranks(path: str) -> dict[bytes, int]:
     """A rank file: one base64 token and its rank per line."""
@@ -79,7 +82,7 @@ class Vocabulary:
         pair = left << 32 | right
         known = self._fits.get(pair)
         if known is None:
-            if len(self._fits) >= MEMO:
+            if len(self._fits) >= PAIRS:
                 self._fits.clear()
             known = self._fits[pair] = self._stay_apart(self.bytes_of[left], self.bytes_of[right])
         return known

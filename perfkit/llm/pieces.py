@@ -19,7 +19,7 @@ import regex
 from perfkit.llm.common import ship
 
 #: Entries of one generation of a memo table.
-MEMO = 300_000
+MEMO = 500_000
 #: Longer pieces are not kept in the memo.
 MEMO_CHARS = 64
 #: Characters, or pieces, handled at a time.
