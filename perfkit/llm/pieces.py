@@ -29,6 +29,7 @@ STREAM = 1 << 18
 _ODD = re.compile("[^\\x20-\\x7E\\n\\u00A1-\\u024F]")
 _PAIRS = ("  ", "\n\n", " \n", "\n ")
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_FORMATS = [struct.Struct(f"<{n}I") for n in range(32)]
 
 
 class Memo(dict):
@@ -66,7 +67,8 @@ class TextEncoder:
 
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        n = len(ids)
+        return _FORMATS[n].pack(*ids) if n < len(_FORMATS) else struct.pack(f"<{n}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
         return self._packed(self.encode_piece(piece))

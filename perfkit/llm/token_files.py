@@ -188,7 +188,11 @@ def library_encoder(path: str, pattern: str) -> TextEncoder:
         library = Tokenizer.from_file(path)
         merges = library.model.tokenize
         encode = lambda text: library.encode(text, add_special_tokens=False).ids
-        piece = lambda text: [t.id for t in merges(text.encode().decode("latin-1").translate(BYTE_CHARS))]
+
+        def piece(text: str) -> list[int]:
+            raw = text if text.isascii() else text.encode().decode("latin-1")
+            return [t.id for t in merges(raw.translate(BYTE_CHARS))]
+
         specials = [t.content for t in library.get_added_tokens_decoder().values()]
         enc = TextEncoder(pattern, piece, encode)
         plain = enc.encode
@@ -230,7 +234,8 @@ def write_tokens(docs: DataFrame, path: str, pattern: str, folder: str) -> DataF
             left = np.where(null, len(cuts) + 1, left)
             right = np.where(null, len(cuts) + max(null_parts, 1), right)
             part = np.minimum(left + (share * (right - left + 1)).astype(np.int64), right)
-            tokens = [b"".join(enc.encode(t.as_py() or "")) for t in batch.column("text")]
+            tokens = [np.frombuffer(b"".join(enc.encode(t.as_py() or "")), dtype="<u4").astype(width).tobytes()
+                      for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([known, batch.column("text_key"), pa.array(part.astype(np.int32)),
                                               pa.array(tokens, pa.binary())], names=schema.fieldNames())
 
@@ -252,13 +257,15 @@ def write_tokens(docs: DataFrame, path: str, pattern: str, folder: str) -> DataF
                     name = f"ids-{part:06d}-{uuid.uuid4().hex}"
                     store.create_dir(root, recursive=True)
                     writer = Writer(store.open_output_stream(f"{root}/{name}"))
-                ids = np.frombuffer(raw.as_buffer(), dtype="<u4")
-                writer.add(doc_id.as_py(), np.append(ids, np.uint32(END_ID)))
+                ids = np.frombuffer(raw.as_buffer(), dtype=width)
+                writer.add(doc_id.as_py(), np.append(ids, ids.dtype.type(END_ID)))
         finish()
         if made:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*made)],
                                              names=["part", "file", "n_docs", "n_ids"])
 
+    # Ids travel in two bytes where the vocabulary allows it.
+    width = "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
     src = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     schema = extend(src.drop("text").schema, "part int, tokens binary")
     total = len(cuts) + 1 + null_parts
