@@ -29,7 +29,6 @@ STREAM = 1 << 18
 _ODD = re.compile("[^\\x20-\\x7E\\n\\u00A1-\\u024F]")
 _PAIRS = ("  ", "\n\n", " \n", "\n ")
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_FORMATS = [struct.Struct(f"<{n}I") for n in range(32)]
 
 
 class Memo(dict):
@@ -60,15 +59,15 @@ class TextEncoder:
                  encode_odd: Callable[[str], list[int]] | None = None):
         """``encode_odd`` encodes a whole irregular text; by default its pieces are looked up."""
         self.split = regex.compile(pattern)
+        self.formats = [struct.Struct(f"<{n}I") for n in range(32)]
         self.encode_piece = encode_piece
         self.pieces = Memo(self._piece)
         self.chunks = Memo(self._chunk)
         self.encode_odd = encode_odd
 
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
+    def _packed(self, ids: list[int]) -> bytes:
         n = len(ids)
-        return _FORMATS[n].pack(*ids) if n < len(_FORMATS) else struct.pack(f"<{n}I", *ids)
+        return self.formats[n].pack(*ids) if n < len(self.formats) else struct.pack(f"<{n}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
         return self._packed(self.encode_piece(piece))
