@@ -45,25 +45,31 @@ class Memo(dict):
             value = self.make(key)
             if len(key) > MEMO_CHARS:
                 return value
+        self.keep(key, value)
+        return value
+
+    def keep(self, key: str, value: bytes) -> None:
         if len(self) >= MEMO:
             self.older = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 class TextEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, pattern: str, encode_piece: Callable[[str], list[int]],
-                 encode_odd: Callable[[str], list[int]] | None = None):
-        """``encode_odd`` encodes a whole irregular text; by default its pieces are looked up."""
+                 encode_odd: Callable[[str], list[int]] | None = None,
+                 encode_words: Callable[[list[str]], list[bytes]] | None = None):
+        """``encode_odd`` encodes a whole irregular text; by default its pieces are looked up.
+        ``encode_words`` gives the ids of many words, each after a space, in one call."""
         self.split = regex.compile(pattern)
         self.formats = [struct.Struct(f"<{n}I") for n in range(32)]
         self.encode_piece = encode_piece
         self.pieces = Memo(self._piece)
         self.chunks = Memo(self._chunk)
         self.encode_odd = encode_odd
+        self.encode_words = encode_words
 
     def _packed(self, ids: list[int]) -> bytes:
         n = len(ids)
@@ -84,6 +90,15 @@ class TextEncoder:
             chunk = " " + chunk
         return b"".join(map(self.pieces.__getitem__, self.split.findall(chunk)))
 
+    def _meet(self, chunks: list[str]) -> None:
+        """Puts the words among ``chunks`` that the memo lacks there, all at once."""
+        known, older = self.chunks, self.chunks.older
+        new = {c if c.isalpha() else c.rstrip(_MARKS) for c in set(chunks) if c not in known and c not in older}
+        words = [w for w in new if w.isalpha() and len(w) <= MEMO_CHARS and w not in known and w not in older]
+        if words:
+            for word, ids in zip(words, self.encode_words(words)):
+                known.keep(word, ids)
+
     @staticmethod
     def regular(text: str) -> bool:
         return not (text[:1] == " " or text[-1:] == " " or any(p in text for p in _PAIRS) or _ODD.search(text))
@@ -107,6 +122,8 @@ class TextEncoder:
                 rest.insert(0, first)
             elif first:
                 yield b"".join(map(self.pieces.__getitem__, self.split.findall(first)))
+            if self.encode_words is not None:
+                self._meet(rest)
             yield b"".join(map(look, rest))
             at = end + 1
 

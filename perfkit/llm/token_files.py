@@ -18,6 +18,7 @@ All numbers are little-endian.
 from __future__ import annotations
 
 import math
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -193,8 +194,25 @@ def library_encoder(path: str, pattern: str) -> TextEncoder:
             raw = text if text.isascii() else text.encode().decode("latin-1")
             return [t.id for t in merges(raw.translate(BYTE_CHARS))]
 
+        widths = np.zeros(library.get_vocab_size(), dtype=np.int64)  # bytes of each id
+        for token, i in library.get_vocab(with_added_tokens=False).items():
+            widths[i] = len(token)
+
+        def words(new: list[str]) -> list[bytes]:
+            line = " " + " ".join(new)
+            ids = np.array(library.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum([len(w) + 1 for w in line.encode().split(b" ")[1:]])
+            reached = np.cumsum(widths[ids])
+            cuts = np.searchsorted(reached, ends)
+            if len(ids) != cuts[-1] + 1 or (reached[cuts] != ends).any():
+                raise ValueError("a token reaches over a space between words")
+            raw, at = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()]
+            return [raw[a:b] for a, b in zip(at, at[1:])]
+
+        # One text is encoded at a time: the library's threads would only compete with Spark's tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         specials = [t.content for t in library.get_added_tokens_decoder().values()]
-        enc = TextEncoder(pattern, piece, encode)
+        enc = TextEncoder(pattern, piece, encode, words)
         plain = enc.encode
         # A special token's string in a text is what the library makes of it in context.
         enc.encode = lambda text: (iter([enc._packed(encode(text))]) if any(s in text for s in specials)
