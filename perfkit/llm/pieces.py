@@ -90,14 +90,20 @@ class TextEncoder:
             chunk = " " + chunk
         return b"".join(map(self.pieces.__getitem__, self.split.findall(chunk)))
 
-    def _meet(self, chunks: list[str]) -> None:
-        """Puts the words among ``chunks`` that the memo lacks there, all at once."""
+    def _look_up(self, chunks: list[str]) -> bytes:
+        """The ids of chunks; words that the memo lacks are encoded at once."""
         known, older = self.chunks, self.chunks.older
-        new = {c if c.isalpha() else c.rstrip(_MARKS) for c in set(chunks) if c not in known and c not in older}
-        words = [w for w in new if w.isalpha() and len(w) <= MEMO_CHARS and w not in known and w not in older]
+        found = list(map(known.get, chunks))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = {chunks[i] for i in missing}
+        words = {c if c.isalpha() else c.rstrip(_MARKS) for c in new if c not in older}
+        words = [w for w in words if w.isalpha() and len(w) <= MEMO_CHARS and w not in known and w not in older]
         if words:
             for word, ids in zip(words, self.encode_words(words)):
                 known.keep(word, ids)
+        for i in missing:
+            found[i] = known[chunks[i]]
+        return b"".join(found)
 
     @staticmethod
     def regular(text: str) -> bool:
@@ -122,9 +128,7 @@ class TextEncoder:
                 rest.insert(0, first)
             elif first:
                 yield b"".join(map(self.pieces.__getitem__, self.split.findall(first)))
-            if self.encode_words is not None:
-                self._meet(rest)
-            yield b"".join(map(look, rest))
+            yield self._look_up(rest) if self.encode_words else b"".join(map(look, rest))
             at = end + 1
 
 
