@@ -82,6 +82,17 @@ def q_parse_apps(spark, sf_dir):
     return profile_inputs(spark, sf_dir)["apps"].drop("log_id")
 
 
+def q_rejected_lines(spark, sf_dir):
+    r = ev.rejected_lines(profile_inputs(spark, sf_dir)["lines"])
+    return r.select(F.substring_index("log_id", "log=", -1).alias("app_id"), "value")
+
+
+def q_conf_rejects(spark, sf_dir):
+    files = fx.profile_files(spark, sf_dir)
+    r = cf.rejected_confs(cf.read_conf_texts(spark, files["confs"], by="dir"))
+    return r.select(F.substring_index("app_id", "app=", -1).alias("app_id"), F.regexp_replace("json", r"\s+$", "").alias("json"))
+
+
 def q_stage_metrics(spark, sf_dir):
     m = _metrics(spark, sf_dir)
     dbl = ["task_p50_ms", "task_p95_ms", "skew_ratio_p95_p50", "skew_ratio_max_p50", "gc_pct",
@@ -326,6 +337,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_tasks": q_parse_tasks,
     "parse_stages": q_parse_stages,
     "parse_apps": q_parse_apps,
+    "rejected_lines": q_rejected_lines,
+    "conf_rejects": q_conf_rejects,
     "stage_metrics": q_stage_metrics,
     "top_stages": q_top_stages,
     "conf_typed": q_conf_typed,

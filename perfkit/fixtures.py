@@ -76,6 +76,11 @@ def _log_id(app_id: Column) -> Column:
     return app_id
 
 
+#: Lines that are rejected, of the applications whose number mod 5 is 0, 1 and 2.
+CUT_LINES = ('{"Event":"SparkListenerTaskEnd","Stage ID":', '{"Event":"SparkListenerTa',
+             '{"Event":"SparkListenerTaskEnd","Stage ID":"seven"}')
+
+
 def eventlog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON event-log lines ``(log_id, value)`` for every fixture application;
     ``log_id`` here is the log's folder name (the application id).
@@ -83,18 +88,22 @@ def eventlog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Odd order keys (tasks), odd stage ids (stages) and odd application numbers use
     the ``Id`` key spelling; absent finish times are left out of the JSON. Each log
     also carries a stale start record (older timestamp, must lose), an unrelated
-    event kind, a blank line and, for some logs, a truncated line.
+    event kind, a blank line and, for some logs, a line cut in its fields, a line cut in its
+    event name or an event whose stage is no number. Every seventh task has its numbers quoted
+    or with a fraction, every seventh stage too.
     """
     tasks = fixture_tasks(spark, sf_dir)
     stages = fixture_stages(spark, sf_dir, tasks)
 
-    def task_json(sp: str) -> Column:
+    def task_json(sp: str, odd: bool = False) -> Column:
+        stage = F.col("stage_id").cast("string") if odd else F.col("stage_id")
+        launch, finish, gc = (F.col(c).cast("decimal(20,1)") if odd else F.col(c) for c in ("launch", "finish", "gc"))
         return F.to_json(F.struct(
             F.lit("SparkListenerTaskEnd").alias("Event"),
-            F.col("stage_id").alias(f"Stage {sp}"), F.col("attempt").alias(f"Stage Attempt {sp}"),
-            F.struct(F.col("task_id").alias(f"Task {sp}"), F.col("launch").alias("Launch Time"),
-                     F.col("finish").alias("Finish Time")).alias("Task Info"),
-            F.struct(F.col("run").alias("Executor Run Time"), F.col("gc").alias("JVM GC Time"),
+            stage.alias(f"Stage {sp}"), F.col("attempt").alias(f"Stage Attempt {sp}"),
+            F.struct(F.col("task_id").alias(f"Task {sp}"), launch.alias("Launch Time"),
+                     finish.alias("Finish Time")).alias("Task Info"),
+            F.struct(F.col("run").alias("Executor Run Time"), gc.alias("JVM GC Time"),
                      F.col("spill_mem").alias("Memory Bytes Spilled"),
                      F.col("spill_disk").alias("Disk Bytes Spilled"),
                      F.struct(F.col("remote").alias("Remote Bytes Read"),
@@ -104,19 +113,22 @@ def eventlog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     task_lines = tasks.select(
         _log_id(F.col("app_id")).alias("log_id"),
-        F.when(F.col("id_spelling"), task_json("Id")).otherwise(task_json("ID")).alias("value"))
+        F.when(F.col("task_id") % 7 == 0, task_json("ID", odd=True))
+         .when(F.col("id_spelling"), task_json("Id")).otherwise(task_json("ID")).alias("value"))
 
-    def stage_json(sp: str) -> Column:
+    def stage_json(sp: str, odd: bool = False) -> Column:
+        n = F.col("num_tasks").cast("string") if odd else F.col("num_tasks")
         return F.to_json(F.struct(
             F.lit("SparkListenerStageCompleted").alias("Event"),
             F.struct(F.col("stage_id").alias(f"Stage {sp}"), F.col("attempt").alias(f"Stage Attempt {sp}"),
-                     F.col("name").alias("Stage Name"), F.col("num_tasks").alias("Number of Tasks"),
+                     F.col("name").alias("Stage Name"), n.alias("Number of Tasks"),
                      F.col("submitted").alias("Submission Time"),
                      F.col("completed").alias("Completion Time")).alias("Stage Info")))
 
     stage_lines = stages.select(
         _log_id(F.col("app_id")).alias("log_id"),
-        F.when(F.col("stage_id") % 2 == 1, stage_json("Id")).otherwise(stage_json("ID")).alias("value"))
+        F.when(F.col("stage_id") % 7 == 0, stage_json("ID", odd=True))
+         .when(F.col("stage_id") % 2 == 1, stage_json("Id")).otherwise(stage_json("ID")).alias("value"))
 
     apps = fixture_apps(spark, sf_dir)
 
@@ -135,8 +147,9 @@ def eventlog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     noise = apps.select(_log_id(F.col("app_id")).alias("log_id"), F.explode(F.array(
         F.lit('{"Event":"SparkListenerExecutorAdded","Executor ID":"1"}'),
         F.lit("   "),
-        F.when(F.col("app_no") % 5 == 0,
-               F.lit('{"Event":"SparkListenerTaskEnd","Stage ID":'))
+        F.when(F.col("app_no") % 5 == 0, F.lit(CUT_LINES[0]))
+         .when(F.col("app_no") % 5 == 1, F.lit(CUT_LINES[1]))
+         .when(F.col("app_no") % 5 == 2, F.lit(CUT_LINES[2]))
     )).alias("value")).where(F.col("value").isNotNull())
     return start.unionByName(stale).unionByName(stage_lines).unionByName(task_lines).unionByName(noise)
 
@@ -149,7 +162,8 @@ def fixture_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conf_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One configuration file per nation as ``(app_id, json)`` text (FIXTURES §3)."""
+    """One configuration file per nation as ``(app_id, json)`` text (FIXTURES §3), and a cut one for
+    every sixth nation under ``cut-<nation>``."""
     n = F.col("n_nationkey")
 
     def kv(k: str, v: str) -> Column:
@@ -164,8 +178,11 @@ def conf_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 5 == 0, kv(skew, "yes")).when(n % 5 == 1, kv(skew, "maybe")))
     kv = F.filter(entries, lambda e: e.isNotNull())
     m = F.map_from_entries(kv)
-    return table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("app-"), n.cast("string")).alias("app_id"), F.to_json(m).alias("json"))
+    nations = table(spark, sf_dir, "nation")
+    cut = nations.where(n % 6 == 0).select(F.concat(F.lit("cut-"), n.cast("string")).alias("app_id"),
+                                           F.lit('{"spark.sql.shuffle.partitions": "20').alias("json"))
+    return nations.select(
+        F.concat(F.lit("app-"), n.cast("string")).alias("app_id"), F.to_json(m).alias("json")).unionByName(cut)
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,8 +214,12 @@ def cost_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(opt.withColumn("scenario", F.lit("optimized"))))
 
 
+#: Form of the fixture files: files of another form are not read again.
+FORM = 2
+
+
 def _source_key(sf_dir: str, names: tuple[str, ...]) -> str:
-    h = hashlib.sha1(os.path.realpath(sf_dir).encode())
+    h = hashlib.sha1(f"{FORM}:{os.path.realpath(sf_dir)}".encode())
     for n in names:
         st = os.stat(os.path.join(sf_dir, f"{n}.parquet"))
         h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())

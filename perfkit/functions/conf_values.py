@@ -16,8 +16,10 @@ def _strip(c: Column) -> Column:
 
 
 def conf_int(conf: Column, key: str, default: int) -> Column:
-    """Integer value of ``conf[key]``; missing or unparsable gives ``default``."""
-    return F.coalesce(_strip(conf.getItem(key)).try_cast("bigint"), F.lit(default).cast("bigint"))
+    """Integer value of ``conf[key]``, a fraction cut off; missing or unparsable gives ``default``."""
+    text = _strip(conf.getItem(key))
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,9)").try_cast("bigint"),
+                      F.lit(default).cast("bigint"))
 
 
 def conf_bool(conf: Column, key: str, default: bool) -> Column:

@@ -158,6 +158,14 @@ def _profile() -> dict[str, str]:
         "parse_apps": (
             "SELECT DISTINCT 'app-' || CAST(s_suppkey % 25 AS VARCHAR) AS app_id, "
             "'job-' || CAST(s_suppkey % 25 AS VARCHAR) AS app_name FROM supplier"),
+        "rejected_lines": (
+            "SELECT DISTINCT 'app-' || CAST(s_suppkey % 25 AS VARCHAR) AS app_id, CASE s_suppkey % 5"
+            """ WHEN 0 THEN '{"Event":"SparkListenerTaskEnd","Stage ID":' WHEN 1 THEN '{"Event":"SparkListenerTa'"""
+            """ ELSE '{"Event":"SparkListenerTaskEnd","Stage ID":"seven"}' END AS value"""
+            " FROM supplier WHERE s_suppkey % 5 <= 2"),
+        "conf_rejects": (
+            "SELECT 'cut-' || CAST(n_nationkey AS VARCHAR) AS app_id,"
+            """ '{"spark.sql.shuffle.partitions": "20' AS json FROM nation WHERE n_nationkey % 6 = 0"""),
         "stage_metrics": w + f"SELECT {metric_sel} FROM metrics",
         "top_stages": w + (
             "SELECT app_id, stage_rank, stage_id, attempt, stage_duration_ms, num_tasks FROM ("

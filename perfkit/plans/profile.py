@@ -27,6 +27,8 @@ def profile(spark: SparkSession, eventlog_paths, conf_paths=None, clusters: Data
     out = {"lines": lines, "apps": apps, "metrics": metrics, "findings": f, "recommendations": recs,
            "report": report.report_lines(apps, metrics, f, recs),
            "rejects": eventlog.rejected_lines(lines)}
+    if conf_paths:
+        out["conf_rejects"] = conf.rejected_confs(conf.read_conf_texts(spark, conf_paths, by=conf_by))
     if clusters is not None:
         out["cost"] = observed_cost(apps, clusters)
     return out

@@ -14,8 +14,8 @@ AQE_ENABLED = ("spark.sql.adaptive.enabled", False)
 SKEW_JOIN_ENABLED = ("spark.sql.adaptive.skewJoin.enabled", False)
 
 
-def read_confs(spark: SparkSession, paths: str | list[str], by: str = "file") -> DataFrame:
-    """One JSON object per file -> ``(app_id, conf map<string,string>)``.
+def read_conf_texts(spark: SparkSession, paths: str | list[str], by: str = "file") -> DataFrame:
+    """The text of each conf file: ``(app_id, json)``.
 
     The application id is the file name without its extension (``<app_id>.json``),
     or with ``by="dir"`` the name of the folder holding the file (``<app_id>/...``).
@@ -25,13 +25,31 @@ def read_confs(spark: SparkSession, paths: str | list[str], by: str = "file") ->
     path = F.col("_metadata.file_path")
     app = (F.regexp_extract(path, r"([^/=]+)/[^/]*$", 1) if by == "dir"
            else F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1))
-    return parse_confs(raw.select(app.alias("app_id"), F.col("value").alias("json")))
+    return raw.select(app.alias("app_id"), F.col("value").alias("json"))
+
+
+def read_confs(spark: SparkSession, paths: str | list[str], by: str = "file") -> DataFrame:
+    """One JSON object per file -> ``(app_id, conf map<string,string>)``; see ``parse_confs``."""
+    return parse_confs(read_conf_texts(spark, paths, by))
+
+
+def _parsed(raw: DataFrame) -> DataFrame:
+    blank = F.coalesce(F.regexp_replace("json", r"\s+", "") == "", F.lit(True))
+    conf = F.when(blank, F.create_map().cast("map<string,string>")).otherwise(
+        F.from_json("json", "map<string,string>"))
+    whole = blank | F.try_parse_json("json").isNotNull()
+    return raw.select("app_id", "json", F.when(whole, conf).alias("conf"))
 
 
 def parse_confs(raw: DataFrame) -> DataFrame:
-    """``(app_id, json)`` -> ``(app_id, conf)``. A null or empty text is an empty conf."""
-    conf = F.from_json(F.col("json"), "map<string,string>")
-    return raw.select("app_id", F.coalesce(conf, F.create_map().cast("map<string,string>")).alias("conf"))
+    """``(app_id, json)`` -> ``(app_id, conf)``. A null or blank text is an empty conf; a text that is
+    no JSON object is not here but in ``rejected_confs``."""
+    return _parsed(raw).where(F.col("conf").isNotNull()).select("app_id", "conf")
+
+
+def rejected_confs(raw: DataFrame) -> DataFrame:
+    """``(app_id, json)`` of the texts that are no JSON object."""
+    return _parsed(raw).where(F.col("conf").isNull()).select("app_id", "json")
 
 
 def conf_long(confs: DataFrame) -> DataFrame:

@@ -17,12 +17,21 @@ def test_conf_bool(spark, val, expect):
     assert typed(spark, {"spark.sql.adaptive.enabled": val})["aqe_enabled"] is expect
 
 
-@pytest.mark.parametrize("val,expect", [("2000", 2000), (" 8 ", 8), ("abc", 200), (None, 200)])
+@pytest.mark.parametrize("val,expect", [("2000", 2000), (" 8 ", 8), ("abc", 200), (None, 200),
+                                        (300.0, 300), (300, 300), ("1e999", 200)])
 def test_conf_int(spark, val, expect):
     conf = {} if val is None else {"spark.sql.shuffle.partitions": val}
     assert typed(spark, conf)["shuffle_partitions"] == expect
 
 
+def test_malformed_confs_are_kept_aside(spark):
+    raw = spark.createDataFrame([("a", '{"x": "1"'), ("b", "[1]"), ("c", ""), ("d", None), ("e", " \n"), ("f", "{}"),
+                                 ("g", "text"), ("h", '{"x": 1}')], "app_id string, json string")
+    assert sorted(r["app_id"] for r in cf.rejected_confs(raw).collect()) == ["a", "b", "g"]
+    kept = {r["app_id"]: r["conf"] for r in cf.parse_confs(raw).collect()}
+    assert kept == {"c": {}, "d": {}, "e": {}, "f": {}, "h": {"x": "1"}}
+
+
 def test_read_confs_file_names(spark, tmp_path):
     (tmp_path / "app-7.json").write_text(json.dumps({"spark.default.parallelism": "4"}))
     r = cf.conf_typed(cf.read_confs(spark, str(tmp_path))).first()

@@ -55,6 +55,32 @@ def test_parse_tasks_spellings_defaults_and_duration(spark):
     assert ev.rejected_lines(lines).count() == 1
 
 
+def test_quoted_and_fractional_numbers_are_read(spark):
+    line = json.loads(task(tid=5, launch=10, finish=40))
+    line["Stage ID"] = "7"
+    line["Task Info"]["Launch Time"] = 10.0
+    line["Task Metrics"]["JVM GC Time"] = "55"
+    line["Task Metrics"]["Memory Bytes Spilled"] = " 12.9 "
+    line["Task Metrics"]["Disk Bytes Spilled"] = None
+    lines = _lines(spark, [("L", json.dumps(line))])
+    r = ev.parse_tasks(ev.parse_events(lines)).first()
+    assert (r["stage_id"], r["duration_ms"], r["gc_time_ms"], r["spill_mem_bytes"], r["spill_disk_bytes"]) == (
+        7, 30, 55, 12, 0)
+    assert ev.rejected_lines(lines).isEmpty()
+
+
+def test_every_unreadable_line_is_kept_aside(spark):
+    bad = [json.dumps({"Event": "SparkListenerTaskEnd", "Stage ID": "seven"}),
+           json.dumps({"Event": "SparkListenerTaskEnd", "Stage ID": 10 ** 30}),
+           json.dumps({"Event": "SparkListenerStageCompleted", "Stage Info": {"Number of Tasks": ""}}),
+           '{"Event":"SparkListenerTa', '{"Event":"SparkListenerTaskEnd","Stage ID":', "no json"]
+    good = [task(), stage(), start("a", "n", 1), "", "  ", "\t",
+            json.dumps({"Event": "SparkListenerJobStart", "Stage ID": "x"}), json.dumps({"Other": 1})]
+    lines = _lines(spark, [("L", v) for v in bad + good])
+    assert sorted(r["value"] for r in ev.rejected_lines(lines).collect()) == sorted(bad)
+    assert ev.parse_events(lines).count() == 3
+
+
 def test_shuffle_read_is_remote_plus_local(spark):
     lines = _lines(spark, [("L", task(remote=10, local=5, write=7, mem=3, disk=2, gc=9))])
     r = ev.parse_tasks(ev.parse_events(lines)).first()
