@@ -7,7 +7,9 @@ oracle in ``perfkit.oracle`` can be compared value for value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ from perfkit.operators import report as rp
 from perfkit.operators.stage_metrics import profile_stages, top_stages
 from perfkit.sources import conf as cf
 from perfkit.sources import eventlog as ev
+from perfkit.sources.registry import Registry
+from perfkit.session import scratch_path
 
 R = 6  # decimals kept in checked outputs
 
@@ -184,7 +188,7 @@ def golden_versions(golden: DataFrame, versions: dict[str, int]) -> DataFrame:
 
 
 def dense_queries(golden: DataFrame, versions: dict[str, int]) -> DataFrame:
-    q = em.embed_dense(golden, versions, id_col="qid", vec_col="query_vec")
+    q = em.embed_dense(golden, versions, fx.DENSE_WIDTH, id_col="qid", vec_col="query_vec")
     return q.select("version", F.col("doc_id").alias("qid"), F.col("embedding").alias("query_vec"))
 
 
@@ -195,7 +199,7 @@ def text_queries(golden: DataFrame, versions: dict[str, int]) -> DataFrame:
 
 def _dense_hits(spark, sf_dir, k=5):
     vs = fx.DENSE_VERSIONS
-    docs = em.embed_dense(fx.dense_docs(spark, sf_dir), vs)
+    docs = em.embed_dense(fx.dense_docs(spark, sf_dir), vs, fx.DENSE_WIDTH)
     golden = fx.dense_golden(spark, sf_dir)
     return se.topk(docs, dense_queries(golden, vs), k, dims=vs), golden_versions(golden, vs)
 
@@ -216,7 +220,7 @@ def _eval_rows(e: DataFrame) -> DataFrame:
 
 
 def q_build_dense(spark, sf_dir):
-    v = em.embed_dense(fx.dense_docs(spark, sf_dir), fx.DENSE_VERSIONS)
+    v = em.embed_dense(fx.dense_docs(spark, sf_dir), fx.DENSE_VERSIONS, fx.DENSE_WIDTH)
     x = em.exploded(em.normalized_dense(v))
     return x.select("version", "doc_id", F.col("pos").cast("int").alias("pos"), _r("weight"))
 
@@ -231,11 +235,22 @@ def q_evaluate_version(spark, sf_dir):
 
 
 def q_build_text(spark, sf_dir):
-    v = em.embed_text(fx.text_docs(spark, sf_dir), fx.TEXT_VERSIONS)
+    v = em.embed_text(em.doc_text(_docs(spark, sf_dir)), fx.TEXT_VERSIONS)
     x = em.exploded(v)
     return x.select("version", "doc_id", F.col("pos").cast("int").alias("pos"), "weight")
 
 
+def q_artifact_roundtrip(spark, sf_dir):
+    """Title and body are embedded and written as a build, read back by version and searched with
+    the stored golden set."""
+    vs_ = fx.TEXT_VERSIONS
+    reg = Registry(spark, scratch_path(spark, f"registry-{uuid.uuid4().hex}"))
+    reg.write_vectors(em.embed_text(em.doc_text(_docs(spark, sf_dir)), vs_), 100)
+    reg.replace_golden(fx.text_golden(spark, sf_dir))
+    stored = reduce(DataFrame.unionByName, [reg.read_vectors(v) for v in vs_])
+    return _hit_rows(se.topk(stored, text_queries(reg.golden(), vs_), 5, dims=vs_))
+
+
 def q_topk_text(spark, sf_dir):
     return _hit_rows(_text_hits(spark, sf_dir)[0])
 
@@ -298,7 +313,7 @@ def q_eval_latest(spark, sf_dir):
     """Evaluate the dense versions at t=100 (k=5), then v2 again at t=200 with k=10."""
     h5, g = _dense_hits(spark, sf_dir, 5)
     vs_ = {"v2": fx.DENSE_VERSIONS["v2"]}
-    docs = em.embed_dense(fx.dense_docs(spark, sf_dir), vs_)
+    docs = em.embed_dense(fx.dense_docs(spark, sf_dir), vs_, fx.DENSE_WIDTH)
     golden = fx.dense_golden(spark, sf_dir)
     h10 = se.topk(docs, dense_queries(golden, vs_), 10, dims=vs_)
     log = evl.evaluate(h5, g, 100).unionByName(evl.evaluate(h10, golden_versions(golden, vs_), 200))
@@ -309,7 +324,7 @@ def q_eval_latest(spark, sf_dir):
 def _lifecycle(spark, sf_dir) -> dict:
     h, g = _dense_hits(spark, sf_dir)
     evals = evl.evaluate(h, g)
-    builds = em.build_rows(em.embed_dense(fx.dense_docs(spark, sf_dir), fx.DENSE_VERSIONS), 100)
+    builds = em.build_rows(em.embed_dense(fx.dense_docs(spark, sf_dir), fx.DENSE_VERSIONS, fx.DENSE_WIDTH), 100)
     return lc.run_steps(evals, builds)
 
 
@@ -357,6 +372,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_dense": q_topk_dense,
     "evaluate_version": q_evaluate_version,
     "build_text": q_build_text,
+    "artifact_roundtrip": q_artifact_roundtrip,
     "topk_text": q_topk_text,
     "evaluate_text": q_evaluate_text,
     "shadow_compare": q_shadow_compare,

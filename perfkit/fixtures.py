@@ -252,8 +252,9 @@ def profile_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 # ------------------------------------------------------------------ retrieval
 
-# Fixture versions. Dense: number of leading dimensions kept.
+# Fixture versions. Dense: outputs of the projection (of the source width: the vector).
 # Text: number of hash buckets.
+DENSE_WIDTH = 64
 DENSE_VERSIONS = {"v1": 64, "v2": 8, "v3": 32}
 TEXT_VERSIONS = {"v1": 384, "v2": 64, "v3": 1024}
 

@@ -2,7 +2,8 @@
 
 Two built-in embedders, both pure SQL expressions:
 
-* dense prefix: a version keeps the first ``d`` dimensions of a source vector;
+* dense projection: a version sums all dimensions of a source vector, with hashed signs, into
+  ``d`` outputs;
 * hashed text: a version hashes tokens into ``dim`` buckets and counts them.
 
 Every version is built in one pass over the input (the version list is exploded
@@ -15,6 +16,7 @@ exact for integer counts.
 
 from __future__ import annotations
 
+import hashlib
 import sys
 
 import pandas as pd
@@ -41,12 +43,37 @@ def _versions(versions: dict[str, int]) -> Column:
                                for v, d in versions.items()])).alias("_v")
 
 
-def embed_dense(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
+def _signs(version: str, dim: int, width: int) -> Column:
+    """The projection of a version: ``dim`` rows of ``width`` signs, + where the md5 of
+    ``version::input::output`` (from 1) begins with a hex digit below 8."""
+    def sign(i: int, j: int) -> str:
+        return "1D" if hashlib.md5(f"{version}::{i}::{j}".encode()).hexdigest()[0] < "8" else "-1D"
+
+    rows = [", ".join(sign(i, j) for i in range(1, width + 1)) for j in range(1, dim + 1)]
+    return F.expr("array(" + ", ".join(f"array({r})" for r in rows) + ")")
+
+
+def embed_dense(df: DataFrame, versions: dict[str, int], width: int, id_col: str = "doc_id",
                 vec_col: str = "embedding") -> DataFrame:
-    """Dense prefix embedder: ``(version, doc_id, embedding)`` per version (first d dims)."""
+    """Dense projection embedder: ``(version, doc_id, embedding)`` per version.
+
+    Every version reads all ``width`` dimensions of the source vector. A version of that width is
+    the vector itself; any other is its product with a matrix of hashed signs, one sum per output
+    (cosines are about kept, the better the more outputs). The element type stays. A vector of
+    another width is an error, a null vector stays null.
+    """
+    vec, kind = F.col("_e"), df.select(vec_col).schema[0].dataType
+    out = vec
+    for version, dim in versions.items():
+        if dim != width:
+            made = F.transform(_signs(version, dim, width), lambda row: F.aggregate(
+                F.zip_with(vec, row, lambda x, s: x.cast("double") * s), F.lit(0.0), lambda a, b: a + b))
+            out = F.when(F.col("_v.version") == version, made.cast(kind)).otherwise(out)
+    wrong = F.raise_error(F.concat(F.lit("vector width of id "), F.col("doc_id").cast("string"),
+                                   F.lit(f" is not {width}"))).cast(kind)
+    out = F.when(vec.isNull(), None).when(F.size(vec) != width, wrong).otherwise(out)
     x = df.select(F.col(id_col).alias("doc_id"), F.col(vec_col).alias("_e"), _versions(versions))
-    return x.select(F.col("_v.version").alias("version"), "doc_id",
-                    F.slice("_e", 1, F.col("_v.dim")).alias("embedding"))
+    return x.select(F.col("_v.version").alias("version"), "doc_id", out.alias("embedding"))
 
 
 def embed_text(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
@@ -129,13 +156,13 @@ def build_rows(vectors: DataFrame, built_at: int) -> DataFrame:
 
 
 def build_version(docs: DataFrame, versions: dict[str, int], built_at: int,
-                  kind: str = "text") -> tuple[DataFrame, DataFrame]:
+                  kind: str = "text", width: int | None = None) -> tuple[DataFrame, DataFrame]:
     """V1: embed every document under each version; returns ``(vectors, builds)``.
 
     An empty input is an error, as in the reference. ``kind`` is ``text`` (docs
-    with ``doc_id, text``) or ``dense`` (``doc_id, embedding``).
+    with ``doc_id, text``) or ``dense`` (``doc_id, embedding`` of ``width`` dimensions).
     """
     if docs.isEmpty():
         raise ValueError("no documents to index")
-    vec = embed_text(docs, versions) if kind == "text" else embed_dense(docs, versions)
+    vec = embed_text(docs, versions) if kind == "text" else embed_dense(docs, versions, width)
     return vec, build_rows(vec, built_at)

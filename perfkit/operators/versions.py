@@ -25,14 +25,15 @@ def latest(df: DataFrame, key: list[str], order: list) -> DataFrame:
 def upsert_docs(current: DataFrame, batch: DataFrame, now: int | None = None) -> DataFrame:
     """Documents after upserting ``batch`` (``doc_id, title, body``), stamped ``now``.
 
-    Later rows win: by ``updated_at``, then batch over current for equal stamps.
+    Later rows win: by ``updated_at``, then batch over current for equal stamps, then the greatest
+    body and title of rows that repeat an id within the batch.
     """
     b = batch.select("doc_id", "title", "body",
                      (F.lit(int(now)).cast("bigint") if now is not None
                       else F.col("updated_at").cast("bigint")).alias("updated_at"))
     u = current.select("doc_id", "title", "body", "updated_at", F.lit(0).alias("_src")) \
                .unionByName(b.withColumn("_src", F.lit(1)))
-    return latest(u, ["doc_id"], [F.desc("updated_at"), F.desc("_src")]).drop("_src")
+    return latest(u, ["doc_id"], [F.desc("updated_at"), F.desc("_src"), F.desc("body"), F.desc("title")]).drop("_src")
 
 
 def scan_docs(docs: DataFrame) -> DataFrame:
@@ -40,14 +41,19 @@ def scan_docs(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "title", "body")
 
 
+def _newest(df: DataFrame, stamp: str) -> list:
+    """Newest first by a stamp, then by the order of writing where the rows have it."""
+    return [F.desc(stamp), *[F.desc(c) for c in df.columns if c == "write_seq"]]
+
+
 def builds_latest(builds: DataFrame) -> DataFrame:
     """V5: latest build row per version."""
-    return latest(builds, ["version"], [F.desc("built_at")])
+    return latest(builds, ["version"], _newest(builds, "built_at"))
 
 
 def evals_latest(evals: DataFrame) -> DataFrame:
     """V4: latest evaluation row per version."""
-    return latest(evals, ["version"], [F.desc("evaluated_at")])
+    return latest(evals, ["version"], _newest(evals, "evaluated_at"))
 
 
 def registry_state(events: DataFrame) -> DataFrame:

@@ -264,12 +264,20 @@ dgold AS (
   FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1
   WHERE a.vec_id % 100 = 0
 ),
+dsign AS (
+  SELECT version, i, CAST(j AS INTEGER) AS pos,
+         CASE WHEN d = 64 THEN CASE WHEN i = j THEN 1.0 ELSE 0.0 END
+              WHEN substr(md5(version || '::' || i || '::' || j), 1, 1) < '8' THEN 1.0 ELSE -1.0 END::DOUBLE AS s
+  FROM dvers, range(1, 65) a(i), range(1, d + 1) b(j)
+),
 dvec AS (
-  SELECT version, vec_id AS doc_id, CAST(i AS INTEGER) AS pos, CAST(embedding[i] AS DOUBLE) AS w
-  FROM embeddings, dvers, range(1, d + 1) r(i)
+  SELECT version, doc_id, pos, CAST(CAST(sum(x * s) AS FLOAT) AS DOUBLE) AS w
+  FROM (SELECT vec_id AS doc_id, CAST(embedding[i] AS DOUBLE) AS x, i FROM embeddings, range(1, 65) r(i))
+  JOIN dsign USING (i) GROUP BY ALL
 ),
 qvec AS (
-  SELECT version, qid, CAST(i AS INTEGER) AS pos, qv[i] AS w FROM dgold, dvers, range(1, d + 1) r(i)
+  SELECT version, qid, pos, sum(x * s) AS w
+  FROM (SELECT qid, qv[i] AS x, i FROM dgold, range(1, 65) r(i)) JOIN dsign USING (i) GROUP BY ALL
 ),
 dnorm AS (SELECT version, doc_id, sum(w * w) AS n FROM dvec GROUP BY ALL),
 qnorm AS (SELECT version, qid, sum(w * w) AS n FROM qvec GROUP BY ALL),
@@ -297,8 +305,10 @@ deval AS (
 
 TEXT = """
 tvers AS (SELECT * FROM (VALUES ('v1', 384), ('v2', 64), ('v3', 1024)) t(version, d)),
-ttok AS (SELECT doc_id, string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') AS toks FROM documents),
-tgold AS (SELECT doc_id AS qid, doc_id AS expected_doc_id, toks AS qt FROM ttok WHERE doc_id % 100 = 0),
+ttok AS (SELECT doc_id, string_split(trim(regexp_replace({text}, '\\s+', ' ', 'g')), ' ') AS toks FROM documents),
+tgold AS (SELECT doc_id AS qid, doc_id AS expected_doc_id,
+                 string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') AS qt
+          FROM documents WHERE doc_id % 100 = 0),
 tdv AS (
   SELECT version, doc_id, CAST(CAST('0x' || substr(md5(version || '::' || t), 1, 8) AS BIGINT) % d AS INTEGER) AS b,
          count(*) AS c
@@ -333,6 +343,10 @@ teval AS (
 )"""
 
 
+TITLED = TEXT.replace("{text}", "coalesce(source, '') || chr(10) || coalesce(text, '')")
+TEXT = TEXT.replace("{text}", "text")
+
+
 def _retrieval() -> dict[str, str]:
     hit = "SELECT version, qid, CAST(rank AS BIGINT) AS rank, doc_id, round(score, 6) AS score FROM {}"
     ev = ("SELECT version, n_queries, round(CAST(top1_accuracy AS DOUBLE), 6) AS top1_accuracy, "
@@ -351,7 +365,8 @@ FROM evd b, evd c"""
             "FROM dvec v JOIN dnorm n USING (version, doc_id)"),
         "topk_dense": _with(DENSE) + hit.format("dhits"),
         "evaluate_version": _with(DENSE) + ev.format("deval"),
-        "build_text": _with(TEXT) + "SELECT version, doc_id, b AS pos, CAST(c AS DOUBLE) AS weight FROM tdv",
+        "artifact_roundtrip": _with(TITLED) + hit.format("thits"),
+        "build_text": _with(TITLED) + "SELECT version, doc_id, b AS pos, CAST(c AS DOUBLE) AS weight FROM tdv",
         "topk_text": _with(TEXT) + hit.format("thits"),
         "evaluate_text": _with(TEXT) + ev.format("teval"),
         "shadow_compare": _with(DENSE, "evd AS (SELECT version, CAST(top1_accuracy AS DOUBLE) AS top1_accuracy, "

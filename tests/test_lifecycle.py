@@ -23,8 +23,7 @@ def _setup(spark, tmp_path, versions):
     reg.upsert_docs(spark.createDataFrame(DOCS, "doc_id bigint, title string, body string"), now=1)
     reg.replace_golden(spark.createDataFrame(GOLDEN, "qid bigint, query string, expected_doc_id bigint"))
     docs = em.doc_text(reg.docs())
-    vec, builds = em.build_version(docs, versions, built_at=10)
-    reg.write_vectors(vec, builds)
+    reg.write_vectors(em.build_version(docs, versions, built_at=10)[0], 10)
     golden = reg.golden()
     q = em.embed_text(golden, versions, id_col="qid", text_col="query").withColumnRenamed("doc_id", "qid")
     vecs = reg.read_vectors(list(versions)[0])
@@ -100,3 +99,25 @@ def test_registry_docs_and_missing_version(spark, tmp_path):
         raise AssertionError("expected an empty-golden error")
     except RuntimeError:
         pass
+
+
+def test_last_write_wins_whatever_the_clock_says(spark, tmp_path):
+    reg = Registry(spark, str(tmp_path / "registry"))
+    ddl = "doc_id bigint, title string, body string"
+    for body, now in (("one", 5), ("zwei", 5), ("three", 4)):
+        reg.upsert_docs(spark.createDataFrame([(1, "t", body)], ddl), now=now)
+    assert [r["body"] for r in reg.docs().collect()] == ["three"]
+    reg.upsert_docs(spark.createDataFrame([(1, "t", "a"), (1, "t", "c"), (1, "t", "b"), (2, None, None)], ddl), now=4)
+    assert {r["doc_id"]: r["body"] for r in reg.docs().collect()} == {1: "c", 2: None}
+
+
+def test_rebuild_has_its_own_folder_and_digit_versions_stay_text(spark, tmp_path):
+    reg = Registry(spark, str(tmp_path / "registry"))
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id bigint, text string")
+    first = reg.write_vectors(em.embed_text(docs, {"007": 8, "v2": 4}), 10)
+    assert {(r["version"], r["doc_count"]) for r in first.collect()} == {("007", 2), ("v2", 2)}
+    old = reg.read_vectors("007")
+    reg.write_vectors(em.embed_text(docs.where("doc_id = 1"), {"007": 8}), 10)  # same stamp: the later counts
+    assert reg.read_vectors("007").count() == 1 and reg.read_vectors("v2").count() == 2
+    assert old.count() == 2  # a reader of the earlier build is not disturbed
+    assert {r["version"] for r in reg.read_vectors("007").collect()} == {"007"}

@@ -80,3 +80,22 @@ def test_shadow_gate_rule(spark):
     strict = {r["candidate_version"]: r["pass"]
               for r in evl.shadow_compare(ev, pairs, min_score=0.99, allowed_drop=0.0).collect()}
     assert not any(strict.values())
+
+
+def test_dense_projection_reads_every_dimension(spark):
+    import hashlib
+
+    import pytest
+
+    from perfkit.operators import embed as em
+
+    vecs = {1: [1.0, 2.0, 4.0, 8.0], 2: [0.0] * 4, 3: None}
+    df = spark.createDataFrame(list(vecs.items()), "doc_id bigint, embedding array<float>")
+    got = {(r["version"], r["doc_id"]): r["embedding"] for r in em.embed_dense(df, {"a": 4, "b": 3}, 4).collect()}
+    sign = [[1 if hashlib.md5(f"b::{i}::{j}".encode()).hexdigest()[0] < "8" else -1 for i in (1, 2, 3, 4)]
+            for j in (1, 2, 3)]
+    assert got[("b", 1)] == [sum(x * s for x, s in zip(vecs[1], row)) for row in sign]
+    assert got[("a", 1)] == vecs[1] and got[("b", 2)] == [0.0] * 3
+    assert got[("a", 3)] is None and got[("b", 3)] is None
+    with pytest.raises(Exception, match="vector width of id 1 is not 5"):
+        em.embed_dense(df.where("doc_id = 1"), {"b": 3}, 5).collect()
