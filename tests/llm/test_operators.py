@@ -244,6 +244,25 @@ def test_html(pages, spark):
     assert html_extract.extract_pages(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_html_two_templates_and_text_beside_the_article(spark):
+    def words(k, n):
+        return " ".join(f"w{k}x{j}" for j in range(n))
+
+    links = "<ul><li><a href=/a>one link</a></li><li><a href=/b>two link</a></li></ul>"
+    rows = []
+    for i in range(20):  # the majority has its article where the minority has a small box
+        main = (f"<div class=main><p>{words(i, 80)}</p></div>" if i < 15 else
+                f"<div class=main><p>box {i}</p></div><div class=long><p>{words(i, 80)}</p><p>{words(i, 9)}</p></div>")
+        rows.append((i, "http://a.org/x" if i % 2 else None, f"<html><body>{links}{main}</body></html>"))
+    rows.append((30, "http://b.org/x", f"<html><body><div><div class=post><p>{words(1, 70)}</p></div>"
+                                       f"<p>{words(2, 30)}</p></div>{links}</body></html>"))
+    df = spark.createDataFrame([(*r, "h", "p", 0) for r in rows], PAGES)
+    out = {r["page_id"]: r["text"] for r in html_extract.extract_pages(df).collect()}
+    assert all(out[i] == words(i, 80) for i in range(15))
+    assert all(out[i].split("\n\n")[-2:] == [words(i, 80), words(i, 9)] for i in range(15, 20))
+    assert out[30] == f"{words(1, 70)}\n\n{words(2, 30)}"
+
+
 def test_toxicity(spark):
     rng = random.Random(2)
     rows, labels = [], []
