@@ -263,6 +263,37 @@ def test_html_two_templates_and_text_beside_the_article(spark):
     assert out[30] == f"{words(1, 70)}\n\n{words(2, 30)}"
 
 
+ARTICLE = "<p>" + "long story of a <span>river</span> and a stone " * 8 + "</p>"
+
+
+@pytest.mark.parametrize("open_, close", [
+    ("<div class='content-sidebar-wrap'><article>", "</article></div>"),
+    ("<div class='layout has-sidebar'><div class=x>", "</div></div>"),
+    ("<section class='post with-comments'>", "</section>"),
+    ("<form id='aspnetForm'><div class='widget page'><main>", "</main></div></form>"),
+    ("<span class=promo><div><span>", "</span></div></span>")])
+def test_html_wrappers_named_like_furniture(open_, close):
+    story = " ".join(ARTICLE[3:-4].replace("<span>", "").replace("</span>", "").split())
+    side = "<div class=sidebar><p>side <span>x</span> text</p></div><form><p>mail</p></form>"
+    talk = "<div class=comments>" + "<article class=comment><p>what a story it was</p></article>" * 40 + "</div>"
+    page = "<html><body><nav>home</nav>{}" + open_ + ARTICLE + "{}" + close + "{}</body></html>"
+    assert html_extract.extract(page.format("", "", ""), None)[0] == story
+    within = "" if "span" in open_ else side
+    assert html_extract.extract(page.format(side, within, side), None)[0] == story
+    if "article" in open_ or "main" in open_:
+        assert html_extract.extract(page.format("", "", talk), None)[0] == story
+
+
+def test_html_short_article_beside_longer_furniture():
+    page = "<html><body><div class=ad><p>buy this now, buy it here, buy two</p></div><article><p>short one</p></article></body></html>"
+    assert html_extract.extract(page, None)[0] == "short one"
+
+
+def test_html_is_not_empty_where_all_is_named_furniture():
+    page = "".join(f"<div class=widget><p>part {k} of a text</p></div>" for k in range(3))
+    assert html_extract.extract(page, None)[0] == "\n\n".join(f"part {k} of a text" for k in range(3))
+
+
 def test_toxicity(spark):
     rng = random.Random(2)
     rows, labels = [], []
