@@ -2,8 +2,9 @@
 
 A text is the set of its words, hashed into buckets. The machine adds, to a weight per bucket, the
 inner product of two short vectors for every pair of buckets in the text, so that a word can
-count for more (or less) beside another; the pair sum is computed in linear time from
-sums of the vectors and of their squares. Weights are fitted by adaptive gradient steps on a
+count for more (or less) beside another, also one that tells nothing alone; the pair sum is computed
+in linear time from sums of the vectors and of their squares, and divided by the number of buckets
+that have vectors, as the many pairs of a long text would else drown its weights. Weights are fitted by adaptive gradient steps on a
 bounded sample of the labelled rows; scoring covers every whole text, one pass, no shuffle.
 """
 
@@ -28,8 +29,12 @@ MIN_ROWS = 5
 EPOCHS = 10
 BATCH = 128
 STEP = 1.0
-FACTOR_STEP, BIAS_STEP = 0.01, 0.1
+FACTOR_STEP, BIAS_STEP = 1.0, 0.1
+#: Size of the first factors; the squared gradients that their steps start from; both suit rows of summed gradients.
+FACTOR_SIZE, FACTOR_SEEN = 0.1, 1.0
 SHRINK = 1e-3
+#: Pull of a factor to zero for each row that has its bucket.
+FACTOR_SHRINK = 3e-3
 SPARSE = 8.0
 SEED = 5
 THRESHOLD = 0.3
@@ -69,7 +74,8 @@ class Machine:
         """(margin of each row, sums of the row's factors)."""
         v = self.factor[ids]
         s = _row_sums(v, bounds)
-        pairs = 0.5 * (s * s - _row_sums(v * v, bounds)).sum(axis=1)
+        paired = np.maximum(_row_sums((v != 0).any(axis=1), bounds), 1.0)
+        pairs = 0.5 * (s * s - _row_sums(v * v, bounds)).sum(axis=1) / paired
         return self.bias + _row_sums(self.weight[ids], bounds) + pairs, s
 
     def score(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -82,7 +88,7 @@ def fit(ids: np.ndarray, bounds: np.ndarray, label: np.ndarray, bits: int = BUCK
     rng = np.random.default_rng(seed)
     size, n = 1 << bits, len(label)
     rate = (label.sum() + 0.01) / (n + 1.0)
-    m = Machine(float(np.log(rate / (1 - rate))), np.zeros(size), rng.normal(0, 0.01, (size, factors)))
+    m = Machine(float(np.log(rate / (1 - rate))), np.zeros(size), rng.normal(0, FACTOR_SIZE, (size, factors)))
     common = np.bincount(ids, minlength=size) >= MIN_ROWS
     m.factor[~common] = 0.0
     keep = common[ids]
@@ -90,9 +96,9 @@ def fit(ids: np.ndarray, bounds: np.ndarray, label: np.ndarray, bits: int = BUCK
     ids = ids[keep]
     sizes = np.diff(bounds)
     # Proximal steps for the weights: a weight stays zero until its summed gradients pass SPARSE, so
-    # words that say nothing have none. Only buckets with a weight take part in pairs.
+    # words that say nothing have none. Every bucket that counts takes part in pairs.
     pull, seen = np.zeros(size), np.zeros(size)
-    g_factor, g_bias = np.full((size, factors), 1e-3), 1e-3
+    g_factor, g_bias = np.full((size, factors), FACTOR_SEEN), 1e-3
     for _ in range(epochs):
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
@@ -111,18 +117,14 @@ def fit(ids: np.ndarray, bounds: np.ndarray, label: np.ndarray, bits: int = BUCK
             z = pull[bucket]
             m.weight[bucket] = np.where(np.abs(z) <= SPARSE, 0.0, (np.sign(z) * SPARSE - z) / (
                 (1.0 + np.sqrt(seen[bucket])) / STEP + SHRINK))
-            on = (m.weight[mine] != 0)
-            if on.any():
-                some, place = np.unique(mine[on], return_inverse=True)
-                near = np.repeat(sums, lengths, axis=0)[on] - m.factor[mine[on]]
-                gv = np.stack([np.bincount(place, weights=per[on] * near[:, f], minlength=len(some))
-                               for f in range(factors)], axis=1) / len(rows) + SHRINK * m.factor[some]
-                g_factor[some] += gv * gv
-                m.factor[some] -= FACTOR_STEP * gv / np.sqrt(g_factor[some])
+            near = (np.repeat(sums, lengths, axis=0) - m.factor[mine]) * (per / np.repeat(lengths, lengths))[:, None]
+            gv = np.stack([np.bincount(where, weights=near[:, f], minlength=len(bucket)) for f in range(factors)], axis=1)
+            gv += FACTOR_SHRINK * np.bincount(where, minlength=len(bucket))[:, None] * m.factor[bucket]
+            g_factor[bucket] += gv * gv
+            m.factor[bucket] -= FACTOR_STEP * gv / np.sqrt(g_factor[bucket])
             gb = float(error.mean())
             g_bias += gb * gb
             m.bias -= BIAS_STEP * gb / np.sqrt(g_bias)
-    m.factor[m.weight == 0] = 0.0
     return m
 
 

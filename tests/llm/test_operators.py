@@ -318,3 +318,25 @@ def test_toxicity(spark):
     assert len({r["score"] for r in out if r["doc_id"] in (5000, 5001)}) == 1
     assert toxicity.toxicity(docs.limit(0), marks).count() == 0
     assert toxicity.toxicity(docs, marks.limit(0)).count() == len(rows)
+
+
+def test_toxicity_of_pairs_whose_words_tell_nothing_alone():
+    def rows(each, n, seed):
+        rng = random.Random(seed)
+        pairs = [("kin", "vermin", 1), ("folk", "guests", 1), ("kin", "guests", 0), ("folk", "vermin", 0)] * each
+        texts, label = [], []
+        for k in range(n):
+            toxic = pairs[k][2] if k < len(pairs) else int(rng.random() < 0.5)
+            words = [f"w{rng.randrange(400)}" for _ in range(30)]
+            words += pairs[k][:2] if k < len(pairs) else ["scumbag"] * toxic
+            rng.shuffle(words)
+            texts.append(" ".join(words).encode())
+            label.append(toxic)
+        off = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+        return *toxicity.buckets(np.frombuffer(b"".join(texts), np.uint8), off), np.array(label, float), len(pairs)
+
+    for each, n, least in ((100, 2000, 0.85), (40, 1500, 0.65)):
+        *train, _ = rows(each, n, 1)
+        ids, bounds, label, pairs = rows(200, 1200, 2)
+        right = (toxicity.fit(*train).score(ids, bounds) >= 0.5) == label
+        assert right[:pairs].mean() > least and right[pairs:].mean() > 0.97, (each, right[:pairs].mean())
