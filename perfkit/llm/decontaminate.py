@@ -120,7 +120,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
     marks = []
     grams = _with_grams(again.withColumn("_g1", F.transform("words", lambda w: F.xxhash64(w))), {gram, *shorts})
     for k, reach in [(gram, span)] + [(k, k) for k in shorts]:
-        at = grams.select("doc_id", "text_key", n.alias("n"), F.posexplode_outer(f"_g{k}").alias("p", "fp"))
+        # Shorter texts have no window of this length; items as short are found by their own length.
+        at = grams.where(n >= reach).select("doc_id", "text_key", n.alias("n"), F.posexplode_outer(f"_g{k}").alias("p", "fp"))
         marks.append(at.join(wanted, "fp", "left_semi").select("doc_id", "text_key", F.explode(F.sequence(
             F.greatest(F.col("p") - (reach - k), F.lit(0)),
             F.greatest(F.least(F.col("p"), F.col("n") - reach), F.greatest(F.col("p") - (reach - k), F.lit(0)))))

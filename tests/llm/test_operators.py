@@ -137,6 +137,18 @@ def test_decontaminate(spark, docs, rows, none):
     assert not any(r["n_hit"] for r in decontaminate.decontaminate(docs, bench.limit(0)).collect())
 
 
+def test_decontaminate_hits_end_within_short_documents(spark):
+    rows = [(k, " ".join(f"v{j}" for j in range(k))) for k in range(5, 16)]
+    items = [(1, rows[1][1]), (2, rows[3][1]), (3, rows[7][1])]  # of 6, 8 and 12 words
+    out = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id bigint, text string"),
+                                      spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    cols = [(r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], brute.sha(",".join(r["items"]).encode()),
+             r["contaminated"]) for r in out]
+    assert sorted(cols) == sorted(brute.contamination(rows, items))
+    assert {r["doc_id"]: r["n_hit"] for r in out if r["n_hit"]} == {k: 6 if k < 8 else 8 if k < 12 else 12 for k in range(6, 16)}
+    assert all(h["start"] + h["length"] <= r["n_words"] for r in out for h in r["hits"] or [])
+
+
 def ranks():
     return byte_bpe.load_ranks(pt.path("byte_bpe_multi_50k.tiktoken"))
 
