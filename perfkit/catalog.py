@@ -300,13 +300,14 @@ def q_docs_upsert(spark, sf_dir):
 
 
 def q_builds_latest(spark, sf_dir):
-    """Build all text versions at t=100, then rebuild v1 on the upserted documents at t=200."""
+    """Build all text versions at t=100, then rebuild v1 on the upserted documents at t=200. The vectors
+    of both builds are written, and the log counts what was written."""
     vs_ = fx.TEXT_VERSIONS
-    first = em.build_rows(em.embed_text(fx.text_docs(spark, sf_dir), vs_), 100)
+    reg = Registry(spark, scratch_path(spark, f"registry-{uuid.uuid4().hex}"))
+    reg.write_vectors(em.embed_text(fx.text_docs(spark, sf_dir), vs_), 100)
     docs2 = vs.upsert_docs(_docs(spark, sf_dir), _upsert_batch(spark, sf_dir), now=1)
-    second = em.build_rows(em.embed_text(docs2.select("doc_id", F.col("body").alias("text")),
-                                         {"v1": vs_["v1"]}), 200)
-    return vs.builds_latest(first.unionByName(second))
+    reg.write_vectors(em.embed_text(docs2.select("doc_id", F.col("body").alias("text")), {"v1": vs_["v1"]}), 200)
+    return vs.builds_latest(reg.read("builds"))
 
 
 def q_eval_latest(spark, sf_dir):

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from perfkit import catalog
 from perfkit.operators import embed as em
 from perfkit.operators import evaluate as evl
 from perfkit.operators import search as se
@@ -121,3 +122,12 @@ def test_rebuild_has_its_own_folder_and_digit_versions_stay_text(spark, tmp_path
     assert reg.read_vectors("007").count() == 1 and reg.read_vectors("v2").count() == 2
     assert old.count() == 2  # a reader of the earlier build is not disturbed
     assert {r["version"] for r in reg.read_vectors("007").collect()} == {"007"}
+
+
+def test_builds_latest_writes_what_it_counts(spark, monkeypatch):
+    sf, made = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(catalog, "Registry", lambda *a: made.append(Registry(*a)) or made[-1])
+    rows = {r["version"]: r for r in catalog.QUERIES["builds_latest"](spark, sf).collect()}
+    assert len(made) == 1 and rows["v1"]["built_at"] == 200
+    for version, row in rows.items():
+        assert made[0].read_vectors(version).count() == row["doc_count"]
