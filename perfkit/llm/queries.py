@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfkit.llm import (byte_bpe, decontaminate, html_extract, quality_rules, simhash_dups, substring_dedup,
-                         suffix_dedup, token_files, toxicity, warc)
+from perfkit.llm import (best_fit_packing, byte_bpe, decontaminate, html_extract, quality_rules, simhash_dups,
+                         source_divergence, spelling_variants, substring_dedup, suffix_dedup, token_files, toxicity,
+                         warc)
 from perfkit.llm.common import table
 
 
@@ -63,9 +64,66 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.PATTERN)
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack_documents(table(spark, sf_dir, "documents"),
+                                           public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_warc, op3_html_extract, op4_substring_dedup, op5_suffix_dedup, op6_quality_rules,
-        op7_simhash_dups, op8_decontaminate, op9_byte_bpe, op10_token_files)
+        op7_simhash_dups, op8_decontaminate, op9_byte_bpe, op10_token_files, op11_best_fit_packing,
+        op12_spelling_variants, op13_source_divergence)
 }
-ORACLE_SQL: dict[str, str] = {}
+
+_OP13 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_no, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+         translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+hits AS (
+  SELECT row_no, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS n FROM hits GROUP BY lang, term HAVING count(DISTINCT row_no) >= 3),
+langs AS (SELECT lang, sum(n)::HUGEINT AS total, count(*)::HUGEINT AS size FROM kept GROUP BY lang),
+counted AS (
+  SELECT h.lang, h.source, h.term, count(*) AS n
+  FROM hits h JOIN kept k ON h.lang = k.lang AND h.term = k.term GROUP BY ALL),
+groups AS (
+  SELECT g.lang, g.source, COALESCE(c.total, 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counted GROUP BY lang, source) c
+    ON g.lang = c.lang AND g.source = c.source),
+shares AS (
+  SELECT g.lang, g.source, k.term, COALESCE(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (COALESCE(c.n, 0) + 1)) // (g.total + l.size) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.size) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+every_pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(p.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value
+  FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+  FROM (SELECT * FROM every_pair UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE_SQL: dict[str, str] = {"op13_source_divergence": _OP13}

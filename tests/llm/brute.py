@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -126,3 +127,64 @@ def contamination(rows, items, span=13):
         out.append((d, len(w), len(hit), len(owners), sha(",".join(sorted(owners)).encode()),
                     len(hit) > 0 and 20 * len(hit) >= len(w)))
     return out
+
+
+def variant_words(rows):
+    """Word counts after the deletions, for rows of (doc_id, text)."""
+    count = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = ascii_lower(run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            count[run] += 1
+    return {w: n for w, n in count.items() if len(w) >= 5 and n >= 3}
+
+
+def near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def variants(count):
+    form, out = {}, []
+    around = {w: [v for v in count if abs(len(v) - len(w)) < 2 and near(w, v)] for w in count}
+    for w, n in count.items():
+        best = min(around[w], key=lambda v: (-count[v], v), default=None)
+        if best is not None and count[best] >= 2 * n:
+            form[w] = best
+    for w, n in count.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, n, len(around[w]), form.get(w), count.get(form.get(w)), root))
+    return out
+
+
+def divergence(rows):
+    """Rows of (lang, source, part, item, value, rank) for rows of (text, lang, source)."""
+    rows = [(t or "", a or "", s or "") for t, a, s in rows]
+    found = [(a, s, Counter(re.findall("[^\x00-\x40\x5B-\x60\x7B-\x7F]+", ascii_lower(t)))) for t, a, s in rows]
+    out = []
+    for lang in {a for a, _, _ in found}:
+        docs = Counter(t for a, _, c in found if a == lang for t in c)
+        kept = {t for t, n in docs.items() if n >= 3}
+        column = {s: Counter() for a, s, _ in found if a == lang}
+        whole = Counter()
+        for a, s, c in found:
+            if a == lang:
+                column[s].update({t: n for t, n in c.items() if t in kept})
+                whole.update({t: n for t, n in c.items() if t in kept})
+        share = lambda c, t: 1 + 10 ** 9 * (c[t] + 1) // (sum(c.values()) + len(kept))
+        p = {s: {t: share(c, t) for t in kept} for s, c in column.items()}
+        q = {t: share(whole, t) for t in kept}
+        f = lambda x, y: (x - y) ** 2 // y
+        for s in column:
+            pairs = [(-sum(f(p[s][t], p[o][t]) for t in kept), o.encode(), o) for o in column if o != s]
+            terms = [(-f(p[s][t], q[t]), t.encode(), t) for t in kept if column[s][t] and p[s][t] > q[t]]
+            out += [(lang, s, "pair", o, -v, i) for i, (v, _, o) in enumerate(sorted(pairs), 1)]
+            out += [(lang, s, "term", t, -v, i) for i, (v, _, t) in enumerate(sorted(terms)[:200], 1)]
+    return out
