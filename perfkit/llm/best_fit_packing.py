@@ -7,7 +7,7 @@ again, round by round, until one group is left. Only lengths and check sums trav
 
 Ids come from a tokenizer with word ends that drops white space. Chunks between white space are
 encoded separately there, so a text is split by plain string operations and chunks are looked up;
-new words of a text are encoded in one library call. Irregular texts go to the library whole.
+new words go to the library's merges, and irregular texts to the library whole.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from perfkit.llm.common import ship, stored
-from perfkit.llm.pieces import MEMO_CHARS, Memo
+from perfkit.llm.pieces import Memo
+from perfkit.llm.token_files import BYTE_CHARS
 
 CAPACITY = 2048
 #: A sequence with at most so much room (a share of the capacity) is nearly full, and final.
@@ -39,12 +40,26 @@ GROUP = 4096
 END_ID = 0
 #: Characters of a text split at a time.
 STREAM = 1 << 18
-WORD_END = "</w>"
+#: Entries of one generation of the word memo.
+HELD_WORDS = 1_000_000
 #: Texts of other characters are irregular (classes, case or composition may differ between libraries).
 _ODD = re.compile("[^\\x20-\\x7E\\t\\n\\r\\u00A1-\\u012F\\u0132-\\u024F]")
+#: Marks next to each other are one piece.
+_MARKS_TOGETHER = re.compile("[^\\s0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]{2}")
+_SINGLE_MARKS = ",.;:!?|"
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+class Words(Memo):
+    """A memo of more entries: words are many, and a merge costs more than a place."""
+
+    def keep(self, key: str, value: bytes) -> None:
+        if len(self) >= HELD_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, for tokenizers with word ends."""
 
@@ -52,50 +67,44 @@ class WordEncoder:
         # One text is encoded at a time: the library's threads would only compete with Spark's tasks.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        vocab = self.library.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(self.library.get_vocab_size(), dtype=bool)
-        self.ends[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
+        self.merges = self.library.model.tokenize
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known = Memo(self._chunk)
+        self.known = Words(self._chunk)
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    def _whole(self, text: str) -> bytes:
+        ids = self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, dtype="<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        """What is no single word; a word and the marks that follow it are separate pieces."""
-        word = chunk.rstrip(_MARKS)
-        if word.isalpha() and len(word) < len(chunk):
-            return self.known[word] + self.known[chunk[len(word):]]
-        return self._ids(chunk).tobytes()
-
-    def _meet(self, chunks: list[str]) -> None:
-        """Puts the words among ``chunks`` that the memo lacks there, all in one library call."""
-        known, older = self.known, self.known.older
-        new = {c if c.isalpha() else c.rstrip(_MARKS) for c in set(chunks) if c not in known and c not in older}
-        words = [w for w in new if w.isalpha() and len(w) <= MEMO_CHARS and w not in known and w not in older]
-        if not words:
-            return
-        ids = self._ids(" ".join(words))
-        cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        if len(cuts) != len(words) or cuts[-1] != len(ids):
-            raise ValueError("a word has no single word end")
-        raw, at = ids.tobytes(), 0
-        for word, cut in zip(words, cuts):
-            known.keep(word, raw[4 * at:4 * cut])
-            at = cut
+        """A word is one piece and goes straight to the library's merges; any other chunk is split there."""
+        if not chunk.isalpha():
+            word = chunk.rstrip(_MARKS)
+            if word.isalpha():
+                return self.known[word] + self.known[chunk[len(word):]]
+            return self._whole(chunk)
+        raw = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(BYTE_CHARS)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.merges(raw)])
+
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        """Chunks of a regular text; a mark is a piece of its own where it stands beside no other."""
+        text = text.lower()
+        if not _MARKS_TOGETHER.search(text):
+            for mark in _SINGLE_MARKS:
+                if mark in text:
+                    text = text.replace(mark, f" {mark} ")
+        return text.split()
 
     def encode(self, text: str) -> Iterator[bytes]:
         """The ids of a text, in runs."""
         if _ODD.search(text) or any(s in text for s in self.specials):
-            yield self._ids(text).tobytes()
+            yield self._whole(text)
             return
         at = 0
         while at < len(text):
             end = text.find(" ", at + STREAM) if len(text) - at > STREAM else -1
             end = len(text) if end < 0 else end
-            chunks = text[at:end].lower().split()
-            self._meet(chunks)
-            yield b"".join(map(self.known.__getitem__, chunks))
+            yield b"".join(map(self.known.__getitem__, self._split(text[at:end])))
             at = end
 
 
