@@ -20,6 +20,7 @@ from perfkit.operators import cost as co
 from perfkit.operators import embed as em
 from perfkit.operators import evaluate as evl
 from perfkit.operators import findings as fd
+from perfkit.operators import plan_findings as pf
 from perfkit.operators import search as se
 from perfkit.operators import versions as vs
 from perfkit.plans import lifecycle as lc
@@ -27,6 +28,7 @@ from perfkit.operators import report as rp
 from perfkit.operators.stage_metrics import profile_stages, top_stages
 from perfkit.sources import conf as cf
 from perfkit.sources import eventlog as ev
+from perfkit.sources import sqlplans as sq
 from perfkit.sources.registry import Registry
 from perfkit.session import scratch_path
 
@@ -143,6 +145,37 @@ def q_findings_all(spark, sf_dir):
             .withColumn("evidence_value", F.round("evidence_value", R))
 
 
+def _sql_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    lines = ev.read_eventlog(spark, fx.sql_files(spark, sf_dir), rolled=True)
+    return lines, ev.parse_apps(ev.parse_events(lines, (ev.APP_START,)))
+
+
+def _evidence_rows(f: DataFrame) -> DataFrame:
+    return f.select("app_id", "code", "severity", "stage_id", "attempt", F.map_from_entries(F.transform(
+        F.map_entries("evidence"), lambda e: F.struct(e["key"], F.round(e["value"], R)))).alias("e"))
+
+
+def q_parse_plans(spark, sf_dir):
+    lines, apps = _sql_inputs(spark, sf_dir)
+    nodes = ev.with_app_id(sq.plan_nodes(lines), apps)
+    return nodes.select("app_id", "execution_id", "node_id", "parent_id", "name", F.size("metrics").alias("n_metrics"))
+
+
+def q_detect_join_strategy(spark, sf_dir):
+    lines, apps = _sql_inputs(spark, sf_dir)
+    limits = cf.broadcast_limits(profile_inputs(spark, sf_dir)["confs"])
+    e = _evidence_rows(pf.join_findings(sq.node_facts(lines), apps, limits))
+    keys = ["execution_id", "node_id", "small_bytes", "other_bytes", "broadcast_bytes", "output_rows"]
+    return e.select("app_id", "code", "severity", "stage_id", "attempt", *[F.col("e")[k].alias(k) for k in keys])
+
+
+def q_detect_file_layout(spark, sf_dir):
+    lines, apps = _sql_inputs(spark, sf_dir)
+    e = _evidence_rows(pf.file_findings(sq.node_facts(lines), apps))
+    keys = ["execution_id", "node_id", "files", "mean_mb", "num_tasks"]
+    return e.select("app_id", "code", "severity", "stage_id", "attempt", *[F.col("e")[k].alias(k) for k in keys])
+
+
 def _recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = profile_inputs(spark, sf_dir)
     m, _ = profile_stages(p["events"])
@@ -363,6 +396,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detect_shuffle_heavy": q_detect_shuffle_heavy,
     "detect_spill_gc": q_detect_spill_gc,
     "detect_partitioning": q_detect_partitioning,
+    "parse_plans": q_parse_plans,
+    "detect_join_strategy": q_detect_join_strategy,
+    "detect_file_layout": q_detect_file_layout,
     "findings_all": q_findings_all,
     "recommendations": q_recommendations,
     "recommendations_json": q_recommendations_json,

@@ -250,6 +250,107 @@ def profile_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return {"eventlogs": logs, "confs": confs}
 
 
+def fixture_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One SQL query per customer (FIXTURES §3b): a join of two shuffled scans. ``t`` is the sum of the
+    prices of the customer's orders, ``n`` their number."""
+    o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.count("*").alias("n"), F.floor(F.sum(F.col("o_totalprice").cast("decimal(15,2)"))).cast("bigint").alias("t"))
+    c = table(spark, sf_dir, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    k, n = F.col("c_custkey"), F.coalesce(F.col("n"), F.lit(0))
+    whole = k % 7 == 3
+    files = F.when(whole, n).otherwise(n * 50)
+    return c.select(
+        F.concat(F.lit("app-"), (k % 25).cast("string")).alias("app_id"), k.alias("q"),
+        (F.coalesce("t", F.lit(0)) * 1000).cast("bigint").alias("left_bytes"),
+        ((F.floor("c_acctbal").cast("bigint") + 1000) * 2000).alias("right_bytes"), files.cast("bigint").alias("files"),
+        (files * F.when(whole, 512 * MB).when(k % 5 == 0, MB).otherwise(64 * MB)).cast("bigint").alias("file_bytes"),
+        F.when(whole, n).otherwise(n * 100).cast("bigint").alias("tasks"), (n * n).cast("bigint").alias("rows"))
+
+
+MB = 1 << 20
+#: The join of a query by its number mod 8: node and join type; the adaptive plan of the last turns it into a broadcast join.
+QUERY_JOINS = (("SortMergeJoin", "Inner"), ("SortMergeJoin", "Inner"), ("ShuffledHashJoin", "RightOuter"),
+               ("SortMergeJoin", "LeftOuter"), ("SortMergeJoin", "FullOuter"), ("BroadcastNestedLoopJoin", "Cross"),
+               ("CartesianProduct", ""), ("SortMergeJoin", "Inner"))
+
+
+def sql_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(log_id, value)`` of the queries of ``fixture_queries``: start, one or two re-plans, driver
+    updates and three stages each. Accumulators of query q are q * 100 + i; its stages q * 10 + 1 (left
+    scan), + 2 (right scan) and + 3 (join)."""
+    qs = fixture_queries(spark, sf_dir)
+    q = F.col("q")
+
+    def node(name: Column, text: Column, metrics: list, inputs: list) -> Column:
+        pair = [F.struct(F.lit(m).alias("name"), (q * 100 + i).alias("accumulatorId"), F.lit("sum").alias("metricType"))
+                for m, i in metrics]
+        parts = [F.lit('{"nodeName":'), F.to_json(F.array(name)), F.lit(',"simpleString":'), F.to_json(F.array(text)),
+                 F.lit(',"metadata":{},"metrics":'), F.to_json(F.array(*pair)) if pair else F.lit("[]"),
+                 F.lit(',"children":[')]
+        for i, c in enumerate(inputs):
+            parts += [F.lit(","), c] if i else [c]
+        text = F.concat(*parts, F.lit("]}"))
+        # to_json of an array of one string: the brackets go
+        return F.regexp_replace(text, r'"(nodeName|simpleString)":\[("(?:[^"\\\\]|\\\\.)*")\]', '"$1":$2')
+
+    def side(i: int) -> Column:
+        scan = node(F.lit("Scan parquet t"), F.lit("FileScan parquet [k#1] Batched: true"),
+                    [("number of files read", i), ("size of files read", i + 1), ("number of output rows", i + 2)], [])
+        exchange = node(F.lit("Exchange"), F.lit("Exchange hashpartitioning(k#1, 200)"), [("data size", i + 3)], [scan])
+        return node(F.lit("Sort"), F.lit("Sort [k#1 ASC]"), [], [node(F.lit("ShuffleQueryStage"), F.lit("ShuffleQueryStage 0"), [], [exchange])])
+
+    def plan(name: Column, kind: Column, final: bool, first: int) -> Column:
+        text = F.concat_ws(" ", name, F.lit("[k#1], [k#2],"), kind)
+        join = node(name, text, [("number of output rows", first)], [side(10), side(20)])
+        return node(F.lit("AdaptiveSparkPlan"), F.lit(f"AdaptiveSparkPlan isFinalPlan={str(final).lower()}"), [], [join])
+
+    at = (q % 8).cast("int") + 1
+    name = F.element_at(F.array(*[F.lit(n) for n, _ in QUERY_JOINS]), at)
+    kind = F.element_at(F.array(*[F.lit(t) for _, t in QUERY_JOINS]), at)
+    last = F.when(at == 8, F.lit("BroadcastHashJoin")).otherwise(name)
+
+    def event(kind: str, *parts: Column) -> Column:
+        return F.concat(F.lit('{"Event":"org.apache.spark.sql.execution.ui.' + kind + '","executionId":'), q.cast("string"),
+                        *parts, F.lit("}"))
+
+    def with_plan(kind: str, p: Column) -> Column:
+        return event(kind, F.lit(',"physicalPlanDescription":"","sparkPlanInfo":'), p)
+
+    updates = F.to_json(F.array(*[F.array(q * 100 + i, v) for i, v in (
+        (10, F.col("files")), (11, F.col("file_bytes")), (20, F.lit(1).cast("bigint")), (21, F.lit(MB).cast("bigint")))]))
+
+    def stage(i: int, tasks: Column, values: list) -> Column:
+        acc = F.array(*[F.struct((q * 100 + a).alias("ID"), F.lit(n).alias("Name"), v.cast("string").alias("Value"))
+                        for a, n, v in values], F.struct(F.lit(7).cast("bigint").alias("ID"), F.lit("internal.metrics.peak").alias("Name"), F.lit("9").alias("Value")))
+        return F.to_json(F.struct(F.lit("SparkListenerStageCompleted").alias("Event"), F.struct(
+            (q * 10 + i).alias("Stage ID"), F.lit(0).alias("Stage Attempt ID"), tasks.alias("Number of Tasks"),
+            acc.alias("Accumulables")).alias("Stage Info")))
+
+    one = F.lit(1).cast("bigint")
+    lines = F.array(
+        with_plan("SparkListenerSQLExecutionStart", plan(F.lit("SortMergeJoin"), F.lit("Inner"), False, 1)),
+        F.when(q % 3 == 0, with_plan("SparkListenerSQLAdaptiveExecutionUpdate", plan(F.lit("SortMergeJoin"), F.lit("Inner"), False, 2))),
+        with_plan("SparkListenerSQLAdaptiveExecutionUpdate", plan(last, kind, True, 3)),
+        event("SparkListenerDriverAccumUpdates", F.lit(',"accumUpdates":'), updates),
+        stage(1, F.col("tasks"), [(12, "number of output rows", F.col("rows")), (13, "data size", F.col("left_bytes"))]),
+        stage(2, one, [(22, "number of output rows", F.col("rows")), (23, "data size", F.col("right_bytes"))]),
+        stage(3, F.lit(200).cast("bigint"), [(3, "number of output rows", F.col("rows") * 2)]))
+    queries = qs.select(F.col("app_id").alias("log_id"), F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("value"))
+    starts = qs.select("app_id").distinct().select(F.col("app_id").alias("log_id"), F.to_json(F.struct(
+        F.lit("SparkListenerApplicationStart").alias("Event"), F.lit("sql").alias("App Name"),
+        F.col("app_id").alias("App ID"), F.lit(1).alias("Timestamp"))).alias("value"))
+    return starts.unionByName(queries)
+
+
+def sql_files(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of ``sql_lines``, written once like the other logs."""
+    path = os.path.join(checkpoint_dir(spark), "fixtures", _source_key(sf_dir, ("customer", "orders")), "sqllogs")
+    if not _complete(path):
+        (sql_lines(spark, sf_dir).withColumnRenamed("log_id", "log")
+         .write.mode("overwrite").partitionBy("log").text(path))
+    return path
+
+
 # ------------------------------------------------------------------ retrieval
 
 # Fixture versions. Dense: outputs of the projection (of the source width: the vector).

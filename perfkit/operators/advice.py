@@ -1,6 +1,6 @@
 """Findings -> ranked recommendations (R1-R7, J2, J3, T5) and their JSON sink.
 
-The rules are a seven-row table joined by code with a broadcast hint (its size is
+The rules are a table of eleven rows joined by code with a broadcast hint (its size is
 fixed by the number of codes). Two skew actions are swapped when the
 application's conf already enables AQE or skew-join handling.
 """
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfkit.operators import findings as fd
+from perfkit.operators import plan_findings as pf
 from perfkit.operators.ranking import rank_within
 from perfkit.sources.conf import conf_typed
 
@@ -71,13 +72,38 @@ RULES = [
      None, None, None, None),
 ]
 
+# Rules for the findings on executed plans.
+PLAN_RULES = [
+    (pf.MISSED_BROADCAST, "Send the small side of the join to every executor",
+     "A side this small can be copied instead; then the large side need not be shuffled and sorted at all.",
+     ["Collect table statistics (ANALYZE TABLE), so that the planner knows the size before it runs.",
+      "Keep adaptive execution on: it turns such joins into broadcasts once the shuffle's size is known.",
+      "Add a broadcast hint where the size is certain to stay small."],
+     None, None, None, None),
+    (pf.NESTED_LOOP, "Give the join an equality condition",
+     "Without one every row is compared with every other, and the work grows with the product of both sides.",
+     ["Look for a missing or mistyped join condition, or one under OR, which hides its equalities.",
+      "Turn a range condition into an equality on a bucket of the range, and check the range afterwards."],
+     None, None, None, None),
+    (pf.SMALL_FILES, "Write fewer, larger files",
+     "Each file costs a listing, an open and a footer; with small files these take longer than the data.",
+     ["Rewrite the table with files of 128 MB to 1 GB, and do so again whenever many small ones have gathered.",
+      "Let the writing job merge its last partitions, or repartition by the folder columns before the write."],
+     None, None, None, None),
+    (pf.UNSPLITTABLE, "Store the files in a form that can be split",
+     "A file that can't be split is read by one task from start to end, however many cores are free.",
+     ["Replace gzip text by Parquet, or by a compression that can be cut into blocks.",
+      "Until then, have the producer write more and smaller files."],
+     None, None, None, None),
+]
+
 # Severity order for ranking (anything else ranks last).
 SEVERITY_RANK = {"ERROR": 0, "WARN": 1, "INFO": 2}
 OTHER_RANK = 9
 
 
 def rules_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RULES, RULE_SCHEMA)
+    return spark.createDataFrame(RULES + PLAN_RULES, RULE_SCHEMA)
 
 
 def severity_rank(col: str = "severity"):

@@ -459,8 +459,60 @@ FROM (SELECT * FROM deval WHERE version <> 'v2' UNION ALL SELECT * FROM deval10)
     }
 
 
+QUERIES = """
+cust AS (
+  SELECT c_custkey AS q, 'app-' || CAST(c_custkey % 25 AS VARCHAR) AS app_id, coalesce(n, 0) AS n,
+         coalesce(t, 0) * 1000 AS left_bytes, (CAST(floor(c_acctbal) AS BIGINT) + 1000) * 2000 AS right_bytes
+  FROM customer LEFT JOIN (
+    SELECT o_custkey, count(*) AS n, CAST(floor(sum(CAST(o_totalprice AS DECIMAL(15,2)))) AS BIGINT) AS t
+    FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey
+),
+queries AS (
+  SELECT *, CASE WHEN q % 7 = 3 THEN n ELSE n * 50 END AS files,
+         CASE WHEN q % 7 = 3 THEN n * 512 WHEN q % 5 = 0 THEN n * 50 ELSE n * 50 * 64 END AS file_mb,
+         CASE WHEN q % 7 = 3 THEN n ELSE n * 100 END AS tasks,
+         CASE q % 8 WHEN 2 THEN 'ShuffledHashJoin' WHEN 5 THEN 'BroadcastNestedLoopJoin'
+                    WHEN 6 THEN 'CartesianProduct' WHEN 7 THEN 'BroadcastHashJoin' ELSE 'SortMergeJoin' END AS name,
+         CASE q % 8 WHEN 2 THEN left_bytes WHEN 3 THEN right_bytes WHEN 4 THEN NULL
+                    ELSE least(left_bytes, right_bytes) END AS small
+  FROM cust
+)"""
+
+
+def _plans() -> dict[str, str]:
+    none = "CAST(NULL AS DOUBLE)"
+    return {
+        "parse_plans": _with(QUERIES) + """
+SELECT app_id, q AS execution_id, v.node_id, v.parent_id, coalesce(v.name, queries.name) AS name, v.n_metrics
+FROM queries, (VALUES (0, NULL, 'AdaptiveSparkPlan', 0), (1, 0, NULL, 3), (2, 1, 'Sort', 0), (3, 2, 'ShuffleQueryStage', 0),
+  (4, 3, 'Exchange', 1), (5, 4, 'Scan parquet t', 3), (6, 1, 'Sort', 0), (7, 6, 'ShuffleQueryStage', 0),
+  (8, 7, 'Exchange', 1), (9, 8, 'Scan parquet t', 3)) v(node_id, parent_id, name, n_metrics)""",
+        "detect_join_strategy": _with(QUERIES) + f"""
+SELECT app_id, 'MISSED_BROADCAST' AS code,
+       CASE WHEN greatest(left_bytes, right_bytes) >= 1073741824 THEN 'ERROR' ELSE 'WARN' END AS severity,
+       q * 10 + 3 AS stage_id, CAST(0 AS BIGINT) AS attempt, CAST(q AS DOUBLE) AS execution_id, 1.0::DOUBLE AS node_id,
+       CAST(small AS DOUBLE) AS small_bytes, CAST(greatest(left_bytes, right_bytes) AS DOUBLE) AS other_bytes,
+       10485760.0::DOUBLE AS broadcast_bytes, {none} AS output_rows
+FROM queries WHERE name IN ('SortMergeJoin', 'ShuffledHashJoin') AND small <= 10485760
+UNION ALL
+SELECT app_id, 'NESTED_LOOP_JOIN', CASE WHEN name = 'CartesianProduct' THEN 'ERROR' ELSE 'WARN' END,
+       q * 10 + 3, 0, q, 1.0, {none}, {none}, {none}, CAST(n * n * 2 AS DOUBLE)
+FROM queries WHERE name IN ('BroadcastNestedLoopJoin', 'CartesianProduct')""",
+        "detect_file_layout": _with(QUERIES) + f"""
+SELECT app_id, 'SMALL_FILES' AS code, CASE WHEN files >= 1000 THEN 'ERROR' ELSE 'WARN' END AS severity,
+       q * 10 + 1 AS stage_id, CAST(0 AS BIGINT) AS attempt, CAST(q AS DOUBLE) AS execution_id, 5.0::DOUBLE AS node_id,
+       CAST(files AS DOUBLE) AS files, round(CAST(file_mb AS DOUBLE) / files, 6) AS mean_mb, {none} AS num_tasks
+FROM queries WHERE files >= 100 AND file_mb / files < 32
+UNION ALL
+SELECT app_id, 'UNSPLITTABLE_FILES', 'WARN', q * 10 + 1, 0, q, 5.0, files, round(CAST(file_mb AS DOUBLE) / files, 6),
+       CAST(tasks AS DOUBLE)
+FROM queries WHERE files > 0 AND file_mb / files > 256 AND tasks > 0 AND tasks <= files""",
+    }
+
+
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(_profile())
+ORACLE_SQL.update(_plans())
 ORACLE_SQL.update(_extra())
 ORACLE_SQL.update(_retrieval())
 ORACLE_SQL.update(_lifecycle())

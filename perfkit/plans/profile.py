@@ -1,7 +1,8 @@
 """Event logs + confs + clusters -> metrics, findings, recommendations, report.
 
-One call profiles every application found under the given paths. The event logs
-are scanned once (see ``stage_metrics.profile_stages``).
+One call profiles every application found under the given paths. Tasks and stages are read in
+one scan of the event logs (see ``stage_metrics.profile_stages``), query plans and their
+metrics in further ones that parse only those lines.
 """
 
 from __future__ import annotations
@@ -10,19 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from perfkit.operators import advice, cost, findings, report
+from perfkit.operators import advice, cost, findings, plan_findings, report
 from perfkit.operators.stage_metrics import profile_stages
-from perfkit.sources import conf, eventlog
+from perfkit.sources import conf, eventlog, sqlplans
 
 
 def profile(spark: SparkSession, eventlog_paths, conf_paths=None, clusters: DataFrame | None = None,
-            rolled: bool = False, conf_by: str = "file", exact: bool = True) -> dict[str, DataFrame]:
+            rolled: bool = False, conf_by: str = "file") -> dict[str, DataFrame]:
     lines = eventlog.read_eventlog(spark, eventlog_paths, rolled=rolled)
     events = eventlog.parse_events(lines)
-    metrics, apps = profile_stages(events, exact=exact)
+    metrics, apps = profile_stages(events)
     confs = conf.read_confs(spark, conf_paths, by=conf_by) if conf_paths else None
     settings = conf.app_settings(confs, clusters) if (confs is not None and clusters is not None) else None
-    f = findings.findings_all(metrics, settings)
+    plans = plan_findings.plan_findings(sqlplans.node_facts(lines), apps,
+                                        limits=conf.broadcast_limits(confs) if confs is not None else None)
+    f = findings.findings_all(metrics, settings).unionByName(plans)
     recs = advice.recommend(f, confs)
     out = {"lines": lines, "apps": apps, "metrics": metrics, "findings": f, "recommendations": recs,
            "report": report.report_lines(apps, metrics, f, recs),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfkit.functions.conf_values import conf_bool, conf_int
+from perfkit.functions.conf_values import conf_bool, conf_bytes, conf_int
 
 # Configuration keys and their defaults as the profiler reads them.
 SHUFFLE_PARTITIONS = ("spark.sql.shuffle.partitions", 200)
@@ -68,6 +68,12 @@ def conf_typed(confs: DataFrame) -> DataFrame:
         conf_bool(c, *SKEW_JOIN_ENABLED).alias("skew_join_enabled"))
 
 
+def broadcast_limits(confs: DataFrame) -> DataFrame:
+    """``(app_id, broadcast_bytes)``: the largest table that the application lets Spark broadcast."""
+    limit = conf_bytes(F.col("conf"), "spark.sql.autoBroadcastJoinThreshold", 10 * 1024 * 1024)
+    return confs.select("app_id", limit.alias("broadcast_bytes"))
+
+
 def _valid(clusters: DataFrame):
     return ((F.col("nodes") >= 1) & (F.col("cores_per_node") >= 1)
             & (F.col("memory_gb_per_node") > 0) & (F.col("rate_per_node_hour") >= 0)

@@ -26,33 +26,31 @@ STAGE_COMPLETED = "SparkListenerStageCompleted"
 TASK_END = "SparkListenerTaskEnd"
 EVENT_KINDS = (APP_START, STAGE_COMPLETED, TASK_END)
 
-# The event-log fields read, with both key spellings, and the same
-# struct with distinct names (cast by position). Numbers are read as text, so that a
-# quoted or fractional one is not lost; ``_bad`` holds a line whose JSON does not parse.
+# The event-log fields read, with both key spellings; ``_bad`` holds a line
+# that is no JSON or has a number field that is no number. ``#`` stands for NUMBER.
 EVENT_SCHEMA = (
-    "`Event` string, `Stage ID` string, `Stage Id` string, `Stage Attempt ID` string, "
-    "`Stage Attempt Id` string, "
-    "`Task Info` struct<`Task ID`: string, `Task Id`: string, `Launch Time`: string, `Finish Time`: string>, "
-    "`Task Metrics` struct<`Executor Run Time`: string, `JVM GC Time`: string, "
-    "`Memory Bytes Spilled`: string, `Disk Bytes Spilled`: string, "
-    "`Shuffle Read Metrics`: struct<`Remote Bytes Read`: string, `Local Bytes Read`: string>, "
-    "`Shuffle Write Metrics`: struct<`Shuffle Bytes Written`: string>>, "
-    "`Stage Info` struct<`Stage ID`: string, `Stage Id`: string, `Stage Attempt ID`: string, "
-    "`Stage Attempt Id`: string, `Stage Name`: string, `Number of Tasks`: string, "
-    "`Submission Time`: string, `Completion Time`: string>, "
-    "`App Name` string, `App ID` string, `App Id` string, `Timestamp` string, `_bad` string")
+    "`Event` string, `Stage ID` #, `Stage Id` #, `Stage Attempt ID` #, `Stage Attempt Id` #, "
+    "`Task Info` struct<`Task ID`: #, `Task Id`: #, `Launch Time`: #, `Finish Time`: #>, "
+    "`Task Metrics` struct<`Executor Run Time`: #, `JVM GC Time`: #, "
+    "`Memory Bytes Spilled`: #, `Disk Bytes Spilled`: #, "
+    "`Shuffle Read Metrics`: struct<`Remote Bytes Read`: #, `Local Bytes Read`: #>, "
+    "`Shuffle Write Metrics`: struct<`Shuffle Bytes Written`: #>>, "
+    "`Stage Info` struct<`Stage ID`: #, `Stage Id`: #, `Stage Attempt ID`: #, `Stage Attempt Id`: #, "
+    "`Stage Name`: string, `Number of Tasks`: #, `Submission Time`: #, `Completion Time`: #>, "
+    "`App Name` string, `App ID` string, `App Id` string, `Timestamp` #, `_bad` string")
+# The same fields with distinct names (cast by position); the cast cuts fractions off.
 EVENT_STRUCT = (
-    "struct<event: string, sid_a: string, sid_b: string, att_a: string, att_b: string, "
-    "ti: struct<tid_a: string, tid_b: string, launch: string, finish: string>, "
-    "tm: struct<run: string, gc: string, spill_mem: string, spill_disk: string, "
-    "sr: struct<remote: string, local: string>, sw: struct<written: string>>, "
-    "si: struct<sid_a: string, sid_b: string, att_a: string, att_b: string, name: string, "
-    "num_tasks: string, submitted: string, completed: string>, "
-    "app_name: string, app_a: string, app_b: string, ts: string, bad: string>")
-# The number fields of EVENT_STRUCT.
-NUMBERS = ("sid_a", "sid_b", "att_a", "att_b", "ti.tid_a", "ti.tid_b", "ti.launch", "ti.finish", "tm.run", "tm.gc",
-           "tm.spill_mem", "tm.spill_disk", "tm.sr.remote", "tm.sr.local", "tm.sw.written", "si.sid_a", "si.sid_b",
-           "si.att_a", "si.att_b", "si.num_tasks", "si.submitted", "si.completed", "ts")
+    "struct<event: string, sid_a: bigint, sid_b: bigint, att_a: bigint, att_b: bigint, "
+    "ti: struct<tid_a: bigint, tid_b: bigint, launch: bigint, finish: bigint>, "
+    "tm: struct<run: bigint, gc: bigint, spill_mem: bigint, spill_disk: bigint, "
+    "sr: struct<remote: bigint, local: bigint>, sw: struct<written: bigint>>, "
+    "si: struct<sid_a: bigint, sid_b: bigint, att_a: bigint, att_b: bigint, name: string, "
+    "num_tasks: bigint, submitted: bigint, completed: bigint>, "
+    "app_name: string, app_a: string, app_b: string, ts: bigint, bad: string>")
+# The JSON reader takes plain, fractional and quoted numbers for a decimal, in one pass; numbers of
+# up to 18 digits fit, and so does their cast.
+NUMBER = "decimal(27,9)"
+CORRUPT = {"columnNameOfCorruptRecord": "_bad"}
 
 TASK_METRICS = ["task_id", "duration_ms", "gc_time_ms", "shuffle_read_bytes", "shuffle_write_bytes",
                 "spill_mem_bytes", "spill_disk_bytes"]
@@ -81,24 +79,20 @@ def _j(path: str) -> Column:
     return F.col("j." + path)
 
 
-def _number(path: str) -> Column:
-    """A number, quoted or not; a fraction is cut off. Null if absent or unreadable."""
-    text = _j(path)
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,9)").try_cast("bigint"))
-
-
-def _unreadable() -> Column:
-    """True for a line whose JSON is malformed or that has a number field that is no number."""
-    odd = [_j(path).isNotNull() & _number(path).isNull() for path in NUMBERS]
-    return _j("bad").isNotNull() | reduce(lambda a, b: a | b, odd)
+def _parse(value: Column) -> Column:
+    return F.from_json(value, EVENT_SCHEMA.replace("#", NUMBER), CORRUPT).cast(EVENT_STRUCT)
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
+    """``j``: the line's fields; ``j.bad`` is set for an unreadable line."""
     # The parse is produced through a one-element explode: filters on its fields
     # cannot be pushed below a generator, so the optimizer cannot copy the parse into
-    # the filter and run it twice per line.
-    parsed = F.from_json("value", EVENT_SCHEMA, {"columnNameOfCorruptRecord": "_bad"}).cast(EVENT_STRUCT)
-    return lines.select("log_id", "value", F.explode(F.array(parsed)).alias("j"))
+    # the filter and run it twice per line. Only a line that was not read is tried again, with
+    # the blanks inside quoted numbers taken out.
+    tidy = F.regexp_replace("value", r':\s*"\s*(-?[0-9.]+)\s*"', ':"$1"')
+    parsed = F.transform(F.array(_parse(F.col("value"))),
+                         lambda j: F.when(j.getField("bad").isNull(), j).otherwise(_parse(tidy)))
+    return lines.select("log_id", "value", F.explode(parsed).alias("j"))
 
 
 def parse_events(lines: DataFrame, kinds: tuple[str, ...] = EVENT_KINDS) -> DataFrame:
@@ -111,7 +105,7 @@ def parse_events(lines: DataFrame, kinds: tuple[str, ...] = EVENT_KINDS) -> Data
     # one. Blank lines never contain an event name, so they are skipped here too.
     wanted = reduce(lambda a, b: a | b, [F.col("value").contains(k) for k in kinds])
     ev = _parsed(lines.where(wanted)).select("log_id", _j("event").alias("event"), "j")
-    return ev.where(F.col("event").isin(*kinds) & ~_unreadable())
+    return ev.where(F.col("event").isin(*kinds) & _j("bad").isNull())
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
@@ -120,7 +114,10 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     number. No such line is in ``parse_events``; other event kinds are not rejects."""
     text = F.regexp_replace("value", r"^\s+|\s+$", "")
     found = _parsed(lines.where(text != ""))
-    odd = F.col("j").isNull() | _j("bad").isNotNull() | (_j("event").isin(*EVENT_KINDS) & _unreadable())
+    # Of other kinds only a malformed line is a reject, not one with an odd number.
+    other = ~F.coalesce(_j("event").isin(*EVENT_KINDS), F.lit(False))
+    whole = F.from_json("value", "`Event` string, `_bad` string", CORRUPT)
+    odd = F.col("j").isNull() | (_j("bad").isNotNull() & (~other | whole.getField("_bad").isNotNull()))
     return found.where(odd).select("log_id", "value")
 
 
@@ -128,11 +125,11 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
 
 def _either(a: str, b: str, default: int) -> Column:
     """Read a key, fall back to its second spelling, then to ``default``."""
-    return F.coalesce(_number(a), _number(b), F.lit(default).cast("bigint"))
+    return F.coalesce(_j(a), _j(b), F.lit(default).cast("bigint"))
 
 
 def _zero(path: str) -> Column:  # P6: missing or null metric -> 0
-    return F.coalesce(_number(path), F.lit(0).cast("bigint"))
+    return F.coalesce(_j(path), F.lit(0).cast("bigint"))
 
 
 def _app_cols() -> dict[str, Column]:
@@ -140,7 +137,7 @@ def _app_cols() -> dict[str, Column]:
     return {
         "app_id": F.coalesce(F.nullif(_j("app_a"), F.lit("")), _j("app_b")),
         "app_name": _j("app_name"),
-        "ts": F.coalesce(_number("ts"), F.lit(-1).cast("bigint")),
+        "ts": F.coalesce(_j("ts"), F.lit(-1).cast("bigint")),
     }
 
 
@@ -151,14 +148,14 @@ def _stage_cols() -> dict[str, Column]:
         "attempt": _either("si.att_a", "si.att_b", 0),
         "name": F.coalesce(_j("si.name"), F.lit("")),
         "num_tasks": _zero("si.num_tasks"),
-        "submission_time_ms": _number("si.submitted"),
-        "completion_time_ms": _number("si.completed"),
+        "submission_time_ms": _j("si.submitted"),
+        "completion_time_ms": _j("si.completed"),
     }
 
 
 def _task_cols() -> dict[str, Column]:
     """P4-P8 fields of a task-end record."""
-    launch, finish = _number("ti.launch"), _number("ti.finish")
+    launch, finish = _j("ti.launch"), _j("ti.finish")
     return {
         "stage_id": _either("sid_a", "sid_b", -1),
         "attempt": _either("att_a", "att_b", 0),

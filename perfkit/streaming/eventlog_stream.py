@@ -51,6 +51,6 @@ def ingest(spark: SparkSession, source: str, table: str, checkpoint: str | None
     return q
 
 
-def profile_rows(spark: SparkSession, table: str, exact: bool = True) -> tuple[DataFrame, DataFrame]:
+def profile_rows(spark: SparkSession, table: str) -> tuple[DataFrame, DataFrame]:
     """Stage metrics and apps from the ingested rows (one batch aggregation)."""
-    return profile_from_rows(spark.read.parquet(table), exact=exact)
+    return profile_from_rows(spark.read.parquet(table))

@@ -23,10 +23,8 @@ def test_app_runtime_and_approx_percentiles(spark):
     events = ev.parse_events(lines)
     rt = co.app_runtime(ev.parse_stages(events)).first()
     assert rt["runtime_seconds"] == 90
-    exact, _ = profile_stages(events, materialize=False)
-    approx, _ = profile_stages(events, exact=False, materialize=False)
-    e = {r["stage_id"]: r for r in exact.collect()}
-    a = {r["stage_id"]: r for r in approx.collect()}
-    assert e[1]["task_p50_ms"] == 50.5 and abs(a[1]["task_p50_ms"] - 50.5) <= 1.0
-    flat = fd.flat_findings(fd.findings_all(exact)).collect()
+    metrics, _ = profile_stages(events, materialize=False)
+    e = {r["stage_id"]: r for r in metrics.collect()}
+    assert e[1]["task_p50_ms"] == 50.5
+    flat = fd.flat_findings(fd.findings_all(metrics)).collect()
     assert all(r["key"] and r["value"] is not None for r in flat)
