@@ -281,7 +281,7 @@ def q_artifact_roundtrip(spark, sf_dir):
     reg.write_vectors(em.embed_text(em.doc_text(_docs(spark, sf_dir)), vs_), 100)
     reg.replace_golden(fx.text_golden(spark, sf_dir))
     stored = reduce(DataFrame.unionByName, [reg.read_vectors(v) for v in vs_])
-    return _hit_rows(se.topk(stored, text_queries(reg.golden(), vs_), 5, dims=vs_))
+    return _hit_rows(se.topk(stored, text_queries(reg.golden(), vs_), 5, dims=vs_, stored=True))
 
 
 def q_topk_text(spark, sf_dir):
@@ -356,10 +356,16 @@ def q_eval_latest(spark, sf_dir):
 
 
 def _lifecycle(spark, sf_dir) -> dict:
-    h, g = _dense_hits(spark, sf_dir)
-    evals = evl.evaluate(h, g)
-    builds = em.build_rows(em.embed_dense(fx.dense_docs(spark, sf_dir), fx.DENSE_VERSIONS, fx.DENSE_WIDTH), 100)
-    return lc.run_steps(evals, builds)
+    """The steps of the lifecycle queries; versions are built and evaluated once for all of them."""
+    def evaluated() -> DataFrame:
+        h, g = _dense_hits(spark, sf_dir)
+        return evl.evaluate(h, g)
+
+    def built() -> DataFrame:
+        return em.build_rows(em.embed_dense(fx.dense_docs(spark, sf_dir), fx.DENSE_VERSIONS, fx.DENSE_WIDTH), 100)
+
+    evals = fx.made_once(spark, sf_dir, ("embeddings",), "dense-evaluation", evaluated)
+    return lc.run_steps(evals, fx.made_once(spark, sf_dir, ("embeddings",), "dense-builds", built))
 
 
 def q_promote_gate(spark, sf_dir):

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import hashlib
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfkit.session import checkpoint_dir
+from perfkit.session import checkpoint_dir, path_exists, path_stamp
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -218,16 +219,25 @@ def cost_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 FORM = 2
 
 
-def _source_key(sf_dir: str, names: tuple[str, ...]) -> str:
-    h = hashlib.sha1(f"{FORM}:{os.path.realpath(sf_dir)}".encode())
+def _source_key(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> str:
+    h = hashlib.sha1(f"{FORM}:{sf_dir.rstrip('/')}".encode())
     for n in names:
-        st = os.stat(os.path.join(sf_dir, f"{n}.parquet"))
-        h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())
+        h.update(f"{n}:{path_stamp(spark, os.path.join(sf_dir, f'{n}.parquet'))}".encode())
     return h.hexdigest()[:16]
 
 
-def _complete(path: str) -> bool:
-    return os.path.exists(os.path.join(path, "_SUCCESS"))
+def _complete(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, os.path.join(path, "_SUCCESS"))
+
+
+def made_once(spark: SparkSession, sf_dir: str, sources: tuple[str, ...], name: str,
+              make: Callable[[], DataFrame]) -> DataFrame:
+    """The table ``make`` gives, written under the shared folder once and read while the source tables
+    are unchanged."""
+    path = os.path.join(checkpoint_dir(spark), "fixtures", _source_key(spark, sf_dir, sources), name)
+    if not _complete(spark, path):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def profile_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -239,12 +249,12 @@ def profile_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     per file). Re-used while the source tables are unchanged.
     """
     base = os.path.join(checkpoint_dir(spark), "fixtures",
-                        _source_key(sf_dir, ("lineitem", "supplier", "nation")))
+                        _source_key(spark, sf_dir, ("lineitem", "supplier", "nation")))
     logs, confs = os.path.join(base, "eventlogs"), os.path.join(base, "confs")
-    if not _complete(logs):
+    if not _complete(spark, logs):
         (eventlog_lines(spark, sf_dir).withColumnRenamed("log_id", "log")
          .write.mode("overwrite").partitionBy("log").text(logs))
-    if not _complete(confs):
+    if not _complete(spark, confs):
         (conf_json(spark, sf_dir).select(F.col("app_id").alias("app"), F.col("json"))
          .write.mode("overwrite").partitionBy("app").text(confs))
     return {"eventlogs": logs, "confs": confs}
@@ -344,8 +354,8 @@ def sql_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_files(spark: SparkSession, sf_dir: str) -> str:
     """The folder of ``sql_lines``, written once like the other logs."""
-    path = os.path.join(checkpoint_dir(spark), "fixtures", _source_key(sf_dir, ("customer", "orders")), "sqllogs")
-    if not _complete(path):
+    path = os.path.join(checkpoint_dir(spark), "fixtures", _source_key(spark, sf_dir, ("customer", "orders")), "sqllogs")
+    if not _complete(spark, path):
         (sql_lines(spark, sf_dir).withColumnRenamed("log_id", "log")
          .write.mode("overwrite").partitionBy("log").text(path))
     return path

@@ -1,14 +1,14 @@
 """Versioned embedders and the version build.
 
-Two built-in embedders, both pure SQL expressions:
+Two built-in embedders and a plug-in:
 
-* dense projection: a version sums all dimensions of a source vector, with hashed signs, into
-  ``d`` outputs;
-* hashed text: a version hashes tokens into ``dim`` buckets and counts them.
+* dense projection (SQL expressions): a version sums all dimensions of a source vector, with hashed
+  signs, into ``d`` outputs;
+* hashed text (Arrow batches): a version hashes tokens into ``dim`` buckets and counts them;
+* user models (Arrow batches).
 
-Every version is built in one pass over the input (the version list is exploded
-next to each row), so the text is read once however many versions there are. No
-embedder groups, joins or repartitions.
+Every version is built in one pass over the input, so the text is read once however many versions
+there are. No embedder groups, joins or repartitions.
 Dense vectors are stored as given (float32) and sparse ones as integer counts;
 cosine normalisation (F9) happens in double when scoring, which keeps scores
 exact for integer counts.
@@ -18,15 +18,19 @@ from __future__ import annotations
 
 import hashlib
 import sys
+import uuid
+from collections import Counter
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from perfkit.functions import text_hash as th
 from perfkit.functions.vectors import l2_normalize
+from perfkit.session import worker_cache
 
 
 # Functions of this module run in Python workers; pickle them by value so workers
@@ -76,45 +80,76 @@ def embed_dense(df: DataFrame, versions: dict[str, int], width: int, id_col: str
     return x.select(F.col("_v.version").alias("version"), "doc_id", out.alias("embedding"))
 
 
+#: Buckets of so many tokens are kept by a worker, for each version.
+HELD_TOKENS = 500_000
+#: Bytes of a text split at a time.
+SLICE = 1 << 20
+
+
+class Buckets(dict):
+    """Token -> bucket of one version, hashed when first seen; a full table starts anew."""
+
+    def __init__(self, version: str, dim: int):
+        super().__init__()
+        self.prefix, self.dim = f"{version}{th.SEP}".encode(), dim
+
+    def __missing__(self, token: bytes) -> int:
+        if len(self) >= HELD_TOKENS:
+            self.clear()
+        made = self[token] = int.from_bytes(hashlib.md5(self.prefix + token).digest()[:4], "big") % self.dim
+        return made
+
+
+def token_counts(text: str) -> Counter:
+    """Occurrences of each token; a text without tokens has one empty token."""
+    data = text.encode()
+    if len(data) <= SLICE:
+        return Counter(data.split() or (b"",))
+    found, at = Counter(), 0
+    while at < len(data):
+        end = data.find(b" ", at + SLICE)
+        end = len(data) if end < 0 else end
+        found.update(data[at:end].split())
+        at = end
+    return found or Counter((b"",))
+
+
 def embed_text(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """Hashed-text embedder: ``(version, doc_id, indices, counts)``, indices ascending.
 
-    A document's tokens are all in its row, so its sparse vector is built inside the
-    row, with no shuffle: hash every token to its bucket, sort the buckets, and
-    run-length count them (run starts are where a bucket differs from the one
-    before). Work is linear in the text and independent of how documents are
-    distributed.
+    A document's tokens are all in its row, so its sparse vectors are built inside the row, with no
+    shuffle: its distinct tokens are counted once, each is hashed once per version (and looked up when
+    it comes again), and the counts of a bucket are added. Null texts have no vector.
     """
-    # Null texts are dropped up front, on the raw column: a filter on the hashed
-    # array would be pushed into the projection and hash every token twice.
-    src = df.where(F.col(text_col).isNotNull())
-    x = src.select(F.col(id_col).alias("doc_id"), th.tokens(F.col(text_col)).alias("_t"),
-                   _versions(versions))
-    v, dim = F.col("_v.version"), F.col("_v.dim")
-    b = F.array_sort(F.transform("_t", lambda tk: th.bucket(v, tk, dim)))
-    x = x.select(v.alias("version"), "doc_id", b.alias("_b"))
-    n = F.size("_b")
-    starts = F.filter(F.sequence(F.lit(1), n),
-                      lambda i: (i == 1) | (F.element_at("_b", i) != F.try_element_at("_b", i - 1)))
-    x = x.select("version", "doc_id", "_b", starts.alias("_s"))
-    idx = F.transform("_s", lambda i: F.element_at("_b", i))
-    cnt = F.transform(F.sequence(F.lit(1), F.size("_s")), lambda j: (
-        F.coalesce(F.try_element_at("_s", j + 1), F.size("_b") + 1) - F.element_at("_s", j)).cast("bigint"))
-    return x.select("version", "doc_id", idx.alias("indices"), cnt.alias("counts"))
-
-
-def _model_udf(factory):
-    cache: dict = {}
-
-    @pandas_udf("array<float>")
-    def run(texts: pd.Series) -> pd.Series:
-        if "m" not in cache:          # once per Python worker
-            cache["m"] = factory()
-        vecs = cache["m"](texts.fillna("").tolist())
-        return pd.Series([list(map(float, v)) for v in vecs])
-
-    return run
+    def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = {v: worker_cache().setdefault(("buckets", v, d), Buckets(v, d)) for v, d in versions.items()}
+        for batch in batches:
+            counted = [token_counts(t.as_py()) for t in batch.column("text")]
+            tokens = [list(c) for c in counted]
+            times = [np.fromiter(c.values(), dtype=np.int64, count=len(c)) for c in counted]
+            for version, table in tables.items():
+                indices, counts = [], []
+                for of, n in zip(tokens, times):
+                    bucket = np.fromiter(map(table.__getitem__, of), dtype=np.int64, count=len(of))
+                    total = np.bincount(bucket, weights=n)  # sums below 2 ** 53 are exact
+                    at = np.flatnonzero(total)
+                    indices.append(at)
+                    counts.append(total[at].astype(np.int64))
+                ends = np.cumsum([0, *map(len, indices)]).astype(np.int32)
+                flat = (pa.array(np.concatenate(x)) for x in (indices, counts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([version] * len(batch), pa.string()), batch.column("doc_id"),
+                     *(pa.ListArray.from_arrays(pa.array(ends), x.cast(t)) for x, t in zip(flat, (pa.int32(), pa.int64())))],
+                    names=["version", "doc_id", "indices", "counts"])
+
+    src = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return src.mapInArrow(embed, f"version string, doc_id {kind}, indices array<int>, counts array<bigint>")
+
+
+#: Models that a worker keeps.
+HELD_MODELS = 8
 
 
 def embed_with(df: DataFrame, versions: dict[str, object], id_col: str = "doc_id",
@@ -122,16 +157,34 @@ def embed_with(df: DataFrame, versions: dict[str, object], id_col: str = "doc_id
     """X1 plug-in: embed with user models, ``(version, doc_id, embedding array<float>)``.
 
     ``versions`` maps a version name to a factory ``() -> model`` where
-    ``model(list[str]) -> array-like (n, dim)``. The factory runs once per Python
-    worker (cached), batches arrive through Arrow, and the output is stored like
-    any dense version, so search, evaluation and the gate apply unchanged.
+    ``model(list[str]) -> array-like (n, dim)``. All versions come from one pass over the texts, a
+    batch at a time (a null text is an empty one). A factory runs once per Python worker process; the
+    worker keeps the model for later tasks.
     """
-    out = None
-    for name, factory in versions.items():
-        part = df.select(F.lit(name).alias("version"), F.col(id_col).alias("doc_id"),
-                         _model_udf(factory)(F.col(text_col)).alias("embedding"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    key = uuid.uuid4().hex  # models of one call are not those of another
+
+    def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = worker_cache().setdefault("models", {})
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for version, factory in versions.items():
+                if (key, version) not in held:
+                    while len(held) >= max(HELD_MODELS, len(versions)):
+                        held.pop(next(iter(held)))
+                    held[key, version] = factory()
+                made = held[key, version](texts)
+                rows = [np.asarray(v, dtype=np.float32) for v in made]
+                if len(rows) != len(texts):
+                    raise ValueError(f"version {version}: {len(rows)} vectors for {len(texts)} texts")
+                ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+                flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.float32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([version] * len(batch), pa.string()), batch.column("doc_id"),
+                     pa.ListArray.from_arrays(pa.array(ends), flat)], names=["version", "doc_id", "embedding"])
+
+    src = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return src.mapInArrow(embed, f"version string, doc_id {kind}, embedding array<float>")
 
 
 def normalized_dense(vectors: DataFrame) -> DataFrame:

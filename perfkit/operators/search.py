@@ -3,14 +3,14 @@
 Every query is scored against every document of its version, exactly; pairs are
 never materialised as rows. The plan:
 
-1. The embedded queries (a golden set) are collected in chunks of at most
-   ``max_block_bytes`` of float64 matrix, each a broadcast of its own.
-2. ``mapInPandas`` runs once over the document scan in place (no shuffle of
-   documents): each Arrow batch becomes a matrix that is scored against every
-   chunk in tiles of at most ``TILE_CELLS`` scores, and a running top-k per query
-   is kept, so a task emits at most k rows per query.
+1. Vectors of documents and queries are written to the shared folder (unless they are a stored
+   table already) and counted there.
+2. Documents are dealt into numbered parts and queries into numbered blocks, each of about
+   ``max_block_bytes`` as a float64 matrix at most. Spark pairs every part with every block of its
+   version; a task holds one pair at a time and scores it in tiles of at most ``TILE_CELLS`` scores. Its
+   state is the top k of one block's queries. Nothing is collected or broadcast.
 3. ``row_number() <= k`` by ``(score desc, doc_id)``, first over groups of a
-   query's candidates and then over ``(version, qid)``, merges the tasks' rows.
+   query's candidates and then over ``(version, qid)``, merges the pairs' rows.
 
 A vector that is null or not of its version's width, a queried version without
 documents, and an empty query set are errors.
@@ -22,16 +22,16 @@ integer counts every term is exact, so scores match other engines bit for bit.
 
 from __future__ import annotations
 
-import math
 import sys
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perfkit.session import written
+
 # Functions of this module run in Python workers; pickle them by value so workers
 # need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -44,39 +44,36 @@ ROUND = 9
 TILE_CELLS = 1 << 21
 #: Groups in the first merge of the tasks' candidates.
 MERGE_PARTS = 64
-
-
-def _dense_rows(pdf: pd.DataFrame, col: str, dim: int) -> np.ndarray:
-    """A vector that is missing or of another width than its version's is an error, never cut or padded."""
-    vals = pdf[col].to_numpy()
-    for i, v in enumerate(vals):
-        if v is None or len(v) != dim:
-            who = pdf["doc_id" if "doc_id" in pdf.columns else "qid"].iloc[i]
-            width = "no vector" if v is None else f"{len(v)} dimensions"
-            raise ValueError(f"version {pdf['version'].iloc[i]}, id {who}: {width}, expected {dim}")
-    return np.stack(vals).astype(np.float64, copy=False) if len(vals) else np.zeros((0, dim))
-
-
-def _sparse_rows(idx: pd.Series, cnt: pd.Series, dim: int) -> np.ndarray:
-    out = np.zeros((len(idx), dim), dtype=np.float64)
-    ii, cc = idx.to_numpy(), cnt.to_numpy()
-    lens = np.fromiter((0 if x is None else len(x) for x in ii), dtype=np.int64, count=len(ii))
-    if lens.sum():
-        rows = np.repeat(np.arange(len(ii)), lens)
-        cols = np.concatenate([np.asarray(x, dtype=np.int64) for x in ii if x is not None and len(x)])
-        vals = np.concatenate([np.asarray(x, dtype=np.float64) for x in cc if x is not None and len(x)])
-        out[rows, cols] = vals
+#: Fewer documents than this are not dealt further, however many cores there are.
+PART_ROWS = 512
+
+
+def _lists(rows: pa.Table, col: str) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, flat values) of a list column; a null list has length -1."""
+    lists = rows.column(col).combine_chunks()
+    lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
+    lengths = lists.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    return lengths, lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def _matrix(rows: pa.Table, col: str, dim: int) -> np.ndarray:
+    """Vectors as float64 rows. A vector that is missing or of another width than its version's is an
+    error, never cut or padded."""
+    if "indices" not in rows.column_names:
+        lengths, flat = _lists(rows, col)
+        wrong = np.flatnonzero(lengths != dim)
+        if len(wrong):
+            i = int(wrong[0])
+            who = rows.column("doc_id" if "doc_id" in rows.column_names else "qid")[i].as_py()
+            width = "no vector" if lengths[i] < 0 else f"{lengths[i]} dimensions"
+            raise ValueError(f"version {rows.column('version')[i].as_py()}, id {who}: {width}, expected {dim}")
+        return flat.astype(np.float64).reshape(len(rows), dim)
+    lengths, at = _lists(rows, "indices")
+    out = np.zeros((len(rows), dim), dtype=np.float64)
+    out[np.repeat(np.arange(len(rows)), np.maximum(lengths, 0)), at] = _lists(rows, "counts")[1]
     return out
 
 
-def _matrix(pdf: pd.DataFrame, dim: int) -> np.ndarray:
-    if "embedding" in pdf.columns:
-        return _dense_rows(pdf, "embedding", dim)
-    if "query_vec" in pdf.columns:
-        return _dense_rows(pdf, "query_vec", dim)
-    return _sparse_rows(pdf["indices"], pdf["counts"], dim)
-
-
 def _vector_dims(df: DataFrame) -> dict[str, int]:
     """Largest vector length per version (dense) or declared bucket count (sparse)."""
     if "indices" in df.columns:
@@ -112,114 +109,95 @@ def _merge_topk(best_s, best_i, s, ids, k):
     return np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
 
 
-def _kernel(blocks: list, k: int, dims: dict[str, int]):
-    """mapInPandas function: running top-k per (version, query) over a partition, in one pass over
-    the documents for all query blocks; no more than TILE_CELLS scores exist at a time."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
-        for pdf in batches:
-            for version, part in pdf.groupby("version", sort=False):
-                dim = dims[version]
-                ids_all = part["doc_id"].to_numpy(dtype=np.int64)
-                step = max(1, TILE_CELLS // max(256, dim))
-                for lo in range(0, len(part), step):
-                    d = _matrix(part.iloc[lo: lo + step], dim)
-                    dn = np.einsum("ij,ij->i", d, d)
-                    ids = ids_all[lo: lo + step][None, :]
-                    for b, block in enumerate(blocks):
-                        if version not in block.value:
-                            continue
-                        qids, q, qn = block.value[version]
-                        if (version, b) not in state:
-                            state[version, b] = (np.full((len(qids), k), -np.inf),
-                                                 np.full((len(qids), k), np.iinfo(np.int64).max, dtype=np.int64))
-                        best_s, best_i = state[version, b]
-                        rows = max(1, TILE_CELLS // len(d))
-                        for at in range(0, len(qids), rows):
-                            tile = slice(at, at + rows)
-                            den = np.sqrt(np.outer(qn[tile], dn))
-                            sc = q[tile] @ d.T
-                            np.divide(sc, den, out=sc, where=den > 0)
-                            sc[den <= 0] = 0.0
-                            np.round(sc, ROUND, out=sc)
-                            best_s[tile], best_i[tile] = _merge_topk(best_s[tile], best_i[tile], sc, ids, k)
-        for (version, b), (best_s, best_i) in state.items():
-            real = np.isfinite(best_s)
-            yield pd.DataFrame({
-                "version": version,
-                "qid": np.repeat(blocks[b].value[version][0], real.sum(axis=1)),
-                "doc_id": best_i[real],
-                "score": best_s[real],
-            })
+def _pair_kernel(k: int, dims: dict[str, int]):
+    """Scores one part of the documents against one block of queries: top k per query."""
+
+    def run(docs: pa.Table, queries: pa.Table) -> pa.Table:
+        if not len(docs) or not len(queries):
+            return pa.table({"version": pa.array([], pa.string()), "qid": pa.array([], pa.int64()),
+                             "doc_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        version = queries.column("version")[0].as_py()
+        dim = dims[version]
+        q = _matrix(queries, "query_vec", dim)
+        qn = np.einsum("ij,ij->i", q, q)
+        best_s = np.full((len(q), k), -np.inf)
+        best_i = np.full((len(q), k), np.iinfo(np.int64).max, dtype=np.int64)
+        step = max(1, TILE_CELLS // max(256, dim))
+        for lo in range(0, len(docs), step):
+            part = docs.slice(lo, step)
+            d = _matrix(part, "embedding", dim)
+            dn = np.einsum("ij,ij->i", d, d)
+            ids = part.column("doc_id").to_numpy()[None, :]
+            rows = max(1, TILE_CELLS // len(d))
+            for at in range(0, len(q), rows):
+                tile = slice(at, at + rows)
+                den = np.sqrt(np.outer(qn[tile], dn))
+                sc = q[tile] @ d.T
+                np.divide(sc, den, out=sc, where=den > 0)
+                sc[den <= 0] = 0.0
+                np.round(sc, ROUND, out=sc)
+                best_s[tile], best_i[tile] = _merge_topk(best_s[tile], best_i[tile], sc, ids, k)
+        real = np.isfinite(best_s)
+        found = np.repeat(queries.column("qid").to_numpy(), real.sum(axis=1))
+        return pa.table({"version": pa.array([version] * len(found), pa.string()), "qid": found,
+                         "doc_id": best_i[real], "score": best_s[real]})
 
     return run
 
 
-def _payload(qpdf: pd.DataFrame, dims: dict[str, int]):
-    out = {}
-    for version, part in qpdf.groupby("version", sort=False):
-        if version not in dims:
-            continue
-        q = _matrix(part, dims[version])
-        out[version] = (part["qid"].to_numpy(dtype=np.int64), q, np.einsum("ij,ij->i", q, q))
+def _by_version(values: dict[str, int]) -> Column:
+    out = F.lit(None).cast("int")
+    for version, n in values.items():
+        out = F.when(F.col("version") == version, n).otherwise(out)
     return out
 
 
-def _block_bytes(q: DataFrame, dims: dict[str, int]) -> int:
-    per_version = q.groupBy("version").count().collect()
-    return sum(int(r["count"]) * 8 * dims.get(r["version"], 0) for r in per_version)
-
-
-def _blocks(q: DataFrame, dims: dict[str, int], budget: int, salt: int = 0):
-    """Split the queries into blocks whose query matrix is at most ``budget`` bytes.
-
-    Sizes are counted before anything is collected; a hash split is only balanced on
-    average, so a block still over budget is split again with a new salt. A single
-    query larger than the budget is an error rather than a silent cap.
-    """
-    size = _block_bytes(q, dims)
-    if size <= budget:
-        if size > 0:
-            yield q
-        return
-    n = q.count()
-    if n <= 1:
-        raise ValueError(f"one query needs {size} bytes, over the {budget}-byte broadcast budget")
-    parts = max(2, math.ceil(size / budget))
-    for c in range(parts):
-        sub = q.where(F.pmod(F.xxhash64("qid", F.lit(salt)), F.lit(parts)) == c)
-        yield from _blocks(sub, dims, budget, salt + 1)
-
-
 def topk(docs: DataFrame, queries: DataFrame, k: int = 5, dims: dict[str, int] | None = None,
-         max_block_bytes: int = 64 << 20) -> DataFrame:
+         max_block_bytes: int = 64 << 20, stored: bool = False) -> DataFrame:
     """Exact top-k documents per query and version: ``(version, qid, rank, doc_id, score)``.
 
     ``docs``: ``(version, doc_id, embedding)`` or ``(version, doc_id, indices, counts)``;
     ``queries``: ``(version, qid, query_vec)`` or ``(version, qid, indices, counts)``.
     ``dims`` is the vector width of each version (the version definitions); when
-    omitted it is measured, which costs one extra pass over the documents.
+    omitted it is measured. ``stored`` says that ``docs`` is a stored table, cheap to read again.
     """
-    spark = docs.sparkSession
+    qcols = ["version", "qid"] + (["indices", "counts"] if "indices" in queries.columns else ["query_vec"])
+    dcols = ["version", "doc_id"] + (["indices", "counts"] if "indices" in docs.columns else ["embedding"])
+    docs = docs.select(*dcols) if stored else written(docs.select(*dcols), "vectors")
+    queries = written(queries.select(*qcols), "queries")
     if dims is None:
         dims = _vector_dims(docs)
         qdims = _vector_dims(queries)
         dims = {v: max(d, qdims.get(v, 0)) for v, d in dims.items()}
-    qcols = ["version", "qid"] + (["indices", "counts"] if "indices" in queries.columns else ["query_vec"])
-    dcols = ["version", "doc_id"] + (["indices", "counts"] if "indices" in docs.columns else ["embedding"])
-    q = queries.select(*qcols)
-    wanted = {r["version"] for r in q.select("version").distinct().collect()}  # versions are few names
+    # One row per version: versions are few names.
+    wanted = {r["version"]: r["count"] for r in queries.groupBy("version").count().collect()}
     if not wanted:
         raise RuntimeError("no golden queries; load them first")
-    missing = wanted - set(dims)
+    held = {r["version"]: r["count"] for r in docs.groupBy("version").count().collect()}
+    missing = {v for v in wanted if v not in dims or not held.get(v)}
     if missing:
         raise ValueError(f"no documents or no width for version(s) {sorted(map(str, missing))}")
-    blocks = [spark.sparkContext.broadcast(_payload(chunk.toPandas(), dims))
-              for chunk in _blocks(q, dims, max_block_bytes)]
-    hits = docs.select(*dcols).where(F.col("version").isin(*wanted)).mapInPandas(_kernel(blocks, k, dims), HIT_SCHEMA)
+    blocks, parts = {}, {}
+    cores = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for version, n in wanted.items():
+        width = 8 * max(1, dims[version])
+        if width > max_block_bytes:
+            raise ValueError(f"one query of version {version} needs {width} bytes, over the block of {max_block_bytes}")
+        blocks[version] = -(-n * width // max_block_bytes)
+        parts[version] = max(-(-held[version] * width // max_block_bytes), min(cores, -(-held[version] // PART_ROWS)))
+
+    def dealt(df: DataFrame, key: str, own: tuple[str, dict], other: tuple[str, dict]) -> DataFrame:
+        """Every row with its own number, once for each number of the other side."""
+        return df.where(F.col("version").isin(*wanted)).withColumns({
+            own[0]: F.pmod(F.xxhash64(key), _by_version(own[1])).cast("int"),
+            other[0]: F.explode(F.sequence(F.lit(0), _by_version(other[1]) - 1))})
+
+    cell = ["version", "part", "block"]
+    left = dealt(docs, "doc_id", ("part", parts), ("block", blocks)).groupBy(*cell)
+    right = dealt(queries, "qid", ("block", blocks), ("part", parts)).groupBy(*cell)
+    hits = left.cogroup(right).applyInArrow(_pair_kernel(k, dims), HIT_SCHEMA)
     best = [F.desc("score"), "doc_id"]
-    # Every task sends up to k candidates per query: merge them in groups first.
+    # Every pair sends up to k candidates per query: merge them in groups first.
     some = Window.partitionBy("version", "qid", "part").orderBy(*best)
     hits = (hits.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(MERGE_PARTS)))
             .withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= k).drop("rank", "part"))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -57,14 +60,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def worker_cache() -> dict:
+    """A table that lives as long as the Python process. Functions travel to workers by value, and with
+    them fresh copies of their modules' variables; what is to outlast a task is kept here."""
+    return sys.modules.setdefault("perfkit_worker_cache", types.ModuleType("perfkit_worker_cache")).__dict__
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def path_stamp(spark: SparkSession, path: str) -> str:
+    """Size and time of change of a file or folder, in whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return f"{fs.getContentSummary(p).getLength()}:{fs.getFileStatus(p).getModificationTime()}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: computed once, survives lost executors, and readers
     prune columns and rows. Each call has a folder of its own."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from perfkit import schemas as sc
 from perfkit.operators import versions as vs
 from perfkit.operators.embed import build_rows
+from perfkit.session import path_exists
 
 TABLES = {
     "docs": sc.DOCS, "golden": sc.GOLDEN, "builds": sc.BUILDS, "eval_results": sc.EVAL_RESULTS,
@@ -42,19 +43,10 @@ class Registry:
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
-    def _exists(self, name: str) -> bool:
-        p = self.path(name)
-        if "://" in p and not p.startswith("file:"):
-            jvm = self.spark.sparkContext._jvm
-            hp = jvm.org.apache.hadoop.fs.Path(p)
-            fs = hp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            return fs.exists(hp)
-        return os.path.exists(p.removeprefix("file:"))
-
     def _stored(self, name: str) -> DataFrame:
         """A table with the registry's own columns, empty when it was never written."""
         schema = T.StructType(TABLES[name].fields + T.StructType.fromDDL(KEPT.get(name, "")).fields)
-        if self._exists(name):
+        if path_exists(self.spark, self.path(name)):
             return self.spark.read.schema(schema).parquet(self.path(name))
         return self.spark.createDataFrame([], schema)
 

@@ -99,3 +99,66 @@ def test_dense_projection_reads_every_dimension(spark):
     assert got[("a", 3)] is None and got[("b", 3)] is None
     with pytest.raises(Exception, match="vector width of id 1 is not 5"):
         em.embed_dense(df.where("doc_id = 1"), {"b": 3}, 5).collect()
+
+
+def test_search_pairs_many_parts_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(se, "PART_ROWS", 7)
+    rng = np.random.default_rng(3)
+    docs = {i: rng.integers(-2, 3, size=5).astype(np.float32) for i in range(80)}
+    queries = {i: rng.integers(-2, 3, size=5).astype(np.float64) for i in range(40)}
+    ddf = spark.createDataFrame([(v, i, x.tolist()) for v in "ab" for i, x in docs.items()],
+                                "version string, doc_id bigint, embedding array<float>")
+    qdf = spark.createDataFrame([("b", i, x.tolist()) for i, x in queries.items()],
+                                "version string, qid bigint, query_vec array<double>")
+    hits = se.topk(ddf, qdf, k=3, max_block_bytes=400).orderBy("qid", "rank").collect()
+    got = {}
+    for r in hits:
+        got.setdefault(r["qid"], []).append(r["doc_id"])
+    assert got == brute({i: x.astype(np.float64) for i, x in docs.items()}, queries, 3)
+    assert {r["version"] for r in hits} == {"b"}
+
+
+def test_search_errors(spark):
+    docs = spark.createDataFrame([("v", 1, [1.0, 2.0]), ("v", 2, None)], "version string, doc_id bigint, embedding array<float>")
+    ask = spark.createDataFrame([("v", 1, [1.0, 0.0])], "version string, qid bigint, query_vec array<double>")
+    with pytest.raises(Exception, match="id 2: no vector, expected 2"):
+        se.topk(docs, ask, dims={"v": 2}).collect()
+    with pytest.raises(Exception, match="id 1: 2 dimensions, expected 3"):
+        se.topk(docs.where("doc_id = 1"), ask, dims={"v": 3}).collect()
+    with pytest.raises(ValueError, match="no documents or no width"):
+        se.topk(docs.where("doc_id = 3"), ask, dims={"v": 2})
+    with pytest.raises(RuntimeError, match="no golden queries"):
+        se.topk(docs, ask.where("qid = 9"), dims={"v": 2})
+    with pytest.raises(ValueError, match="over the block"):
+        se.topk(docs, ask, dims={"v": 2}, max_block_bytes=8)
+
+
+def test_text_embedder_on_long_texts_and_odd_blanks(spark, monkeypatch):
+    monkeypatch.setattr(em, "SLICE", 40)
+    monkeypatch.setattr(em, "HELD_TOKENS", 3)
+    text = "  a\tb\x0bc d   e\r\nf  " * 50
+    df = spark.createDataFrame([(1, text), (2, None), (3, " \n ")], "doc_id bigint, text string")
+    got = {r["doc_id"]: dict(zip(r["indices"], r["counts"])) for r in em.embed_text(df, {"x": 16}).collect()}
+    toks = re.sub("[ \t\n\x0b\f\r]+", " ", text).strip(" ").split(" ")
+    place = lambda t: int(hashlib.md5(f"x::{t}".encode()).hexdigest()[:8], 16) % 16
+    assert got == {1: dict(Counter(map(place, toks))), 3: {place(""): 1}}
+
+
+def test_plug_in_models_are_made_once_per_worker_process(spark, tmp_path):
+    log = str(tmp_path / "made")
+
+    def factory(dim):
+        def make():
+            import os
+            with open(log, "a") as f:
+                f.write(f"{os.getpid()}:{dim}\n")
+            return lambda texts: [[float(len(t))] * dim for t in texts]
+        return make
+
+    df = spark.createDataFrame([(i, "x" * i) for i in range(64)] + [(99, None)], "doc_id bigint, text string").repartition(16)
+    out = em.embed_with(df, {"a": factory(2), "b": factory(3)})
+    rows = out.collect() + out.collect()
+    assert len(rows) == 2 * 2 * 65 and out.columns == ["version", "doc_id", "embedding"]
+    assert all(r["embedding"] == [float(r["doc_id"] % 99)] * (2 if r["version"] == "a" else 3) for r in rows)
+    made = open(log).read().split()
+    assert len(made) == len(set(made)) and len(made) <= 2 * 4  # at most one worker per core of the test session
