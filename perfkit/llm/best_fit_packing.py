@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from perfkit.llm.common import ship, stored
-from perfkit.llm.pieces import Memo
-from perfkit.llm.token_files import BYTE_CHARS
+from perfkit.llm.token_files import BYTE_CHARS, Words
 
 CAPACITY = 2048
 #: A sequence with at most so much room (a share of the capacity) is nearly full, and final.
@@ -40,8 +39,6 @@ GROUP = 4096
 END_ID = 0
 #: Characters of a text split at a time.
 STREAM = 1 << 18
-#: Entries of one generation of the word memo.
-HELD_WORDS = 1_000_000
 #: Texts of other characters are irregular (classes, case or composition may differ between libraries).
 _ODD = re.compile("[^\\x20-\\x7E\\t\\n\\r\\u00A1-\\u012F\\u0132-\\u024F]")
 #: Marks next to each other are one piece.
@@ -50,16 +47,6 @@ _SINGLE_MARKS = ",.;:!?|"
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-class Words(Memo):
-    """A memo of more entries: words are many, and a merge costs more than a place."""
-
-    def keep(self, key: str, value: bytes) -> None:
-        if len(self) >= HELD_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-
-
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, for tokenizers with word ends."""
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from perfkit.llm.common import extend, scratch, ship, stored, text_key
-from perfkit.llm.pieces import TextEncoder
+from perfkit.llm.pieces import STREAM, Memo, TextEncoder
+from perfkit.session import worker_cache
 
 #: Selector 1 .. 14: ids in a word; each has 60 // count bits.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
@@ -40,6 +42,14 @@ BLOCK_IDS = 1 << 16
 # themselves, the others follow from 256 on.
 _PRINTING = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTING)))}
+#: Entries of one generation of the memo of words.
+HELD_WORDS = 1_000_000
+#: Begins a chunk that no space stands before; no regular text has it.
+APART = "\0"
+_SINGLE_MARKS = ",.;:!?|"
+_WORD_CHARS = "0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+#: A mark that does not follow a letter or digit, or with another character than those or white space after it, is part of a longer piece.
+_MARKS_BESIDE = re.compile(f"(?:^|[^{_WORD_CHARS}])[{_SINGLE_MARKS}]|[{_SINGLE_MARKS}][^{_WORD_CHARS}\\s]")
 MAGIC = int.from_bytes(b"S8BIDS01", "little")
 END_ID = 0
 
@@ -179,13 +189,58 @@ class Reader:
             yield (None if null else doc_id), iter(runs)
 
 
-_ENCODERS: dict[str, TextEncoder] = {}
+class Words(Memo):
+    """A memo of more entries: words are many, and a merge costs more than a place."""
+
+    def keep(self, key: str, value: bytes) -> None:
+        if len(self) >= HELD_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
+class LibraryEncoder(TextEncoder):
+    """Words and marks are looked up apart, so that a word has one entry whatever mark follows it."""
+
+    def __init__(self, pattern: str, encode_piece, encode_odd):
+        super().__init__(pattern, encode_piece, encode_odd)
+        self.chunks = Words(self._chunk)
+
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk[0] != APART:
+            return super()._chunk(chunk)
+        return b"".join(map(self.pieces.__getitem__, self.split.findall(chunk[1:])))
+
+    def encode(self, text: str) -> Iterator[bytes]:
+        """The ids of a text, in runs."""
+        if not self.regular(text):
+            yield self._packed(self.encode_odd(text))
+            return
+        text = text.replace("\n", " \n")
+        if not _MARKS_BESIDE.search(text):
+            for mark in _SINGLE_MARKS:
+                if mark in text:
+                    text = text.replace(mark, f" {APART}{mark}")
+        at, look = 0, self.chunks.__getitem__
+        while at < len(text):
+            end = text.find(" ", at + STREAM) if len(text) - at > STREAM else -1
+            end = len(text) if end < 0 else end
+            chunks = text[at:end].split(" ")
+            if not at:  # no space stands before the first chunk
+                first = chunks.pop(0)
+                if first:
+                    yield b"".join(map(self.pieces.__getitem__, self.split.findall(first)))
+            yield b"".join(map(look, chunks))
+            at = end + 1
 
 
 def library_encoder(path: str, pattern: str) -> TextEncoder:
-    """The worker's encoder: pieces go to the merges of the tokenizer library, irregular texts to the
-    library as a whole."""
-    if path not in _ENCODERS:
+    """The worker's encoder, kept from task to task: pieces go to the merges of the tokenizer library,
+    irregular texts to the library as a whole."""
+    encoders = worker_cache().setdefault("library encoders", {})
+    if path not in encoders:
+        # One text is encoded at a time: the library's threads would only compete with Spark's tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         library = Tokenizer.from_file(path)
         merges = library.model.tokenize
         encode = lambda text: library.encode(text, add_special_tokens=False).ids
@@ -194,31 +249,14 @@ def library_encoder(path: str, pattern: str) -> TextEncoder:
             raw = text if text.isascii() else text.encode().decode("latin-1")
             return [t.id for t in merges(raw.translate(BYTE_CHARS))]
 
-        widths = np.zeros(library.get_vocab_size(), dtype=np.int64)  # bytes of each id
-        for token, i in library.get_vocab(with_added_tokens=False).items():
-            widths[i] = len(token)
-
-        def words(new: list[str]) -> list[bytes]:
-            line = " " + " ".join(new)
-            ids = np.array(library.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.cumsum([len(w) + 1 for w in line.encode().split(b" ")[1:]])
-            reached = np.cumsum(widths[ids])
-            cuts = np.searchsorted(reached, ends)
-            if len(ids) != cuts[-1] + 1 or (reached[cuts] != ends).any():
-                raise ValueError("a token reaches over a space between words")
-            raw, at = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()]
-            return [raw[a:b] for a, b in zip(at, at[1:])]
-
-        # One text is encoded at a time: the library's threads would only compete with Spark's tasks.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         specials = [t.content for t in library.get_added_tokens_decoder().values()]
-        enc = TextEncoder(pattern, piece, encode, words)
+        enc = LibraryEncoder(pattern, piece, encode)
         plain = enc.encode
         # A special token's string in a text is what the library makes of it in context.
         enc.encode = lambda text: (iter([enc._packed(encode(text))]) if any(s in text for s in specials)
                                    else plain(text))
-        _ENCODERS[path] = enc
-    return _ENCODERS[path]
+        encoders[path] = enc
+    return encoders[path]
 
 
 def _bounds(docs: DataFrame, parts: int) -> tuple[list[int], int]:
