@@ -80,24 +80,34 @@ def embed_dense(df: DataFrame, versions: dict[str, int], width: int, id_col: str
     return x.select(F.col("_v.version").alias("version"), "doc_id", out.alias("embedding"))
 
 
-#: Buckets of so many tokens are kept by a worker, for each version.
-HELD_TOKENS = 500_000
+#: Tokens that a worker keeps with their buckets, about.
+HELD_TOKENS = 300_000
 #: Bytes of a text split at a time.
 SLICE = 1 << 20
 
 
 class Buckets(dict):
-    """Token -> bucket of one version, hashed when first seen; a full table starts anew."""
+    """Token -> number; ``of[version][number]`` is its bucket. A token is hashed when first seen."""
 
-    def __init__(self, version: str, dim: int):
+    def __init__(self, versions: dict[str, int]):
         super().__init__()
-        self.prefix, self.dim = f"{version}{th.SEP}".encode(), dim
+        self.hashed = [(f"{v}{th.SEP}".encode(), d) for v, d in versions.items()]
+        self.of = np.zeros((len(versions), 1024), dtype=np.int32)
 
     def __missing__(self, token: bytes) -> int:
+        number = len(self)
+        if number == self.of.shape[1]:
+            self.of = np.concatenate([self.of, np.zeros_like(self.of)], axis=1)
+        for i, (prefix, dim) in enumerate(self.hashed):
+            self.of[i, number] = int.from_bytes(hashlib.md5(prefix + token).digest()[:4], "big") % dim
+        self[token] = number
+        return number
+
+    def numbers(self, tokens: Counter) -> np.ndarray:
+        """Numbers of a text's tokens, valid until the next call: a full table starts anew between texts."""
         if len(self) >= HELD_TOKENS:
             self.clear()
-        made = self[token] = int.from_bytes(hashlib.md5(self.prefix + token).digest()[:4], "big") % self.dim
-        return made
+        return np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
 
 
 def token_counts(text: str) -> Counter:
@@ -123,24 +133,23 @@ def embed_text(df: DataFrame, versions: dict[str, int], id_col: str = "doc_id",
     it comes again), and the counts of a bucket are added. Null texts have no vector.
     """
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {v: worker_cache().setdefault(("buckets", v, d), Buckets(v, d)) for v, d in versions.items()}
+        table = worker_cache().setdefault(("buckets", *versions.items()), Buckets(versions))
         for batch in batches:
-            counted = [token_counts(t.as_py()) for t in batch.column("text")]
-            tokens = [list(c) for c in counted]
-            times = [np.fromiter(c.values(), dtype=np.int64, count=len(c)) for c in counted]
-            for version, table in tables.items():
-                indices, counts = [], []
-                for of, n in zip(tokens, times):
-                    bucket = np.fromiter(map(table.__getitem__, of), dtype=np.int64, count=len(of))
-                    total = np.bincount(bucket, weights=n)  # sums below 2 ** 53 are exact
+            indices, counts = [[] for _ in versions], [[] for _ in versions]
+            for text in batch.column("text"):
+                tokens = token_counts(text.as_py())
+                numbers = table.numbers(tokens)
+                times = np.fromiter(tokens.values(), dtype=np.int64, count=len(tokens))
+                for i in range(len(versions)):
+                    total = np.bincount(table.of[i, numbers], weights=times)  # sums below 2 ** 53 are exact
                     at = np.flatnonzero(total)
-                    indices.append(at)
-                    counts.append(total[at].astype(np.int64))
-                ends = np.cumsum([0, *map(len, indices)]).astype(np.int32)
-                flat = (pa.array(np.concatenate(x)) for x in (indices, counts))
+                    indices[i].append(at.astype(np.int32))
+                    counts[i].append(total[at].astype(np.int64))
+            for i, version in enumerate(versions if len(batch) else ()):
+                ends = pa.array(np.cumsum([0, *map(len, indices[i])]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([version] * len(batch), pa.string()), batch.column("doc_id"),
-                     *(pa.ListArray.from_arrays(pa.array(ends), x.cast(t)) for x, t in zip(flat, (pa.int32(), pa.int64())))],
+                     *(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (indices[i], counts[i]))],
                     names=["version", "doc_id", "indices", "counts"])
 
     src = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
