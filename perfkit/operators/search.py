@@ -8,7 +8,8 @@ never materialised as rows. The plan:
 2. Documents are dealt into numbered parts and queries into numbered blocks, each of about
    ``max_block_bytes`` as a float64 matrix at most. Spark pairs every part with every block of its
    version; a task holds one pair at a time and scores it in tiles of at most ``TILE_CELLS`` scores. Its
-   state is the top k of one block's queries. Nothing is collected or broadcast.
+   state is the top k of one block's queries. Nothing is collected or broadcast. Parts are counted from
+   bytes alone, not from cores: every further part sends k more candidates per query.
 3. ``row_number() <= k`` by ``(score desc, doc_id)``, first over groups of a
    query's candidates and then over ``(version, qid)``, merges the pairs' rows.
 
@@ -44,8 +45,6 @@ ROUND = 9
 TILE_CELLS = 1 << 21
 #: Groups in the first merge of the tasks' candidates.
 MERGE_PARTS = 64
-#: Fewer documents than this are not dealt further, however many cores there are.
-PART_ROWS = 512
 
 
 def _lists(rows: pa.Table, col: str) -> tuple[np.ndarray, np.ndarray]:
@@ -178,13 +177,12 @@ def topk(docs: DataFrame, queries: DataFrame, k: int = 5, dims: dict[str, int] |
     if missing:
         raise ValueError(f"no documents or no width for version(s) {sorted(map(str, missing))}")
     blocks, parts = {}, {}
-    cores = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for version, n in wanted.items():
         width = 8 * max(1, dims[version])
         if width > max_block_bytes:
             raise ValueError(f"one query of version {version} needs {width} bytes, over the block of {max_block_bytes}")
         blocks[version] = -(-n * width // max_block_bytes)
-        parts[version] = max(-(-held[version] * width // max_block_bytes), min(cores, -(-held[version] // PART_ROWS)))
+        parts[version] = -(-held[version] * width // max_block_bytes)
 
     def dealt(df: DataFrame, key: str, own: tuple[str, dict], other: tuple[str, dict]) -> DataFrame:
         """Every row with its own number, once for each number of the other side."""

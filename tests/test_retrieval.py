@@ -101,8 +101,7 @@ def test_dense_projection_reads_every_dimension(spark):
         em.embed_dense(df.where("doc_id = 1"), {"b": 3}, 5).collect()
 
 
-def test_search_pairs_many_parts_and_blocks(spark, monkeypatch):
-    monkeypatch.setattr(se, "PART_ROWS", 7)
+def test_search_pairs_many_parts_and_blocks(spark):
     rng = np.random.default_rng(3)
     docs = {i: rng.integers(-2, 3, size=5).astype(np.float32) for i in range(80)}
     queries = {i: rng.integers(-2, 3, size=5).astype(np.float64) for i in range(40)}
