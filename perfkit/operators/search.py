@@ -13,8 +13,9 @@ never materialised as rows. The plan:
 3. ``row_number() <= k`` by ``(score desc, doc_id)``, first over groups of a
    query's candidates and then over ``(version, qid)``, merges the pairs' rows.
 
-A vector that is null or not of its version's width, a queried version without
-documents, and an empty query set are errors.
+A vector that is null or not of its version's width, a queried version without a
+width, declared or measured on documents, and an empty query set are errors. A
+version of declared width without documents has no hits.
 
 Scores are ``dot / sqrt(|q|^2 |d|^2)`` in float64, rounded to 9 decimals so equal
 scores tie and break by ``doc_id`` (N10); a zero vector scores 0 (N14). For
@@ -173,10 +174,11 @@ def topk(docs: DataFrame, queries: DataFrame, k: int = 5, dims: dict[str, int] |
     if not wanted:
         raise RuntimeError("no golden queries; load them first")
     held = {r["version"]: r["count"] for r in docs.groupBy("version").count().collect()}
-    missing = {v for v in wanted if v not in dims or not held.get(v)}
+    missing = set(wanted) - set(dims)
     if missing:
         raise ValueError(f"no documents or no width for version(s) {sorted(map(str, missing))}")
     blocks, parts = {}, {}
+    wanted = {v: n for v, n in wanted.items() if held.get(v)}
     for version, n in wanted.items():
         width = 8 * max(1, dims[version])
         if width > max_block_bytes:

@@ -125,7 +125,8 @@ def test_search_errors(spark):
     with pytest.raises(Exception, match="id 1: 2 dimensions, expected 3"):
         se.topk(docs.where("doc_id = 1"), ask, dims={"v": 3}).collect()
     with pytest.raises(ValueError, match="no documents or no width"):
-        se.topk(docs.where("doc_id = 3"), ask, dims={"v": 2})
+        se.topk(docs.where("doc_id = 3"), ask)
+    assert se.topk(docs.where("doc_id = 3"), ask, dims={"v": 2}).count() == 0
     with pytest.raises(RuntimeError, match="no golden queries"):
         se.topk(docs, ask.where("qid = 9"), dims={"v": 2})
     with pytest.raises(ValueError, match="over the block"):
