@@ -190,14 +190,17 @@ def q_recommendations(spark, sf_dir):
 
 
 def q_recommendations_json(spark, sf_dir):
-    return adv.recommendations_json(_recs(spark, sf_dir))
+    r = adv.recommendations_json(_recs(spark, sf_dir))
+    return r.withColumn("rec_seq", F.col("rec_seq").cast("bigint"))
 
 
 def q_report_lines(spark, sf_dir):
     p = profile_inputs(spark, sf_dir)
     m, apps = profile_stages(p["events"])
     f = fd.findings_all(m, cf.app_settings(p["confs"], p["clusters"]))
-    return rp.report_lines(apps, m, f, adv.recommend(f, p["confs"]))
+    folder = apps.withColumn("log_id", F.substring_index("log_id", "log=", -1))  # the log without its parent's path
+    lines = rp.report_lines(folder, m, f, adv.recommend(f, p["confs"]))
+    return lines.withColumn("item", F.array_join("item", "/"))
 
 
 def q_cost_estimate(spark, sf_dir):

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perfkit.functions.number_text import json_map
 from perfkit.operators import findings as fd
 from perfkit.operators import plan_findings as pf
 from perfkit.operators.ranking import rank_within
@@ -153,10 +154,13 @@ def recommendations_json(recs: DataFrame) -> DataFrame:
     """One JSON object per recommendation, ``(app_id, rec_seq, json)``.
 
     One object per row (JSON lines) rather than one array per application, so no
-    application's output is gathered into a single row.
+    application's output is gathered into a single row. Numbers of the evidence are written with
+    one to six decimals (``number_text.json_map``), the other fields by ``to_json``.
     """
-    obj = F.struct("severity", "title", "stage_id", "rationale", "actions", "evidence")
-    return recs.select("app_id", "rec_seq", F.to_json(obj, {"ignoreNullFields": "false"}).alias("json"))
+    obj = F.to_json(F.struct("severity", "title", "stage_id", "rationale", "actions"), {"ignoreNullFields": "false"})
+    evidence = F.coalesce(json_map(F.col("evidence")), F.lit("null"))
+    opened = obj.substr(F.lit(1), F.length(obj) - 1)  # without the closing brace
+    return recs.select("app_id", "rec_seq", F.concat(opened, F.lit(',"evidence":'), evidence, F.lit("}")).alias("json"))
 
 
 def write_recommendations(recs: DataFrame, path: str) -> None:

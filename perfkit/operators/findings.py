@@ -19,6 +19,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perfkit.functions.number_text import fixed
+
 FINDING_COLUMNS = ["app_id", "detector_seq", "code_seq", "code", "severity", "stage_id",
                    "attempt", "message", "evidence"]
 
@@ -74,8 +76,8 @@ def skew_detector(p95_p50_warn: float = 3.0, max_p50_warn: float = 8.0, min_task
         1, 1, SKEW,
         (F.col("num_tasks") >= min_tasks) & ((r95 >= p95_p50_warn) | (rmax >= max_p50_warn)),
         F.when(rmax >= max_p50_warn * 2, F.lit(ERROR)).otherwise(F.lit(WARN)),
-        F.format_string("stage %d: slow tail, 95th percentile at %.2f and slowest task at %.2f times the median",
-                        F.col("stage_id"), r95, rmax),
+        F.format_string("stage %d: slow tail, 95th percentile at %s and slowest task at %s times the median",
+                        F.col("stage_id"), fixed(r95, 2), fixed(rmax, 2)),
         _evidence(p95_p50=r95, max_p50=rmax, p50_ms=F.col("task_p50_ms"),
                   p95_ms=F.col("task_p95_ms"), max_ms=F.col("task_max_ms")))
 
@@ -86,7 +88,7 @@ def shuffle_detector(shuffle_mb_warn: float = 1024.0) -> Detector:
     return Detector(
         2, 1, SHUFFLE, total >= shuffle_mb_warn,
         F.when(total >= shuffle_mb_warn * 5, F.lit(ERROR)).otherwise(F.lit(WARN)),
-        F.format_string("stage %d: %.0f MB read and written by shuffles", F.col("stage_id"), total),
+        F.format_string("stage %d: %s MB read and written by shuffles", F.col("stage_id"), fixed(total, 0)),
         _evidence(shuffle_read_mb=F.col("shuffle_read_mb"), shuffle_write_mb=F.col("shuffle_write_mb"),
                   spill_mb=F.col("spill_mb")))
 
@@ -97,7 +99,7 @@ def spill_detector(spill_mb_warn: float = 512.0) -> Detector:
     return Detector(
         3, 1, SPILL, spill >= spill_mb_warn,
         F.when(spill < spill_mb_warn * 5, F.lit(WARN)).otherwise(F.lit(ERROR)),
-        F.format_string("stage %d: %.0f MB did not fit in memory", F.col("stage_id"), spill),
+        F.format_string("stage %d: %s MB did not fit in memory", F.col("stage_id"), fixed(spill, 0)),
         _evidence(spill_mb=spill))
 
 
@@ -107,8 +109,8 @@ def gc_detector(gc_pct_warn: float = 0.10) -> Detector:
     return Detector(
         3, 2, GC, gc >= gc_pct_warn,
         F.when(gc < gc_pct_warn * 2, F.lit(WARN)).otherwise(F.lit(ERROR)),
-        F.format_string("stage %d: collector active for %.1f%% of task time",
-                        F.col("stage_id"), gc * 100),
+        F.format_string("stage %d: collector active for %s%% of task time",
+                        F.col("stage_id"), fixed(gc * 100, 1)),
         _evidence(gc_pct=gc))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perfkit.functions.number_text import fixed
 from perfkit.operators.findings import ERROR, WARN, FINDING_COLUMNS, Detector, _evidence, _struct
 from perfkit.sources.eventlog import with_app_id
 
@@ -62,7 +63,7 @@ def small_files_detector(min_files: int = 100, small_mb: float = 32.0) -> Detect
     return Detector(
         6, 1, SMALL_FILES, (F.col("files") >= min_files) & (mean < small_mb),
         F.when(F.col("files") >= 10 * min_files, F.lit(ERROR)).otherwise(F.lit(WARN)),
-        F.format_string("query %d: %d files read with %.2f MB each", F.col("execution_id"), F.col("files"), mean),
+        F.format_string("query %d: %d files read with %s MB each", F.col("execution_id"), F.col("files"), fixed(mean, 2)),
         _where(files=F.col("files"), mean_mb=mean))
 
 
@@ -74,8 +75,8 @@ def unsplittable_detector(split_mb: float = 128.0) -> Detector:
         6, 2, UNSPLITTABLE,
         (F.col("files") > 0) & (mean > 2 * split_mb) & (F.col("num_tasks") > 0) & (F.col("num_tasks") <= F.col("files")),
         F.lit(WARN),
-        F.format_string("query %d: %d files of %.0f MB were read by %d tasks", F.col("execution_id"), F.col("files"),
-                        mean, F.col("num_tasks")),
+        F.format_string("query %d: %d files of %s MB were read by %d tasks", F.col("execution_id"), F.col("files"),
+                        fixed(mean, 0), F.col("num_tasks")),
         _where(files=F.col("files"), mean_mb=mean, num_tasks=F.col("num_tasks")))
 
 

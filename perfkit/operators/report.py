@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perfkit.functions.number_text import fixed, json_map
 from perfkit.operators.stage_metrics import top_stages
 
 REPORT_COLUMNS = ["app_id", "section", "item", "line_no", "line"]
@@ -43,17 +44,18 @@ def report_lines(apps: DataFrame, metrics: DataFrame, findings: DataFrame, recs:
         F.format_string("from %s", F.col("log_id"))))
 
     top = _lines(top_stages(metrics, top_n), TOP, [F.col("stage_rank")], F.array(F.format_string(
-        "stage %d ran %d ms: %d tasks, typical %.0f ms, p95 %.0f ms, slowest %d ms; shuffled %.0f MB, "
-        "spilled %.0f MB, collector %.1f%%",
-        "stage_id", "stage_duration_ms", "num_tasks", "task_p50_ms", "task_p95_ms", "task_max_ms",
-        F.col("shuffle_read_mb") + F.col("shuffle_write_mb"), "spill_mb", F.col("gc_pct") * 100)))
+        "stage %d ran %d ms: %d tasks, typical %s ms, p95 %s ms, slowest %d ms; shuffled %s MB, "
+        "spilled %s MB, collector %s%%",
+        "stage_id", "stage_duration_ms", "num_tasks", fixed(F.col("task_p50_ms"), 0), fixed(F.col("task_p95_ms"), 0),
+        "task_max_ms", fixed(F.col("shuffle_read_mb") + F.col("shuffle_write_mb"), 0), fixed(F.col("spill_mb"), 0),
+        fixed(F.col("gc_pct") * 100, 1))))
 
     # Production order: detector, stage, attempt, code.
     found = _lines(findings, FINDINGS, [F.col(c) for c in ("detector_seq", "stage_id", "attempt", "code_seq")],
                    F.array(F.format_string("%s %s, %s: %s", F.col("severity"), F.col("code"), _where(),
                                            F.col("message"))))
 
-    seen = F.when(F.size("evidence") > 0, F.array(F.concat(F.lit("   measured "), F.to_json("evidence")))
+    seen = F.when(F.size("evidence") > 0, F.array(F.concat(F.lit("   measured "), json_map(F.col("evidence"))))
                   ).otherwise(F.array().cast("array<string>"))
     steps = F.transform("actions", lambda a, i: F.concat(F.lit("   step "), (i + 1).cast("string"), F.lit(" "), a))
     block = F.concat(F.array(F.format_string("%s (%s, %s)", F.col("title"), F.col("severity"), _where()),

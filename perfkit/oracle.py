@@ -7,6 +7,8 @@ as well as the operators. Column names and types match the Spark outputs.
 
 from __future__ import annotations
 
+from perfkit.operators.advice import RULES
+
 # ------------------------------------------------------------------ fixture CTEs
 
 F_TASKS = """
@@ -188,6 +190,109 @@ def _profile() -> dict[str, str]:
     }
 
 
+def _fixed(x: str, digits: int) -> str:
+    """``x`` (not negative) as text, rounded half up on millionths."""
+    step, one = 10 ** (6 - digits), 10 ** digits
+    units = f"((CAST(floor(CAST({x} AS DOUBLE) * CAST(1e6 AS DOUBLE) + 0.5::DOUBLE) AS BIGINT) + {step // 2}) // {step})"
+    if not digits:
+        return f"CAST({units} AS VARCHAR)"
+    return f"(CAST({units} // {one} AS VARCHAR) || '.' || lpad(CAST({units} % {one} AS VARCHAR), {digits}, '0'))"
+
+
+# What each finding says, in SQL over ``metrics`` or ``valid_settings``.
+_MESSAGES = {
+    "SKEW_DETECTED": f"'stage ' || stage_id || ': slow tail, 95th percentile at ' || {_fixed('skew_ratio_p95_p50', 2)}"
+                     f" || ' and slowest task at ' || {_fixed('skew_ratio_max_p50', 2)} || ' times the median'",
+    "SHUFFLE_HEAVY": f"'stage ' || stage_id || ': ' || {_fixed('shuffle_read_mb + shuffle_write_mb', 0)}"
+                     " || ' MB read and written by shuffles'",
+    "SPILL_DETECTED": f"'stage ' || stage_id || ': ' || {_fixed('spill_mb', 0)} || ' MB did not fit in memory'",
+    "GC_PRESSURE": f"'stage ' || stage_id || ': collector active for ' || {_fixed('gc_pct * 100', 1)}"
+                   " || '% of task time'",
+    "OVER_PARTITIONED": "shuffle_partitions || ' shuffle partitions planned, cluster runs ' || cores_total"
+                        " || ' tasks at once'",
+    "UNDER_PARTITIONED": "shuffle_partitions || ' shuffle partitions planned, too few to fill ' || cores_total"
+                         " || ' cores'",
+    "LOW_DEFAULT_PARALLELISM": "'RDD stages get ' || default_parallelism || ' tasks by default, cluster has '"
+                               " || cores_total || ' cores'",
+}
+
+
+def _quoted(text: str | None) -> str:
+    return "NULL" if text is None else "'" + text.replace("'", "''") + "'"
+
+
+def _texts() -> str:
+    """CTEs ``findings`` (with message and evidence as JSON) and ``recs`` (with the rule's texts)."""
+    parts = []
+    for dseq, cseq, code, sev, where, evid in SKEW + SHUFFLE + SPILL_GC + PARTITIONING:
+        app = dseq == 4
+        stage, attempt = ("CAST(NULL AS BIGINT)",) * 2 if app else ("stage_id", "attempt")
+        pairs = " || ',' || ".join(f"""'"{k}":' || regexp_replace({_fixed(e, 6)}, '0{{1,5}}$', '')""" for k, e in evid)
+        parts.append(f"SELECT app_id, {dseq} AS detector_seq, {cseq} AS code_seq, '{code}' AS code, {sev} AS severity, "
+                     f"{stage} AS stage_id, {attempt} AS attempt, {_MESSAGES[code]} AS message, "
+                     f"'{{' || {pairs} || '}}' AS evidence FROM {'valid_settings' if app else 'metrics'} WHERE {where}")
+    rules = ", ".join(
+        f"({_quoted(code)}, {_quoted(title)}, {_quoted(why)}, [{', '.join(map(_quoted, actions))}], "
+        f"{'NULL' if i is None else i + 1}, {_quoted(i_alt)}, {'NULL' if j is None else j + 1}, {_quoted(j_alt)})"
+        for code, title, why, actions, i, i_alt, j, j_alt in RULES)
+    union = "\nUNION ALL\n".join(parts)
+    return f"""findings AS ({union}),
+rules AS (SELECT * FROM (VALUES {rules}) t(code, title, rationale, listed, aqe_at, aqe_alt, skew_at, skew_alt)),
+recs AS (
+  SELECT f.*, title, rationale,
+         list_transform(range(1, len(listed) + 1), lambda i:
+           CASE WHEN coalesce(s.aqe_enabled, false) AND i = aqe_at THEN aqe_alt
+                WHEN coalesce(s.skew_join_enabled, false) AND i = skew_at THEN skew_alt ELSE listed[i] END) AS actions,
+         CAST(row_number() OVER (PARTITION BY f.app_id ORDER BY
+              CASE severity WHEN 'ERROR' THEN 0 WHEN 'WARN' THEN 1 WHEN 'INFO' THEN 2 ELSE 9 END,
+              f.stage_id NULLS LAST, detector_seq, f.attempt, code_seq) AS BIGINT) AS rec_seq
+  FROM findings f JOIN rules r ON r.code = f.code LEFT JOIN settings s ON s.app_id = f.app_id
+)"""
+
+
+_JSON = """
+SELECT app_id, rec_seq,
+       '{"severity":' || CAST(to_json(severity) AS VARCHAR) || ',"title":' || CAST(to_json(title) AS VARCHAR)
+       || ',"stage_id":' || coalesce(CAST(stage_id AS VARCHAR), 'null')
+       || ',"rationale":' || CAST(to_json(rationale) AS VARCHAR) || ',"actions":' || CAST(to_json(actions) AS VARCHAR)
+       || ',"evidence":' || evidence || '}' AS json
+FROM recs"""
+
+_REPORT = f""",
+apps AS (SELECT DISTINCT s_suppkey % 25 AS n, 'app-' || CAST(s_suppkey % 25 AS VARCHAR) AS app_id FROM supplier),
+top AS (
+  SELECT *, row_number() OVER (PARTITION BY app_id ORDER BY stage_duration_ms DESC, stage_id, attempt) AS place
+  FROM metrics),
+lines AS (
+  SELECT app_id, 1 AS section, '0' AS item, ['Profile of job-' || n || ' (' || app_id || ')', 'from ' || app_id] AS lines
+  FROM apps
+  UNION ALL
+  SELECT app_id, 2, CAST(place AS VARCHAR), ['stage ' || stage_id || ' ran ' || stage_duration_ms || ' ms: ' || num_tasks
+         || ' tasks, typical ' || {_fixed('task_p50_ms', 0)} || ' ms, p95 ' || {_fixed('task_p95_ms', 0)}
+         || ' ms, slowest ' || task_max_ms || ' ms; shuffled ' || {_fixed('shuffle_read_mb + shuffle_write_mb', 0)}
+         || ' MB, spilled ' || {_fixed('spill_mb', 0)} || ' MB, collector ' || {_fixed('gc_pct * 100', 1)} || '%']
+  FROM top WHERE place <= 10
+  UNION ALL
+  SELECT app_id, 2, '0', ['the log has no completed stage'] FROM apps WHERE app_id NOT IN (SELECT app_id FROM metrics)
+  UNION ALL
+  SELECT app_id, 3, detector_seq || '/' || coalesce(stage_id, -1) || '/' || coalesce(attempt, -1) || '/' || code_seq,
+         [severity || ' ' || code || ', ' || coalesce('stage ' || stage_id, 'whole application') || ': ' || message]
+  FROM findings
+  UNION ALL
+  SELECT app_id, 3, '0', ['nothing stands out'] FROM apps WHERE app_id NOT IN (SELECT app_id FROM findings)
+  UNION ALL
+  SELECT app_id, 4, CAST(rec_seq AS VARCHAR),
+         list_concat([title || ' (' || severity || ', ' || coalesce('stage ' || stage_id, 'whole application') || ')',
+                      '   ' || rationale],
+                     list_concat(list_transform(range(1, len(actions) + 1), lambda i: '   step ' || i || ' ' || actions[i]),
+                                 ['   measured ' || evidence]))
+  FROM recs
+  UNION ALL
+  SELECT app_id, 4, '0', ['nothing to change'] FROM apps WHERE app_id NOT IN (SELECT app_id FROM recs))
+SELECT app_id, section, item, CAST(i - 1 AS INTEGER) AS line_no, lines[i] AS line
+FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM lines)"""
+
+
 COST_INPUTS = """
 cost_in AS (
   SELECT 'app-' || CAST(n_nationkey AS VARCHAR) AS app_id, 'current' AS scenario,
@@ -243,6 +348,8 @@ FROM findings f LEFT JOIN settings s ON s.app_id = f.app_id"""
                          + [f"round({c}, 6) AS {c}" for c in cost_cols])
     return {
         "recommendations": recs,
+        "recommendations_json": _with(F_TASKS, SETTINGS, _texts()) + _JSON,
+        "report_lines": _with(F_TASKS, SETTINGS, _texts()) + _REPORT,
         "cost_estimate": _with(COST_INPUTS) + f"SELECT {cost_sel} FROM cost",
         "cost_compare": _with(COST_INPUTS) + """
 SELECT c.app_id, round(c.estimated_cost, 6) AS current_cost, round(o.estimated_cost, 6) AS optimized_cost,
