@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,8 @@ ARCHIVE_BYTES = 64 << 20
 #: Payloads of fewer bytes are always response records.
 MIN_REVISIT_BYTES = 0
 GZIP_LEVEL = 1
+#: Header lines are read in pieces of at most this size.
+LINE_BYTES = 1 << 16
 #: Pages carry no time of their own.
 DATE = "2000-01-01T00:00:00Z"
 
@@ -57,7 +60,9 @@ def _record_id(page_id: int | None) -> str:
 
 
 def _page_of(record_id: str | None) -> int | None:
-    return int(record_id[10:-1]) if record_id and record_id.startswith("<urn:page:") else None
+    """The page of a record id of this writer; None for any other id."""
+    found = re.fullmatch(r"<urn:page:(-?[0-9]{1,19})>", record_id or "")
+    return int(found[1]) if found and -2**63 <= int(found[1]) < 2**63 else None
 
 
 class Archive:
@@ -130,36 +135,64 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_BYTES
     return stored(mark_revisits(pages, min_bytes).mapInArrow(run, "file string, records long"), "archives")
 
 
-def _headers(stream) -> dict[str, str]:
-    out = {}
-    while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
-        name, _, value = line.decode().partition(":")
+def _headers(stream, limit: int | None = None) -> tuple[dict[str, str], int]:
+    """Fields up to the empty line, and the bytes read: at most ``limit``, so never beyond the record."""
+    out, used = {}, 0
+    while limit is None or used < limit:
+        line = stream.readline(LINE_BYTES if limit is None else min(LINE_BYTES, limit - used))
+        used += len(line)
+        if line in (b"\r\n", b"\n", b""):
+            break
+        name, _, value = line.decode("utf-8", "replace").partition(":")
         out[name.strip().lower()] = value.strip()
-    return out
+    return out, used
+
+
+def _length(text: str | None) -> int | None:
+    return int(text) if text and re.fullmatch("[0-9]{1,18}", text) else None
+
+
+def _skip(stream, left: int, record_id: str | None) -> None:
+    while left:
+        data = stream.read(min(left, CHUNK_BYTES))
+        if not data:
+            raise ValueError(f"{record_id}: the archive ends inside the record")
+        left -= len(data)
 
 
 def read_records(stream) -> Iterator[tuple]:
-    """Rows of CHUNK_DDL from a decompressed archive stream."""
-    while line := stream.readline():
+    """Rows of CHUNK_DDL from a decompressed archive stream.
+
+    Records of other kinds (warcinfo, request, ...) are skipped. Archives of other writers: page_id and
+    refers_to are null where the id is not this writer's, a block that is not HTTP is payload from its
+    first byte, only SHA-1 digests are checked, and a revisit without digest or length has nulls there.
+    An archive that ends inside a record, or a record without a length, raises ValueError; one that
+    ends inside a gzip member raises EOFError.
+    """
+    while line := stream.readline(LINE_BYTES):
         if not line.strip():
             continue
-        if line.strip().decode("latin-1") != VERSION:
+        if not re.fullmatch(rb"WARC/[0-9.]+", line.strip()):
             raise ValueError(f"not a record: {line[:40]!r}")
-        head = _headers(stream)
-        left = int(head["content-length"])
+        head, _ = _headers(stream)
+        left = _length(head.get("content-length"))
         record_id, kind = head.get("warc-record-id"), head.get("warc-type")
+        if left is None:
+            raise ValueError(f"{record_id}: no length")
         if kind not in ("response", "revisit"):
-            while left:
-                left -= len(stream.read(min(left, CHUNK_BYTES)))
+            _skip(stream, left, record_id)
             continue
-        at = stream.tell()
-        stream.readline()
-        http = _headers(stream)
-        left -= stream.tell() - at
-        digest_there = head.get("warc-payload-digest", "").removeprefix("sha1:")
+        http = {}
+        if head.get("content-type", "").lower().startswith("application/http"):
+            status = len(stream.readline(min(left, LINE_BYTES)))
+            http, used = _headers(stream, left - status)
+            left -= status + used
+        declared = head.get("warc-payload-digest", "")
+        digest_there = declared[5:].upper() if declared.lower().startswith("sha1:") else None
         who = (record_id, _page_of(record_id), kind, _page_of(head.get("warc-refers-to")))
         if kind == "revisit":
-            yield (*who, 0, b"", int(http.get("content-length", 0)), digest_there, True)
+            _skip(stream, left, record_id)
+            yield (*who, 0, b"", _length(http.get("content-length")), digest_there, True)
             continue
         digest, size, chunk = hashlib.sha1(), 0, 0
         while True:
