@@ -2,15 +2,18 @@
 
 Each rule has a cost and a rejection rate, estimated on a sample; rules run in descending order
 of rejection per cost, and a rule only sees the rows that no earlier rule has rejected. The
-verdict is the conjunction of all rules, so it does not depend on the estimated order.
+verdict is the conjunction of all rules, so it does not depend on the estimated order. Cost is
+counted work (array elements passed over), not time, and the sample is drawn by the texts' hash,
+so the order, and with it ``rejected_by``, is the same in every run over the same texts.
 
 Defined cases: null or empty text has no words and fails the base rule; repeated rows are judged
-each by themselves; other columns are untouched.
+each by themselves; other columns are untouched. An empty table gives an empty result, with the rules
+in listed order. A text of any length is judged whole, as a slice by itself if it is over SLICE_BYTES;
+memory is some ten times the longest text.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -38,10 +41,14 @@ SYMBOL[list(b"#*$%&|<>")] = True
 
 
 class Texts:
-    """One slice of texts; parts that several rules share are computed once, on first use."""
+    """One slice of texts; parts that several rules share are computed once, on first use.
+
+    ``work`` counts the array elements that were passed over so far.
+    """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.data, self.offsets = data, offsets
+        self.work = 0
         self._made: dict[str, object] = {}
 
     def _once(self, name: str, make: Callable[[], object]):
@@ -53,20 +60,41 @@ class Texts:
         return len(self.offsets) - 1
 
     def subset(self, keep: np.ndarray) -> "Texts":
+        """The texts of the kept rows. Words and counts per row go along; hashes are made anew if needed."""
         lengths = np.diff(self.offsets)
-        return Texts(self.data[np.repeat(keep, lengths)],
-                     np.concatenate([[0], np.cumsum(lengths[keep])]).astype(np.int64))
+        out = Texts(self.data[np.repeat(keep, lengths)],
+                    np.concatenate([[0], np.cumsum(lengths[keep])]).astype(np.int64))
+        if "words" in self._made:
+            starts, ends, first = self._made["words"]
+            per_row = np.diff(first)
+            here = np.repeat(keep, per_row)
+            shift = np.repeat(self.offsets[:-1][keep] - out.offsets[:-1], per_row[keep])
+            out._made["words"] = (starts[here] - shift, ends[here] - shift,
+                                  np.concatenate([[0], np.cumsum(per_row[keep])]).astype(np.int64))
+        for name in ("chars", "repeat"):
+            if name in self._made:
+                out._made[name] = self._made[name][keep]
+        return out
 
     def per_row(self, flags: np.ndarray) -> np.ndarray:
         """Sums of a per-byte array over each row."""
+        self.work += 3 * len(flags)
         sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
         return sums[self.offsets[1:]] - sums[self.offsets[:-1]]
 
     def words(self):
-        return self._once("words", lambda: word_spans(self.data, self.offsets))
+        return self._once("words", self._words)
+
+    def _words(self):
+        self.work += 8 * len(self.data)
+        return word_spans(self.data, self.offsets)
 
     def byte_hash(self) -> RollingHash:
-        return self._once("hash", lambda: RollingHash(self.data, 11))
+        return self._once("hash", self._byte_hash)
+
+    def _byte_hash(self) -> RollingHash:
+        self.work += 4 * len(self.data)
+        return RollingHash(self.data, 11)
 
     def n_words(self) -> np.ndarray:
         return np.diff(self.words()[2])
@@ -80,11 +108,13 @@ class Texts:
     def words_where(self, byte_flags: np.ndarray) -> np.ndarray:
         """Per row, the number of words with a flagged byte."""
         starts, ends, first = self.words()
+        self.work += 3 * len(self.data) + 4 * len(starts)
         sums = np.concatenate([[0], np.cumsum(byte_flags, dtype=np.int64)])
         hit = np.concatenate([[0], np.cumsum(sums[ends] > sums[starts])])
         return hit[first[1:]] - hit[first[:-1]]
 
     def n_dup_lines(self) -> np.ndarray:
+        self.work += 4 * len(self.data)
         brk = np.flatnonzero(self.data == 10)
         if len(brk) == 0:
             return np.zeros(len(self), dtype=np.int64)
@@ -98,6 +128,7 @@ class Texts:
         return self._repeats(self.byte_hash().spans(starts, ends), row, later_only=True)
 
     def _repeats(self, h: np.ndarray, row: np.ndarray, later_only: bool) -> np.ndarray:
+        self.work += 8 * len(h) * max(1, len(h).bit_length())  # sorted by two keys
         order = np.lexsort((h, row))
         same = (h[order][1:] == h[order][:-1]) & (row[order][1:] == row[order][:-1])
         dup = np.zeros(len(h), dtype=bool)
@@ -113,6 +144,7 @@ class Texts:
     def _n_repeat_words(self) -> np.ndarray:
         starts, ends, first = self.words()
         n, k = len(starts), REPEAT_WINDOW
+        self.work += 20 * n  # hashes of words and windows, covered words
         row = np.repeat(np.arange(len(self)), np.diff(first))
         if n < k:
             return np.zeros(len(self), dtype=np.int64)
@@ -182,34 +214,55 @@ RULES = (
 
 def estimate(df: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text",
              fraction: float = SAMPLE_FRACTION, seed: int = SAMPLE_SEED) -> list[tuple[str, float, float]]:
-    """(rule, seconds per row, rejected share) on a sample of rows; one row per rule comes back."""
+    """(rule, work per row, rejected share) on a sample of texts; one row per rule comes back.
+
+    A text is in the sample if its hash is: the same texts are drawn however the table is laid out.
+    """
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spent, gone, n = np.zeros(len(rules)), np.zeros(len(rules)), 0
         for batch in batches:
             for rows, data, off in text_slices(batch, "text"):
                 n += rows.num_rows
-                for i, rule in enumerate(rules):
-                    fresh = Texts(data, off)  # nothing shared: each rule pays for all it needs
-                    t0 = time.perf_counter()
-                    gone[i] += rule.rejects(fresh).sum()
-                    spent[i] += time.perf_counter() - t0
-        yield pa.RecordBatch.from_pydict({"name": [r.name for r in rules], "spent": spent, "gone": gone,
-                                          "n": np.full(len(rules), float(n))})
-
-    rows = (df.select(F.col(text_col).alias("text")).sample(fraction, seed)
-            .mapInArrow(probe, "name string, spent double, gone double, n double")
+                for at in range(rows.num_rows):  # row by row, so that the work does not depend on the slices
+                    lo, hi = off[at], off[at + 1]
+                    for i, rule in enumerate(rules):
+                        fresh = Texts(data[lo:hi], np.array([0, hi - lo]))  # nothing shared: each rule pays for all
+                        gone[i] += rule.rejects(fresh).sum()
+                        spent[i] += fresh.work
+        yield pa.RecordBatch.from_pydict({"name": [r.name for r in rules], "spent": spent.astype(np.int64),
+                                          "gone": gone.astype(np.int64), "n": np.full(len(rules), n)})
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    drawn = F.abs(F.xxhash64(text, F.lit(seed)).cast("double")) < fraction * 2.0 ** 63
+    rows = (df.select(text.alias("text")).where(drawn if fraction < 1 else F.lit(True))
+            .mapInArrow(probe, "name string, spent long, gone long, n long")
             .groupBy("name").agg(F.sum("spent").alias("spent"), F.sum("gone").alias("gone"), F.sum("n").alias("n"))
             .collect())
-    return [(r["name"], r["spent"] / max(r["n"], 1.0), r["gone"] / max(r["n"], 1.0)) for r in rows]
+    return [(r["name"], r["spent"] / max(r["n"], 1), r["gone"] / max(r["n"], 1)) for r in rows]
 
 
 def order_rules(rules: tuple[Rule, ...], stats: list[tuple[str, float, float]]) -> tuple[Rule, ...]:
-    """Most rejections per second first; a rule without figures, or a tie, keeps its listed place."""
+    """Most rejections per work first; a rule without figures, or a tie, keeps its listed place."""
     rate = {name: share / max(cost, 1e-9) for name, cost, share in stats}
     return tuple(sorted(rules, key=lambda r: -rate.get(r.name, 0.0)))
 
 
+def run_cascade(texts: Texts, cascade: tuple[Rule, ...]) -> np.ndarray:
+    """Per text the number of the first rule that rejects it, -1 for none. Each rule gets the texts that are
+    still open, and no others."""
+    by = np.full(len(texts), -1)
+    left, at = texts, np.arange(len(texts))  # at: the row of each text in left
+    for i, rule in enumerate(cascade):
+        if not len(at):
+            break
+        out = rule.rejects(left)
+        if out.any():
+            by[at[out]] = i
+            left, at = left.subset(~out), at[~out]
+    return by
+
+
 def quality_rules(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES,
                   features: bool = False, fraction: float = SAMPLE_FRACTION) -> DataFrame:
     """``df`` with ``kept`` and ``rejected_by`` (the first rule of the cascade that rejects).
@@ -229,20 +282,11 @@ def quality_rules(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...]
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, off in text_slices(batch, text_col):
-                whole = Texts(data, off)
-                by = np.full(len(whole), -1)
-                left, at = whole, np.arange(len(whole))  # at: the row of each text in left
-                for i, rule in enumerate(cascade):
-                    out = at[rule.rejects(left)]
-                    by[out[by[out] < 0]] = i
-                    open_rows = by[at] < 0
-                    if not open_rows.any():
-                        break
-                    if open_rows.sum() < 0.5 * len(at):  # else recomputing shared parts costs more
-                        left, at = left.subset(open_rows), at[open_rows]
+                by = run_cascade(Texts(data, off), cascade)
                 cols = [rows.column(c) for c in carried]
                 cols += [pa.array(by < 0), pa.array([None if i < 0 else cascade[i].name for i in by], pa.string())]
-                if features:
+                if features:  # for every row, so apart from the cascade
+                    whole = Texts(data, off)
                     cols += [pa.array(getattr(whole, c)().astype(np.int64)) for c in names[2:-1]]
                     cols.append(pa.array(base_rejects(whole)))
                 yield pa.RecordBatch.from_arrays(cols, names=[*carried, *names])
