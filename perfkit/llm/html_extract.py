@@ -30,6 +30,9 @@ HOST_PATHS = 8
 HELD_SHARE = 0.9
 #: Host paths are broadcast up to so many hosts, else joined by shuffle.
 BROADCAST_HOSTS = 200_000
+#: Containers further down count as part of the one at this depth, and an end tag closes nothing that is
+#: more levels up. No text is lost by it; time and path lengths stay bounded on pages of very deep nesting.
+MAX_DEPTH = 512
 #: A link's text counts against its container.
 LINK_COST = 2
 ARTICLE_BONUS = 1.5
@@ -55,9 +58,12 @@ FURNITURE_NAMES = set("ad ads adv advert adverts advertisement advertising spons
 ASIDE_NAMES = set("comment comments disqus reply replies responses related recommended recommendations".split())
 ARTICLE_NAMES = set("article post entry story content main body text".split())
 
+# An attribute list ends at the next < or > outside of a quoted value. Nothing is tried twice: the list
+# always matches up to there, and a quote without an end is an ordinary character.
+_ATTRIBUTES = r"(?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg)\b" + _ATTRIBUTES
+    + r">.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)(" + _ATTRIBUTES + r")>?+|<[!?/][^>]*+>?+", re.S | re.I)
 _NAMING = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -108,7 +114,10 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
     is furniture by tag is left out.
     """
     out: list[tuple[str, str, int, int]] = []  # path, text, characters in links, innermost marked element
-    stack: list[tuple[str, str, bool, int, bool]] = []  # tag, path, furniture by tag, marked element, plain inline
+    # tag, path, furniture by tag, marked element, plain inline, in article or main
+    stack: list[tuple[str, str, bool, int, bool, bool]] = []
+    open_tags: dict[str, int] = defaultdict(int)
+    paths: dict[tuple[str, str], str] = {}
     pending: list[str] = []
     named: list[_Named] = []
     state = {"link": 0, "in_link": 0, "articles": 0}
@@ -121,11 +130,19 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
         pending.clear()
         state["link"] = 0
 
+    def push(tag: str, *rest) -> None:
+        stack.append((tag, *rest))
+        open_tags[tag] += 1
+
     def close(tag: str, within: set[str] = frozenset(), inline: bool = False) -> None:
-        for i in range(len(stack) - 1, -1, -1):
+        if not open_tags[tag]:
+            return
+        for i in range(len(stack) - 1, max(-1, len(stack) - 1 - MAX_DEPTH), -1):
             if stack[i][0] == tag:
                 if inline and not all(s[4] for s in stack[i:]):
                     flush()
+                for gone in stack[i:]:
+                    open_tags[gone[0]] -= 1
                 del stack[i:]
                 return
             if stack[i][0] in within:
@@ -165,7 +182,7 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
                 close(tag, CLOSED_BY_OWN[tag])
         classes, words = _names(attributes) if "=" in attributes else ([], set())
         inherited, mark = (stack[-1][2], stack[-1][3]) if stack else (False, -1)
-        in_article = any(s[0] in ("article", "main") for s in stack)
+        in_article = bool(stack) and stack[-1][5]
         furniture = inherited or tag in FURNITURE_TAGS or (tag == "header" and not in_article)
         marked = False
         if not furniture and tag in ("article", "main"):
@@ -181,13 +198,16 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
             if (furniture or marked) and not inherited:
                 flush()
             before = stack[-1][1] if stack else ""
-            path = before if tag == "p" else f"{before}/{'.'.join([tag, *classes])}".lstrip("/")
+            path = before
+            if tag != "p" and len(stack) < MAX_DEPTH:
+                step = ".".join([tag, *classes])
+                path = paths.setdefault((before, step), f"{before}/{step}".lstrip("/"))  # one string per path
             if marked:
                 named.append(_Named(mark, bool(words & ASIDE_NAMES) and not words & ARTICLE_NAMES))
                 mark = len(named) - 1
-            stack.append((tag, path, furniture, mark, False))
+            push(tag, path, furniture, mark, False, in_article or tag in ("article", "main"))
         elif mark >= 0 and any(s[0] == tag for s in stack[-8:]):
-            stack.append((tag, stack[-1][1], False, mark, True))  # so that its end does not close a marked one
+            push(tag, stack[-1][1], False, mark, True, in_article)  # so that its end does not close a marked one
     take(page[at:])
     flush()
     if not named:
@@ -216,15 +236,21 @@ def score_containers(found: list[tuple[str, str, int]]) -> list[tuple[str, float
     for path, text, linked in found:
         good = _running(text, linked)
         total += good
-        steps = path.split("/")
-        for i in range(1, len(steps) + 1):
-            if not re.match(r"h[1-6]\b", steps[i - 1]):
-                held["/".join(steps[:i])] += good
+        held[path] += good
+    levels: dict[int, list[str]] = defaultdict(list)
+    for path in held:
+        levels[path.count("/")].append(path)
+    for depth in range(max(levels, default=0), 0, -1):  # sums go up, every path once
+        for path in levels[depth]:
+            parent = path.rsplit("/", 1)[0]
+            if parent not in held:
+                levels[depth - 1].append(parent)
+            held[parent] += held[path]
     scored = []
     for path, good in held.items():
-        if not good or good < HELD_SHARE * total:
-            continue
         last = path.rsplit("/", 1)[-1]
+        if not good or good < HELD_SHARE * total or re.match(r"h[1-6]\b", last):
+            continue
         words = {w.lower() for w in _WORDS.findall(last)}
         weight = ROOT_WEIGHT if last.split(".")[0] in ("html", "body") else 1.0
         if weight == 1.0 and words & ARTICLE_NAMES:
@@ -279,7 +305,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     Null and empty html give an empty text; pages whose url is null or has no host vote and are
     extracted as one host; repeated rows vote and are extracted each; null page_ids are carried;
-    extra columns are not. Empty table: empty result.
+    extra columns are not. Empty table: empty result. A page of any length or nesting is parsed whole, in
+    time linear in its length (tags that never end included); see MAX_DEPTH.
     """
     paths = small(stored(host_paths(pages), "host-paths"), BROADCAST_HOSTS)
     keyed = pages.select("page_id", "url", "html", host_of("url").alias("host"))
