@@ -3,8 +3,10 @@
 Every page's containers are scored by the running text that they hold; a page votes for its best
 ones by generalised path (tags with classes, digits removed) and votes are summed per host. On each
 page the host's most voted path that holds nearly all of that page's running text says where the
-article is; without one, the page uses its own best container. Outside of it only blocks that are
-at least half links are left out. Parts that are furniture by tag never count as text; a name or a
+article is; without one, the page uses its own best container. The pages of a host also vote on what
+is furniture: a path whose text is the same on most of the different pages that have it. Outside of
+the innermost container of the article, blocks at such paths are left out, whatever their names; so are
+blocks that are at least half links outside of the container. Parts that are furniture by tag never count as text; a name or a
 form makes furniture only of what is not a wrapper of the article (see _wrappers).
 """
 
@@ -13,14 +15,15 @@ from __future__ import annotations
 import html as html_lib
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perfkit.llm.common import extend, ship, small, stored
+from perfkit.llm.common import extend, ship, stored
 
 #: Containers that a page votes for.
 VOTES = 3
@@ -28,8 +31,14 @@ VOTES = 3
 HOST_PATHS = 8
 #: A container is one to vote for or to use if it holds this share of the page's running text.
 HELD_SHARE = 0.9
-#: Host paths are broadcast up to so many hosts, else joined by shuffle.
-BROADCAST_HOSTS = 200_000
+#: A path is furniture of its host if it stands on so many different pages, ...
+REPEAT_PAGES = 3
+#: ... with no more different texts than this share of them, ...
+REPEAT_TEXTS = 0.5
+#: ... and holds less than this share of their running text (pages may be near copies of each other).
+REPEAT_SHARE = 0.5
+#: Host paths are broadcast up to so many bytes, else joined by shuffle.
+BROADCAST_BYTES = 32 << 20
 #: Containers further down count as part of the one at this depth, and an end tag closes nothing that is
 #: more levels up. No text is lost by it; time and path lengths stay bounded on pages of very deep nesting.
 MAX_DEPTH = 512
@@ -259,45 +268,91 @@ def score_containers(found: list[tuple[str, str, int]]) -> list[tuple[str, float
     return sorted(scored, key=lambda x: (-x[1], x[0]))
 
 
-def extract(page: str, host_paths: list[str] | None) -> tuple[str, str | None]:
-    """(main text, path of its container), given the host's paths by falling votes.
+def path_key(path: str) -> int:
+    """64 bits of a path, as stored for furniture."""
+    return int.from_bytes(blake2b(path.encode(), digest_size=8).digest(), "little", signed=True)
 
-    All running text is kept, wherever it is; blocks that are at least half links only in the container.
+
+def extract(page: str, host_paths: list[str] | None, repeated: Collection[int] = ()) -> tuple[str, str | None]:
+    """(main text, path of its container), given the host's paths by falling votes and its furniture's keys.
+
+    Running text is kept wherever it is, unless it stands at a repeated path outside of the article's
+    innermost container; blocks that are at least half links only in the container.
     """
     found = blocks(page)
-    own = score_containers(found)
+    again = {path for path in {path for path, _, _ in found} if repeated and path_key(path) in repeated}
+    own = score_containers([b for b in found if b[0] not in again])
+    if not own:
+        again, own = set(), score_containers(found)
     if not own:
         return "\n\n".join(text for _, text, _ in found), None
     fit = {path for path, _ in own}
     path = next((p for p in host_paths or () if p in fit), own[0][0])
+    inner = max(fit, key=lambda p: (p.count("/"), p))  # all of them are above each other
+
+    def under(p: str, container: str) -> bool:
+        return p == container or p.startswith(container + "/")
+
     return "\n\n".join(text for p, text, linked in found
-                       if p == path or p.startswith(path + "/") or _running(text, linked)), path
+                       if (p not in again or under(p, inner)) and (under(p, path) or _running(text, linked))), path
 
 
 def host_of(url: str) -> "F.Column":
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def page_votes(page: str) -> list[tuple[str, int, int, int, int, int]]:
+    """(path, votes, key of the page's blocks, key of the path's text, its running text, the page's), a row for
+    each path with text or votes; a path without text of its own has null keys."""
+    found = blocks(page)
+    votes = dict(score_containers(found)[:VOTES])
+    texts: dict[str, list[str]] = defaultdict(list)
+    good: dict[str, int] = defaultdict(int)
+    for path, text, linked in found:
+        texts[path].append(text)
+        good[path] += _running(text, linked)
+    whole = path_key("\0".join(f"{path}\0{text}" for path, text, _ in found))
+    total = sum(good.values())
+    return [(path, round(1000 * votes.get(path, 0)), whole if path in texts else None,
+             path_key("\0".join(texts[path])) if path in texts else None, good.get(path, 0), total)
+            for path in sorted({*texts, *votes})]
+
+
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths): the HOST_PATHS paths with the most votes, of equal ones the first in order."""
+    """(host, paths, repeated): the HOST_PATHS paths with the most votes, of equal ones the first in order, and
+    the keys of all furniture paths. Pages with equal blocks count once for furniture, so copies make none."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[tuple, float] = defaultdict(float)
-            for host, page in zip(batch.column("host").to_pylist(), batch.column("html")):
-                for path, score in score_containers(blocks(page.as_py() or ""))[:VOTES]:
-                    sums[host, path] += score
-            hosts, paths = zip(*sums) if sums else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
-                                              pa.array([round(s * 1000) for s in sums.values()], pa.int64())],
-                                             names=["host", "path", "votes"])
-
-    votes = (pages.select(host_of("url").alias("host"), "html").mapInArrow(vote, "host string, path string, votes long")
-             .groupBy("host", "path").agg(F.sum("votes").alias("votes")).where("votes > 0"))
+            rows = [(host, *row) for host, page in zip(batch.column("host").to_pylist(), batch.column("html"))
+                    for row in page_votes(page.as_py() or "")]
+            if rows:
+                kinds = [pa.string(), pa.string(), *[pa.int64()] * 5]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                                 names=["host", "path", "votes", "page", "text", "good", "total"])
+
+    ddl = "host string, path string, votes long, page long, text long, good long, total long"
+    cast = pages.select(host_of("url").alias("host"), "html").mapInArrow(vote, ddl)
+    # Step by step, each with partial sums: different pages, then different texts, then paths.
+    by_page = cast.groupBy("host", "path", "page", "text").agg(
+        F.sum("votes").alias("votes"), F.first("good").alias("good"), F.first("total").alias("total"))
+    has = F.col("text").isNotNull()
+    by_text = by_page.groupBy("host", "path", "text").agg(
+        F.sum("votes").alias("votes"), *[F.sum(F.when(has, c).otherwise(0)).alias(n)
+                                         for n, c in (("pages", F.lit(1)), ("good", F.col("good")), ("total", F.col("total")))])
+    by_path = stored(by_text.groupBy("host", "path").agg(
+        *[F.sum(c).alias(c) for c in ("votes", "pages", "good", "total")], F.count("text").alias("texts"))
+        .where(f"votes > 0 or (pages >= {REPEAT_PAGES} and texts <= {REPEAT_TEXTS} * pages"
+               f" and good < {REPEAT_SHARE} * total)"), "path-votes")
     rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))  # trimmed before the shuffle
-    best = votes.withColumn("rank", rank).where(F.col("rank") <= HOST_PATHS)
-    return (best.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", "path"))).alias("b"))
-            .select("host", F.col("b.path").alias("paths")))
+    best = by_path.where("votes > 0").withColumn("rank", rank).where(F.col("rank") <= HOST_PATHS)
+    first = (best.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", "path"))).alias("b"))
+             .select("host", F.col("b.path").alias("paths")))
+    key = F.udf(lambda path: path_key(path), "long")
+    furniture = (by_path.where(f"pages >= {REPEAT_PAGES} and texts <= {REPEAT_TEXTS} * pages"
+                               f" and good < {REPEAT_SHARE} * total")
+                 .groupBy("host").agg(F.collect_set(key("path")).alias("repeated")))
+    return first.join(furniture, "host", "full")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -308,20 +363,28 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     extra columns are not. Empty table: empty result. A page of any length or nesting is parsed whole, in
     time linear in its length (tags that never end included); see MAX_DEPTH.
     """
-    paths = small(stored(host_paths(pages), "host-paths"), BROADCAST_HOSTS)
+    paths = stored(host_paths(pages), "host-paths")
+    size = F.octet_length(F.concat_ws("", "host", "paths")) + 8 * F.size(F.coalesce("repeated", F.array().cast("array<long>"))) + 64
+    if (paths.agg(F.sum(size).alias("n")).first()["n"] or 0) <= BROADCAST_BYTES:
+        paths = F.broadcast(paths)
     keyed = pages.select("page_id", "url", "html", host_of("url").alias("host"))
     schema = extend(pages.select("page_id", "url").schema, "text string, n_chars long, path string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [extract(page.as_py() or "", known) for page, known in
-                   zip(batch.column("html"), batch.column("paths").to_pylist())]
+            keys: dict[str, frozenset[int]] = {}  # per host, made once in a batch
+            got = []
+            for page, host, known, again in zip(batch.column("html"), batch.column("host").to_pylist(),
+                                                batch.column("paths"), batch.column("repeated")):
+                if host not in keys:
+                    keys[host] = frozenset(again.as_py() or ())
+                got.append(extract(page.as_py() or "", known.as_py(), keys[host]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array([t for t, _ in got], pa.string()),
                  pa.array([len(t) for t, _ in got], pa.int64()), pa.array([p for _, p in got], pa.string())],
                 names=schema.fieldNames())
 
-    return keyed.join(paths, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(run, schema)
+    return keyed.join(paths, "host", "left").select("page_id", "url", "html", "host", "paths", "repeated").mapInArrow(run, schema)
 
 
 ship(__name__)
