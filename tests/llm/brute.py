@@ -188,3 +188,42 @@ def divergence(rows):
             out += [(lang, s, "pair", o, -v, i) for i, (v, _, o) in enumerate(sorted(pairs), 1)]
             out += [(lang, s, "term", t, -v, i) for i, (v, _, t) in enumerate(sorted(terms)[:200], 1)]
     return out
+
+
+def kept_by_quality(text):
+    """The verdict of all quality rules."""
+    n, chars, symbols, dup, _, failed = quality(text)
+    text = text or ""
+    words = WORD.findall(text)
+    with_letter = sum(1 for w in words if re.search("[A-Za-z\u0080-\U0010FFFF]", w))
+    return not (failed or 100 * symbols > 10 * chars or not 2 * n <= chars <= 30 * n or
+                100 * dup > 60 * (text.count("\n") + 1) or 100 * sum("!" in w for w in words) > 60 * n or
+                100 * sum("|" in w for w in words) > 25 * n or 100 * (n - with_letter) > 50 * n)
+
+
+def without_shared(rows, span=50):
+    """(doc_id, text) with shared passages cut; texts that lose nothing stay as they are."""
+    first = {}
+    words = [WORD.findall(t or "") for _, t in rows]
+    for (d, _), w in zip(rows, words):
+        for i in range(len(w) - span + 1):
+            key = tuple(w[i:i + span])
+            first[key] = min(first.get(key, d), d)
+    out = []
+    for (d, t), w in zip(rows, words):
+        gone = {j for i in range(len(w) - span + 1) if first[tuple(w[i:i + span])] < d for j in range(i, i + span)}
+        out.append((d, " ".join(x for i, x in enumerate(w) if i not in gone) if gone else t))
+    return out
+
+
+def pipeline(rows, items, encode):
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of all stages, for rows with distinct ids."""
+    rows = [(d, t) for d, t in rows if kept_by_quality(t)]
+    rows = [(d, t) for (d, t), (_, _, c) in zip(rows, simhash_groups(rows)) if c == d]
+    rows = without_shared(rows)
+    rows = [(d, t) for (d, t), mark in zip(rows, contamination(rows, items)) if not mark[-1]]
+    out = []
+    for d, t in rows:
+        ids = encode(t or "")
+        out.append((d, len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)), sha((t or "").encode())))
+    return out
