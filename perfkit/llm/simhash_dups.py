@@ -33,7 +33,8 @@ SEGMENTS = 5
 HASH_SEED = 42
 #: Widths of the ring's segments, low bits first.
 WIDTHS = (13, 13, 13, 13, 12)
-#: Keys with more fingerprints than this are linked by search instead of by pairs.
+#: Keys with more fingerprints than this are linked by search instead of by pairs: a size switch that leaves the
+#: chain filter out there, so the Hamming check alone decides. The links connect the same fingerprints either way.
 PAIRED = 64
 
 
