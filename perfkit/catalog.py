@@ -25,7 +25,7 @@ from perfkit.operators import search as se
 from perfkit.operators import versions as vs
 from perfkit.plans import lifecycle as lc
 from perfkit.operators import report as rp
-from perfkit.operators.stage_metrics import profile_stages, top_stages
+from perfkit.operators.stage_metrics import profile_from_rows, profile_stages, top_stages
 from perfkit.sources import conf as cf
 from perfkit.sources import eventlog as ev
 from perfkit.sources import sqlplans as sq
@@ -64,7 +64,9 @@ def _settings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fd.findings_all(_metrics(spark, sf_dir), _settings(spark, sf_dir))
+    p = profile_inputs(spark, sf_dir)
+    m, apps = profile_stages(p["events"])
+    return fd.findings_all(m, cf.app_settings(p["confs"], p["clusters"]), apps)
 
 
 def _finding_rows(f: DataFrame) -> DataFrame:
@@ -178,8 +180,8 @@ def q_detect_file_layout(spark, sf_dir):
 
 def _recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = profile_inputs(spark, sf_dir)
-    m, _ = profile_stages(p["events"])
-    f = fd.findings_all(m, cf.app_settings(p["confs"], p["clusters"]))
+    m, apps = profile_stages(p["events"])
+    f = fd.findings_all(m, cf.app_settings(p["confs"], p["clusters"]), apps)
     return adv.recommend(f, p["confs"])
 
 
@@ -191,16 +193,44 @@ def q_recommendations(spark, sf_dir):
 
 def q_recommendations_json(spark, sf_dir):
     r = adv.recommendations_json(_recs(spark, sf_dir))
-    return r.withColumn("rec_seq", F.col("rec_seq").cast("bigint"))
+    return r.select("app_id", F.col("rec_seq").cast("bigint").alias("rec_seq"), "json")
 
 
 def q_report_lines(spark, sf_dir):
     p = profile_inputs(spark, sf_dir)
     m, apps = profile_stages(p["events"])
-    f = fd.findings_all(m, cf.app_settings(p["confs"], p["clusters"]))
-    folder = apps.withColumn("log_id", F.substring_index("log_id", "log=", -1))  # the log without its parent's path
-    lines = rp.report_lines(folder, m, f, adv.recommend(f, p["confs"]))
-    return lines.withColumn("item", F.array_join("item", "/"))
+    f = fd.findings_all(m, cf.app_settings(p["confs"], p["clusters"]), apps)
+    lines = rp.report_lines(apps, m, f, adv.recommend(f, p["confs"]))
+    from_line = (F.col("section") == rp.HEADER) & (F.col("line_no") == 1)  # the log without its parent's path
+    line = F.when(from_line, F.concat(F.lit("from "), F.substring_index("line", "log=", -1))).otherwise(F.col("line"))
+    return lines.withColumn("line", line).withColumn("item", F.array_join("item", "/")).drop("log_id")
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """The fixture logs as two logs of each application, one with its even and one with its odd stages."""
+    p = profile_inputs(spark, sf_dir)
+    runs = F.when(F.col("stage_id").isNull(), F.array(F.lit(0), F.lit(1)).cast("array<bigint>")).otherwise(
+        F.array(F.expr("pmod(stage_id, 2)")))
+    rows = ev.stage_rows(p["events"]).withColumn("run", F.explode(runs))
+    rows = rows.withColumn("log_id", F.concat_ws("#", "log_id", "run")).drop("run")
+    return p, *profile_from_rows(rows)
+
+
+def _run() -> F.Column:
+    return F.substring_index("log_id", "#", -1).cast("bigint").alias("run")
+
+
+def q_top_stages_by_log(spark, sf_dir):
+    _, m, _ = _runs(spark, sf_dir)
+    return top_stages(m, 10).select("app_id", _run(), F.col("stage_rank").cast("bigint").alias("stage_rank"), "stage_id",
+                                    "attempt")
+
+
+def q_recommendations_by_log(spark, sf_dir):
+    p, m, apps = _runs(spark, sf_dir)
+    f = fd.findings_all(m, cf.app_settings(p["confs"], p["clusters"]), apps)
+    return adv.recommend(f, p["confs"]).select("app_id", _run(), F.col("rec_seq").cast("bigint").alias("rec_seq"), "code",
+                                               "severity", "stage_id")
 
 
 def q_cost_estimate(spark, sf_dir):
@@ -412,6 +442,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recommendations": q_recommendations,
     "recommendations_json": q_recommendations_json,
     "report_lines": q_report_lines,
+    "top_stages_by_log": q_top_stages_by_log,
+    "recommendations_by_log": q_recommendations_by_log,
     "cost_estimate": q_cost_estimate,
     "cost_compare": q_cost_compare,
     "build_dense": q_build_dense,

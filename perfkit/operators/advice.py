@@ -16,6 +16,7 @@ from perfkit.operators import findings as fd
 from perfkit.operators import plan_findings as pf
 from perfkit.operators.ranking import rank_within
 from perfkit.sources.conf import conf_typed
+from perfkit.sources.eventlog import log_folder
 
 RULE_SCHEMA = T.StructType([
     T.StructField("code", T.StringType()), T.StructField("title", T.StringType()),
@@ -118,14 +119,14 @@ def severity_rank(col: str = "severity"):
 def recommend(findings: DataFrame, confs: DataFrame | None = None) -> DataFrame:
     """One recommendation per finding whose code has a rule.
 
-    ``rec_seq`` numbers an application's recommendations by severity, then stage
+    ``rec_seq`` numbers the recommendations of a log (of an application, where the log is null) by severity, then stage
     (null last), then the order the findings were produced in. The numbering is a
-    global sort plus per-task offsets (``ranking.rank_within``), so an application
+    global sort plus per-task offsets (``ranking.rank_within``), so a log
     with very many findings is not ranked inside a single task.
     """
     spark = findings.sparkSession
     rules = F.broadcast(rules_table(spark))
-    f = findings.join(rules, "code", "inner")
+    f = fd.with_log(findings).join(rules, "code", "inner")
     if confs is not None:
         flags = conf_typed(confs).select("app_id", "aqe_enabled", "skew_join_enabled")
         f = f.join(flags, "app_id", "left")
@@ -143,15 +144,15 @@ def recommend(findings: DataFrame, confs: DataFrame | None = None) -> DataFrame:
     order = [severity_rank(), F.asc_nulls_last("stage_id"), F.col("detector_seq"), F.col("attempt"),
              F.col("code_seq")]
     out = f.select(
-        "app_id", "code", "severity", "title", "rationale", actions.alias("actions"),
+        "log_id", "app_id", F.coalesce("log_id", "app_id").alias("_of"), "code", "severity", "title", "rationale", actions.alias("actions"),
         "stage_id", "attempt", "evidence", n_adj.alias("n_adjusted"),
         "detector_seq", "code_seq",
     )
-    return rank_within(out, "app_id", order, "rec_seq")
+    return rank_within(out, "_of", order, "rec_seq").drop("_of")
 
 
 def recommendations_json(recs: DataFrame) -> DataFrame:
-    """One JSON object per recommendation, ``(app_id, rec_seq, json)``.
+    """One JSON object per recommendation, ``(log_id, app_id, rec_seq, json)``.
 
     One object per row (JSON lines) rather than one array per application, so no
     application's output is gathered into a single row. Numbers of the evidence are written with
@@ -160,10 +161,10 @@ def recommendations_json(recs: DataFrame) -> DataFrame:
     obj = F.to_json(F.struct("severity", "title", "stage_id", "rationale", "actions"), {"ignoreNullFields": "false"})
     evidence = F.coalesce(json_map(F.col("evidence")), F.lit("null"))
     opened = obj.substr(F.lit(1), F.length(obj) - 1)  # without the closing brace
-    return recs.select("app_id", "rec_seq", F.concat(opened, F.lit(',"evidence":'), evidence, F.lit("}")).alias("json"))
+    return recs.select("log_id", "app_id", "rec_seq", F.concat(opened, F.lit(',"evidence":'), evidence, F.lit("}")).alias("json"))
 
 
 def write_recommendations(recs: DataFrame, path: str) -> None:
-    """Write JSON lines, one folder per application, in rank order."""
-    (recommendations_json(recs).orderBy("app_id", "rec_seq").select("app_id", "json")
-     .write.mode("overwrite").partitionBy("app_id").text(path))
+    """Write JSON lines, one folder per log inside its application's, in rank order."""
+    (recommendations_json(recs).withColumn("log", log_folder()).orderBy("app_id", "log", "rec_seq")
+     .select("app_id", "log", "json").write.mode("overwrite").partitionBy("app_id", "log").text(path))

@@ -7,8 +7,9 @@ metrics (an array of candidate findings per stage, exploded), so the metrics are
 read once, not once per detector. Thresholds are parameters with the reference
 defaults.
 
-Finding columns: app_id, detector_seq, code_seq, code, severity, stage_id, attempt,
-message, evidence (map<string,double>). ``(detector_seq, stage_id, attempt,
+Finding columns: log_id, app_id, detector_seq, code_seq, code, severity, stage_id, attempt,
+message, evidence (map<string,double>). A null ``log_id`` stands for every log of the
+application. Within a log ``(detector_seq, stage_id, attempt,
 code_seq)`` reproduces the order in which the findings are produced.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from perfkit.functions.number_text import fixed
 
-FINDING_COLUMNS = ["app_id", "detector_seq", "code_seq", "code", "severity", "stage_id",
+FINDING_COLUMNS = ["log_id", "app_id", "detector_seq", "code_seq", "code", "severity", "stage_id",
                    "attempt", "message", "evidence"]
 
 # Finding codes and severities.
@@ -58,9 +59,14 @@ def _struct(d: Detector) -> Column:
                     d.message.alias("message"), d.evidence.alias("evidence"))
 
 
+def with_log(df: DataFrame) -> DataFrame:
+    """``df`` with a ``log_id``: null where it has no such column."""
+    return df if "log_id" in df.columns else df.withColumn("log_id", F.lit(None).cast("string"))
+
+
 def _emit(df: DataFrame, d: Detector, stage: bool = True) -> DataFrame:
-    return df.where(d.when).select(
-        "app_id", F.lit(d.detector_seq).alias("detector_seq"), F.lit(d.code_seq).alias("code_seq"),
+    return with_log(df).where(d.when).select(
+        "log_id", "app_id", F.lit(d.detector_seq).alias("detector_seq"), F.lit(d.code_seq).alias("code_seq"),
         F.lit(d.code).alias("code"), d.severity.alias("severity"),
         (F.col("stage_id") if stage else F.lit(None).cast("bigint")).alias("stage_id"),
         (F.col("attempt") if stage else F.lit(None).cast("bigint")).alias("attempt"),
@@ -137,9 +143,9 @@ def stage_findings(metrics: DataFrame, detectors: list[Detector] | None = None)
     """All stage detectors in one pass: each metrics row yields 0..n findings."""
     ds = detectors if detectors is not None else default_stage_detectors()
     cand = F.array(*[F.when(d.when, _struct(d)) for d in ds])
-    f = metrics.select("app_id", "stage_id", "attempt",
-                       F.explode(F.filter(cand, lambda x: x.isNotNull())).alias("f"))
-    return f.select("app_id", "f.detector_seq", "f.code_seq", "f.code", "f.severity", "stage_id",
+    f = with_log(metrics).select("log_id", "app_id", "stage_id", "attempt",
+                                 F.explode(F.filter(cand, lambda x: x.isNotNull())).alias("f"))
+    return f.select("log_id", "app_id", "f.detector_seq", "f.code_seq", "f.code", "f.severity", "stage_id",
                     "attempt", "f.message", "f.evidence")
 
 
@@ -163,20 +169,27 @@ def detect_partitioning(settings: DataFrame) -> DataFrame:
     ]
     cand = F.array(*[F.when(d.when, _struct(d)) for d in ds])
     f = known.select("app_id", F.explode(F.filter(cand, lambda x: x.isNotNull())).alias("f"))
-    return f.select("app_id", "f.detector_seq", "f.code_seq", "f.code", "f.severity",
-                    F.lit(None).cast("bigint").alias("stage_id"), F.lit(None).cast("bigint").alias("attempt"),
+    return f.select(F.lit(None).cast("string").alias("log_id"), "app_id", "f.detector_seq", "f.code_seq", "f.code",
+                    "f.severity", F.lit(None).cast("bigint").alias("stage_id"), F.lit(None).cast("bigint").alias("attempt"),
                     "f.message", "f.evidence")
 
 
-def findings_all(metrics: DataFrame, settings: DataFrame | None = None) -> DataFrame:
-    """Stage findings and (given settings) partitioning findings as one bag."""
+def findings_all(metrics: DataFrame, settings: DataFrame | None = None, apps: DataFrame | None = None) -> DataFrame:
+    """Stage findings and (given settings) partitioning findings as one bag.
+
+    With ``apps`` (log_id, app_id) a partitioning finding is given once for each log of its application,
+    with a null ``log_id`` where it has none.
+    """
     out = stage_findings(metrics)
     if settings is not None:
-        out = out.unionByName(detect_partitioning(settings))
+        planned = detect_partitioning(settings)
+        if apps is not None:
+            planned = planned.drop("log_id").join(apps.select("app_id", "log_id"), "app_id", "left")
+        out = out.unionByName(planned)
     return out
 
 
 def flat_findings(findings: DataFrame) -> DataFrame:
     """Findings with evidence as one row per key (for tabular output and checks)."""
-    return findings.select("app_id", "detector_seq", "code_seq", "code", "severity", "stage_id",
+    return with_log(findings).select("log_id", "app_id", "detector_seq", "code_seq", "code", "severity", "stage_id",
                            "attempt", F.explode("evidence").alias("key", "value"))

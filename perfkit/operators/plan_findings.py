@@ -101,8 +101,8 @@ def plan_findings(facts: DataFrame, apps: DataFrame, detectors: list[Detector] |
         df = df.join(own, "app_id", "left").withColumn(
             "broadcast_bytes", F.when(F.col("_own") > 0, F.col("_own")).otherwise(default))
     found = F.filter(F.array(*[F.when(d.when, _struct(d)) for d in detectors]), lambda x: x.isNotNull())
-    return df.select("app_id", "stage_id", "attempt", F.explode(found).alias("f")).select(
-        "app_id", "f.detector_seq", "f.code_seq", "f.code", "f.severity", "stage_id", "attempt", "f.message",
+    return df.select("log_id", "app_id", "stage_id", "attempt", F.explode(found).alias("f")).select(
+        "log_id", "app_id", "f.detector_seq", "f.code_seq", "f.code", "f.severity", "stage_id", "attempt", "f.message",
         "f.evidence").select(*FINDING_COLUMNS)
 
 

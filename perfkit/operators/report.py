@@ -1,9 +1,9 @@
 """Plain-text report as rows (O1-O4) and its text sink (S3).
 
-Output rows: ``(app_id, section, item, line_no, line)``; ``item`` is an array of sort keys.
-Ordering by those keys gives the report; every application is reported in the same job. No application's
+Output rows: ``(log_id, app_id, section, item, line_no, line)``; ``item`` is an array of sort keys.
+Ordering by those keys gives the report; every log has a report of its own, all in the same job. No log's
 lines are gathered into one row: the sink sorts globally (range partitioning
-splits large applications) and writes one folder per application.
+splits large logs) and writes one folder per log.
 """
 
 from __future__ import annotations
@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfkit.functions.number_text import fixed, json_map
+from perfkit.operators.findings import with_log
 from perfkit.operators.stage_metrics import top_stages
+from perfkit.sources.eventlog import log_folder
 
-REPORT_COLUMNS = ["app_id", "section", "item", "line_no", "line"]
+REPORT_COLUMNS = ["log_id", "app_id", "section", "item", "line_no", "line"]
 
 # Section order.
 HEADER, TOP, FINDINGS, RECS = 1, 2, 3, 4
@@ -22,7 +24,7 @@ HEADER, TOP, FINDINGS, RECS = 1, 2, 3, 4
 
 def _lines(df: DataFrame, section: int, item: list, lines: Column) -> DataFrame:
     keys = F.array(*[F.coalesce(k if isinstance(k, Column) else F.lit(k), F.lit(-1)).cast("bigint") for k in item])
-    return df.select("app_id", F.lit(section).alias("section"), keys.alias("item"),
+    return df.select("log_id", "app_id", F.lit(section).alias("section"), keys.alias("item"),
                      F.posexplode(lines).alias("line_no", "line"))
 
 
@@ -32,13 +34,27 @@ def _where() -> Column:
 
 
 def _without(apps: DataFrame, rows: DataFrame, section: int, text: str) -> DataFrame:
-    """A line for the applications that have no rows."""
-    return _lines(apps.join(rows.select("app_id").distinct(), "app_id", "left_anti"), section, [0], F.array(F.lit(text)))
+    """A line for the logs that have no rows."""
+    return _lines(apps.join(rows.select("log_id").distinct(), "log_id", "left_anti"), section, [0], F.array(F.lit(text)))
+
+
+def _by_log(df: DataFrame, apps: DataFrame) -> DataFrame:
+    """``df`` with rows of a null log repeated for each log of their application (kept as they are if
+    it has none)."""
+    def key(log: Column, app: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("log:"), log), F.concat(F.lit("app:"), app))
+
+    logs = apps.select(F.col("log_id").alias("_log"), F.explode(F.array(
+        key(F.col("log_id"), F.col("app_id")), key(F.lit(None), F.col("app_id")))).alias("_key"))
+    rows = with_log(df).withColumn("_key", key(F.col("log_id"), F.col("app_id"))).join(logs, "_key", "left")
+    return rows.withColumn("log_id", F.coalesce("log_id", "_log")).drop("_key", "_log")
 
 
 def report_lines(apps: DataFrame, metrics: DataFrame, findings: DataFrame, recs: DataFrame,
                  top_n: int = 10) -> DataFrame:
-    """O1-O4 for every application in ``apps`` (``log_id, app_id, app_name``)."""
+    """O1-O4 for every log in ``apps`` (``log_id, app_id, app_name``). Rows of the other frames with a null
+    log, or none, count for every log of their application."""
+    metrics, findings, recs = (_by_log(df, apps) for df in (metrics, findings, recs))
     head = _lines(apps, HEADER, [0], F.array(
         F.format_string("Profile of %s (%s)", F.coalesce("app_name", F.lit("unnamed")), F.col("app_id")),
         F.format_string("from %s", F.col("log_id"))))
@@ -71,6 +87,6 @@ def report_lines(apps: DataFrame, metrics: DataFrame, findings: DataFrame, recs:
 
 
 def write_report(lines: DataFrame, path: str) -> None:
-    """S3: one folder of text per application, lines in report order."""
-    (lines.orderBy("app_id", "section", "item", "line_no").select("app_id", "line")
-     .write.mode("overwrite").partitionBy("app_id").text(path))
+    """S3: one folder of text per log inside its application's, lines in report order."""
+    (lines.withColumn("log", log_folder()).orderBy("app_id", "log", "section", "item", "line_no")
+     .select("app_id", "log", "line").write.mode("overwrite").partitionBy("app_id", "log").text(path))

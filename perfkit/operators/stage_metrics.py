@@ -166,12 +166,14 @@ def profile_from_rows(rows: DataFrame, materialize: bool = True) -> tuple[DataFr
 
 
 def top_stages(metrics: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` longest stages of each application, with their rank.
+    """The ``n`` longest stages of each log (of each application, where ``metrics`` has no
+    ``log_id``), with their rank.
 
     ``row_number() <= n`` is planned as a WindowGroupLimit, which trims every map
-    partition to ``n`` rows per application before the shuffle, so a huge
-    application does not move all its stages to one task.
+    partition to ``n`` rows per log before the shuffle, so a huge
+    log does not move all its stages to one task.
     """
-    w = Window.partitionBy("app_id").orderBy(F.desc("stage_duration_ms"), "stage_id", "attempt")
+    key = [c for c in ("log_id", "app_id") if c in metrics.columns]
+    w = Window.partitionBy(*key).orderBy(F.desc("stage_duration_ms"), "stage_id", "attempt")
     return (metrics.withColumn("stage_rank", F.row_number().over(w))
             .where(F.col("stage_rank") <= n))

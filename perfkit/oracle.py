@@ -342,6 +342,23 @@ SELECT f.app_id,
             THEN CAST(coalesce(s.aqe_enabled, false) AS INTEGER) + CAST(coalesce(s.skew_join_enabled, false) AS INTEGER)
             ELSE 0 END AS n_adjusted
 FROM findings f LEFT JOIN settings s ON s.app_id = f.app_id"""
+    by_log = _with(F_TASKS, SETTINGS, f"findings AS ({findings})", """
+runs AS (SELECT DISTINCT 'app-' || CAST(s_suppkey % 25 AS VARCHAR) AS app_id, unnest([0, 1]) AS run FROM supplier),
+placed AS (
+  SELECT f.*, CAST(coalesce(f.stage_id % 2, r.run) AS BIGINT) AS run
+  FROM findings f LEFT JOIN runs r ON f.stage_id IS NULL AND f.app_id = r.app_id
+)""") + """
+SELECT app_id, run,
+       CAST(row_number() OVER (PARTITION BY app_id, run ORDER BY
+            CASE severity WHEN 'ERROR' THEN 0 WHEN 'WARN' THEN 1 WHEN 'INFO' THEN 2 ELSE 9 END,
+            stage_id NULLS LAST, detector_seq, attempt, code_seq) AS BIGINT) AS rec_seq,
+       code, severity, stage_id
+FROM placed"""
+    top_by_log = _with(F_TASKS) + """
+SELECT app_id, stage_id % 2 AS run, stage_id, attempt,
+       CAST(row_number() OVER (PARTITION BY app_id, stage_id % 2 ORDER BY stage_duration_ms DESC, stage_id, attempt)
+            AS BIGINT) AS stage_rank
+FROM metrics QUALIFY stage_rank <= 10"""
     cost_cols = ["node_hours", "rate_per_node_hour", "estimated_cost", "dbus", "rate_per_dbu_hour",
                  "estimated_cost_dbu"]
     cost_sel = ", ".join(["app_id", "scenario", "runtime_seconds", "nodes"]
@@ -350,6 +367,8 @@ FROM findings f LEFT JOIN settings s ON s.app_id = f.app_id"""
         "recommendations": recs,
         "recommendations_json": _with(F_TASKS, SETTINGS, _texts()) + _JSON,
         "report_lines": _with(F_TASKS, SETTINGS, _texts()) + _REPORT,
+        "top_stages_by_log": top_by_log,
+        "recommendations_by_log": by_log,
         "cost_estimate": _with(COST_INPUTS) + f"SELECT {cost_sel} FROM cost",
         "cost_compare": _with(COST_INPUTS) + """
 SELECT c.app_id, round(c.estimated_cost, 6) AS current_cost, round(o.estimated_cost, 6) AS optimized_cost,

@@ -25,7 +25,7 @@ def profile(spark: SparkSession, eventlog_paths, conf_paths=None, clusters: Data
     settings = conf.app_settings(confs, clusters) if (confs is not None and clusters is not None) else None
     plans = plan_findings.plan_findings(sqlplans.node_facts(lines), apps,
                                         limits=conf.broadcast_limits(confs) if confs is not None else None)
-    f = findings.findings_all(metrics, settings).unionByName(plans)
+    f = findings.findings_all(metrics, settings, apps).unionByName(plans)
     recs = advice.recommend(f, confs)
     out = {"lines": lines, "apps": apps, "metrics": metrics, "findings": f, "recommendations": recs,
            "report": report.report_lines(apps, metrics, f, recs),
@@ -51,6 +51,6 @@ def observed_cost(apps: DataFrame, clusters: DataFrame) -> DataFrame:
 
 
 def write_outputs(out: dict[str, DataFrame], path: str) -> None:
-    """Report text and recommendation JSON lines, one folder per application."""
+    """Report text and recommendation JSON lines, one folder per log."""
     report.write_report(out["report"], f"{path}/report")
     advice.write_recommendations(out["recommendations"], f"{path}/recommendations")

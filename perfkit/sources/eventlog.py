@@ -75,6 +75,14 @@ def parent_dir(path: Column) -> Column:
     return F.substring(path, F.lit(1), F.length(path) - F.length(F.substring_index(path, "/", -1)) - 1)
 
 
+def log_folder(log_id: str = "log_id") -> Column:
+    """A folder name for a log: the last part of its path and a hash of the whole, as a path may be longer
+    than a name can be. Null for a null log."""
+    last = F.element_at(F.filter(F.split(log_id, "/"), lambda x: x != ""), -1)
+    return F.concat(F.substring(F.coalesce(last, F.lit("")), 1, 100), F.lit("-"), F.lower(F.hex(F.xxhash64(log_id))),
+                    F.when(F.col(log_id).isNotNull(), F.lit("")))
+
+
 def _j(path: str) -> Column:
     return F.col("j." + path)
 
