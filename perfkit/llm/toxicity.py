@@ -4,8 +4,12 @@ A text is the set of its words, hashed into buckets. The machine adds, to a weig
 inner product of two short vectors for every pair of buckets in the text, so that a word can
 count for more (or less) beside another, also one that tells nothing alone; the pair sum is computed
 in linear time from sums of the vectors and of their squares, and divided by the number of buckets
-that have vectors, as the many pairs of a long text would else drown its weights. Weights are fitted by adaptive gradient steps on a
-bounded sample of the labelled rows; scoring covers every whole text, one pass, no shuffle.
+that have vectors, as the many pairs of a long text would else drown its weights. Words that stand near each
+other, as an insult beside a group's name, are a field of their own: they have further vectors, whose products
+are summed over all pairs of words less than WINDOW apart and divided by the square root of the text's length in windows,
+so that a long text doesn't take them away. Weights and vectors are fitted by adaptive gradient steps on a
+bounded sample of the labelled rows, the near vectors last, on what the rest leaves unexplained; scoring covers every whole
+text, one pass, no shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perfkit.llm.common import RollingHash, extend, ship, text_slices, word_spans
+from perfkit.llm.common import RollingHash, extend, ship, text_key, text_slices, word_spans
 
 BUCKET_BITS = 18
 FACTORS = 4
@@ -33,8 +37,13 @@ FACTOR_STEP, BIAS_STEP = 1.0, 0.1
 #: Size of the first factors; the squared gradients that their steps start from; both suit rows of summed gradients.
 FACTOR_SIZE, FACTOR_SEEN = 0.1, 1.0
 SHRINK = 1e-3
-#: Pull of a factor to zero for each row that has its bucket.
+#: Pull of a factor to zero for each row that has its bucket; of a near factor, for each place where it stands.
 FACTOR_SHRINK = 3e-3
+NEAR_SHRINK = 8e-3
+#: Words are near if fewer places lie between them.
+WINDOW = 5
+#: Training rows of more words have no part in the fit of the near factors.
+NEAR_WORDS = 2_048
 SPARSE = 8.0
 SEED = 5
 THRESHOLD = 0.3
@@ -48,15 +57,23 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def buckets(data: np.ndarray, off: np.ndarray, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct buckets of each row, ascending, and where each row's begin."""
+def places(data: np.ndarray, off: np.ndarray, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of every word in text order, and where each row's begin."""
     low = LOWER[data]
     starts, ends, first = word_spans(low, off, BREAK)
-    h = RollingHash(low, 41).spans(starts, ends) >> np.uint64(64 - bits)
-    row = np.repeat(np.arange(len(off) - 1), np.diff(first))
-    both = np.unique((row.astype(np.uint64) << np.uint64(bits)) | h)
+    return (RollingHash(low, 41).spans(starts, ends) >> np.uint64(64 - bits)).astype(np.int64), first
+
+
+def distinct(words: np.ndarray, first: np.ndarray, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of each row, ascending, and where each row's begin."""
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    both = np.unique((row.astype(np.uint64) << np.uint64(bits)) | words.astype(np.uint64))
     return ((both & np.uint64((1 << bits) - 1)).astype(np.int64),
-            np.searchsorted(both >> np.uint64(bits), np.arange(len(off))))
+            np.searchsorted(both >> np.uint64(bits), np.arange(len(first))))
+
+
+def buckets(data: np.ndarray, off: np.ndarray, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
+    return distinct(*places(data, off, bits), bits)
 
 
 def _row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -64,11 +81,23 @@ def _row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def _near_sums(v: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each word, the sum of the vectors of the words near it, itself excluded."""
+    total = np.concatenate([np.zeros((1, v.shape[1])), np.cumsum(v, axis=0, dtype=np.float64)])
+    row, i = np.repeat(np.arange(len(first) - 1), np.diff(first)), np.arange(len(v))
+    return total[np.minimum(i + WINDOW, first[1:][row])] - total[np.maximum(i - WINDOW + 1, first[:-1][row])] - v
+
+
+def _near_scale(first: np.ndarray) -> np.ndarray:
+    return 1.0 / np.sqrt(np.maximum(np.diff(first) / WINDOW, 1.0))
+
+
 @dataclass
 class Machine:
     bias: float
     weight: np.ndarray
     factor: np.ndarray
+    near: np.ndarray | None = None
 
     def margin(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(margin of each row, sums of the row's factors)."""
@@ -78,8 +107,21 @@ class Machine:
         pairs = 0.5 * (s * s - _row_sums(v * v, bounds)).sum(axis=1) / paired
         return self.bias + _row_sums(self.weight[ids], bounds) + pairs, s
 
+    def near_margin(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """What near words add to the margin of each row, given by its words in order."""
+        v = self.near[words]
+        return 0.5 * _row_sums((v * _near_sums(v, first)).sum(axis=1), first) * _near_scale(first)
+
     def score(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.margin(ids, bounds)[0], -30, 30)))
+        """Scores without the near words."""
+        return _sigmoid(self.margin(ids, bounds)[0])
+
+    def score_words(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
+        return _sigmoid(self.margin(*distinct(words, first))[0] + self.near_margin(words, first))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
 def fit(ids: np.ndarray, bounds: np.ndarray, label: np.ndarray, bits: int = BUCKET_BITS,
@@ -107,7 +149,7 @@ def fit(ids: np.ndarray, bounds: np.ndarray, label: np.ndarray, bits: int = BUCK
             cut = np.concatenate([[0], np.cumsum(lengths)])
             mine = ids[np.repeat(bounds[rows] - cut[:-1], lengths) + np.arange(cut[-1])]
             margin, sums = m.margin(mine, cut)
-            error = 1.0 / (1.0 + np.exp(-np.clip(margin, -30, 30))) - label[rows]
+            error = _sigmoid(margin) - label[rows]
             per = np.repeat(error, lengths)
             bucket, where = np.unique(mine, return_inverse=True)
             g = np.bincount(where, weights=per, minlength=len(bucket))
@@ -128,6 +170,45 @@ def fit(ids: np.ndarray, bounds: np.ndarray, label: np.ndarray, bits: int = BUCK
     return m
 
 
+def fit_near(m: Machine, words: np.ndarray, first: np.ndarray, label: np.ndarray, margin: np.ndarray,
+             epochs: int = EPOCHS, seed: int = SEED) -> Machine:
+    """Fits the near factors of ``m`` on rows given by their words in order; ``margin`` is what the rest of
+    the machine gives them. Buckets in fewer than MIN_ROWS rows have no near factors."""
+    rng = np.random.default_rng(seed)
+    size, factors = m.factor.shape
+    m.near = rng.normal(0, FACTOR_SIZE, (size, factors))
+    common = np.bincount(distinct(words, first)[0], minlength=size) >= MIN_ROWS
+    m.near[~common] = 0.0
+    lengths, seen = np.diff(first), np.full((size, factors), FACTOR_SEEN)
+    for _ in range(epochs):
+        order = rng.permutation(len(label))
+        for at in range(0, len(label), BATCH):
+            rows = order[at:at + BATCH]
+            cut = np.concatenate([[0], np.cumsum(lengths[rows])])
+            mine = words[np.repeat(first[rows] - cut[:-1], lengths[rows]) + np.arange(cut[-1])]
+            v = m.near[mine]
+            beside, scale = _near_sums(v, cut), _near_scale(cut)
+            error = _sigmoid(margin[rows] + 0.5 * _row_sums((v * beside).sum(axis=1), cut) * scale) - label[rows]
+            bucket, where = np.unique(mine, return_inverse=True)
+            g = beside * np.repeat(error * scale, lengths[rows])[:, None]
+            g = np.stack([np.bincount(where, weights=g[:, f], minlength=len(bucket)) for f in range(factors)], axis=1)
+            g = np.where(common[bucket][:, None], g, 0.0)
+            g += NEAR_SHRINK * np.bincount(where, minlength=len(bucket))[:, None] * m.near[bucket]
+            seen[bucket] += g * g
+            m.near[bucket] -= FACTOR_STEP * g / np.sqrt(seen[bucket])
+    return m
+
+
+def fit_all(words: np.ndarray, first: np.ndarray, short: np.ndarray, ids: np.ndarray, bounds: np.ndarray,
+            label: np.ndarray) -> Machine:
+    """Weights and factors from the rows' distinct buckets, near factors from the words of the rows marked
+    ``short`` (the others have none in ``words``)."""
+    m = fit(ids, bounds, label)
+    margin = m.margin(ids, bounds)[0]
+    kept = np.concatenate([[0], np.cumsum(np.diff(first)[short])])
+    return fit_near(m, words, kept, label[short], margin[short])
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the rows whose labels must not be learnt from; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == HELD_OUT, F.lit(False))
@@ -135,7 +216,8 @@ def held_out(doc_id: str = "doc_id"):
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine:
     """Fits on at most ``rows`` labelled rows outside the held-out fold. Rows with a null id or a null
-    label are left out; an id with several labels has the greatest."""
+    label are left out; an id with several labels has the greatest; of an id's repeated rows those with the
+    least text hashes come first. What is fetched is bounded by ``rows``, NEAR_WORDS and the number of buckets."""
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).where(~held_out())
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
@@ -143,20 +225,37 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in text_slices(batch, "text"):
-                ids, bounds = buckets(data, off)
+                words, first = places(data, off)
+                ids, bounds = distinct(words, first)
+                lengths = np.diff(first)
+                short = lengths <= NEAR_WORDS
+                kept = np.concatenate([[0], np.cumsum(np.where(short, lengths, 0))])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("toxic"),
-                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))],
-                    names=["doc_id", "toxic", "ids"])
+                    [part.column("doc_id"), part.column("text_key"), part.column("toxic"),
+                     _lists(bounds, ids), _lists(kept, words[np.repeat(short, lengths)]), pa.array(short)],
+                    names=["doc_id", "text_key", "toxic", "ids", "words", "short"])
+
+    # ``rows`` bounds the broadcast side.
+    text = (docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text").join(F.broadcast(chosen), "doc_id")
+            .select("doc_id", "text_key", "toxic", "text"))
+    got = (text.mapInArrow(hashed, extend(text.drop("text").schema, "ids array<int>, words array<int>, short boolean"))
+           .orderBy(F.xxhash64("doc_id"), "doc_id", "text_key").limit(rows).orderBy("doc_id", "text_key").toArrow())
+    ids, bounds = _flat(got.column("ids"))
+    words, first = _flat(got.column("words"))
+    return fit_all(words, first, got.column("short").to_numpy().astype(bool), ids, bounds,
+                   got.column("toxic").to_numpy().astype(float))
+
+
+def _lists(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))
+
 
-    # ``rows`` bounds the broadcast side, and with the documents of those ids what is fetched.
-    text = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
-    got = text.mapInArrow(hashed, extend(text.drop("text").schema, "ids array<int>")).orderBy("doc_id").toArrow()
-    ids = got.column("ids").combine_chunks()
-    if isinstance(ids, pa.ChunkedArray):
-        ids = ids.chunk(0) if ids.num_chunks else pa.array([], pa.list_(pa.int32()))
-    bounds = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy().astype(np.int64))])
-    return fit(ids.flatten().to_numpy().astype(np.int64), bounds, got.column("toxic").to_numpy().astype(float))
+def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists, and where each row's begin."""
+    values = [c.flatten().to_numpy() for c in lists.chunks]
+    lengths = [c.value_lengths().to_numpy() for c in lists.chunks]
+    return (np.concatenate([np.zeros(0), *values]).astype(np.int64),
+            np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0), *lengths]))]).astype(np.int64))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
@@ -167,14 +266,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, thresho
     a score; repeated rows score alike; extra columns are not carried.
     """
     machine = train(docs, labels, rows)
-    bias, weight, factor = machine.bias, machine.weight.astype(np.float32), machine.factor.astype(np.float32)
-    model = docs.sparkSession.sparkContext.broadcast((bias, weight, factor))  # 2**BUCKET_BITS rows
+    tables = (machine.weight, machine.factor, machine.near)
+    model = docs.sparkSession.sparkContext.broadcast(  # 2**BUCKET_BITS rows
+        (machine.bias, *(x.astype(np.float32) for x in tables)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Machine(*model.value)
         for batch in batches:
             for part, data, off in text_slices(batch, "text"):
-                score = m.score(*buckets(data, off))
+                score = m.score_words(*places(data, off))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(score),
                      pa.array((score >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])

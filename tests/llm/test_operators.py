@@ -352,3 +352,37 @@ def test_toxicity_of_pairs_whose_words_tell_nothing_alone():
         ids, bounds, label, pairs = rows(200, 1200, 2)
         right = (toxicity.fit(*train).score(ids, bounds) >= 0.5) == label
         assert right[:pairs].mean() > least and right[pairs:].mean() > 0.97, (each, right[:pairs].mean())
+
+
+def test_toxicity_of_near_words_in_long_texts():
+    def rows(each, n, seed):
+        """Texts of 202 words; in the first ones two words that tell nothing alone stand side by side."""
+        rng = random.Random(seed)
+        pairs = [("kin", "vermin", 1), ("folk", "guests", 1), ("kin", "guests", 0), ("folk", "vermin", 0)] * each
+        texts, label = [], []
+        for k in range(n):
+            toxic = pairs[k][2] if k < len(pairs) else int(rng.random() < 0.5)
+            words = [f"w{rng.randrange(400)}" for _ in range(200)]
+            at = rng.randrange(len(words))
+            words[at:at] = pairs[k][:2] if k < len(pairs) else ["scumbag"] * toxic
+            texts.append(" ".join(words).encode())
+            label.append(toxic)
+        off = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+        return *toxicity.places(np.frombuffer(b"".join(texts), np.uint8), off), np.array(label, float), len(pairs)
+
+    words, first, label, _ = rows(100, 2000, 1)
+    machine = toxicity.fit_all(words, first, np.ones(len(label), bool), *toxicity.distinct(words, first), label)
+    words, first, label, pairs = rows(200, 1200, 2)
+    right = (machine.score_words(words, first) >= 0.5) == label
+    alone = (machine.score(*toxicity.distinct(words, first)) >= 0.5) == label
+    assert right[:pairs].mean() > 0.8 and right[pairs:].mean() > 0.95
+    assert alone[:pairs].mean() < 0.65  # the near factors make the difference
+
+
+def test_toxicity_trains_on_long_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "NEAR_WORDS", 50)
+    text = {i: ("scumbag " if i % 2 else "friend ") * (40 if i % 3 else 60) for i in range(400)}
+    docs = spark.createDataFrame([(i, t) for i, t in text.items()] + [(1, text[1])] * 300, "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in text], "doc_id bigint, toxic int")
+    out = toxicity.toxicity(docs, marks, rows=200).collect()
+    assert len(out) == 700 and np.mean([r["predicted"] == r["doc_id"] % 2 for r in out]) > 0.97
