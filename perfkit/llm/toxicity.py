@@ -171,13 +171,12 @@ def fit(ids: np.ndarray, bounds: np.ndarray, label: np.ndarray, bits: int = BUCK
 
 
 def fit_near(m: Machine, words: np.ndarray, first: np.ndarray, label: np.ndarray, margin: np.ndarray,
-             epochs: int = EPOCHS, seed: int = SEED) -> Machine:
+             common: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> Machine:
     """Fits the near factors of ``m`` on rows given by their words in order; ``margin`` is what the rest of
-    the machine gives them. Buckets in fewer than MIN_ROWS rows have no near factors."""
+    the machine gives them. Only ``common`` buckets (a boolean each) have near factors."""
     rng = np.random.default_rng(seed)
     size, factors = m.factor.shape
     m.near = rng.normal(0, FACTOR_SIZE, (size, factors))
-    common = np.bincount(distinct(words, first)[0], minlength=size) >= MIN_ROWS
     m.near[~common] = 0.0
     lengths, seen = np.diff(first), np.full((size, factors), FACTOR_SEEN)
     for _ in range(epochs):
@@ -204,9 +203,13 @@ def fit_all(words: np.ndarray, first: np.ndarray, short: np.ndarray, ids: np.nda
     """Weights and factors from the rows' distinct buckets, near factors from the words of the rows marked
     ``short`` (the others have none in ``words``)."""
     m = fit(ids, bounds, label)
-    margin = m.margin(ids, bounds)[0]
+    margin = np.zeros(len(label))
+    for at in range(0, len(label), BATCH):
+        cut = bounds[at:at + BATCH + 1]
+        margin[at:at + BATCH] = m.margin(ids[cut[0]:cut[-1]], cut - cut[0])[0]
     kept = np.concatenate([[0], np.cumsum(np.diff(first)[short])])
-    return fit_near(m, words, kept, label[short], margin[short])
+    common = np.bincount(ids, minlength=len(m.weight)) >= MIN_ROWS
+    return fit_near(m, words, kept, label[short], margin[short], common)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -242,8 +245,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
            .orderBy(F.xxhash64("doc_id"), "doc_id", "text_key").limit(rows).orderBy("doc_id", "text_key").toArrow())
     ids, bounds = _flat(got.column("ids"))
     words, first = _flat(got.column("words"))
-    return fit_all(words, first, got.column("short").to_numpy().astype(bool), ids, bounds,
-                   got.column("toxic").to_numpy().astype(float))
+    short, toxic = got.column("short").to_numpy().astype(bool), got.column("toxic").to_numpy().astype(float)
+    del got  # the flat copies are enough
+    return fit_all(words, first, short, ids, bounds, toxic)
 
 
 def _lists(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
@@ -254,8 +258,8 @@ def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The values of a column of lists, and where each row's begin."""
     values = [c.flatten().to_numpy() for c in lists.chunks]
     lengths = [c.value_lengths().to_numpy() for c in lists.chunks]
-    return (np.concatenate([np.zeros(0), *values]).astype(np.int64),
-            np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0), *lengths]))]).astype(np.int64))
+    none = np.zeros(0, np.int32)
+    return np.concatenate([none, *values]), np.concatenate([[0], np.cumsum(np.concatenate([none, *lengths]), dtype=np.int64)])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
