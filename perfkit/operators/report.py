@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from perfkit.functions.number_text import fixed, json_map
 from perfkit.operators.findings import with_log
 from perfkit.operators.stage_metrics import top_stages
+from perfkit.session import written
 from perfkit.sources.eventlog import log_folder
 
 REPORT_COLUMNS = ["log_id", "app_id", "section", "item", "line_no", "line"]
@@ -54,7 +55,9 @@ def report_lines(apps: DataFrame, metrics: DataFrame, findings: DataFrame, recs:
                  top_n: int = 10) -> DataFrame:
     """O1-O4 for every log in ``apps`` (``log_id, app_id, app_name``). Rows of the other frames with a null
     log, or none, count for every log of their application."""
-    metrics, findings, recs = (_by_log(df, apps) for df in (metrics, findings, recs))
+    # Several parts of the report read each frame: it is made once and stored.
+    metrics, findings, recs = (written(_by_log(df, apps), f"report-{name}") for name, df in (
+        ("stages", metrics), ("findings", findings), ("recommendations", recs)))
     head = _lines(apps, HEADER, [0], F.array(
         F.format_string("Profile of %s (%s)", F.coalesce("app_name", F.lit("unnamed")), F.col("app_id")),
         F.format_string("from %s", F.col("log_id"))))
