@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 
 from perfkit.llm.common import extend, ship
 from perfkit.llm.pieces import TextEncoder
+from perfkit.session import worker_cache
 
 #: Entries of the table of token pairs; a full table is emptied.
 PAIRS = 1_000_000
@@ -156,15 +157,13 @@ class Encoder(TextEncoder):
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, pattern: str) -> Encoder:
-    """The worker's encoder for a rank file; ``path`` must exist on every executor."""
+    """The worker's encoder for a rank file, kept from task to task; ``path`` must exist on every executor."""
+    encoders = worker_cache().setdefault("byte encoders", {})
     key = (path, pattern)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(Vocabulary(load_ranks(path)), pattern)
-    return _ENCODERS[key]
+    if key not in encoders:
+        encoders[key] = Encoder(Vocabulary(load_ranks(path)), pattern)
+    return encoders[key]
 
 
 def bpe_roundtrip(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
