@@ -216,7 +216,11 @@ def cost_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Form of the fixture files: files of another form are not read again.
-FORM = 2
+FORM = 3
+#: Lines of one file of a log: a compressed file is read as a whole.
+LINES_PER_FILE = 20_000
+#: Files that a task writes at a time; one per log, so that lines need not be sorted by log.
+OPEN_FILES = 64
 
 
 def _source_key(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> str:
@@ -240,6 +244,20 @@ def made_once(spark: SparkSession, sf_dir: str, sources: tuple[str, ...], name:
     return spark.read.parquet(path)
 
 
+def _write_logs(lines: DataFrame, path: str) -> None:
+    """One folder of compressed files per log. Lines are wide and the logs few: a task keeps a file of each
+    open (only from the log beyond OPEN_FILES on does it sort), so none are spilled."""
+    conf, key = lines.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key, None)
+    conf.set(key, str(OPEN_FILES))
+    try:
+        (lines.withColumnRenamed("log_id", "log").write.mode("overwrite").partitionBy("log")
+         .option("maxRecordsPerFile", LINES_PER_FILE).option("zlib.compress.level", "BEST_SPEED")
+         .text(path, compression="gzip"))
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def profile_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write the fixture event logs and conf files once, under the shared checkpoint
     folder, and return their paths.
@@ -252,8 +270,7 @@ def profile_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
                         _source_key(spark, sf_dir, ("lineitem", "supplier", "nation")))
     logs, confs = os.path.join(base, "eventlogs"), os.path.join(base, "confs")
     if not _complete(spark, logs):
-        (eventlog_lines(spark, sf_dir).withColumnRenamed("log_id", "log")
-         .write.mode("overwrite").partitionBy("log").text(logs))
+        _write_logs(eventlog_lines(spark, sf_dir), logs)
     if not _complete(spark, confs):
         (conf_json(spark, sf_dir).select(F.col("app_id").alias("app"), F.col("json"))
          .write.mode("overwrite").partitionBy("app").text(confs))
@@ -356,8 +373,7 @@ def sql_files(spark: SparkSession, sf_dir: str) -> str:
     """The folder of ``sql_lines``, written once like the other logs."""
     path = os.path.join(checkpoint_dir(spark), "fixtures", _source_key(spark, sf_dir, ("customer", "orders")), "sqllogs")
     if not _complete(spark, path):
-        (sql_lines(spark, sf_dir).withColumnRenamed("log_id", "log")
-         .write.mode("overwrite").partitionBy("log").text(path))
+        _write_logs(sql_lines(spark, sf_dir), path)
     return path
 
 
