@@ -31,6 +31,9 @@ LEFT_SIZE, RIGHT_SIZE = "left data size", "right data size"
 NODES = ("log_id string, execution_id bigint, node_id int, parent_id int, name string, description string, "
          "metrics array<struct<name: string, accumulator_id: bigint>>")
 
+#: Nodes that a worker holds as Python objects.
+HELD_NODES = 4096
+
 
 def latest_plans(lines: DataFrame) -> DataFrame:
     """``(log_id, execution_id, plan)``: per query the final plan, else the latest one, as JSON text.
@@ -80,24 +83,32 @@ def flatten(plan: dict) -> Iterator[tuple]:
 def plan_nodes(lines: DataFrame) -> DataFrame:
     """One row per node of every query's latest plan: see NODES. A plan that is no JSON has none."""
 
+    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+        log, execution, node, parent, name, description, metrics = zip(*rows)
+        pair = pa.list_(pa.struct([("name", pa.string()), ("accumulator_id", pa.int64())]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(log, pa.string()), pa.array(execution, pa.int64()), pa.array(node, pa.int32()),
+             pa.array(parent, pa.int32()), pa.array(name, pa.string()), pa.array(description, pa.string()),
+             pa.array([[{"name": n, "accumulator_id": a} for n, a in m] for m in metrics], pair)],
+            names=["log_id", "execution_id", "node_id", "parent_id", "name", "description", "metrics"])
+
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for log_id, execution_id, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            for log_id, execution_id, text in zip(*(batch.column(c) for c in range(3))):
                 try:
-                    plan = json.loads(text)
+                    plan = json.loads(text.as_py())
                 except ValueError:
                     continue
                 if isinstance(plan, dict):
-                    rows += [(log_id, execution_id, *row) for row in flatten(plan)]
+                    log, execution = log_id.as_py(), execution_id.as_py()
+                    for row in flatten(plan):
+                        rows.append((log, execution, *row))
+                        if len(rows) == HELD_NODES:
+                            yield as_batch(rows)
+                            rows = []
             if rows:
-                log, execution, node, parent, name, description, metrics = zip(*rows)
-                pair = pa.list_(pa.struct([("name", pa.string()), ("accumulator_id", pa.int64())]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(log, pa.string()), pa.array(execution, pa.int64()), pa.array(node, pa.int32()),
-                     pa.array(parent, pa.int32()), pa.array(name, pa.string()), pa.array(description, pa.string()),
-                     pa.array([[{"name": n, "accumulator_id": a} for n, a in m] for m in metrics], pair)],
-                    names=["log_id", "execution_id", "node_id", "parent_id", "name", "description", "metrics"])
+                yield as_batch(rows)
 
     return latest_plans(lines).mapInArrow(nodes, NODES)
 
