@@ -44,6 +44,10 @@ ROUND = 9
 
 #: Scores held at once by the kernel: queries x documents of one tile.
 TILE_CELLS = 1 << 21
+#: Squared lengths outside this range are not trusted to single precision.
+PLAIN = (1e-100, 1e100)
+#: A query with more than one in FEW documents of a tile near its k-th score is scored against all of them.
+FEW = 64
 #: Groups in the first merge of the tasks' candidates.
 MERGE_PARTS = 64
 
@@ -109,8 +113,29 @@ def _merge_topk(best_s, best_i, s, ids, k):
     return np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
 
 
+def _units(x: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """Rows of length 1 in single precision; a zero row stays zero."""
+    return (x / np.sqrt(np.where(squares > 0, squares, 1.0))[:, None]).astype(np.float32)
+
+
+def _scores(dots: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """Rounded cosines from products and products of the squared lengths; 0 where a vector is zero."""
+    den = np.sqrt(squares)
+    out = np.zeros_like(den)
+    np.divide(dots, den, out=out, where=den > 0)
+    return np.round(out, ROUND, out=out)
+
+
+def _plain(squares: np.ndarray) -> bool:
+    return bool(((squares == 0) | ((squares > PLAIN[0]) & (squares < PLAIN[1]))).all())
+
+
 def _pair_kernel(k: int, dims: dict[str, int]):
-    """Scores one part of the documents against one block of queries: top k per query."""
+    """Scores one part of the documents against one block of queries: top k per query.
+
+    A pass in single precision leaves out what is below a query's k-th score by more than its error;
+    what is left is scored in double precision.
+    """
 
     def run(docs: pa.Table, queries: pa.Table) -> pa.Table:
         if not len(docs) or not len(queries):
@@ -120,6 +145,8 @@ def _pair_kernel(k: int, dims: dict[str, int]):
         dim = dims[version]
         q = _matrix(queries, "query_vec", dim)
         qn = np.einsum("ij,ij->i", q, q)
+        margin = (dim + 8) * 2.0 ** -23  # twice the most that a cosine in single precision is off
+        q_unit = _units(q, qn)
         best_s = np.full((len(q), k), -np.inf)
         best_i = np.full((len(q), k), np.iinfo(np.int64).max, dtype=np.int64)
         step = max(1, TILE_CELLS // max(256, dim))
@@ -127,16 +154,35 @@ def _pair_kernel(k: int, dims: dict[str, int]):
             part = docs.slice(lo, step)
             d = _matrix(part, "embedding", dim)
             dn = np.einsum("ij,ij->i", d, d)
-            ids = part.column("doc_id").to_numpy()[None, :]
+            d_unit = _units(d, dn)
+            ids = part.column("doc_id").to_numpy()
+            plain = _plain(qn) and _plain(dn)
             rows = max(1, TILE_CELLS // len(d))
             for at in range(0, len(q), rows):
-                tile = slice(at, at + rows)
-                den = np.sqrt(np.outer(qn[tile], dn))
-                sc = q[tile] @ d.T
-                np.divide(sc, den, out=sc, where=den > 0)
-                sc[den <= 0] = 0.0
-                np.round(sc, ROUND, out=sc)
-                best_s[tile], best_i[tile] = _merge_topk(best_s[tile], best_i[tile], sc, ids, k)
+                near = q_unit[at:at + rows] @ d_unit.T
+                floor = best_s[at:at + rows, -1] - margin
+                if not np.isfinite(floor).all() and len(d) > k:
+                    floor = np.maximum(floor, np.partition(near, -k, axis=1)[:, -k].astype(np.float64) - 2 * margin)
+                open_cells = near >= np.float32(floor - margin)[:, None] if plain else np.ones(near.shape, dtype=bool)
+                count = open_cells.sum(axis=1)
+                few = np.flatnonzero((count > 0) & (count <= max(k, len(d) // FEW)))
+                many = np.flatnonzero(count > max(k, len(d) // FEW))
+                if len(few):
+                    r, c = np.nonzero(open_cells[few])
+                    s = np.empty(len(r))
+                    for i in range(0, len(r), step):
+                        j = slice(i, i + step)
+                        s[j] = np.einsum("ij,ij->i", q[at + few[r[j]]], d[c[j]])
+                    s = _scores(s, qn[at + few[r]] * dn[c])
+                    place = np.arange(len(r)) - (np.cumsum(count[few]) - count[few])[r]
+                    sc = np.full((len(few), int(count[few].max())), -np.inf)
+                    who = np.full(sc.shape, np.iinfo(np.int64).max, dtype=np.int64)
+                    sc[r, place], who[r, place] = s, ids[c]
+                    best_s[at + few], best_i[at + few] = _merge_topk(best_s[at + few], best_i[at + few], sc, who, k)
+                if len(many):
+                    sc = _scores(q[at + many] @ d.T, np.outer(qn[at + many], dn))
+                    best_s[at + many], best_i[at + many] = _merge_topk(best_s[at + many], best_i[at + many], sc,
+                                                                       ids[None, :], k)
         real = np.isfinite(best_s)
         found = np.repeat(queries.column("qid").to_numpy(), real.sum(axis=1))
         return pa.table({"version": pa.array([version] * len(found), pa.string()), "qid": found,
