@@ -2,7 +2,7 @@
 
 Two built-in embedders and a plug-in:
 
-* dense projection (SQL expressions): a version sums all dimensions of a source vector, with hashed
+* dense projection (Arrow batches): a version sums all dimensions of a source vector, with hashed
   signs, into ``d`` outputs;
 * hashed text (Arrow batches): a version hashes tokens into ``dim`` buckets and counts them;
 * user models (Arrow batches).
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perfkit.functions import text_hash as th
@@ -42,19 +42,11 @@ def doc_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.coalesce("body", F.lit(""))).alias("text"))
 
 
-def _versions(versions: dict[str, int]) -> Column:
-    return F.explode(F.array(*[F.struct(F.lit(v).alias("version"), F.lit(int(d)).alias("dim"))
-                               for v, d in versions.items()])).alias("_v")
-
-
-def _signs(version: str, dim: int, width: int) -> Column:
-    """The projection of a version: ``dim`` rows of ``width`` signs, + where the md5 of
+def _signs(version: str, dim: int, width: int) -> np.ndarray:
+    """The projection of a version: ``width`` rows of ``dim`` signs, + where the md5 of
     ``version::input::output`` (from 1) begins with a hex digit below 8."""
-    def sign(i: int, j: int) -> str:
-        return "1D" if hashlib.md5(f"{version}::{i}::{j}".encode()).hexdigest()[0] < "8" else "-1D"
-
-    rows = [", ".join(sign(i, j) for i in range(1, width + 1)) for j in range(1, dim + 1)]
-    return F.expr("array(" + ", ".join(f"array({r})" for r in rows) + ")")
+    return np.array([[1.0 if hashlib.md5(f"{version}::{i}::{j}".encode()).hexdigest()[0] < "8" else -1.0
+                      for j in range(1, dim + 1)] for i in range(1, width + 1)])
 
 
 def embed_dense(df: DataFrame, versions: dict[str, int], width: int, id_col: str = "doc_id",
@@ -63,21 +55,37 @@ def embed_dense(df: DataFrame, versions: dict[str, int], width: int, id_col: str
 
     Every version reads all ``width`` dimensions of the source vector. A version of that width is
     the vector itself; any other is its product with a matrix of hashed signs, one sum per output
-    (cosines are about kept, the better the more outputs). The element type stays. A vector of
-    another width is an error, a null vector stays null.
+    (cosines are about kept, the better the more outputs), added up in double in the order of the
+    dimensions. The element type stays. A vector of another width is an error, a null vector stays
+    null, and a null element makes every sum null.
     """
-    vec, kind = F.col("_e"), df.select(vec_col).schema[0].dataType
-    out = vec
-    for version, dim in versions.items():
-        if dim != width:
-            made = F.transform(_signs(version, dim, width), lambda row: F.aggregate(
-                F.zip_with(vec, row, lambda x, s: x.cast("double") * s), F.lit(0.0), lambda a, b: a + b))
-            out = F.when(F.col("_v.version") == version, made.cast(kind)).otherwise(out)
-    wrong = F.raise_error(F.concat(F.lit("vector width of id "), F.col("doc_id").cast("string"),
-                                   F.lit(f" is not {width}"))).cast(kind)
-    out = F.when(vec.isNull(), None).when(F.size(vec) != width, wrong).otherwise(out)
-    x = df.select(F.col(id_col).alias("doc_id"), F.col(vec_col).alias("_e"), _versions(versions))
-    return x.select(F.col("_v.version").alias("version"), "doc_id", out.alias("embedding"))
+    signs = {v: _signs(v, dim, width) for v, dim in versions.items() if dim != width}
+
+    def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, vec = batch.column("doc_id"), batch.column("embedding")
+            missing = np.asarray(vec.is_null())
+            wrong = np.flatnonzero(vec.value_lengths().fill_null(width).to_numpy(zero_copy_only=False) != width)
+            if len(wrong):
+                raise ValueError(f"vector width of id {ids[int(wrong[0])].as_py()} is not {width}")
+            flat = vec.flatten()
+            holes = np.asarray(flat.is_null()).reshape(-1, width).any(axis=1)
+            x = flat.cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, width)
+            for version, dim in versions.items():
+                out = vec
+                if dim != width:
+                    total = np.zeros((len(x), dim))
+                    for i in range(width):
+                        total += x[:, i:i + 1] * signs[version][i]
+                    sums = pa.array(total.ravel(), mask=np.repeat(holes, dim)).cast(vec.type.value_type, safe=False)
+                    ends = np.concatenate([[0], np.cumsum(~missing * dim)]).astype(np.int32)
+                    out = pa.ListArray.from_arrays(pa.array(ends), sums, mask=pa.array(missing))
+                yield pa.RecordBatch.from_arrays([pa.array([version] * len(batch), pa.string()), ids, out],
+                                                 names=["version", "doc_id", "embedding"])
+
+    src = df.select(F.col(id_col).alias("doc_id"), F.col(vec_col).alias("embedding"))
+    types = [src.schema[c].dataType.simpleString() for c in src.columns]
+    return src.mapInArrow(embed, f"version string, doc_id {types[0]}, embedding {types[1]}")
 
 
 #: Tokens that a worker keeps with their buckets, about.
