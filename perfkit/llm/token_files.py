@@ -17,39 +17,50 @@ All numbers are little-endian.
 
 from __future__ import annotations
 
+import codecs
 import math
 import os
-import re
+import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from perfkit.llm.common import extend, scratch, ship, stored, text_key
-from perfkit.llm.pieces import STREAM, Memo, TextEncoder
+from perfkit.llm.common import extend, scratch, ship, stored, text_key, text_slices
+from perfkit.llm.pieces import Memo, TextEncoder
 from perfkit.session import worker_cache
 
 #: Selector 1 .. 14: ids in a word; each has 60 // count bits.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BLOCK_IDS = 1 << 16
+#: Bits of each number below 2 ** 16.
+BIT_LENGTHS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 # The characters that byte-level vocabularies write for bytes. Printing ones stand for
 # themselves, the others follow from 256 on.
 _PRINTING = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTING)))}
+BYTE_TEXT = "".join(chr(BYTE_CHARS.get(b, b)) for b in range(256))
 #: Entries of one generation of the memo of words.
 HELD_WORDS = 1_000_000
-#: Begins a chunk that no space stands before; no regular text has it.
-APART = "\0"
-_SINGLE_MARKS = ",.;:!?|"
-_WORD_CHARS = "0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
-#: A mark that does not follow a letter or digit, or with another character than those or white space after it, is part of a longer piece.
-_MARKS_BESIDE = re.compile(f"(?:^|[^{_WORD_CHARS}])[{_SINGLE_MARKS}]|[{_SINGLE_MARKS}][^{_WORD_CHARS}\\s]")
+#: Text bytes encoded at a time, and chunks looked up at a time.
+ENCODE_BYTES = 4 << 20
+LOOK_UP = 1 << 20
+#: What a byte of a text can be. Others are second bytes, or first ones of U+00C0 to U+023F.
+_WHITE, _ODD, _WORD, _MARK, _EDGE = 1, 2, 3, 4, 5
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[[*range(0x20), 0x7F, *range(0xCA, 256)]] = _ODD
+_KIND[[0x20, 0x0A]] = _WHITE
+_KIND[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = _WORD
+_BEFORE_LETTERS = frozenset(np.flatnonzero(_KIND == _WORD).tolist()) - {*b"0123456789"} | {0x20}
+_KIND[[*b",.;:!?|"]] = _MARK
+_KIND[[0xC2, 0xC9]] = _EDGE  # U+0080 to U+00A0 and U+0250 to U+027F are odd
 MAGIC = int.from_bytes(b"S8BIDS01", "little")
 END_ID = 0
 
@@ -61,30 +72,32 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if n == 0:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
     top = int(ids.max())
-    if top < 1 << 20:
+    if top < 1 << 16:
+        bits = BIT_LENGTHS[ids]
+    elif top < 1 << 20:
         bits = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
     else:
         bits = sum((ids >> np.uint64(w) != 0).astype(np.uint8) for w in range(64))
-    # A place where no count of ids fits can't take a larger one: places drop out as counts grow.
-    choice = np.zeros(n, dtype=np.uint8)
+    # Where a count of ids does not fit, no larger one does: a place takes as many as there are fitting counts.
+    fitting = np.zeros(n, dtype=np.uint8)
     padded_bits = np.concatenate([bits, np.zeros(60, dtype=np.uint8)])
-    at, most, have = np.arange(n), np.zeros(n, dtype=np.uint8), 0
-    for selector in range(len(COUNTS), 0, -1):
-        count = COUNTS[selector - 1]
+    most, have = np.zeros(n, dtype=np.uint8), 0
+    for count in reversed(COUNTS):
         for i in range(have, count):
-            most = np.maximum(most, padded_bits[at + i])
+            np.maximum(most, padded_bits[i:i + n], out=most)
         have = count
         fits = most <= 60 // count
-        if not fits.all():
-            at, most = at[fits], most[fits]
-        choice[at] = selector
-    step = np.array((1, *COUNTS), dtype=np.uint8)[choice].tobytes()
+        if not fits.any():
+            break
+        fitting += fits
+    step = np.array((1, *reversed(COUNTS)), dtype=np.uint8)[fitting].tobytes()
     chain, at = [], 0
     while at < n:
         chain.append(at)
         at += step[at]
     start = np.array(chain)
-    selector = choice[start].astype(np.int64)
+    taken = fitting[start].astype(np.int64)
+    selector = np.where(taken > 0, len(COUNTS) + 1 - taken, 0)
     words = np.zeros(len(start), dtype=np.uint64)
     padded = np.concatenate([ids, np.zeros(60, dtype=np.uint64)])
     for s in np.unique(selector):
@@ -92,10 +105,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if s == 0:
             words[of] = np.arange(len(of), dtype=np.uint64)
             continue
-        count = COUNTS[s - 1]
-        shift = np.arange(count, dtype=np.uint64) * np.uint64(60 // count)
-        parts = padded[start[of][:, None] + np.arange(count)] << shift
-        words[of] = np.bitwise_or.reduce(parts, axis=1) | np.uint64(s << 60)
+        first, mine = start[of], np.full(len(of), s << 60, dtype=np.uint64)
+        for i in range(COUNTS[s - 1]):
+            mine |= padded[first + i] << np.uint64(i * (60 // COUNTS[s - 1]))
+        words[of] = mine
     return words, ids[start[selector == 0]]
 
 
@@ -110,9 +123,9 @@ def unpack(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
         if s == 0:
             out[start[of]] = escapes[words[of]]
             continue
-        width = 60 // COUNTS[s - 1]
-        shift = np.arange(COUNTS[s - 1], dtype=np.uint64) * np.uint64(width)
-        out[start[of][:, None] + np.arange(len(shift))] = (words[of][:, None] >> shift) & np.uint64((1 << width) - 1)
+        first, mine, width = start[of], words[of], 60 // COUNTS[s - 1]
+        for i in range(COUNTS[s - 1]):
+            out[first + i] = (mine >> np.uint64(i * width)) & np.uint64((1 << width) - 1)
     return out[:n]
 
 
@@ -199,42 +212,105 @@ class Words(Memo):
         self[key] = value
 
 
-class LibraryEncoder(TextEncoder):
-    """Words and marks are looked up apart, so that a word has one entry whatever mark follows it."""
+def _after_word(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a letter or digit ends before each place of a regular text (not told below U+00C0)."""
+    last, first = data[at - 1], data[np.maximum(at - 2, 0)]
+    sign = (first == 0xC3) & ((last == 0x97) | (last == 0xB7))  # times and divided by
+    return (_KIND[last] == _WORD) | ((last >= 0x80) & (first > 0xC2) & ~sign)
+
+
+def _odd_rows(data: np.ndarray, off: np.ndarray, kind: np.ndarray, white: np.ndarray) -> np.ndarray:
+    """The rows that TextEncoder.regular() refuses."""
+    edge = np.flatnonzero(kind == _EDGE)
+    after = data[edge + 1]
+    full = np.flatnonzero(np.diff(off))
+    begin, end = off[full], off[full + 1] - 1
+    pairs = white[1:][np.diff(white) == 1]
+    bad = np.concatenate([np.flatnonzero(kind == _ODD), edge[np.where(data[edge] == 0xC2, after <= 0xA0, after >= 0x90)],
+                          begin[data[begin] == 0x20], end[data[end] == 0x20], pairs[~np.isin(pairs, begin)]])
+    return np.unique(np.searchsorted(off, bad, "right") - 1)
 
-    def __init__(self, pattern: str, encode_piece, encode_odd):
-        super().__init__(pattern, encode_piece, encode_odd)
-        self.chunks = Words(self._chunk)
 
-    def _chunk(self, chunk: str) -> bytes:
-        if chunk[0] != APART:
-            return super()._chunk(chunk)
-        return b"".join(map(self.pieces.__getitem__, self.split.findall(chunk[1:])))
-
-    def encode(self, text: str) -> Iterator[bytes]:
-        """The ids of a text, in runs."""
-        if not self.regular(text):
-            yield self._packed(self.encode_odd(text))
-            return
-        text = text.replace("\n", " \n")
-        if not _MARKS_BESIDE.search(text):
-            for mark in _SINGLE_MARKS:
-                if mark in text:
-                    text = text.replace(mark, f" {APART}{mark}")
-        at, look = 0, self.chunks.__getitem__
-        while at < len(text):
-            end = text.find(" ", at + STREAM) if len(text) - at > STREAM else -1
-            end = len(text) if end < 0 else end
-            chunks = text[at:end].split(" ")
-            if not at:  # no space stands before the first chunk
-                first = chunks.pop(0)
-                if first:
-                    yield b"".join(map(self.pieces.__getitem__, self.split.findall(first)))
-            yield b"".join(map(look, chunks))
-            at = end + 1
-
-
-def library_encoder(path: str, pattern: str) -> TextEncoder:
+class BatchEncoder:
+    """Ids of the texts of a batch, as little-endian numbers of ``width``.
+
+    Texts are cut into chunks that the library would encode separately: a single space or line break
+    begins one, and so does a mark after a letter or digit. Arrow numbers the distinct chunks, so that
+    each is looked up once a batch, and puts their ids in place. An irregular text is one chunk.
+    """
+
+    def __init__(self, pattern: str, encode_piece: Callable[[bytes], list[int]],
+                 encode_text: Callable[[str], list[int]], specials: list[str], width: str):
+        self.split = regex.compile(pattern)
+        self.encode_piece, self.encode_text = encode_piece, encode_text
+        self.specials = [s.encode() for s in specials]
+        self.formats = [struct.Struct(f"<{n}{'H' if width == '<u2' else 'I'}") for n in range(32)]
+        self.width = width
+        self.chunks = Words(self._chunk)
+        self.pieces = Memo(self._piece)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        n = len(ids)
+        return self.formats[n].pack(*ids) if n < len(self.formats) else np.array(ids, dtype=self.width).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        return self._packed(self.encode_piece(piece.encode()))
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        if chunk[1:].isalpha() and chunk[0] in _BEFORE_LETTERS:  # ASCII letters only
+            return self._packed(self.encode_piece(chunk))
+        text = chunk.decode()
+        rest = text[1:] if text[0] in " \n" else text
+        if rest.isalpha() and text[0] != "\n" and (text.isascii() or max(text) < "\u0250"):
+            return self._packed(self.encode_piece(chunk))
+        if TextEncoder.regular(rest) and not any(s in chunk for s in self.specials):
+            return b"".join(map(self.pieces.__getitem__, self.split.findall(text)))
+        return self._packed(self.encode_text(text))
+
+    def _starts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Where chunks begin."""
+        kind = _KIND[data]
+        cut = kind == _WHITE
+        odd = _odd_rows(data, off, kind, np.flatnonzero(cut)).tolist()
+        marks = np.flatnonzero(kind == _MARK)
+        marks = marks[marks > 0]
+        cut[marks[_after_word(data, marks)]] = True
+        for special in self.specials:
+            # A special token's string in a text is what the library makes of it in context.
+            if special in (whole := data.tobytes()):
+                odd += [i for i in range(len(off) - 1) if special in whole[off[i]:off[i + 1]]]
+        for i in odd:
+            cut[off[i]:off[i + 1]] = False
+        cut[off[:-1][np.diff(off) > 0]] = True
+        return np.flatnonzero(cut)
+
+    def _look_up(self, data: np.ndarray, edges: np.ndarray) -> pa.Array:
+        """The ids of the chunks between ``edges``."""
+        mine = data[edges[0]:edges[-1]]
+        at = (edges - edges[0]).astype(np.int32)
+        chunks = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(mine)])
+        numbered = chunks.dictionary_encode()
+        known = list(map(self.chunks.__getitem__, numbered.dictionary.to_numpy(zero_copy_only=False)))
+        return pa.array(known, pa.binary()).take(numbered.indices)
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> pa.Array:
+        """The ids of each text, given as UTF-8 bytes with offsets."""
+        starts = self._starts(data, off)
+        if not len(starts):
+            return pa.array([b""] * (len(off) - 1), pa.binary())
+        edges = np.append(starts, len(data))
+        ids = pa.concat_arrays([self._look_up(data, edges[i:i + LOOK_UP + 1]) for i in range(0, len(starts), LOOK_UP)])
+        _, at, values = ids.buffers()
+        ends = np.frombuffer(at, dtype=np.int32)[ids.offset:][np.searchsorted(starts, off)]
+        return pa.Array.from_buffers(pa.binary(), len(off) - 1, [None, pa.py_buffer(ends), values])
+
+
+def id_width(library: Tokenizer) -> str:
+    """Ids take two bytes where the vocabulary allows it."""
+    return "<u2" if library.get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def library_encoder(path: str, pattern: str) -> BatchEncoder:
     """The worker's encoder, kept from task to task: pieces go to the merges of the tokenizer library,
     irregular texts to the library as a whole."""
     encoders = worker_cache().setdefault("library encoders", {})
@@ -243,19 +319,13 @@ def library_encoder(path: str, pattern: str) -> TextEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         library = Tokenizer.from_file(path)
         merges = library.model.tokenize
-        encode = lambda text: library.encode(text, add_special_tokens=False).ids
-
-        def piece(text: str) -> list[int]:
-            raw = text if text.isascii() else text.encode().decode("latin-1")
-            return [t.id for t in merges(raw.translate(BYTE_CHARS))]
-
-        specials = [t.content for t in library.get_added_tokens_decoder().values()]
-        enc = LibraryEncoder(pattern, piece, encode)
-        plain = enc.encode
-        # A special token's string in a text is what the library makes of it in context.
-        enc.encode = lambda text: (iter([enc._packed(encode(text))]) if any(s in text for s in specials)
-                                   else plain(text))
-        encoders[path] = enc
+
+        def piece(raw: bytes) -> list[int]:
+            return [t.id for t in merges(codecs.charmap_decode(raw, "strict", BYTE_TEXT)[0])]
+
+        encoders[path] = BatchEncoder(
+            pattern, piece, lambda text: library.encode(text, add_special_tokens=False).ids,
+            [t.content for t in library.get_added_tokens_decoder().values()], id_width(library))
     return encoders[path]
 
 
@@ -281,19 +351,18 @@ def write_tokens(docs: DataFrame, path: str, pattern: str, folder: str) -> DataF
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = library_encoder(path, pattern)
         for batch in batches:
-            known = batch.column("doc_id")
-            ids = known.fill_null(0).to_numpy(zero_copy_only=False)
-            tie = batch.column("text_key").to_numpy()
-            share = (tie.astype(np.float64) + 2.0 ** 63) / 2.0 ** 64
-            left, right = np.searchsorted(cuts, ids, "left"), np.searchsorted(cuts, ids, "right")
-            null = np.asarray(known.is_null())
-            left = np.where(null, len(cuts) + 1, left)
-            right = np.where(null, len(cuts) + max(null_parts, 1), right)
-            part = np.minimum(left + (share * (right - left + 1)).astype(np.int64), right)
-            tokens = [np.frombuffer(b"".join(enc.encode(t.as_py() or "")), dtype="<u4").astype(width).tobytes()
-                      for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([known, batch.column("text_key"), pa.array(part.astype(np.int32)),
-                                              pa.array(tokens, pa.binary())], names=schema.fieldNames())
+            for rows, data, off in text_slices(batch, "text", ENCODE_BYTES):
+                known = rows.column("doc_id")
+                ids = known.fill_null(0).to_numpy(zero_copy_only=False)
+                tie = rows.column("text_key").to_numpy()
+                share = (tie.astype(np.float64) + 2.0 ** 63) / 2.0 ** 64
+                left, right = np.searchsorted(cuts, ids, "left"), np.searchsorted(cuts, ids, "right")
+                null = np.asarray(known.is_null())
+                left = np.where(null, len(cuts) + 1, left)
+                right = np.where(null, len(cuts) + max(null_parts, 1), right)
+                part = np.minimum(left + (share * (right - left + 1)).astype(np.int64), right)
+                yield pa.RecordBatch.from_arrays([known, rows.column("text_key"), pa.array(part.astype(np.int32)),
+                                                  enc.encode(data, off)], names=schema.fieldNames())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, writer, name = [], None, None
@@ -320,8 +389,7 @@ def write_tokens(docs: DataFrame, path: str, pattern: str, folder: str) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*made)],
                                              names=["part", "file", "n_docs", "n_ids"])
 
-    # Ids travel in two bytes where the vocabulary allows it.
-    width = "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
+    width = id_width(Tokenizer.from_file(path))
     src = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     schema = extend(src.drop("text").schema, "part int, tokens binary")
     total = len(cuts) + 1 + null_parts
